@@ -41,7 +41,38 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .token_counts import count_tokens
+
+    counts = count_tokens(_docs(spark, sf_dir), _tokenizer("byte_bpe_50k.json"))
+    return counts.withColumn("over_limit", F.col("n_tokens") > 1024)
+
+
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .decontaminate import digest, find
+
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text")
+    return digest(find(_docs(spark, sf_dir).select("doc_id", "text"), items, window=10))
+
+
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .language_id import predict, prototypes
+
+    docs = _docs(spark, sf_dir)
+    held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 4 == 2
+    names, profiles = prototypes(docs.filter(~held_out), dims=512)
+    return predict(docs, names, profiles).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .quality import judge
+
+    judged = judge(_docs(spark, sf_dir), keep_columns=["doc_id"])
+    counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    return judged.select("doc_id", *(F.col(f"_wf_{c}").alias(c) for c in (*counts, "base_failed", "kept")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_packing, op4_token_output, op6_sharding)
+    f.__name__: f for f in (op2_token_counts, op3_packing, op4_token_output, op6_sharding, op7_decontamination, op9_language_id, op10_quality)
 }
 ORACLES: dict[str, str] = {}
