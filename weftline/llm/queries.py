@@ -55,6 +55,14 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest(find(_docs(spark, sf_dir).select("doc_id", "text"), items, window=10))
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .line_dedup import dedup_lines
+
+    out = dedup_lines(_docs(spark, sf_dir), keep_columns=["doc_id", "text"])
+    text = F.coalesce(F.col("text"), F.lit(""))
+    return out.select("doc_id", F.col("_wf_lines").alias("n_lines"), F.col("_wf_removed").alias("n_removed"), F.md5(F.encode(text, "UTF-8")).alias("text_md5"))
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .language_id import predict, prototypes
 
@@ -73,6 +81,6 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_token_counts, op3_packing, op4_token_output, op6_sharding, op7_decontamination, op9_language_id, op10_quality)
+    f.__name__: f for f in (op2_token_counts, op3_packing, op4_token_output, op6_sharding, op7_decontamination, op8_line_dedup, op9_language_id, op10_quality)
 }
 ORACLES: dict[str, str] = {}
