@@ -32,6 +32,12 @@ def op4_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_ids(parts, folder).drop("ids")
 
 
+def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .near_dedup import classes
+
+    return classes(_docs(spark, sf_dir), size=2, percent=80).drop("t")
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .sharding import shard_rows
 
@@ -81,6 +87,6 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_token_counts, op3_packing, op4_token_output, op6_sharding, op7_decontamination, op8_line_dedup, op9_language_id, op10_quality)
+    f.__name__: f for f in (op2_token_counts, op3_packing, op4_token_output, op5_near_dedup, op6_sharding, op7_decontamination, op8_line_dedup, op9_language_id, op10_quality)
 }
 ORACLES: dict[str, str] = {}
