@@ -18,6 +18,13 @@ def _tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .lm_scoring import score
+
+    learn = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 7 != 2
+    return score(_docs(spark, sf_dir), learn)[0]
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .packing import pack
 
@@ -87,6 +94,6 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_token_counts, op3_packing, op4_token_output, op5_near_dedup, op6_sharding, op7_decontamination, op8_line_dedup, op9_language_id, op10_quality)
+    f.__name__: f for f in (op1_lm_scoring, op2_token_counts, op3_packing, op4_token_output, op5_near_dedup, op6_sharding, op7_decontamination, op8_line_dedup, op9_language_id, op10_quality)
 }
 ORACLES: dict[str, str] = {}
