@@ -7,14 +7,16 @@
 2. Texts with equal sets are one class from here on, summed where they are read.
 3. In a bucket, the class that shares most bucket places with others is the
    centre, and candidates are the edges from it: a star, so edges grow with the
-   bucket and not with its square. Small buckets compare all their classes.
+   bucket and not with its square.
 4. Candidates are confirmed on the full sets, and components of the confirmed
    links are found by label propagation with pointer jumping.
-5. A large bucket that still holds several components sends further centres
-   (four times as many each round, at random) against the other components,
-   until one component is left or each class was a centre; so a link that the
-   star doesn't see is found too. Classes whose sizes rule out the similarity
-   are never compared.
+5. Where a bucket still holds several components, what its star doesn't see is
+   looked up too. Small buckets compare classes of different components. In a
+   large one, each class outside its largest component is a probe against that
+   component, and against the other classes outside it: the targets' sets lie
+   in chunks with an inverted index, and a probe counts its intersections with
+   a whole chunk at once. Rows that move are probes times chunks; no pair is
+   emitted unless it is a link.
 
 With 32 bands of 4, a pair of similarity 0.8 shares no bucket with a chance of
 5e-8. Nulls and empties: a text without words has an empty set and is linked
@@ -34,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .runtime import Scratch
-from .textkern import NON_SPACE, Slice, combine, mix, slices
+from .textkern import NON_SPACE, Slice, combine, mix, slices, spread
 
 BINS = 128
 SMALL = 16
@@ -163,6 +165,46 @@ def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return rows.mapInArrow(run, "a long, b long")
 
 
+def probed(probes: DataFrame, targets: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) of each probe (unit, node) with the targets (unit, node) of its unit."""
+    chunks = targets.groupBy("unit").agg(F.ceil(F.count(F.lit(1)) / CHUNK).cast("int").alias("k"))
+    laid = targets.join(chunks, "unit").select("unit", F.pmod(F.xxhash64("node"), F.col("k")).cast("int").alias("chunk"), F.lit(0).alias("role"), "node")
+    asked = probes.join(chunks, "unit").select("unit", F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("chunk"), F.lit(1).alias("role"), "node")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, nodes, own, index = None, [], [], None
+        for batch in batches:
+            unit, chunk, role, node = (batch.column(k).to_numpy() for k in range(4))
+            a, b = [], []
+            for k, blob in enumerate(batch.column(4)):
+                if now != (unit[k], chunk[k]):
+                    now, nodes, own, index = (unit[k], chunk[k]), [], [], None
+                other = np.frombuffer(blob.as_buffer(), np.uint64)
+                if role[k] == 0:
+                    nodes.append(node[k])
+                    own.append(other.copy())
+                    continue
+                if not own:
+                    continue
+                if index is None:
+                    size = np.array(list(map(len, own)))
+                    flat, who = np.concatenate(own), np.repeat(np.arange(len(own)), size)
+                    order = np.argsort(flat, kind="stable")
+                    keys, first = np.unique(flat[order], return_index=True)
+                    index = keys, np.append(first, len(flat)), who[order], size, np.array(nodes)
+                keys, first, who, size, names = index
+                at = np.minimum(np.searchsorted(keys, other), len(keys) - 1)
+                at = at[keys[at] == other]
+                both = np.bincount(who[spread(first[at], first[at + 1] - first[at])], minlength=len(size))
+                hit = (100 * both >= percent * (size + len(other) - both)) & (names != node[k])
+                a += [node[k]] * int(hit.sum())
+                b += names[hit].tolist()
+            yield pa.record_batch([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    rows = laid.unionByName(asked).join(sets, "node").select("unit", "chunk", "role", "node", "set")
+    return rows.repartition("unit", "chunk").sortWithinPartitions("unit", "chunk", "role").mapInArrow(run, "a long, b long")
+
+
 def components(edges: DataFrame, scratch: Scratch, name: str) -> DataFrame:
     """node and comp (the smallest node reachable) of each end of edges (a, b)."""
     both = scratch.table(edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), f"{name}-both")
@@ -202,46 +244,37 @@ def classes(docs: DataFrame, size: int = 5, percent: int = 80, bands: int = 32,
     chosen = texts.alias("d").join(some.alias("w"), (F.col("d.t") == F.col("w.t")) & F.col("d.doc_id").eqNullSafe(F.col("w.least")), "left_semi").select("d.text")
     sets = scratch.table(full_sets(chosen, size).dropDuplicates(["node"]), "sets")
 
-    links = None
-    comps = docs.sparkSession.createDataFrame([], "node long, comp long")
-    turn = 0
-    while True:
-        placed = buckets.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-        open_keys = placed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo != hi").select("key")
-        if turn:
-            open_keys = open_keys.join(buckets.filter(f"size > {SMALL}").select("key").distinct(), "key", "left_semi")
-        live = placed.join(open_keys, "key", "left_semi")
-        if turn:
-            live = scratch.table(live, f"live{turn}")
-            if not live.head(1):
-                break
-        large = live.filter(f"size > {SMALL}")
-        if turn == 0:
-            heads = large.groupBy("key").agg(F.max(F.struct("score", "node", "n", "comp")).alias("c")).select("key", "c.node", "c.n", "c.comp")
-        else:  # about 4 ** turn more of each bucket, drawn by hash
-            heads = large.filter(F.pmod(F.xxhash64("key", "node"), F.greatest(F.lit(1), (F.col("size") / 4**turn).cast("long"))) == 0).select("key", "node", "n", "comp")
-        heads = heads.toDF("key", "a", "an", "ac")
-        fits = f"a != node AND ac != comp AND 100 * least(n, an) >= {percent} * greatest(n, an)"
-        pairs = large.join(heads, "key").filter(fits).select("a", F.col("node").alias("b"))
-        if turn == 0:
-            few = live.filter(f"size <= {SMALL}")
-            each = few.select("key", F.col("node").alias("a"), F.col("n").alias("an"), F.col("comp").alias("ac"))
-            pairs = pairs.unionByName(few.join(each, "key").filter(f"a < node AND {fits}").select("a", F.col("node").alias("b")))
-        pairs = scratch.table(pairs.distinct(), f"pairs{turn}")
-        found = scratch.table(confirm(pairs, sets, percent), f"links{turn}")
-        whole = turn > 0 and not large.filter(F.col("size") > 4**turn * 2).head(1)  # each class was a centre
-        scratch.drop(f"pairs{turn}")
-        if found.head(1):
-            links = found if links is None else links.unionByName(found)
-            comps = components(links, scratch, f"comps{turn}")
-        turn += 1
-        if whole:
-            break
-
-    spread = groups.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-    named = spread.groupBy("comp").agg(F.min("least").alias("component_id"), F.sum("rows").alias("rows")).filter("rows > 1")
-    label = scratch.table(spread.select("node", "comp").join(named, "comp").select("node", "component_id"), "labels")
-    scratch.drop("buckets", "sets", "classes", "scores")
+    fits = f"a != node AND 100 * least(n, an) >= {percent} * greatest(n, an)"
+    heads = scratch.table(buckets.groupBy("key").agg(F.max(F.struct("score", "node", "n")).alias("c")).select("key", F.col("c.node").alias("a"), F.col("c.n").alias("an")), "heads")
+    pairs = scratch.table(buckets.join(heads, "key").filter(fits).select("a", F.col("node").alias("b")).distinct(), "pairs")
+    stars = scratch.table(confirm(pairs, sets, percent), "stars")
+    comps = components(stars, scratch, "comps")
+
+    placed = buckets.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    mixed = placed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo != hi").select("key")
+    live = scratch.table(placed.filter("size > 2").join(mixed, "key", "left_semi"), "live")
+    # Small buckets: classes of different components, but for the centre, which met all.
+    few = live.filter(f"size <= {SMALL}").join(heads.select("key", F.col("a").alias("head")), "key").filter("node != head")
+    each = few.select("key", F.col("node").alias("a"), F.col("n").alias("an"), F.col("comp").alias("ac"))
+    more = few.join(each, "key").filter(f"a < node AND ac != comp AND {fits}").select("a", F.col("node").alias("b")).distinct()
+    more = scratch.table(more.join(pairs, ["a", "b"], "left_anti").join(pairs.toDF("b", "a"), ["a", "b"], "left_anti"), "more")
+    # Large buckets: probes outside the bucket's largest component against it, and against each other.
+    many = live.filter(f"size > {SMALL}")
+    top = many.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("k")).groupBy("key").agg(F.max(F.struct("k", "comp"))["comp"].alias("top"))
+    outside = scratch.table(many.join(top, "key").filter("comp != top").select("key", "node", "top"), "outside")
+    asked = outside.select(F.xxhash64(F.lit("c"), F.col("top")).alias("unit"), "node").distinct()
+    wanted = outside.select("top").distinct()
+    inside = placed.select("node", "comp").distinct().join(wanted, F.col("comp") == F.col("top"), "left_semi").select(F.xxhash64(F.lit("c"), F.col("comp")).alias("unit"), "node")
+    others = outside.select(F.xxhash64(F.lit("k"), F.col("key")).alias("unit"), "node")
+    rest = probed(asked.unionByName(others), inside.unionByName(others), sets, percent)
+    found = scratch.table(confirm(more, sets, percent).unionByName(rest), "found")
+    links = stars.unionByName(found)
+    comps = components(links, scratch, "comps2")
+
+    placed = groups.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    named = placed.groupBy("comp").agg(F.min("least").alias("component_id"), F.sum("rows").alias("rows")).filter("rows > 1")
+    label = scratch.table(placed.select("node", "comp").join(named, "comp").select("node", "component_id"), "labels")
+    scratch.drop("buckets", "sets", "classes", "scores", "heads", "pairs", "stars", "live", "more", "outside", "found")
     out = sig.select("doc_id", "t", "n", F.when(F.col("n") > 0, F.col("node")).alias("node")).join(label, "node", "left")
     comp = F.when(label["node"].isNotNull(), F.col("component_id")).otherwise(F.col("doc_id"))
     return out.select("doc_id", "t", F.col("n").alias("n_shingles"), comp.alias("component_id"), F.coalesce(F.col("doc_id") == comp, comp.isNull()).alias("kept"))
