@@ -1,14 +1,721 @@
-"""The reference operators' queries on the driver's tables."""
+"""The reference operators' queries on the driver's tables, each beside the SQL that gives the same rows.
+
+Stand-ins: proteins are suppliers, domains are 97 buckets of parts, protein
+interactions are suppliers that share an order (their number is the score), the
+ontology is root - region - nation - cell, a protein's terms are its nation and
+cell, labelled domain pairs come from parts, sequences are document texts,
+embeddings are the 64-dimensional vectors, predictors are languages and
+databases are sources.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .registry import read
+from ..functions import scalars as X
+from ..functions import sequences as S
+from ..functions import vectors as V
+from ..operators import assembly, catalog, evaluation, graph, pairs, report
+from .registry import query, read
+
+BASE = """WITH ppi AS (
+  SELECT 'P' || a.l_suppkey AS protein_a, 'P' || b.l_suppkey AS protein_b, CAST(count(*) AS BIGINT) AS score
+  FROM lineitem a JOIN lineitem b ON a.l_orderkey = b.l_orderkey AND a.l_suppkey < b.l_suppkey GROUP BY 1, 2),
+pd AS (SELECT DISTINCT 'P' || l_suppkey AS uniprot_id, 'D' || (l_partkey % 97) AS pfam_id FROM lineitem WHERE l_linenumber = 1 AND l_quantity > 45),
+go AS (SELECT 'P' || s_suppkey AS uniprot_id, 'N' || s_nationkey AS go FROM supplier
+  UNION ALL SELECT 'P' || s_suppkey, 'C' || s_nationkey || '-' || (s_suppkey % 3) FROM supplier WHERE s_suppkey % 2 = 0),
+onto AS (SELECT 'ROOT' AS parent, 'R' || r_regionkey AS child, 1 AS level, 1 AS depth FROM region
+  UNION ALL SELECT 'R' || n_regionkey, 'N' || n_nationkey, 2, 2 FROM nation
+  UNION ALL SELECT DISTINCT 'N' || s_nationkey, 'C' || s_nationkey || '-' || (s_suppkey % 3), 3, 3 FROM supplier),
+raw_ddi AS (SELECT p_partkey % 97 AS domain_id_a, (p_size * 7) % 97 AS domain_id_b,
+  CASE WHEN p_size % 11 = 0 THEN NULL ELSE p_partkey % 3 <> 0 END AS negative,
+  CASE WHEN p_size % 10 = 0 THEN NULL ELSE p_size % 3 <> 0 END AS is_evaluation_relevant FROM part),
+ddi AS (SELECT least('D' || domain_id_a, 'D' || domain_id_b) AS domain_a, greatest('D' || domain_id_a, 'D' || domain_id_b) AS domain_b,
+  coalesce(CAST(NOT negative AS INT), 0) AS interaction, coalesce(CAST(is_evaluation_relevant AS INT), 0) AS eval_relevant FROM raw_ddi),
+preds AS (SELECT d.doc_id, d.lang AS model, d.source AS db, l.quality AS label,
+  1.0::DOUBLE - CAST(length(text) - length(regexp_replace(text, '[!*$%&#|]', '', 'g')) AS DOUBLE) / greatest(length(text), 1) AS score
+  FROM documents d JOIN labels l ON d.doc_id = l.doc_id WHERE d.text IS NOT NULL),
+vecs AS (SELECT vec_id, embedding, label, 'D' || (vec_id % 50) AS domain_id, 'P' || (vec_id // 50) AS protein_id FROM embeddings)
+"""
+
+
+def _suffix(prefix: str, c: str):
+    return F.concat(F.lit(prefix), F.col(c).cast("string"))
+
+
+def ppi(spark: SparkSession, d: str) -> DataFrame:
+    rows = read(spark, d, "lineitem").select("l_orderkey", "l_suppkey")
+    both = rows.toDF("k", "a").join(rows.toDF("k", "b"), "k").filter("a < b")
+    return both.groupBy("a", "b").agg(F.count(F.lit(1)).alias("score")).select(_suffix("P", "a").alias("protein_a"), _suffix("P", "b").alias("protein_b"), "score")
+
+
+def pd_map(spark: SparkSession, d: str) -> DataFrame:
+    rows = read(spark, d, "lineitem").filter("l_linenumber = 1 AND l_quantity > 45")
+    return rows.select(_suffix("P", "l_suppkey").alias("uniprot_id"), F.concat(F.lit("D"), (F.col("l_partkey") % 97).cast("string")).alias("pfam_id")).distinct()
+
+
+def go(spark: SparkSession, d: str) -> DataFrame:
+    s = read(spark, d, "supplier")
+    p = _suffix("P", "s_suppkey").alias("uniprot_id")
+    return s.select(p, _suffix("N", "s_nationkey").alias("go")).unionByName(s.filter("s_suppkey % 2 = 0").select(p, _cell().alias("go")))
+
+
+def _cell():
+    return F.concat(F.lit("C"), F.col("s_nationkey").cast("string"), F.lit("-"), (F.col("s_suppkey") % 3).cast("string"))
+
+
+def ontology(spark: SparkSession, d: str) -> DataFrame:
+    r = read(spark, d, "region").select(F.lit("ROOT").alias("parent"), _suffix("R", "r_regionkey").alias("child"), F.lit(1).alias("level"), F.lit(1).alias("depth"))
+    n = read(spark, d, "nation").select(_suffix("R", "n_regionkey").alias("parent"), _suffix("N", "n_nationkey").alias("child"), F.lit(2).alias("level"), F.lit(2).alias("depth"))
+    c = read(spark, d, "supplier").select(_suffix("N", "s_nationkey").alias("parent"), _cell().alias("child"), F.lit(3).alias("level"), F.lit(3).alias("depth")).distinct()
+    return r.unionByName(n).unionByName(c)
+
+
+def raw_ddi(spark: SparkSession, d: str) -> DataFrame:
+    return read(spark, d, "part").selectExpr(
+        "p_partkey % 97 AS domain_id_a", "(p_size * 7) % 97 AS domain_id_b", "CASE WHEN p_size % 11 = 0 THEN NULL ELSE p_partkey % 3 <> 0 END AS negative",
+        "CASE WHEN p_size % 10 = 0 THEN NULL ELSE p_size % 3 <> 0 END AS is_evaluation_relevant",
+    )
+
+
+def domain(spark: SparkSession) -> DataFrame:
+    return spark.range(97).select("id", _suffix("D", "id").alias("pfam_id"))
+
+
+def ddi(spark: SparkSession, d: str) -> DataFrame:
+    return pairs.load_ddi(raw_ddi(spark, d), domain(spark))
+
+
+def preds(spark: SparkSession, d: str) -> DataFrame:
+    rows = read(spark, d, "documents").select("doc_id", "lang", "source", "text").filter("text IS NOT NULL").join(read(spark, d, "labels").select("doc_id", F.col("quality").alias("label")), "doc_id")
+    n = F.char_length("text")
+    score = F.lit(1.0) - (n - F.char_length(F.regexp_replace("text", "[!*$%&#|]", ""))).cast("double") / F.greatest(n, F.lit(1))
+    return rows.select("doc_id", F.col("lang").alias("model"), F.col("source").alias("db"), "label", score.alias("score"))
+
+
+def vecs(spark: SparkSession, d: str) -> DataFrame:
+    return read(spark, d, "embeddings").selectExpr("vec_id", "embedding", "label", "concat('D', vec_id % 50) AS domain_id", "concat('P', vec_id div 50) AS protein_id")
+
+
+def _r(c: str, to: int = 6):
+    return F.round(c, to).alias(c)
+
+
+# Pairs: extraction, orientation, loading.
+
+
+@query(BASE + "SELECT domain_id_a AS domain_1, domain_id_b AS domain_2, CAST(NOT negative AS INT) AS interaction FROM raw_ddi")
+def ddi_extract(spark, d):
+    return pairs.extract_ddi(raw_ddi(spark, d), relevant_only=False)
+
+
+@query(BASE + "SELECT domain_id_a AS domain_1, domain_id_b AS domain_2, CAST(NOT negative AS INT) AS interaction FROM raw_ddi WHERE is_evaluation_relevant")
+def eval_relevant_filter(spark, d):
+    return pairs.extract_ddi(raw_ddi(spark, d), relevant_only=True)
+
+
+@query(BASE + "SELECT * FROM ddi")
+def canonical_pairs(spark, d):
+    return ddi(spark, d)
+
+
+@query(BASE + ", p AS (SELECT DISTINCT domain_a, domain_b, interaction FROM ddi) SELECT domain_a, domain_b, interaction FROM p UNION SELECT domain_b, domain_a, interaction FROM p")
+def symmetrize_pairs(spark, d):
+    return pairs.symmetrised(ddi(spark, d).select("domain_a", "domain_b", "interaction").distinct(), "domain_a", "domain_b").distinct()
+
+
+@query(BASE + "SELECT domain_a, domain_b, CAST(count(*) AS BIGINT) AS times FROM ddi GROUP BY 1, 2")
+def pair_multiplicity(spark, d):
+    return pairs.pair_multiplicity(ddi(spark, d))
+
+
+@query(BASE + "SELECT domain_a, domain_b FROM ddi GROUP BY 1, 2 HAVING min(interaction) <> max(interaction)")
+def label_conflicts(spark, d):
+    return assembly.label_conflicts(ddi(spark, d), "domain_a", "domain_b")
+
+
+@query(BASE + "SELECT * FROM ppi")
+def ppi_scored(spark, d):
+    return ppi(spark, d)
+
+
+@query(BASE + "SELECT * FROM ppi WHERE score > 3")
+def high_conf_ppi(spark, d):
+    return ppi(spark, d).filter("score > 3")
+
+
+@query(BASE + "SELECT * FROM pd")
+def protein_domain_map(spark, d):
+    return pd_map(spark, d)
+
+
+CASCADE = BASE + """, k AS (SELECT * FROM ppi WHERE score > 3), p1 AS (SELECT protein_a AS p FROM k UNION SELECT protein_b FROM k),
+t AS (SELECT parent AS go FROM onto UNION SELECT child FROM onto), g AS (SELECT * FROM go WHERE go IN (SELECT go FROM t) AND uniprot_id IN (SELECT p FROM p1)),
+k2 AS (SELECT * FROM k WHERE protein_a IN (SELECT uniprot_id FROM g) AND protein_b IN (SELECT uniprot_id FROM g)),
+p2 AS (SELECT protein_a AS p FROM k2 UNION SELECT protein_b FROM k2), m AS (SELECT * FROM pd WHERE uniprot_id IN (SELECT p FROM p2)),
+c AS (SELECT DISTINCT * FROM ddi WHERE domain_a IN (SELECT pfam_id FROM m) AND domain_b IN (SELECT pfam_id FROM m)) """
+
+
+@query(CASCADE + "SELECT * FROM c")
+def semi_cascade(spark, d):
+    terms = pairs.members(ontology(spark, d), "parent", "child", name="go")
+    return pairs.reduce_for_graph(ddi(spark, d), pd_map(spark, d), ppi(spark, d), go(spark, d), terms, 3)["ddi"]
+
+
+@query(BASE + "SELECT protein_a AS protein FROM ppi UNION SELECT protein_b FROM ppi")
+def protein_union(spark, d):
+    return pairs.members(ppi(spark, d), "protein_a", "protein_b")
+
+
+@query(BASE + "SELECT DISTINCT pfam_id FROM pd EXCEPT SELECT domain_a FROM ddi")
+def domain_difference(spark, d):
+    return pd_map(spark, d).select("pfam_id").subtract(ddi(spark, d).select("domain_a"))
+
+
+@query(BASE + "SELECT pfam_id FROM pd INTERSECT SELECT domain_b FROM ddi")
+def domain_intersection(spark, d):
+    return pd_map(spark, d).select("pfam_id").intersect(ddi(spark, d).select("domain_b"))
+
+
+EXPAND = BASE + ", ex AS (SELECT protein_a, protein_b, x.pfam_id AS d1, y.pfam_id AS d2 FROM ppi JOIN pd x ON x.uniprot_id = protein_a JOIN pd y ON y.uniprot_id = protein_b WHERE score > 6) "
+
+
+def _expanded(spark, d):
+    return pairs.domain_pairs_of_ppi(ppi(spark, d).filter("score > 6"), pd_map(spark, d))
+
+
+@query(EXPAND + "SELECT d1, d2, CAST(count(*) AS BIGINT) AS n FROM ex GROUP BY 1, 2")
+def ppi_domain_pairs(spark, d):
+    return _expanded(spark, d).groupBy("d1", "d2").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(EXPAND + ", w AS (SELECT d1, d2, count(*) AS n FROM ex GROUP BY 1, 2), q AS (SELECT DISTINCT domain_a, domain_b FROM ddi) SELECT domain_a, domain_b, CAST(coalesce(n, 0) AS BIGINT) AS witnesses FROM q LEFT JOIN w ON d1 = domain_a AND d2 = domain_b")
+def witnesses(spark, d):
+    return pairs.witnesses(ddi(spark, d).select("domain_a", "domain_b").distinct(), _expanded(spark, d))
+
+
+ASSOC = BASE + """, h AS (SELECT protein_a, protein_b FROM ppi WHERE score > 6), s AS (SELECT protein_a AS a, protein_b AS b FROM h UNION SELECT protein_b, protein_a FROM h),
+n AS (SELECT x.pfam_id AS d1, y.pfam_id AS d2, count(*) AS n FROM s JOIN pd x ON x.uniprot_id = a JOIN pd y ON y.uniprot_id = b GROUP BY 1, 2), k AS (SELECT pfam_id, count(DISTINCT uniprot_id) AS k FROM pd GROUP BY 1)
+SELECT d1, d2, round(CAST(n AS DOUBLE) / (a.k + b.k), 6) AS score FROM n JOIN k a ON a.pfam_id = d1 JOIN k b ON b.pfam_id = d2"""
+
+
+@query(ASSOC)
+def association_score(spark, d):
+    return pairs.association_scores(ppi(spark, d).filter("score > 6"), pd_map(spark, d)).select("d1", "d2", _r("score"))
+
+
+@query(EXPAND + ", q AS (SELECT DISTINCT least(d1, d2) AS domain_a, greatest(d1, d2) AS domain_b FROM ex), l AS (SELECT domain_a, domain_b, max(interaction) AS interaction FROM ddi GROUP BY 1, 2) SELECT q.domain_a, q.domain_b, coalesce(interaction, 1) AS interaction FROM q LEFT JOIN l USING (domain_a, domain_b)")
+def pair_universe(spark, d):
+    known = ddi(spark, d).groupBy("domain_a", "domain_b").agg(F.max("interaction").alias("interaction"))
+    return pairs.pair_universe(_expanded(spark, d), known)
+
+
+@query(BASE + "SELECT domain_a, domain_b, EXISTS (SELECT 1 FROM pd JOIN pd q USING (uniprot_id) WHERE (pd.pfam_id = domain_a AND q.pfam_id = domain_b)) AS found FROM (SELECT DISTINCT domain_a, domain_b FROM ddi)")
+def edge_lookup(spark, d):
+    p = pd_map(spark, d)
+    edges = p.join(p.withColumnRenamed("pfam_id", "other"), "uniprot_id").select("pfam_id", "other").distinct()
+    return pairs.edge_lookup(ddi(spark, d).select("domain_a", "domain_b").distinct(), edges)
+
+
+@query(BASE + ", n AS (SELECT p, row_number() OVER (ORDER BY p) - 1 AS k FROM (SELECT protein_a AS p FROM ppi UNION SELECT protein_b FROM ppi)), e AS (SELECT a.k AS i, b.k AS j, score AS v FROM ppi JOIN n a ON a.p = protein_a JOIN n b ON b.p = protein_b) SELECT i, j, v FROM e UNION SELECT j, i, v FROM e")
+def adjacency_coo(spark, d):
+    return pairs.coordinates(ppi(spark, d), "protein_a", "protein_b", F.col("score"))
+
+
+# Sequences.
+
+AA = "ACDEFGHIKLMNPQRSTVWY"
+UP = "translate(text, 'abcdefghijklmnopqrstuvwxyz', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ')"
+
+
+@query("SELECT doc_id, " + ", ".join(f"CASE WHEN t > 0 THEN round(CAST(length(u) - length(replace(u, '{a}', '')) AS DOUBLE) / t, 6) END AS {a.lower()}" for a in AA) + f" FROM (SELECT doc_id, {UP} AS u, length({UP}) - length(regexp_replace({UP}, '[{AA}]', '', 'g')) AS t FROM documents)")
+def aacomp(spark, d):
+    rows = read(spark, d, "documents").select("doc_id", S.composition(F.col("text")).alias("v"))
+    return rows.select("doc_id", *(F.round(F.col("v")[k], 6).alias(a.lower()) for k, a in enumerate(AA)))
+
+
+LETTERS = "".join(S.CLASSES)
+REDUCED = f"translate(regexp_replace({UP}, '[^{LETTERS}]', ' ', 'g'), '{LETTERS}', '{''.join(str(k) * len(g) for k, g in enumerate(S.CLASSES))}')"
+
+
+@query(f"SELECT doc_id, md5({REDUCED}) AS reduced FROM documents")
+def reduced_alphabet(spark, d):
+    return read(spark, d, "documents").select("doc_id", F.md5(S.reduced_alphabet(F.col("text"))).alias("reduced"))
+
+
+TRIADS = f", r AS (SELECT doc_id, {REDUCED} AS s FROM documents), t AS (SELECT doc_id, substr(s, CAST(i AS INT), 3) AS x FROM r, unnest(range(1, length(s) - 1)) q(i)), c AS (SELECT doc_id, CAST(substr(x, 1, 1) AS INT) * 49 + CAST(substr(x, 2, 1) AS INT) * 7 + CAST(substr(x, 3, 1) AS INT) AS triad, count(*) AS n FROM t WHERE NOT contains(x, ' ') GROUP BY 1, 2) "
+
+
+@query("WITH _u AS (SELECT 1)" + TRIADS + "SELECT doc_id, triad, CAST(n AS BIGINT) AS n FROM c")
+def conjoint_triad(spark, d):
+    return S.triad_counts(read(spark, d, "documents"), ["doc_id"], "text")
+
+
+@query("WITH _u AS (SELECT 1)" + TRIADS + ", m AS (SELECT doc_id, max(n) AS hi, CASE WHEN count(*) < 343 THEN 0 ELSE min(n) END AS lo FROM c GROUP BY 1) SELECT doc_id, triad, round(CAST(n - lo AS DOUBLE) / hi, 6) AS v FROM c JOIN m USING (doc_id)")
+def triad_normalised(spark, d):
+    counts = S.triad_counts(read(spark, d, "documents"), ["doc_id"], "text")
+    m = counts.groupBy("doc_id").agg(F.max("n").alias("hi"), F.when(F.count(F.lit(1)) < 343, 0).otherwise(F.min("n")).alias("lo"))
+    return counts.join(m, "doc_id").select("doc_id", "triad", F.round((F.col("n") - F.col("lo")) / F.col("hi"), 6).alias("v"))
+
+
+def _properties(spark):
+    """A residue table made by rule, for the queries: 20 residues by 16 descriptors."""
+    rows = [(a, *(((k + 1) * (j + 3) * 37 % 101) / 10.0 for j in range(16))) for k, a in enumerate(AA)]
+    return spark.createDataFrame(rows, "aa string, " + ", ".join(f"p{j:02d} double" for j in range(16)))
+
+
+PROPS = "props AS (SELECT chr(ascii(substr('" + AA + "', CAST(k + 1 AS INT), 1))) AS aa, j, ((k + 1) * (j + 3) * 37 % 101) / 10.0::DOUBLE AS v FROM range(20) a(k), range(16) b(j))"
+ESTATE = PROPS + ", es AS (SELECT a.aa, a.j AS d, a.v - sum(CASE WHEN a.j <> b.j THEN (b.v - a.v) / ((b.j - a.j) * (b.j - a.j)) ELSE 0 END) AS v FROM props a JOIN props b ON a.aa = b.aa GROUP BY a.aa, a.j, a.v)"
+
+
+@query(f"WITH {ESTATE} SELECT aa, CAST(d AS INT) AS d, round(v, 6) AS v FROM es")
+def estate_table(spark, d):
+    return S.estate_rows(_properties(spark), "aa").select("aa", F.posexplode("estate").alias("d", "v")).select("aa", "d", _r("v"))
+
+
+SEQ = "seq AS (SELECT p_partkey AS k, regexp_replace(upper(p_name), '[^" + AA + "]', '', 'g') AS s FROM part)"
+
+
+@query(f"WITH {ESTATE}, {SEQ}, ch AS (SELECT k, substr(s, CAST(i AS INT), 1) AS aa FROM seq, unnest(range(1, length(s) + 1)) q(i)), m AS (SELECT k, d, avg(v) AS m, count(*) AS n FROM ch JOIN es USING (aa) GROUP BY 1, 2) "
+       "SELECT a.k AS k1, b.k AS k2, CAST(a.d AS INT) AS d, round(2 * (a.m * a.n + b.m * b.n) / (a.n + b.n) - 2 * a.m - 2 * b.m, 6) AS v FROM m a JOIN m b ON b.k = a.k + 1 AND a.d = b.d")
+def pair_estate(spark, d):
+    seqs = read(spark, d, "part").select(F.col("p_partkey").alias("k"), F.regexp_replace(F.upper("p_name"), f"[^{AA}]", "").alias("s"))
+    m = S.residue_means(seqs, ["k"], "s", S.estate_rows(_properties(spark), "aa")).filter("known")
+    both = m.select(F.col("k").alias("k1"), F.col("mean").alias("m1"), F.col("length").alias("n1")).join(m.select(F.col("k").alias("k2"), F.col("mean").alias("m2"), F.col("length").alias("n2")), F.expr("k2 = k1 + 1"))
+    return both.select("k1", "k2", F.posexplode(S.pair_descriptor(*map(F.col, ("m1", "n1", "m2", "n2")))).alias("d", "v")).select("k1", "k2", "d", _r("v"))
+
+
+# Vectors.
+
+
+@query(BASE + "SELECT domain_id, CAST(i AS INT) AS d, round(avg(CAST(embedding[i] AS DOUBLE)), 5) AS v FROM vecs, unnest(range(1, 65)) q(i) GROUP BY 1, 2")
+def embedding_mean(spark, d):
+    long = vecs(spark, d).select("domain_id", F.posexplode("embedding").alias("d", "v"))
+    return long.groupBy("domain_id", (F.col("d") + 1).alias("d")).agg(F.round(F.avg(F.col("v").cast("double")), 5).alias("v"))
+
+
+@query(BASE + "SELECT vec_id, round(list_avg(list_transform(embedding[9:24], lambda x: CAST(x AS DOUBLE))), 5) + 0.0 AS m FROM vecs")
+def embedding_slice_mean(spark, d):
+    part = F.slice("embedding", 9, 16)
+    return vecs(spark, d).select("vec_id", (F.round(F.aggregate(part, F.lit(0.0), lambda a, x: a + x.cast("double")) / F.size(part), 5) + 0.0).alias("m"))
+
+
+@query(BASE + "SELECT vec_id, len(embedding) AS n FROM vecs WHERE vec_id % 7 <> 3")
+def nan_filter(spark, d):
+    holed = vecs(spark, d).withColumn("embedding", F.expr("CASE WHEN vec_id % 7 = 3 THEN array_append(embedding, float('nan')) ELSE embedding END"))
+    return V.drop_nan_rows(holed, "embedding").select("vec_id", F.size("embedding").cast("long").alias("n"))
+
+
+@query(BASE + "SELECT a.vec_id, len(list_concat(a.embedding, b.embedding)) AS n, round(CAST(list_concat(a.embedding, b.embedding)[100] AS DOUBLE), 5) AS x FROM vecs a JOIN vecs b ON b.vec_id = a.vec_id + 1")
+def vector_concat(spark, d):
+    a = vecs(spark, d).select("vec_id", "embedding")
+    both = a.join(a.select((F.col("vec_id") - 1).alias("vec_id"), F.col("embedding").alias("b")), "vec_id").select("vec_id", V.concat_vectors("embedding", "b").alias("v"))
+    return both.select("vec_id", F.size("v").cast("long").alias("n"), F.round(F.col("v")[99].cast("double"), 5).alias("x"))
+
+
+@query(BASE + "SELECT vec_id, round(1 / (1 + exp(-CAST(embedding[1] AS DOUBLE))), 6) AS p FROM vecs")
+def sigmoid(spark, d):
+    return vecs(spark, d).select("vec_id", F.round(V.sigmoid(F.col("embedding")[0].cast("double")), 6).alias("p"))
+
+
+# Assembly.
+
+ASM = BASE + ", lab AS (SELECT DISTINCT domain_a, domain_b, interaction FROM ddi), two AS (SELECT domain_a, domain_b, interaction AS label FROM lab UNION SELECT domain_b, domain_a, interaction FROM lab), f AS (SELECT domain_id, protein_id, embedding AS vec FROM vecs WHERE vec_id % 3 <> 0) "
+
+
+def _features(spark, d):
+    rows = vecs(spark, d)
+    one = rows.select(F.lit("e1").alias("feature"), "domain_id", "protein_id", F.col("embedding").alias("vec"))
+    two = rows.filter("vec_id % 3 <> 0").select(F.lit("e2").alias("feature"), "domain_id", "protein_id", F.slice("embedding", 1, 8).alias("vec"))
+    return one.unionByName(two)
+
+
+@query(ASM + "SELECT t.domain_a, t.domain_b, a.protein_id AS protein_a, b.protein_id AS protein_b, label, round(CAST(list_concat(list_concat(a.vec, a.vec[1:8]), list_concat(b.vec, b.vec[1:8]))[80] AS DOUBLE), 5) AS x FROM two t JOIN f a ON a.domain_id = t.domain_a JOIN f b ON b.domain_id = t.domain_b WHERE substr(a.protein_id, 2)::INT < 4 AND substr(b.protein_id, 2)::INT < 4")
+def assemble_matrix(spark, d):
+    labelled = ddi(spark, d).select(F.col("domain_a").alias("domain_1"), F.col("domain_b").alias("domain_2"), "interaction")
+    few = _features(spark, d).filter("CAST(substr(protein_id, 2) AS INT) < 4")
+    out = assembly.assemble(labelled, few, ["e1", "e2"])
+    return out.select("domain_a", "domain_b", "protein_a", "protein_b", "label", F.round(F.col("features")[79].cast("double"), 5).alias("x"))
+
+
+@query(BASE + "SELECT DISTINCT domain_id FROM vecs WHERE domain_id IN (SELECT domain_id FROM vecs WHERE vec_id % 3 <> 0)")
+def domains_in_all_features(spark, d):
+    return assembly.domains_in_all(_features(spark, d), ["e1", "e2"])
+
+
+@query(BASE + ", c AS (SELECT count(*) FILTER (WHERE interaction = 1) AS p, count(*) FILTER (WHERE interaction = 0) AS n FROM (SELECT DISTINCT domain_a, domain_b, interaction FROM ddi)) SELECT CAST(least(p, n) AS BIGINT) AS positives, CAST(least(p, n) AS BIGINT) AS negatives FROM c")
+def downsample_counts(spark, d):
+    rows = ddi(spark, d).select("domain_a", "domain_b", "interaction").distinct()
+    return assembly.class_report(assembly.downsample(rows, "interaction", ["domain_a", "domain_b"], 42), "interaction")
+
+
+@query(BASE + "SELECT domain_id, least(count(*), 3) AS n FROM vecs GROUP BY 1")
+def sample_k(spark, d):
+    return assembly.smallest_by_hash(vecs(spark, d), ["domain_id"], ["vec_id"], 3, 42).groupBy("domain_id").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query()
+def oversample(spark, d):
+    rows = ddi(spark, d).select("domain_a", "domain_b", "interaction").distinct()
+    return assembly.class_report(assembly.oversample(rows, "interaction", ["domain_a", "domain_b"], 42), "interaction")
+
+
+# Evaluation.
+
+BY = ["model"]
+CONF = BASE + ", c AS (SELECT model, count(*) AS samples, count(*) FILTER (label = 1 AND score >= 0.98) AS tp, count(*) FILTER (label = 0 AND score < 0.98) AS tn, count(*) FILTER (label = 0 AND score >= 0.98) AS fp, count(*) FILTER (label = 1 AND score < 0.98) AS fn FROM preds GROUP BY 1) "
+
+
+def _flagged(spark, d):
+    return preds(spark, d).withColumn("hit", X.at_least(F.col("score"), 0.98))
+
+
+@query(CONF + """, m AS (SELECT *, (tp + tn)::DOUBLE / nullif(samples, 0) AS accuracy, tp::DOUBLE / nullif(tp + fn, 0) AS recall, tn::DOUBLE / nullif(tn + fp, 0) AS specificity, tp::DOUBLE / nullif(tp + fp, 0) AS precision FROM c)
+SELECT model, samples, tp, tn, fp, fn, round(accuracy, 6) AS accuracy, round(recall, 6) AS recall, round(specificity, 6) AS specificity, round(precision, 6) AS precision, round((recall + specificity) / 2, 6) AS balanced_accuracy,
+round(2 * precision * recall / nullif(precision + recall, 0), 6) AS f1, round(CASE WHEN (tp + fp) * (tp + fn) * (tn + fp) * (tn + fn) = 0 THEN 0.0 ELSE (tp::DOUBLE * tn - fp::DOUBLE * fn) / sqrt((tp + fp)::DOUBLE * (tp + fn) * (tn + fp) * (tn + fn)) END, 6) AS mcc FROM m""")
+def confusion_metrics(spark, d):
+    out = evaluation.metrics(evaluation.confusion(_flagged(spark, d), BY, "label", "hit"))
+    return out.select(*BY, "samples", "tp", "tn", "fp", "fn", *map(_r, ("accuracy", "recall", "specificity", "precision", "balanced_accuracy", "f1", "mcc")))
+
+
+CURVE = BASE + """, s AS (SELECT model, score, count(*) FILTER (label = 1) AS p, count(*) FILTER (label <> 1) AS n FROM preds GROUP BY 1, 2),
+k AS (SELECT model, score, sum(p) OVER w AS tp, sum(n) OVER w AS fp, sum(p) OVER (PARTITION BY model) AS ap, sum(n) OVER (PARTITION BY model) AS an, sum(p) OVER w - p AS tp0, sum(n) OVER w - n AS fp0 FROM s WINDOW w AS (PARTITION BY model ORDER BY score DESC ROWS UNBOUNDED PRECEDING)) """
+
+
+@query(CURVE + "SELECT model, round(sum((fp - fp0) * (tp + tp0)::DOUBLE / 2) / nullif(max(ap)::DOUBLE * max(an), 0), 6) AS roc_auc, round(sum((tp - tp0)::DOUBLE * tp / (tp + fp)) / nullif(max(ap), 0), 6) AS pr_ap, CAST(max(ap) AS BIGINT) AS positives, CAST(max(an) AS BIGINT) AS negatives FROM k GROUP BY 1")
+def roc_auc_average_precision(spark, d):
+    out = evaluation.areas(evaluation.curve_counts(preds(spark, d), BY, "label", "score"), BY)
+    return out.select(*BY, _r("roc_auc"), _r("pr_ap"), "positives", "negatives")
+
+
+@query(CURVE + "SELECT model, round(score, 9) AS score, round(fp::DOUBLE / nullif(an, 0), 6) AS fpr, round(tp::DOUBLE / nullif(ap, 0), 6) AS tpr FROM k")
+def roc_curve(spark, d):
+    out = evaluation.roc_points(evaluation.curve_counts(preds(spark, d), BY, "label", "score"), BY)
+    return out.filter("score < double('inf')").select(*BY, _r("score", 9), _r("fpr"), _r("tpr"))
+
+
+@query(CURVE + "SELECT model, round(score, 9) AS score, round(tp::DOUBLE / nullif(ap, 0), 6) AS recall, round(tp::DOUBLE / (tp + fp), 6) AS precision FROM k")
+def pr_curve(spark, d):
+    out = evaluation.pr_points(evaluation.curve_counts(preds(spark, d), BY, "label", "score"), BY)
+    return out.filter("score < double('inf')").select(*BY, _r("score", 9), _r("recall"), _r("precision"))
+
+
+@query(CURVE + ", z AS (SELECT model, score, row_number() OVER (PARTITION BY model ORDER BY score DESC) - 1 AS i, count(*) OVER (PARTITION BY model) AS n FROM k), g AS (SELECT DISTINCT model, (q.k * (n - 1)) // 19 AS i FROM (SELECT DISTINCT model, n FROM z) t, range(20) q(k) WHERE n > 20 UNION SELECT model, i FROM z WHERE n <= 20) SELECT model, CAST(z.i AS INT) AS place, round(score, 9) AS score FROM z JOIN g USING (model, i)")
+def curve_decimate(spark, d):
+    counts = evaluation.curve_counts(preds(spark, d), BY, "label", "score").select(*BY, "score")
+    return evaluation.decimated(counts, BY, 20).select(*BY, "place", _r("score", 9))
+
+
+@query(CURVE + """, t AS (SELECT model, unnest(list_distinct(quantile_cont(score, [x / 21.0 FOR x IN range(1, 21)]))) AS threshold FROM preds GROUP BY 1),
+c AS (SELECT t.model, threshold, sum(CASE WHEN score >= threshold THEN p ELSE 0 END)::DOUBLE AS tp, sum(CASE WHEN score < threshold THEN n ELSE 0 END)::DOUBLE AS tn, sum(CASE WHEN score >= threshold THEN n ELSE 0 END)::DOUBLE AS fp, sum(CASE WHEN score < threshold THEN p ELSE 0 END)::DOUBLE AS fn FROM t JOIN s ON s.model = t.model GROUP BY 1, 2),
+m AS (SELECT *, CASE WHEN (tp + fp) * (tp + fn) * (tn + fp) * (tn + fn) = 0 THEN 0.0 ELSE (tp * tn - fp * fn) / sqrt((tp + fp) * (tp + fn) * (tn + fp) * (tn + fn)) END AS mcc FROM c)
+SELECT model, round(threshold, 6) AS threshold, round(mcc, 6) AS mcc FROM m QUALIFY row_number() OVER (PARTITION BY model ORDER BY round(mcc, 12) DESC, threshold) = 1""")
+def mcc_threshold(spark, d):
+    return evaluation.threshold_by_mcc(preds(spark, d), BY, "label", "score", 20).select(*BY, _r("threshold"), _r("mcc"))
+
+
+@query(BASE + "SELECT model, db, label, round(avg(score), 6) AS score, CAST(count(*) AS BIGINT) AS rows FROM preds GROUP BY 1, 2, 3")
+def pair_aggregate(spark, d):
+    return evaluation.aggregate_pairs(preds(spark, d).withColumn("y", F.col("label")), ["model", "db", "y"], "label", "score").select("model", "db", "label", _r("score"), "rows")
+
+
+@query(BASE + "SELECT label, CAST(score >= 0.98 AS TINYINT) AS hit, CAST(count(*) AS BIGINT) AS n, CAST(grouping(label) AS TINYINT) AS all_actual, CAST(grouping(CAST(score >= 0.98 AS TINYINT)) AS TINYINT) AS all_predicted FROM preds GROUP BY CUBE (label, CAST(score >= 0.98 AS TINYINT))")
+def crosstab_margins(spark, d):
+    return evaluation.crosstab_margins(_flagged(spark, d), "label", "hit")
+
+
+@query(BASE + "SELECT model, round(min(score), 6) AS min, round(max(score), 6) AS max, round(avg(score), 6) AS mean, round(quantile_cont(score, 0.5), 6) AS median, round(stddev_pop(score), 6) AS std FROM preds GROUP BY 1")
+def score_summary(spark, d):
+    return evaluation.summary(preds(spark, d), BY, "score").select(*BY, *map(_r, ("min", "max", "mean", "median", "std")))
+
+
+@query(BASE + "SELECT round(avg(CAST((label = 1) = (score >= 0.98) AS INT)), 6) AS accuracy, round(count(*) FILTER (score >= 0.98 AND label = 0)::DOUBLE / count(*), 6) AS fp_rate FROM preds")
+def accuracy_and_fp_rate(spark, d):
+    rows = _flagged(spark, d)
+    return rows.agg(F.round(F.avg((F.col("label") == F.col("hit")).cast("int")), 6).alias("accuracy")).crossJoin(graph.fp_rate(rows, "label", "hit").select(_r("fp_rate")))
+
+
+@query()
+def bootstrap_ci(spark, d):
+    return evaluation.bootstrap(preds(spark, d), BY, "label", "score", resamples=200).select(*BY, "point", "lo", "hi")
+
+
+SAMPLES = BASE + ", v AS (SELECT label AS model, list(x ORDER BY vec_id) AS s FROM (SELECT vec_id, label, round(CAST(embedding[1] AS DOUBLE), 4) AS x FROM vecs) GROUP BY 1) "
+
+
+@query(SAMPLES + ", q AS (SELECT a.model AS model_a, b.model AS model_b, unnest(list_transform(range(1, least(len(a.s), len(b.s)) + 1), lambda i: a.s[i] - b.s[i])) AS d FROM v a JOIN v b ON a.model <> b.model) SELECT model_a, model_b, round(least(1.0, 2 * least(avg(CAST(d <= 0 AS INT)), avg(CAST(d >= 0 AS INT)))), 6) AS p FROM q GROUP BY 1, 2")
+def pairwise_significance(spark, d):
+    rows = vecs(spark, d).select("label", F.struct("vec_id", F.round(F.col("embedding")[0].cast("double"), 4).alias("x")).alias("e"))
+    samples = rows.groupBy(F.col("label").alias("model")).agg(F.transform(F.array_sort(F.collect_list("e")), lambda e: e.x).alias("samples"))
+    return evaluation.pairwise_significance(samples).select("model_a", "model_b", _r("p"))
+
+
+# Graph.
+
+
+@query(BASE + ", e AS (SELECT protein_a AS node FROM ppi UNION ALL SELECT protein_b FROM ppi) SELECT node, CAST(count(*) AS BIGINT) AS degree FROM e GROUP BY 1")
+def degree_dist(spark, d):
+    return graph.degrees(ppi(spark, d).select("protein_a", "protein_b"))
+
+
+@query(BASE + "SELECT CAST(count(*) AS BIGINT) AS num_edges, CAST((SELECT count(*) FROM (SELECT protein_a FROM ppi UNION SELECT protein_b FROM ppi)) AS BIGINT) AS num_nodes FROM ppi")
+def network_counts(spark, d):
+    return graph.network_counts(ppi(spark, d).select("protein_a", "protein_b")).select("num_edges", "num_nodes")
+
+
+@query(BASE + ", g AS (SELECT protein_a AS node FROM ppi UNION ALL SELECT protein_b FROM ppi), k AS (SELECT node, count(*) AS n FROM g GROUP BY 1) SELECT protein_a, protein_b, score, CAST(x.n + y.n AS BIGINT) AS degree FROM ppi JOIN k x ON x.node = protein_a JOIN k y ON y.node = protein_b")
+def ppi_degree_keys(spark, d):
+    return graph.ppi_degree_keys(ppi(spark, d))
+
+
+@query(BASE + ", h AS (SELECT protein_a AS a, protein_b AS b FROM ppi WHERE score > 4), g AS (SELECT a AS node FROM h UNION ALL SELECT b FROM h), k AS (SELECT node, count(*) AS n FROM g GROUP BY 1), s AS (SELECT a, b FROM h UNION SELECT b, a FROM h), t AS (SELECT x.a AS node, count(*) / 2 AS t FROM s x JOIN s y ON x.a = y.a AND x.b <> y.b JOIN s z ON z.a = x.b AND z.b = y.b GROUP BY 1) SELECT node, round(CASE WHEN n > 1 THEN 2 * coalesce(t, 0) / (n * (n - 1)) ELSE 0 END, 6) AS clustering FROM k LEFT JOIN t USING (node)")
+def clustering(spark, d):
+    return graph.clustering(ppi(spark, d).filter("score > 4").select("protein_a", "protein_b")).select("node", _r("clustering"))
+
+
+DIST = BASE + """, b AS (SELECT parent AS x, child AS y FROM onto UNION SELECT child, parent FROM onto), s AS (SELECT DISTINCT go FROM go WHERE go LIKE 'N%'),
+h1 AS (SELECT go AS source, y AS node, 1 AS dist FROM s JOIN b ON x = go), h2 AS (SELECT source, y AS node, 2 AS dist FROM h1 JOIN b ON x = node), h3 AS (SELECT source, y AS node, 3 AS dist FROM h2 JOIN b ON x = node),
+dd AS (SELECT source, node, min(dist) AS dist FROM (SELECT go AS source, go AS node, 0 AS dist FROM s UNION ALL SELECT * FROM h1 UNION ALL SELECT * FROM h2 UNION ALL SELECT * FROM h3) GROUP BY 1, 2) """
+
+
+@query(DIST + "SELECT source, node, dist FROM dd")
+def bounded_bfs(spark, d):
+    return graph.bounded_distances(ontology(spark, d), go(spark, d).filter("go LIKE 'N%'").select("go"), 3)
+
+
+CLOSE = DIST + ", cl AS (SELECT a.uniprot_id AS p_i, b.uniprot_id AS p_j, min(dist) AS dist FROM go a JOIN dd ON source = a.go JOIN go b ON b.go = node WHERE a.go LIKE 'N%' AND b.go LIKE 'N%' AND a.uniprot_id < b.uniprot_id GROUP BY 1, 2) "
+
+
+def _close(spark, d, most):
+    terms = go(spark, d).filter("go LIKE 'N%'")
+    return graph.protein_distances(terms, graph.bounded_distances(ontology(spark, d), terms.select("go"), most))
+
+
+@query(CLOSE + "SELECT * FROM cl")
+def protein_distance(spark, d):
+    return _close(spark, d, 3)
+
+
+@query(BASE + ", l AS (SELECT uniprot_id, g.go, CASE WHEN level IS NULL THEN 99 ELSE level END AS l FROM go g LEFT JOIN (SELECT child, min(level) AS level FROM onto GROUP BY 1) o ON o.child = g.go) SELECT DISTINCT uniprot_id, go FROM l QUALIFY rank() OVER (PARTITION BY uniprot_id ORDER BY l DESC) = 1")
+def most_specific_term(spark, d):
+    return graph.most_specific_terms(go(spark, d), graph.term_levels(ontology(spark, d)))
+
+
+@query(BASE + "SELECT child AS go, min(level) AS level, max(depth) AS depth FROM onto GROUP BY 1")
+def term_levels(spark, d):
+    return graph.term_levels(ontology(spark, d))
+
+
+@query(CLOSE + ", nr AS (SELECT p_i, p_j FROM cl WHERE dist = 0 UNION SELECT p_j, p_i FROM cl WHERE dist = 0), k AS (SELECT least(protein_a, protein_b) AS a, greatest(protein_a, protein_b) AS b FROM ppi WHERE score > 5), t AS (SELECT a, b, a AS x, b AS y FROM k UNION SELECT a, b, b, a FROM k) SELECT DISTINCT t.a AS protein_a, t.b AS protein_b, k.a AS c, k.b AS d FROM t JOIN nr n1 ON n1.p_i = t.x JOIN k ON k.a = n1.p_j JOIN nr n2 ON n2.p_i = t.y AND n2.p_j = k.b WHERE (t.a, t.b) < (k.a, k.b)")
+def ppi_similarity(spark, d):
+    return graph.similar_ppi(ppi(spark, d).filter("score > 5"), _close(spark, d, 0).filter("dist = 0"))
+
+
+@query("WITH RECURSIVE e AS (SELECT DISTINCT c_custkey % 400 AS a, c_custkey % 400 * 3 % 401 AS b FROM customer WHERE c_custkey % 4 = 0), s AS (SELECT a, b FROM e UNION SELECT b, a FROM e), r AS (SELECT a AS node, a AS other FROM s UNION SELECT r.node, s.b FROM r JOIN s ON s.a = r.other) SELECT node, min(other) AS component FROM r GROUP BY 1")
+def components(spark, d):
+    rows = read(spark, d, "customer").filter("c_custkey % 4 = 0")
+    return graph.connected_components(rows.selectExpr("c_custkey % 400 AS a", "c_custkey % 400 * 3 % 401 AS b").distinct())
+
+
+CHI = BASE + """, g AS (SELECT 'G' || s_nationkey AS group_name, protein_a, protein_b FROM ppi JOIN supplier ON 'P' || s_suppkey = protein_a WHERE score > 6),
+sh AS (SELECT DISTINCT protein_a, protein_b, group_name, least(x.pfam_id, y.pfam_id) AS d1, greatest(x.pfam_id, y.pfam_id) AS d2 FROM g JOIN pd x ON x.uniprot_id = protein_a JOIN pd y ON y.uniprot_id = protein_b),
+a AS (SELECT group_name, d1, d2, count(*) AS a FROM sh GROUP BY 1, 2, 3), t AS (SELECT d1, d2, count(DISTINCT (protein_a, protein_b)) AS t FROM sh GROUP BY 1, 2), n AS (SELECT group_name, count(*) AS n FROM g GROUP BY 1), z AS (SELECT count(*) AS z FROM g),
+q AS (SELECT group_name, d1, d2, a::DOUBLE AS a, (t - a)::DOUBLE AS b, (n - a)::DOUBLE AS c, (z - n - (t - a))::DOUBLE AS d FROM a JOIN t USING (d1, d2) JOIN n USING (group_name), z),
+x AS (SELECT group_name, d1, d2, CAST(a AS BIGINT) AS a, CASE WHEN (a + c) * (b + d) * (a + b) * (c + d) = 0 THEN 0.0 ELSE (a + b + c + d) * (a * d - c * b) ** 2 / ((a + c) * (b + d) * (a + b) * (c + d)) END AS chi2 FROM q) """
+
+
+def _chi2(spark, d):
+    groups = ppi(spark, d).filter("score > 6").join(read(spark, d, "supplier").select(_suffix("G", "s_nationkey").alias("group_name"), _suffix("P", "s_suppkey").alias("protein_a")), "protein_a")
+    return graph.group_chi_square(groups.select("group_name", "protein_a", "protein_b"), pd_map(spark, d))
+
+
+@query(CHI.replace("g AS (SELECT 'G' || s_nationkey AS group_name, protein_a, protein_b", "g AS (SELECT 'G' || s_nationkey AS group_name, least(protein_a, protein_b) AS protein_a, greatest(protein_a, protein_b) AS protein_b") + "SELECT group_name, d1, d2, a, round(chi2, 6) AS chi2 FROM x")
+def chi2_groups(spark, d):
+    return _chi2(spark, d).select("group_name", "d1", "d2", "a", _r("chi2"))
+
+
+@query(CHI + ", m AS (SELECT group_name, quantile_cont(chi2, 0.9) AS lim FROM x GROUP BY 1) SELECT group_name, CAST(count(*) AS BIGINT) AS n FROM x JOIN m USING (group_name) WHERE chi2 >= lim GROUP BY 1")
+def chi2_select(spark, d):
+    return graph.select_by_quantile(_chi2(spark, d), 0.9).groupBy("group_name").agg(F.count(F.lit(1)).alias("n"))
+
+
+TERM = BASE + ", k AS (SELECT protein_a, protein_b FROM ppi WHERE score > 6), s AS (SELECT protein_a AS a, protein_b AS b FROM k UNION SELECT protein_b, protein_a FROM k), x AS (SELECT DISTINCT go, pfam_id FROM go JOIN pd USING (uniprot_id)), y AS (SELECT DISTINCT go, pfam_id FROM go JOIN s ON a = go.uniprot_id JOIN pd ON pd.uniprot_id = b) "
+
+
+def _terms(spark, d):
+    return graph.term_domains(go(spark, d), pd_map(spark, d), ppi(spark, d).filter("score > 6"))
+
+
+@query(TERM + "SELECT go, string_agg(DISTINCT x.pfam_id, ',' ORDER BY x.pfam_id) AS d1, string_agg(DISTINCT y.pfam_id, ',' ORDER BY y.pfam_id) AS d2 FROM x JOIN y USING (go) GROUP BY 1")
+def term_domains(spark, d):
+    return _terms(spark, d).select("go", F.array_join("d1", ",").alias("d1"), F.array_join("d2", ",").alias("d2"))
+
+
+SUBG = TERM + ", e AS (SELECT DISTINCT domain_a AS a, domain_b AS b FROM ddi WHERE interaction = 1), b AS (SELECT a, b FROM e UNION SELECT b, a FROM e), sg AS (SELECT x.go, b.a, b.b FROM x JOIN b ON b.a = x.pfam_id JOIN y ON y.go = x.go AND y.pfam_id = b.b) "
+
+
+def _subgraphs(spark, d):
+    return graph.term_subgraphs(_terms(spark, d), ddi(spark, d).filter("interaction = 1").select("domain_a", "domain_b").distinct())
+
+
+@query(SUBG + "SELECT go, a, b FROM sg")
+def term_subgraphs(spark, d):
+    return _subgraphs(spark, d)
+
+
+@query()
+def bicluster(spark, d):
+    return graph.bicluster_pairs(graph.guarded(_subgraphs(spark, d)), 0.5)
+
+
+@query(SUBG + ", p AS (SELECT DISTINCT a, b FROM sg), h AS (SELECT count(*) AS n, count(*) FILTER (EXISTS (SELECT 1 FROM e WHERE e.a = p.a AND e.b = p.b)) AS k FROM p), q AS (SELECT count(*) AS known FROM e) SELECT CAST(n AS BIGINT) AS n, CAST(k AS BIGINT) AS k, CAST(known AS BIGINT) AS known, round(coalesce((k::DOUBLE / nullif(n, 0)) / (known / (97.0 * 97.0)), 0), 6) AS fold, round((n - k)::DOUBLE / nullif(n, 0), 6) AS fp_rate FROM h, q")
+def fold_enrichment(spark, d):
+    known = ddi(spark, d).filter("interaction = 1").select("domain_a", "domain_b")
+    return graph.fold_enrichment(_subgraphs(spark, d).select("a", "b"), known, 97).select("n", "k", "known", _r("fold"), _r("fp_rate"))
+
+
+@query(EXPAND + ", w AS (SELECT d1 AS domain_a, d2 AS domain_b, count(*) AS w FROM ex GROUP BY 1, 2) SELECT domain_a, domain_b, round(least((w % 10) / 10.0, (1 - 0.5) ** w), 6) AS pw FROM w")
+def pw_score(spark, d):
+    w = _expanded(spark, d).groupBy(F.col("d1").alias("domain_a"), F.col("d2").alias("domain_b")).agg(F.count(F.lit(1)).alias("w"))
+    return w.select("domain_a", "domain_b", F.round(X.pw_score((F.col("w") % 10) / 10.0, 0.5, F.col("w")), 6).alias("pw"))
+
+
+@query(BASE + "SELECT label AS pair_id, round(avg(CAST(embedding[1] >= 0.1::FLOAT AS INT)), 6) AS p FROM vecs GROUP BY 1")
+def empirical_pvalue(spark, d):
+    from ..operators.nullmodels import empirical_p
+
+    rows = vecs(spark, d).select(F.col("label").alias("pair_id"), F.col("embedding")[0].alias("x"))
+    observed = rows.select("pair_id").distinct().withColumn("x", F.lit(0.1).cast("float"))
+    return empirical_p(rows, observed).select("pair_id", _r("p"))
+
+
+@query(BASE + ", c AS (SELECT model, unnest([0.9, 0.95, 0.98, 0.99]) AS cutoff, label, score FROM preds), m AS (SELECT model, cutoff, avg(CAST(CAST(1 - score <= 1 - cutoff AS INT) = label AS INT)) AS accuracy, avg(CAST(1 - score <= 1 - cutoff AND label = 0 AS INT)) AS fp_rate FROM (SELECT model, CAST(1 - cutoff AS DOUBLE) AS x, cutoff::DOUBLE AS cutoff, label, score FROM c) GROUP BY 1, 2) SELECT model, round(1 - cutoff, 6) AS cutoff, round(accuracy, 6) AS accuracy, round(fp_rate, 6) AS fp_rate FROM m QUALIFY row_number() OVER (PARTITION BY model ORDER BY accuracy DESC, fp_rate, cutoff DESC) = 1")
+def best_cutoff(spark, d):
+    from ..operators.graph_models import best_cutoff as best
+
+    rows = preds(spark, d).select("model", F.col("label").alias("interaction"), (1 - F.col("score")).alias("pw"))
+    return best(rows, [1 - x for x in (0.9, 0.95, 0.98, 0.99)], ["model"]).select("model", _r("cutoff"), _r("accuracy"), _r("fp_rate"))
+
+
+# Reports and the catalogue.
+
+
+@query(BASE + ", s AS (SELECT DISTINCT db FROM preds) SELECT db, split, feature FROM s, (VALUES ('train'), ('test')) a(split), (VALUES ('aacomp'), ('dummy')) b(feature)")
+def task_catalog(spark, d):
+    sheet = preds(spark, d).select(F.col("db").alias("id"), F.col("db").alias("db_path")).distinct()
+    return catalog.tasks(spark, sheet, ["train", "test"], ["aacomp", "dummy"], ["rf"])[0].select("db", "split", "feature")
+
+
+@query(BASE + ", s AS (SELECT DISTINCT db FROM preds) SELECT db, model, combo_id FROM s, (VALUES ('aacomp'), ('dummy'), ('aacomp+dummy')) a(combo_id), (VALUES ('rf'), ('nn')) b(model)")
+def feature_combos(spark, d):
+    sheet = preds(spark, d).select(F.col("db").alias("id"), F.col("db").alias("db_path")).distinct()
+    return catalog.tasks(spark, sheet, ["train"], catalog.option_list("aacomp, none,dummy,esm", "esm"), ["rf", "nn"])[1].select("db", "model", "combo_id")
+
+
+@query(BASE + "SELECT db, string_agg(DISTINCT model, ',' ORDER BY model) AS models FROM preds GROUP BY 1")
+def group_tuple(spark, d):
+    return catalog.grouped(preds(spark, d).select("db", "model").distinct(), ["db"], ["model"]).select("db", F.array_join("model", ",").alias("models"))
+
+
+@query(BASE + ", o AS (SELECT model, avg(score) AS v FROM preds WHERE model <> 'en' GROUP BY 1), n AS (SELECT model, max(score) AS v FROM preds WHERE model <> 'fr' GROUP BY 1) SELECT model, round(coalesce(n.v, o.v), 6) AS v FROM o FULL JOIN n USING (model)")
+def merge_old_new(spark, d):
+    p = preds(spark, d)
+    old = p.filter("model <> 'en'").groupBy("model").agg(F.avg("score").alias("v"))
+    return report.merged(old, p.filter("model <> 'fr'").groupBy("model").agg(F.max("score").alias("v")), ["model"], ["v"]).select("model", _r("v"))
+
+
+@query(BASE + ", a AS (SELECT db, avg(score) AS en FROM preds WHERE model = 'en' GROUP BY 1), b AS (SELECT db, avg(score) AS de FROM preds WHERE model = 'de' GROUP BY 1) SELECT db, round(en, 6) AS en, round(de, 6) AS de FROM a LEFT JOIN b USING (db)")
+def wide_scores_left(spark, d):
+    p = preds(spark, d)
+    anchor = p.filter("model = 'en'").groupBy("db").agg(F.avg("score").alias("en"))
+    return anchor.join(p.filter("model = 'de'").groupBy("db").agg(F.avg("score").alias("de")), "db", "left").select("db", _r("en"), _r("de"))
+
+
+@query(CURVE + ", r AS (SELECT model, sum((fp - fp0) * (tp + tp0)::DOUBLE / 2) / nullif(max(ap)::DOUBLE * max(an), 0) AS auc, sum((tp - tp0)::DOUBLE * tp / (tp + fp)) / nullif(max(ap), 0) AS ap FROM k GROUP BY 1) SELECT model, printf('[%.3f, %.3f]', auc, ap) AS ci FROM r WHERE auc IS NOT NULL AND ap IS NOT NULL")
+def report_auc_table(spark, d):
+    a = evaluation.areas(evaluation.curve_counts(preds(spark, d), BY, "label", "score"), BY).filter("roc_auc IS NOT NULL AND pr_ap IS NOT NULL")
+    ci = a.select("model", F.col("roc_auc").alias("roc_lo"), F.col("pr_ap").alias("roc_hi"), F.col("roc_auc").alias("pr_lo"), F.col("pr_ap").alias("pr_hi"))
+    return report.auc_table(a, ci).select("model", F.col("roc_auc_ci").alias("ci"))
+
+
+@query(BASE + "SELECT model, round(avg(score) FILTER (db = 'src0'), 6) AS src0, round(avg(score) FILTER (db = 'src1'), 6) AS src1 FROM preds WHERE db IN ('src0', 'src1') GROUP BY 1")
+def report_heatmap_pivot(spark, d):
+    values = preds(spark, d).filter("db IN ('src0', 'src1')").select("model", "db", F.col("score").alias("value"))
+    return report.heatmap(values, ["src0", "src1"]).select("model", _r("src0"), _r("src1"))
+
+
+@query(CURVE + "SELECT model, CAST(count(*) AS BIGINT) AS points, round(max(tp::DOUBLE / nullif(ap, 0)), 6) AS top FROM k WHERE ap > 0 AND an > 0 GROUP BY 1")
+def report_curves_by_model(spark, d):
+    pts = evaluation.roc_points(evaluation.curve_counts(preds(spark, d), BY, "label", "score"), BY).filter("score < double('inf') AND fpr IS NOT NULL AND tpr IS NOT NULL")
+    out = report.curves_by(pts, BY, "fpr", "tpr", [-F.col("score")])
+    return out.select("model", F.size("points").cast("long").alias("points"), F.round(F.element_at("points", -1)["y"], 6).alias("top"))
+
+
+@query(BASE + ", n AS (SELECT count(*) AS e, (SELECT count(*) FROM (SELECT protein_a FROM ppi UNION SELECT protein_b FROM ppi)) AS v FROM ppi) SELECT 'TEST - PPI' AS name, CAST(v AS BIGINT) AS num_nodes, CAST(e AS BIGINT) AS num_edges, CAST(e AS BIGINT) AS total_interactions, CAST(e AS BIGINT) AS num_positive_interactions, CAST(0 AS BIGINT) AS num_negative_interactions FROM n")
+def db_analysis_table(spark, d):
+    rows = ppi(spark, d).select("protein_a", "protein_b", F.lit("test").alias("split"), F.lit("ppi").alias("kind"))
+    networks = graph.network_counts(rows.select("split", "kind", "protein_a", "protein_b"), ["split", "kind"])
+    return report.db_analysis(networks, graph.interaction_counts(rows, ["split", "kind"], None))
+
+
+@query()
+def rewire_null(spark, d):
+    import numpy as np
+
+    from ..operators.nullmodels import rewire
+
+    edges = np.array([(int(r[0][1:]), int(r[1][1:])) for r in ppi(spark, d).filter("score > 6").select("protein_a", "protein_b").orderBy("protein_a", "protein_b").limit(20_000).collect()]).reshape(-1, 2)
+
+    def run(batches):
+        import pandas as pd
+
+        for batch in batches:
+            for k in batch.id:
+                new = rewire(edges, int(k))
+                yield pd.DataFrame({"iter": int(k), "a": new[:, 0], "b": new[:, 1]})
+
+    return spark.range(8).repartition(8, "id").mapInPandas(run, "iter long, a long, b long")
+
+
+@query()
+def set_cover_lp(spark, d):
+    from ..operators.nullmodels import observed_cover
+
+    known = ddi(spark, d).select("domain_a", "domain_b").distinct().orderBy("domain_a", "domain_b").limit(150).coalesce(1).withColumn("pair_id", F.monotonically_increasing_id())
+    return observed_cover(ppi(spark, d).filter("score > 7"), pd_map(spark, d), known, [0.5, 1.0], runs=3)
+
+
+@query()
+def permute_terms(spark, d):
+    return graph.permuted(go(spark, d), "uniprot_id", "go", 42)
+
+
+@query()
+def rf_predict(spark, d):
+    from ..operators.models import RandomForest
+
+    rows = vecs(spark, d).select((F.col("label") % 2).cast("int").alias("label"), F.col("embedding").alias("features"))
+    model = RandomForest()
+    return model.scored(model.fit(rows, {"n_estimators": 10, "max_depth": 5}, 42), rows).select("label", F.col("score"))
+
+
+@query()
+def mlp_predict(spark, d):
+    from ..operators.models import NeuralNetwork
+
+    rows = vecs(spark, d).select((F.col("label") % 2).cast("int").alias("label"), F.col("embedding").alias("features"))
+    model = NeuralNetwork(max_rows=5_000)
+    return model.scored(model.fit(rows, {"epochs": 5, "hidden": [16]}, 42), rows).select("label", "score")
+
+
+FLAGSHIP = CURVE + """, r AS (SELECT model, sum((fp - fp0) * (tp + tp0)::DOUBLE / 2) / nullif(max(ap)::DOUBLE * max(an), 0) AS auc, sum((tp - tp0)::DOUBLE * tp / (tp + fp)) / nullif(max(ap), 0) AS ap FROM k GROUP BY 1),
+c AS (SELECT model, count(*) AS samples, avg(CAST((label = 1) = (score >= 0.98) AS INT)) AS accuracy FROM preds GROUP BY 1) SELECT model, CAST(samples AS BIGINT) AS samples, round(accuracy, 6) AS accuracy, round(auc, 6) AS roc_auc, round(ap, 6) AS pr_ap FROM c JOIN r USING (model)"""
 
 
-def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read(spark, sf_dir, "documents").select("doc_id", "lang", "n_chars")
-    labels = read(spark, sf_dir, "labels").select("doc_id", "quality")
-    return docs.join(labels, "doc_id").groupBy("lang").agg(F.count("*").alias("n"), F.avg("quality").alias("quality"))
+@query(FLAGSHIP)
+def flagship(spark: SparkSession, d: str) -> DataFrame:
+    """Metrics and areas of every predictor in one plan."""
+    rows = preds(spark, d).withColumn("hit", X.at_least(F.col("score"), 0.98))
+    out = evaluation.evaluate(rows, BY, "label", "score", "hit")
+    return out.select(*BY, "samples", _r("accuracy"), _r("roc_auc"), _r("pr_ap"))
