@@ -27,7 +27,7 @@ their names.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .runtime import Scratch
@@ -71,52 +71,55 @@ def removed_lines(docs: DataFrame, scratch: Scratch, min_words: int = 6, id_col:
     firsts = occurrences.join(distinct.select("h", "g", F.col("first.doc").alias("doc"), F.col("first.t").alias("t"), F.col("first.no").alias("no")), ["h", "g", "doc", "t", "no"], "left_semi").filter("keys IS NOT NULL")
     halves = firsts.select("h", "g", "doc", "t", "no", F.explode("keys").alias("key"))
     shared = halves.groupBy("key").agg(F.min(F.struct("h", "g")).alias("a"), F.max(F.struct("h", "g")).alias("b")).filter("a != b").select("key")
-    near = scratch.table(halves.join(shared, "key", "left_semi").select("h", "g", "doc", "t", "no").distinct(), "near")
+    near = halves.join(shared, "key", "left_semi").select("h", "g", "doc", "t", "no").distinct()
+    # Numbers that ascend with the place: ranges in order, and rows in order inside them.
+    near = near.repartitionByRange("doc", "t", "no").sortWithinPartitions("doc", "t", "no").withColumn("id", F.monotonically_increasing_id())
+    near = scratch.table(near, "near")
 
     # Their words are read again; a map of fixed size, sent to every task, spares most other lines the join.
     bit = F.pmod("h", F.lit(MAP_BUCKETS * MAP_BITS)).cast("int")
-    maps = scratch.table(near.groupBy((bit / MAP_BITS).cast("int").alias("m")).agg(F.bitmap_construct_agg(F.pmod(bit, F.lit(MAP_BITS)).cast("long")).alias("bits")), "maps")
-    here = F.pmod(bit, F.lit(MAP_BITS)).cast("int")
-    byte = F.conv(F.hex(F.substring(F.col("bits"), (here / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    maybe = lines.join(F.broadcast(maps), (bit / MAP_BITS).cast("int") == F.col("m")).filter(F.getbit(byte.cast("long"), F.pmod(here, F.lit(8))) == 1)
-    worded = maybe.filter(f"n >= {min_words - 1}").select("doc", "t", "no", "words", "n", "h", "g").join(near, ["h", "g", "doc", "t", "no"], "left_semi").dropDuplicates(["h", "g"])
-    worded = scratch.table(worded, "worded")
-
-    me = F.struct("doc", "t", "no", "h", "g").alias("me")
-    whole = worded.select(me, F.array(F.struct(F.expr("xxhash64('d', n, words)").alias("key"), F.lit(0).alias("kind"))).alias("v"))
-    parts = worded.filter(f"n >= {min_words}").select(
-        me,
-        F.expr(
-            "transform(sequence(1, n), i -> xxhash64(slice(words, 1, i - 1), slice(words, i + 1, n - i)))"
-        ).alias("rest"),
-        F.expr("transform(sequence(1, n), i -> xxhash64('d', n - 1, concat(slice(words, 1, i - 1), slice(words, i + 1, n - i))))").alias("less"),
-        "n",
+    here = F.pmod(bit, F.lit(MAP_BITS))
+    maps = scratch.table(near.groupBy(F.shiftright(bit, MAP_BITS.bit_length() - 1).alias("m")).agg(F.bitmap_construct_agg(here.cast("long")).alias("bits")), "maps")
+    byte = F.conv(F.hex(F.substring(F.col("bits"), F.shiftright(here, 3) + 1, F.lit(1))), 16, 10).cast("int")
+    maybe = lines.filter(f"n >= {min_words - 1}").join(F.broadcast(maps), F.shiftright(bit, MAP_BITS.bit_length() - 1) == F.col("m")).filter(F.getbit(byte.cast("long"), F.pmod(here, F.lit(8))) == 1)
+    found = maybe.select("doc", "t", "no", "words", "n", "h", "g").join(near, ["h", "g", "doc", "t", "no"]).dropDuplicates(["h", "g", "doc", "t", "no"])
+    worded = scratch.table(found.select("id", "n", "words"), "worded")
+
+    # A line's hash is the exclusive or of its words' hashes by position, so that without word i, and
+    # with the words behind it moved up, takes running ors before and after i: one pass over the words.
+    spots = worded.select("id", "n", F.posexplode("words").alias("i", "w")).select("id", "n", "i", F.xxhash64("w", "i").alias("z"), F.xxhash64("w", F.col("i") - 1).alias("y"))
+    line, upto = Window.partitionBy("id"), Window.partitionBy("id").orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
+    runs = spots.select("id", "n", "i", "z", F.bit_xor("z").over(line).alias("x"), F.bit_xor("y").over(line).alias("ys"), F.bit_xor("z").over(upto).alias("zi"), F.bit_xor("y").over(upto).alias("yi"))
+    keys = runs.selectExpr(
+        "id",
+        f"""filter(array(
+            CASE WHEN i = 0 THEN struct(xxhash64('d', n, x) AS key, 0 AS kind) END,
+            CASE WHEN n >= {min_words} THEN struct(xxhash64('s', n, i, x ^ z) AS key, 1 AS kind) END,
+            CASE WHEN n >= {min_words} THEN struct(xxhash64('d', n - 1, zi ^ z ^ ys ^ yi) AS key, 2 AS kind) END), v -> v IS NOT NULL) AS v""",
     )
-    swaps = parts.select("me", F.expr("transform(rest, (r, i) -> struct(xxhash64('s', n, i, r) AS key, 1 AS kind))").alias("v"))
-    cuts = parts.select("me", F.expr("transform(array_distinct(less), r -> struct(r AS key, 2 AS kind))").alias("v"))
-    variants = whole.unionByName(swaps).unionByName(cuts).select("me", F.explode("v").alias("v")).select("me", "v.key", "v.kind")
+    variants = scratch.table(keys.select("id", F.explode("v").alias("v")).select("id", "v.key", "v.kind"), "variants")
 
     # The earliest whole line and the earliest shortened one of each key are its star's centres.
     centres = variants.groupBy("key").agg(
-        F.min(F.when(F.col("kind") == 0, F.col("me"))).alias("whole"), F.min(F.when(F.col("kind") != 0, F.col("me"))).alias("other"), F.count(F.lit(1)).alias("size")
-    ).filter("size > 1").drop("size")
+        F.min(F.when(F.col("kind") == 0, F.col("id"))).alias("whole"), F.min(F.when(F.col("kind") != 0, F.col("id"))).alias("other"), F.max("id").alias("last"), F.min("id").alias("first")
+    ).filter("first != last").select("key", "whole", "other")
     centre = F.when(F.col("kind") == 2, F.col("whole")).otherwise(F.col("other"))
-    links = variants.join(centres, "key").select("me", centre.alias("to")).filter("to IS NOT NULL AND to < me").distinct()
+    links = scratch.table(variants.join(centres, "key").select("id", centre.alias("to")).filter("to IS NOT NULL AND to < id").distinct(), "links")
 
-    small = worded.select(F.struct("h", "g").alias("id"), "words")
-    pairs = links.join(small.withColumnRenamed("words", "a"), F.struct("me.h", "me.g") == F.col("id")).drop("id").join(small.withColumnRenamed("words", "b"), F.struct("to.h", "to.g") == F.col("id")).drop("id")
+    pairs = links.join(worded.select("id", F.col("words").alias("a")), "id").join(worded.select(F.col("id").alias("to"), F.col("words").alias("b")), "to")
     # Within one edit: what the two share at their start and end covers all but one word of the longer.
     front = "coalesce(array_position(zip_with(a, b, (x, y) -> coalesce(x = y, false)), false) - 1, -1)"
     back = "coalesce(array_position(zip_with(reverse(a), reverse(b), (x, y) -> coalesce(x = y, false)), false) - 1, -1)"
     most = "greatest(size(a), size(b))"
     pairs = pairs.withColumn("f", F.expr(f"CASE WHEN {front} < 0 THEN size(a) ELSE {front} END")).withColumn("e", F.expr(f"CASE WHEN {back} < 0 THEN size(a) ELSE {back} END"))
-    dropped = pairs.filter(f"abs(size(a) - size(b)) <= 1 AND f + e >= {most} - 1").select("me.h", "me.g").distinct().withColumn("near", F.lit(True))
+    close = pairs.filter(f"abs(size(a) - size(b)) <= 1 AND f + e >= {most} - 1").select("id").distinct()
+    dropped = near.join(close, "id", "left_semi").select("h", "g", F.lit(True).alias("near"))
 
     # Lines with an earlier equal line, and all places of lines with an earlier near one.
     judged = distinct.join(dropped, ["h", "g"], "left").filter("times > 1 OR near").select("h", "g", "first", "near")
     gone = occurrences.join(judged, ["h", "g"]).filter(F.col("near").isNotNull() | (place != F.col("first"))).select("doc", "t", "no").distinct()
     result = scratch.table(gone.groupBy("doc", "t").agg(F.array_sort(F.collect_list("no")).alias("gone")), "gone")
-    scratch.drop("lines", "distinct", "near", "maps", "worded")
+    scratch.drop("lines", "distinct", "near", "maps", "worded", "variants", "links")
     return result
 
 
