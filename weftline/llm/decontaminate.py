@@ -229,7 +229,7 @@ def remove_hits(found: DataFrame, text_col: str = "text") -> DataFrame:
     A stretch goes from its first word's first letter to its last word's last;
     what stands between words that are not hit is kept as it is.
     """
-    own = [c for c in found.columns if not c.startswith("_wf_")]
+    own = [c for c in found.columns if c not in ("_wf_n_words", "_wf_hits", "_wf_items")]
     place = own.index(text_col)
     out_schema = found.select(*own).schema
 

@@ -37,15 +37,22 @@ MAP_BUCKETS, MAP_BITS = 128, 32768
 
 
 def _words(line: Column) -> Column:
-    return F.filter(F.split(F.lower(line), r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    """Lower-cased words. Most lines have no white space but single spaces, which split without a pattern."""
+    low = F.lower(line)
+    plain = ~line.rlike(r"[\x09-\x0D]")
+    return F.array_remove(F.when(plain, F.split(low, " ")).otherwise(F.split(low, r"[\x20\x09-\x0D]+")), "")
 
 
-def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """doc, t (the text's hash), no, words, n and the line's hashes, for each line with a word."""
+def _raw_lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """doc, t (the text's hash), no, line and r (the line's hash)."""
     split = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63))).alias("doc"), F.xxhash64(text_col).alias("t"), F.posexplode(F.split(F.col(text_col), "\n")).alias("no", "line"))
-    worded = split.select("doc", "t", "no", _words(F.col("line")).alias("words"))
-    sized = worded.select("doc", "t", "no", "words", F.size("words").alias("n"), F.xxhash64("words").alias("h"), F.hash("words").alias("g"))
-    return sized.filter("n > 0")
+    return split.withColumn("r", F.xxhash64("line"))
+
+
+def _worded(raw: DataFrame) -> DataFrame:
+    """doc, t, no, r, words, n and the words' hashes, of lines with a word."""
+    worded = raw.select("doc", "t", "no", "r", _words(F.col("line")).alias("words"))
+    return worded.select("doc", "t", "no", "r", "words", F.size("words").alias("n"), F.xxhash64("words").alias("h"), F.hash("words").alias("g")).filter("n > 0")
 
 
 def _halves(min_words: int) -> Column:
@@ -62,27 +69,28 @@ def _halves(min_words: int) -> Column:
 
 def removed_lines(docs: DataFrame, scratch: Scratch, min_words: int = 6, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc, t and gone (sorted line numbers) of each document that loses lines."""
-    lines = _lines(docs, id_col, text_col)
+    raw = _raw_lines(docs, id_col, text_col)
+    lines = _worded(raw)
     place = F.struct("doc", "t", "no")
-    occurrences = scratch.table(lines.select("doc", "t", "no", "n", "h", "g", _halves(min_words).alias("keys")), "lines")
+    occurrences = scratch.table(lines.select("doc", "t", "no", "r", "n", "h", "g", _halves(min_words).alias("keys")), "lines")
     distinct = scratch.table(occurrences.groupBy("h", "g").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("times"), F.max("n").alias("n")), "distinct")
 
     # Lines that share a half with another distinct line. The halves come from the line's first place.
     firsts = occurrences.join(distinct.select("h", "g", F.col("first.doc").alias("doc"), F.col("first.t").alias("t"), F.col("first.no").alias("no")), ["h", "g", "doc", "t", "no"], "left_semi").filter("keys IS NOT NULL")
-    halves = firsts.select("h", "g", "doc", "t", "no", F.explode("keys").alias("key"))
+    halves = firsts.select("h", "g", "doc", "t", "no", "r", F.explode("keys").alias("key"))
     shared = halves.groupBy("key").agg(F.min(F.struct("h", "g")).alias("a"), F.max(F.struct("h", "g")).alias("b")).filter("a != b").select("key")
-    near = halves.join(shared, "key", "left_semi").select("h", "g", "doc", "t", "no").distinct()
+    near = halves.join(shared, "key", "left_semi").select("h", "g", "doc", "t", "no", "r").distinct()
     # Numbers that ascend with the place: ranges in order, and rows in order inside them.
     near = near.repartitionByRange("doc", "t", "no").sortWithinPartitions("doc", "t", "no").withColumn("id", F.monotonically_increasing_id())
     near = scratch.table(near, "near")
 
     # Their words are read again; a map of fixed size, sent to every task, spares most other lines the join.
-    bit = F.pmod("h", F.lit(MAP_BUCKETS * MAP_BITS)).cast("int")
+    bit = F.pmod("r", F.lit(MAP_BUCKETS * MAP_BITS)).cast("int")
     here = F.pmod(bit, F.lit(MAP_BITS))
     maps = scratch.table(near.groupBy(F.shiftright(bit, MAP_BITS.bit_length() - 1).alias("m")).agg(F.bitmap_construct_agg(here.cast("long")).alias("bits")), "maps")
     byte = F.conv(F.hex(F.substring(F.col("bits"), F.shiftright(here, 3) + 1, F.lit(1))), 16, 10).cast("int")
-    maybe = lines.filter(f"n >= {min_words - 1}").join(F.broadcast(maps), F.shiftright(bit, MAP_BITS.bit_length() - 1) == F.col("m")).filter(F.getbit(byte.cast("long"), F.pmod(here, F.lit(8))) == 1)
-    found = maybe.select("doc", "t", "no", "words", "n", "h", "g").join(near, ["h", "g", "doc", "t", "no"]).dropDuplicates(["h", "g", "doc", "t", "no"])
+    maybe = raw.join(F.broadcast(maps), F.shiftright(bit, MAP_BITS.bit_length() - 1) == F.col("m")).filter(F.getbit(byte.cast("long"), F.pmod(here, F.lit(8))) == 1)
+    found = _worded(maybe.select("doc", "t", "no", "line", "r")).join(near.select("doc", "t", "no", "id"), ["doc", "t", "no"]).dropDuplicates(["doc", "t", "no"])
     worded = scratch.table(found.select("id", "n", "words"), "worded")
 
     # A line's hash is the exclusive or of its words' hashes by position, so that without word i, and

@@ -29,6 +29,8 @@ UPPER = "[A-Z]"
 #: measure: the least distance above the median at which a document can be rejected
 LEAST = {"symbol_share": 0.08, "mark_share": 0.10, "upper_share": 0.35, "word_length": 6.0, "dup_line_share": 0.5, "repeat_share": 0.4}
 
+COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_marks", "n_upper", "n_lines"]
+
 
 def _without(c: Column, letters: str) -> Column:
     return F.char_length(c) - F.char_length(F.regexp_replace(c, letters, ""))
@@ -107,7 +109,7 @@ def judge(df: DataFrame, text_col: str = "text", lang_col: str = "lang", source_
     columns = df.columns if keep_columns is None else keep_columns
     plain = measured(df, text_col, p)
     failed = (F.col(f"{p}n_words") < 50) | (100 * F.col(f"{p}n_repeat_words") > 50 * F.col(f"{p}n_words"))
-    counts = [c for c in plain.columns if c.startswith(p)]
+    counts = [f"{p}{c}" for c in COUNTS]
     plain = plain.select(*columns, *counts, F.col(lang_col).alias(f"{p}lang"), F.col(source_col).alias(f"{p}source"), failed.alias(f"{p}base_failed"))
     table = scratch.table(plain, "measured")
     limits = scratch.table(thresholds(table, spread, accuracy, min_group, p), "thresholds")
