@@ -4,6 +4,7 @@ import glob
 import os
 
 import duckdb
+import pandas as pd
 import pytest
 
 import __spark_entry__ as entry
@@ -22,7 +23,7 @@ def db():
 
 def rows(df):
     def cell(x):
-        if x is None or x != x:
+        if pd.isna(x):
             return None
         return round(float(x), 4) + 0.0 if isinstance(x, float) or hasattr(x, "dtype") and x.dtype.kind == "f" else x if isinstance(x, str) else int(x)
 

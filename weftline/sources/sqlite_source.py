@@ -1,5 +1,6 @@
 """A Spark data source over SQLite files: rowid ranges as partitions, filters pushed down.
 
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(SqliteSource)
     spark.read.format("sqlite_table").option("path", p).option("table", "protein").load()
 """
@@ -100,6 +101,8 @@ class SqliteSource(DataSource):
 
 
 def read_table(spark: SparkSession, path: str, table: str, schema: str | None = None, rows_per_partition: int = 50_000) -> DataFrame:
+    """A table of a SQLite file. Spark reads sources that take filters only with their pushdown on, so it is turned on."""
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(SqliteSource)
     reader = spark.read.format("sqlite_table").option("path", path).option("table", table).option("rows_per_partition", rows_per_partition)
     return (reader.schema(schema) if schema else reader).load()
