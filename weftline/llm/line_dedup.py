@@ -145,7 +145,9 @@ def dedup_lines(docs: DataFrame, min_words: int = 6, id_col: str = "doc_id", tex
         "(a, b) -> concat(array_repeat(false, b - a - 1), CASE WHEN b < size(_wf_all) THEN array(true) ELSE array() END)))"
     )
     lines = lines.withColumn("_wf_flags", F.when(F.col("_wf_gone").isNotNull(), flags))
-    kept = F.expr("CASE WHEN _wf_gone IS NOT NULL THEN array_join(filter(_wf_all, (x, i) -> NOT _wf_flags[i]), '\n') END")
+    # Zipped, so that no lambda holds the flags: the optimizer may put their expression in the column's place.
+    stay = F.transform(F.filter(F.arrays_zip("_wf_all", "_wf_flags"), lambda x: ~x["_wf_flags"]), lambda x: x["_wf_all"])
+    kept = F.when(F.col("_wf_gone").isNotNull(), F.array_join(stay, "\n"))
     lines = lines.withColumn("_wf_text", F.coalesce(kept, F.col(text_col)))
     out = [F.col("_wf_text").alias(c) if c == text_col else F.col(c) for c in columns]
     return lines.select(*out, F.greatest(F.coalesce(F.size("_wf_all"), F.lit(0)), F.lit(0)).cast("long").alias("_wf_lines"), F.greatest(F.coalesce(F.size("_wf_gone"), F.lit(0)), F.lit(0)).cast("long").alias("_wf_removed"))
