@@ -17,6 +17,8 @@ def test_composition_and_triads(spark):
     assert rows[5].r == "0 1 0" and rows[6].r == "0001125" and sum(rows[6].t) == 5 and rows[6].t[0] == 1 and rows[6].t[1 * 49 + 1 * 7 + 2] == 1
     long = {(r.k, r.triad): r.n for r in S.triad_counts(df, ["k"], "s").collect()}
     assert long == {(6, 0): 1, (6, 1): 1, (6, 8): 1, (6, 58): 1, (6, 1 * 49 + 2 * 7 + 5): 1}
+    whole = df.filter("s IS NOT NULL")
+    assert {r.k: r.v for r in S.triad_vectors(df, ["k"], "s").collect()} == {r.k: r.t for r in whole.select("k", S.conjoint_triad(F.col("s")).alias("t")).collect()}
     v = spark.sql("SELECT array(1d, 3d, 5d) AS v, array(0d, 0d) AS z").select(S.normalised(F.col("v")).alias("v"), S.normalised(F.col("z")).alias("z")).first()
     assert v.v == [0.0, 0.4, 0.8] and v.z == [0.0, 0.0]
 

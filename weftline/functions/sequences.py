@@ -42,7 +42,8 @@ def conjoint_triad(s: Column) -> Column:
     triads = F.when(F.length(red) >= 3, F.transform(F.sequence(F.lit(1), F.length(red) - 2), lambda i: F.substring(red, i, 3))).otherwise(F.array().cast("array<string>"))
     valid = F.filter(triads, lambda t: ~t.contains(" "))
     index = F.transform(valid, lambda t: F.conv(t, 7, 10).cast("int"))
-    return F.transform(F.sequence(F.lit(0), F.lit(342)), lambda k: F.size(F.filter(index, lambda x: x == k)).cast("double"))
+    # index is an argument, not part of the lambda, so it is made once.
+    return F.aggregate(index, F.array_repeat(F.lit(0.0), 343), lambda acc, x: F.transform(acc, lambda v, k: F.when(k == x, v + 1).otherwise(v)))
 
 
 def normalised(v: Column) -> Column:
@@ -60,6 +61,13 @@ def triad_counts(df: DataFrame, keys: list[str], sequence: str) -> DataFrame:
     return triads.filter("triad IS NOT NULL").groupBy(*keys, "triad").agg(F.count(F.lit(1)).alias("n"))
 
 
+def triad_vectors(df: DataFrame, keys: list[str], sequence: str) -> DataFrame:
+    """keys and v, the 343 counts of conjoint_triad() by one pass over the letters; keys must be unique."""
+    counts = triad_counts(df.filter(F.col(sequence).isNotNull()), keys, sequence).groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("triad", "n"))).alias("_m"))
+    v = F.transform(F.sequence(F.lit(0), F.lit(342)), lambda k: F.coalesce(F.try_element_at("_m", k), F.lit(0)).cast("double"))
+    return df.filter(F.col(sequence).isNotNull()).select(*keys).join(counts, keys, "left").select(*keys, F.when(F.col("_m").isNull(), F.array_repeat(F.lit(0.0), 343)).otherwise(v).alias("v"))
+
+
 def estate_rows(properties: DataFrame, key: str) -> DataFrame:
     """The E-state of each residue along its descriptors: D_i - sum over j != i of (D_j - D_i) / (j - i)^2.
 
