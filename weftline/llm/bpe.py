@@ -61,10 +61,17 @@ class WordEncoder:
         self.used = 0
 
     def _encode(self, word: str) -> list[int]:
-        if not _PLAIN.match(word) or any(s in word for s in self.specials):
+        if not _PLAIN.match(word) or "<" in word and any(s in word for s in self.specials):
             return self.lib.encode(word, add_special_tokens=False).ids
+        low = (word if word.isascii() else unicodedata.normalize("NFC", word)).lower()
+        if low.isalpha():  # most words need no pattern
+            found = (low,)
+        elif low[-1] in ".," and low[:-1].isalpha():
+            found = (low[:-1], low[-1])
+        else:
+            found = _PIECE.findall(low)
         out: list[int] = []
-        for piece in _PIECE.findall(unicodedata.normalize("NFC", word).lower()):
+        for piece in found:
             ids = self.pieces.get(piece)
             if ids is None:
                 ids = self.pieces[piece] = [t.id for t in self.lib.model.tokenize(as_letters(piece))]

@@ -165,11 +165,17 @@ class HashTable:
         return out
 
     def put(self, h: np.ndarray, values: np.ndarray) -> None:
-        """Add distinct absent keys."""
-        keys, vals, mask = self.keys, self.values, int(self.mask)
-        for k, v in zip(h.tolist(), values.tolist()):
-            s = k & mask
-            while vals[s] >= 0:
-                s = (s + 1) & mask
-            keys[s], vals[s] = k, v
+        """Add distinct absent keys: of those that want one free slot the first gets it, the others go on."""
+        slot = h & self.mask
+        todo = np.arange(len(h))
+        while len(todo):
+            own = slot[todo]
+            free = np.flatnonzero(self.values[own] < 0)
+            at, first = np.unique(own[free], return_index=True)
+            won = todo[free[first]]
+            self.keys[at], self.values[at] = h[won], values[won]
+            left = np.ones(len(todo), bool)
+            left[free[first]] = False
+            todo = todo[left]
+            slot[todo] = (slot[todo] + np.uint64(1)) & self.mask
         self.size += len(h)
