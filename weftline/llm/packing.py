@@ -140,7 +140,7 @@ def windows(pieces: DataFrame, window: int = 4096, pad_id: int = 0, pad_last_to_
     padded with pad_id to the window, or to the next power of two.
     """
 
-    def run(keys, group: pa.Table) -> pa.Table:
+    def run(keys, group):
         group = group.sort_by("offset")
         ids = np.frombuffer(b"".join(x.as_py() for x in group.column("ids")), np.uint16).astype(np.int32)
         goal = window
