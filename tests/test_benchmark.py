@@ -2,13 +2,10 @@ import sqlite3
 
 import pytest
 
-from weftline.operators.graph_models import NetworkConfig, ParsimonyConfig
+from weftline.operators.graph_models import ParsimonyConfig
 from weftline.plans.benchmark import Options, run
 from weftline.sources.cache import kept
 
-OBO = "\n\n".join(f"[Term]\nid: GO:{k}\nnamespace: molecular_function\n" + (f"is_a: GO:{p}\n" if p else "") for k, p in ((1, 0), (2, 1), (3, 1), (4, 3)))
-
-
 def make(path, seed):
     with sqlite3.connect(path) as c:
         c.execute("CREATE TABLE domain (id INTEGER PRIMARY KEY, pfam_id TEXT)")
@@ -29,14 +26,13 @@ def test_sample_sheet_to_report(spark, tmp_path):
     (tmp_path / "db").mkdir()
     for k, s in enumerate(("train", "test", "optimization")):
         make(tmp_path / "db" / f"{s}.sqlite3", k)
-    (tmp_path / "go.obo").write_text(OBO)
     (tmp_path / "sheet.csv").write_text("id,db_path\nd1,db\n")
     options = Options(
         ["aacomp"], ["random_forest"], {"random_forest": {"space": {"n_estimators": [3], "max_depth": [3]}}},
-        {"network": NetworkConfig(threshold=1, optimized=(0.5, 0.5)), "parsimony": ParsimonyConfig(iterations=4, runs=2, optimized=(0.5, 0.7))}, str(tmp_path / "go.obo"), bootstrap=20,
+        {"parsimony": ParsimonyConfig(iterations=4, runs=2, optimized=(0.5, 0.7))}, bootstrap=20,
     )
     found = {r.model: r for r in run(spark, str(tmp_path / "sheet.csv"), str(tmp_path / "out"), options, str(tmp_path)).collect()}
-    assert set(found) == {"random_forest_aacomp", "network", "parsimony"} and found["random_forest_aacomp"].roc_auc > 0.6
+    assert set(found) == {"random_forest_aacomp", "parsimony"} and found["random_forest_aacomp"].roc_auc > 0.6
     blocks = spark.read.json(str(tmp_path / "out/report/d1"))
     assert {r.id for r in blocks.select("id").collect()} == {f"{b}_d1" for b in ("metrics_table", "roc", "pr", "metrics_overview", "pairwise_significance", "database_analysis")}
     (tmp_path / "bad.csv").write_text("id,db_path\na b,x\n")
