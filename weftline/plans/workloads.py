@@ -682,8 +682,8 @@ def rewire_null(spark, d):
 def set_cover_lp(spark, d):
     from ..operators.nullmodels import observed_cover
 
-    known = ddi(spark, d).select("domain_a", "domain_b").distinct().orderBy("domain_a", "domain_b").limit(150).coalesce(1).withColumn("pair_id", F.monotonically_increasing_id())
-    return observed_cover(ppi(spark, d).filter("score > 7"), pd_map(spark, d), known, [0.5, 1.0], runs=3)
+    known = ddi(spark, d).select("domain_a", "domain_b").distinct().coalesce(1).sortWithinPartitions("domain_a", "domain_b").withColumn("pair_id", F.monotonically_increasing_id())
+    return observed_cover(ppi(spark, d).filter("score > 7"), pd_map(spark, d), known, [0.5, 1.0])
 
 
 @query()
