@@ -49,3 +49,26 @@ def test_interior_cover_equals_the_tableau(monkeypatch):
             c.setattr(nullmodels, "TABLEAU", 0)
             value, x = nullmodels.cover(rows, m)
         assert value == pytest.approx(exact, rel=1e-6) and (x >= 0).all() and all(sum(x[k] for k in r) > 1 - 1e-8 for r in rows)
+
+
+def test_rewire_null_keeps_every_edge_and_degree(spark, monkeypatch):
+    links = sorted({tuple(sorted(e)) for e in np.random.default_rng(1).integers(1, 300, (40_000, 2)).tolist() if e[0] != e[1]})
+    assert len(links) > 20_000
+    ppi = spark.createDataFrame([(f"P{a}", f"P{b}", 7) for a, b in links], "protein_a string, protein_b string, score long")
+    whole = nullmodels.rewirings
+    monkeypatch.setattr(workloads, "ppi", lambda *_: ppi)
+    monkeypatch.setattr(nullmodels, "rewirings", lambda p: whole(p, iterations=2))
+    got = QUERIES["rewire_null"](spark, SF).toPandas()
+    degree = lambda e: np.bincount(np.ravel(e), minlength=300).tolist()
+    for _, own in got.groupby("iter"):
+        edges = own[["a", "b"]].to_numpy()
+        assert degree(edges) == degree(links) and len({tuple(sorted(e)) for e in edges.tolist()}) == len(links) and {tuple(sorted(e)) for e in edges.tolist()} != set(links)
+    monkeypatch.setattr(nullmodels, "MOST_EDGES", 20_000)
+    with pytest.raises(ValueError, match="20000 edges"):
+        QUERIES["rewire_null"](spark, SF)
+
+
+def test_rewire_null_runs_all_iterations(spark):
+    edges = workloads.ppi(spark, SF).filter("score > 6").count()
+    per = QUERIES["rewire_null"](spark, SF).groupBy("iter").count().toPandas()
+    assert len(per) == 1000 and set(per["count"]) == {edges}

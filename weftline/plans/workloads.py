@@ -661,21 +661,10 @@ def db_analysis_table(spark, d):
 
 @query()
 def rewire_null(spark, d):
-    import numpy as np
+    from ..operators.nullmodels import rewirings
 
-    from ..operators.nullmodels import rewire
-
-    edges = np.array([(int(r[0][1:]), int(r[1][1:])) for r in ppi(spark, d).filter("score > 6").select("protein_a", "protein_b").orderBy("protein_a", "protein_b").limit(20_000).collect()]).reshape(-1, 2)
-
-    def run(batches):
-        import pandas as pd
-
-        for batch in batches:
-            for k in batch.id:
-                new = rewire(edges, int(k))
-                yield pd.DataFrame({"iter": int(k), "a": new[:, 0], "b": new[:, 1]})
-
-    return spark.range(8).repartition(8, "id").mapInPandas(run, "iter long, a long, b long")
+    out = rewirings(ppi(spark, d).filter("score > 6"))
+    return out.select("iter", *(F.expr(f"CAST(substr({c}, 2) AS BIGINT)").alias(c[-1]) for c in ("protein_a", "protein_b")))
 
 
 @query()
