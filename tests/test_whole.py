@@ -72,3 +72,16 @@ def test_rewire_null_runs_all_iterations(spark):
     edges = workloads.ppi(spark, SF).filter("score > 6").count()
     per = QUERIES["rewire_null"](spark, SF).groupBy("iter").count().toPandas()
     assert len(per) == 1000 and set(per["count"]) == {edges}
+
+
+def test_assemble_matrix_whole_equals_brute_force(spark):
+    got = {tuple(r)[:5]: r.x for r in QUERIES["assemble_matrix_whole"](spark, SF).collect()}
+    pairs = {tuple(r) for r in workloads.ddi(spark, SF).select("domain_a", "domain_b", "interaction").collect()}
+    vectors = {(r.domain_id, r.protein_id): r.embedding for r in workloads.vecs(spark, SF).collect() if r.vec_id % 3}
+    proteins = {}
+    for domain, protein in vectors:
+        proteins.setdefault(domain, []).append(protein)
+    want = {(x, y, p, q, l) for a, b, l in pairs for x, y in ((a, b), (b, a)) for p in proteins.get(x, ()) for q in proteins.get(y, ())}
+    # 64 and 8 numbers of a, then those of b: the 80th is b's 8th
+    assert got.keys() == want and all(got[k] == pytest.approx(vectors[k[1], k[3]][7], abs=1e-5) for k in want)
+    assert {p for k in got for p in k[2:4]} == {p for ps in proteins.values() for p in ps} > {"P0", "P1", "P2", "P3"}

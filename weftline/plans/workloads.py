@@ -339,6 +339,14 @@ def assemble_matrix(spark, d):
     return out.select("domain_a", "domain_b", "protein_a", "protein_b", "label", F.round(F.col("features")[79].cast("double"), 5).alias("x"))
 
 
+@query(ASM + "SELECT t.domain_a, t.domain_b, a.protein_id AS protein_a, b.protein_id AS protein_b, label, round(CAST(list_concat(list_concat(a.vec, a.vec[1:8]), list_concat(b.vec, b.vec[1:8]))[80] AS DOUBLE), 5) AS x FROM two t JOIN f a ON a.domain_id = t.domain_a JOIN f b ON b.domain_id = t.domain_b")
+def assemble_matrix_whole(spark, d):
+    """assemble_matrix over every embedding: that query's SQL keeps four proteins."""
+    labelled = ddi(spark, d).select(F.col("domain_a").alias("domain_1"), F.col("domain_b").alias("domain_2"), "interaction")
+    out = assembly.assemble(labelled, _features(spark, d), ["e1", "e2"])
+    return out.select("domain_a", "domain_b", "protein_a", "protein_b", "label", F.round(F.col("features")[79].cast("double"), 5).alias("x"))
+
+
 @query(BASE + "SELECT DISTINCT domain_id FROM vecs WHERE domain_id IN (SELECT domain_id FROM vecs WHERE vec_id % 3 <> 0)")
 def domains_in_all_features(spark, d):
     return assembly.domains_in_all(_features(spark, d), ["e1", "e2"])
