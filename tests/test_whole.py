@@ -85,3 +85,19 @@ def test_assemble_matrix_whole_equals_brute_force(spark):
     # 64 and 8 numbers of a, then those of b: the 80th is b's 8th
     assert got.keys() == want and all(got[k] == pytest.approx(vectors[k[1], k[3]][7], abs=1e-5) for k in want)
     assert {p for k in got for p in k[2:4]} == {p for ps in proteins.values() for p in ps} > {"P0", "P1", "P2", "P3"}
+
+
+def test_components_whole_equals_brute_force(spark):
+    keys = [r[0] for r in spark.read.parquet(f"{SF}/customer.parquet").select("c_custkey").collect()]
+    root = {k: k for k in [*keys, *(k * 3 % (max(keys) + 1) for k in keys)]}
+
+    def find(k):
+        while root[k] != k:
+            k = root[k]
+        return k
+
+    for k in keys:
+        a, b = sorted((find(k), find(k * 3 % (max(keys) + 1))))
+        root[b] = a
+    got = {r.node: r.component for r in QUERIES["components_whole"](spark, SF).collect()}
+    assert got == {k: find(k) for k in root} and set(keys) <= got.keys()
