@@ -2,8 +2,11 @@
 
 A line is dropped if an earlier line, in the order of (doc_id, line number),
 is within one edit of it: the same words, or one word put in, left out or
-replaced. Lines of under min_words words need equal words. Native DataFrame
-functions only.
+replaced. An edit counts as one up to a min_words-th part of the longer line,
+so lines of under min_words words need equal words: in a shorter line one word
+is too large a part (`Chapter 1` and `Chapter 2`). The earlier line may itself
+be one that goes, so of a chain of lines only the first is certain to stay.
+Native DataFrame functions only.
 
 1. Equal lines meet first (a 96-bit hash), so a line that a third of all rows
    hold is one row from then on, summed where it is read.
@@ -15,6 +18,9 @@ functions only.
    Such groups are stars: the earliest line of a key is compared with each
    other one, so links number no more than keys, however large the group.
 4. Each link's edit distance is verified on the words.
+5. The places of lines are looked up again. The lines that hold over a
+   thousandth of all places, a thousand at most, are sent to every task, so the
+   places of a common line stay where they are.
 
 Nulls and empties: null and empty texts pass unchanged, lines without a word
 are always kept; rows with a null doc_id come first, and rows with
@@ -30,68 +36,74 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .runtime import Scratch
+from .runtime import Scratch, fresh, quoted
 
-#: Bits of the map of lines that share a half: 128 buckets of 32768 bits, 512 KB in all.
-MAP_BUCKETS, MAP_BITS = 128, 32768
+#: The map of places to read again: MAP_BUCKETS rows of MAP_WORDS longs, 512 KB in all.
+MAP_BUCKETS, MAP_WORDS = 128, 512
+#: A line with over a HOT-th part of all places is common.
+HOT = 1000
 
 
-def _words(line: Column) -> Column:
-    """Lower-cased words. Most lines have no white space but single spaces, which split without a pattern."""
+def _canonical(line: Column) -> Column:
+    """The line's words, lower-cased, one space between them. Most lines are so already, and need no pattern."""
     low = F.lower(line)
-    plain = ~line.rlike(r"[\x09-\x0D]")
-    return F.array_remove(F.when(plain, F.split(low, " ")).otherwise(F.split(low, r"[\x20\x09-\x0D]+")), "")
+    odd = low.startswith(" ") | low.endswith(" ") | low.contains("  ")
+    for c in "\t\x0b\x0c\r":
+        odd = odd | low.contains(c)
+    return F.when(odd, F.trim(F.regexp_replace(low, r"[\x20\x09-\x0D]+", " "))).otherwise(low)
 
 
-def _raw_lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """doc, t (the text's hash), no, line and r (the line's hash)."""
-    split = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63))).alias("doc"), F.xxhash64(text_col).alias("t"), F.posexplode(F.split(F.col(text_col), "\n")).alias("no", "line"))
-    return split.withColumn("r", F.xxhash64("line"))
-
-
-def _worded(raw: DataFrame) -> DataFrame:
-    """doc, t, no, r, words, n and the words' hashes, of lines with a word."""
-    worded = raw.select("doc", "t", "no", "r", _words(F.col("line")).alias("words"))
-    return worded.select("doc", "t", "no", "r", "words", F.size("words").alias("n"), F.xxhash64("words").alias("h"), F.hash("words").alias("g")).filter("n > 0")
+def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """doc, t (the text's hash), no and line."""
+    text = F.col(quoted(text_col))
+    rows = docs.select(F.coalesce(F.col(quoted(id_col)).cast("long"), F.lit(-(1 << 63))).alias("doc"), F.xxhash64(text).alias("t"), text.alias("text"))
+    return rows.select("doc", "t", F.posexplode(F.split("text", "\n")).alias("no", "line"))
 
 
 def _halves(min_words: int) -> Column:
     """Keys of the first and last (n - 1) // 2 and n // 2 words, tagged by end and length."""
+    keys = [f"xxhash64('{end}', {size}, substring_index(line, ' ', {sign}({size})))" for end, sign in (("a", ""), ("b", "-")) for size in ("CAST((n - 1) div 2 AS INT)", "CAST(n div 2 AS INT)")]
+    return F.expr(f"CASE WHEN n >= {min_words - 1} THEN array_distinct(array({', '.join(keys)})) END")
+
 
-    def key(end: str, size: str) -> str:
-        cut = f"slice(words, 1, {size})" if end == "a" else f"slice(words, n - {size} + 1, {size})"
-        return f"xxhash64('{end}', {size}, {cut})"
+def _place_bit() -> Column:
+    return F.pmod(F.xxhash64("doc", "t", "no"), F.lit(MAP_BUCKETS * MAP_WORDS * 64))
 
-    sizes = ("(n - 1) div 2", "n div 2")
-    keys = ", ".join(key(e, f"CAST({s} AS INT)") for e in "ab" for s in sizes)
-    return F.expr(f"CASE WHEN n >= {min_words - 1} THEN array_distinct(array({keys})) END")
+
+def _maps(places: DataFrame) -> DataFrame:
+    """m and bits (MAP_WORDS longs): a bit is set for each place's hash; of fixed size, however many places there are."""
+    some = places.select(_place_bit().alias("bit")).select(F.shiftright("bit", 6).alias("w"), F.expr("shiftleft(1L, CAST(bit % 64 AS INT))").alias("v"))
+    words = some.groupBy("w").agg(F.bit_or("v").alias("v"))
+    every = places.sparkSession.range(MAP_BUCKETS * MAP_WORDS).select(F.col("id").alias("w")).join(words, "w", "left").fillna(0, ["v"])
+    lists = every.groupBy(F.expr(f"w div {MAP_WORDS}").alias("m")).agg(F.array_sort(F.collect_list(F.struct("w", "v"))).alias("l"))
+    return lists.select("m", F.transform("l", lambda x: x.v).alias("bits"))
 
 
 def removed_lines(docs: DataFrame, scratch: Scratch, min_words: int = 6, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc, t and gone (sorted line numbers) of each document that loses lines."""
-    raw = _raw_lines(docs, id_col, text_col)
-    lines = _worded(raw)
+    raw = _lines(docs, id_col, text_col)
+    lines = raw.select("doc", "t", "no", _canonical(F.col("line")).alias("line")).filter("line != ''")
+    lines = lines.withColumn("n", F.octet_length("line") - F.octet_length(F.replace("line", F.lit(" "), F.lit(""))) + 1)
     place = F.struct("doc", "t", "no")
-    occurrences = scratch.table(lines.select("doc", "t", "no", "r", "n", "h", "g", _halves(min_words).alias("keys")), "lines")
-    distinct = scratch.table(occurrences.groupBy("h", "g").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("times"), F.max("n").alias("n")), "distinct")
-
-    # Lines that share a half with another distinct line. The halves come from the line's first place.
-    firsts = occurrences.join(distinct.select("h", "g", F.col("first.doc").alias("doc"), F.col("first.t").alias("t"), F.col("first.no").alias("no")), ["h", "g", "doc", "t", "no"], "left_semi").filter("keys IS NOT NULL")
-    halves = firsts.select("h", "g", "doc", "t", "no", "r", F.explode("keys").alias("key"))
-    shared = halves.groupBy("key").agg(F.min(F.struct("h", "g")).alias("a"), F.max(F.struct("h", "g")).alias("b")).filter("a != b").select("key")
-    near = halves.join(shared, "key", "left_semi").select("h", "g", "doc", "t", "no", "r").distinct()
+    occurrences = scratch.table(lines.select("doc", "t", "no", F.xxhash64("line").alias("h"), F.hash("line").alias("g"), _halves(min_words).alias("keys")), "lines")
+    # The halves come from the line's first place.
+    distinct = scratch.table(occurrences.groupBy("h", "g").agg(F.min(F.struct("doc", "t", "no", "keys")).alias("first"), F.count(F.lit(1)).alias("times")), "distinct")
+
+    # Lines that share a half with another distinct line.
+    halves = distinct.filter("first.keys IS NOT NULL").select("h", "g", "first.doc", "first.t", "first.no", F.explode("first.keys").alias("key"))
+    shared = halves.groupBy("key").agg(*(f(c).alias(f"{k}{c}") for c in "hg" for k, f in (("a", F.min), ("z", F.max)))).filter("ah != zh OR ag != zg").select("key")
+    near = halves.join(shared, "key", "left_semi").select("h", "g", "doc", "t", "no").distinct()
     # Numbers that ascend with the place: ranges in order, and rows in order inside them.
     near = near.repartitionByRange("doc", "t", "no").sortWithinPartitions("doc", "t", "no").withColumn("id", F.monotonically_increasing_id())
     near = scratch.table(near, "near")
 
-    # Their words are read again; a map of fixed size, sent to every task, spares most other lines the join.
-    bit = F.pmod("r", F.lit(MAP_BUCKETS * MAP_BITS)).cast("int")
-    here = F.pmod(bit, F.lit(MAP_BITS))
-    maps = scratch.table(near.groupBy(F.shiftright(bit, MAP_BITS.bit_length() - 1).alias("m")).agg(F.bitmap_construct_agg(here.cast("long")).alias("bits")), "maps")
-    byte = F.conv(F.hex(F.substring(F.col("bits"), F.shiftright(here, 3) + 1, F.lit(1))), 16, 10).cast("int")
-    maybe = raw.join(F.broadcast(maps), F.shiftright(bit, MAP_BITS.bit_length() - 1) == F.col("m")).filter(F.getbit(byte.cast("long"), F.pmod(here, F.lit(8))) == 1)
-    found = _worded(maybe.select("doc", "t", "no", "line", "r")).join(near.select("doc", "t", "no", "id"), ["doc", "t", "no"]).dropDuplicates(["doc", "t", "no"])
-    worded = scratch.table(found.select("id", "n", "words"), "worded")
+    # Their words are read again; a map of fixed size, sent to every task, spares most other places the join.
+    maps = scratch.table(_maps(near.select("doc", "t", "no")), "maps")
+    placed = raw.withColumn("bit", _place_bit()).join(F.broadcast(maps), F.expr(f"bit div {64 * MAP_WORDS} = m"))
+    maybe = placed.filter(F.expr(f"getbit(bits[CAST(bit div 64 % {MAP_WORDS} AS INT)], CAST(bit % 64 AS INT)) = 1")).select("doc", "t", "no", "line")
+    found = maybe.join(near.select("doc", "t", "no", "id"), ["doc", "t", "no"]).dropDuplicates(["id"])
+    words = found.select("id", F.split(_canonical(F.col("line")), " ").alias("words"))
+    worded = scratch.table(words.select("id", F.size("words").alias("n"), "words"), "worded")
 
     # A line's hash is the exclusive or of its words' hashes by position, so that without word i, and
     # with the words behind it moved up, takes running ors before and after i: one pass over the words.
@@ -124,30 +136,37 @@ def removed_lines(docs: DataFrame, scratch: Scratch, min_words: int = 6, id_col:
     dropped = near.join(close, "id", "left_semi").select("h", "g", F.lit(True).alias("near"))
 
     # Lines with an earlier equal line, and all places of lines with an earlier near one.
-    judged = distinct.join(dropped, ["h", "g"], "left").filter("times > 1 OR near").select("h", "g", "first", "near")
-    gone = occurrences.join(judged, ["h", "g"]).filter(F.col("near").isNotNull() | (place != F.col("first"))).select("doc", "t", "no").distinct()
+    judged = scratch.table(distinct.join(dropped, ["h", "g"], "left").filter("times > 1 OR near").select("h", "g", "times", F.col("first.doc").alias("d1"), F.col("first.t").alias("t1"), F.col("first.no").alias("n1"), "near"), "judged")
+    places = occurrences.select("doc", "t", "no", "h", "g")
+    common = F.col("times") > places.count() / HOT
+    few, many = F.broadcast(judged.filter(common)), judged.filter(~common)
+    met = places.join(few, ["h", "g"]).unionByName(places.join(few.select("h", "g"), ["h", "g"], "left_anti").join(many, ["h", "g"]))
+    gone = met.filter(F.col("near").isNotNull() | (place != F.struct("d1", "t1", "n1"))).select("doc", "t", "no").distinct()
     result = scratch.table(gone.groupBy("doc", "t").agg(F.array_sort(F.collect_list("no")).alias("gone")), "gone")
-    scratch.drop("lines", "distinct", "near", "maps", "worded", "variants", "links")
+    scratch.drop("lines", "distinct", "near", "maps", "worded", "variants", "links", "judged")
     return result
 
 
 def dedup_lines(docs: DataFrame, min_words: int = 6, id_col: str = "doc_id", text_col: str = "text", keep_columns: list[str] | None = None) -> DataFrame:
-    """keep_columns of docs (all by default) with text_col rebuilt from the lines that stay, and _wf_lines, _wf_removed."""
+    """keep_columns of docs (all by default) with text_col rebuilt from the lines that stay; then the numbers of its lines and of those removed.
+
+    The two last columns are called _wf_lines and _wf_removed, with underscores
+    behind where a column of docs has that name.
+    """
     scratch = Scratch(docs.sparkSession)
-    gone = removed_lines(docs, scratch, min_words, id_col, text_col).toDF("_wf_doc", "_wf_t", "_wf_gone")
     columns = docs.columns if keep_columns is None else keep_columns
-    rows = docs.withColumns({"_wf_id": F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63))), "_wf_h": F.xxhash64(text_col)})
-    rows = rows.join(gone, (F.col("_wf_id") == F.col("_wf_doc")) & (F.col("_wf_h") == F.col("_wf_t")), "left")
-    lines = rows.withColumn("_wf_all", F.split(F.col(text_col), "\n"))
+    row_id, text_hash, doc, t, gone, every, flags, n_lines, n_removed = fresh(docs.columns, *(f"_wf_{c}" for c in ("id", "h", "doc", "t", "gone", "all", "flags", "lines", "removed")))
+    text = F.col(quoted(text_col))
+    found = removed_lines(docs, scratch, min_words, id_col, text_col).toDF(doc, t, gone)
+    rows = docs.withColumns({row_id: F.coalesce(F.col(quoted(id_col)).cast("long"), F.lit(-(1 << 63))), text_hash: F.xxhash64(text)})
+    rows = rows.join(found, (F.col(row_id) == F.col(doc)) & (F.col(text_hash) == F.col(t)), "left")
     # The removed numbers, sorted, become a flag for each line in one pass.
-    flags = F.expr(
-        "flatten(zip_with(concat(array(-1), _wf_gone), concat(_wf_gone, array(size(_wf_all))), "
-        "(a, b) -> concat(array_repeat(false, b - a - 1), CASE WHEN b < size(_wf_all) THEN array(true) ELSE array() END)))"
+    mark = F.expr(
+        f"flatten(zip_with(concat(array(-1), {gone}), concat({gone}, array(size({every}))), "
+        f"(a, b) -> concat(array_repeat(false, b - a - 1), CASE WHEN b < size({every}) THEN array(true) ELSE array() END)))"
     )
-    lines = lines.withColumn("_wf_flags", F.when(F.col("_wf_gone").isNotNull(), flags))
-    # Zipped, so that no lambda holds the flags: the optimizer may put their expression in the column's place.
-    stay = F.transform(F.filter(F.arrays_zip("_wf_all", "_wf_flags"), lambda x: ~x["_wf_flags"]), lambda x: x["_wf_all"])
-    kept = F.when(F.col("_wf_gone").isNotNull(), F.array_join(stay, "\n"))
-    lines = lines.withColumn("_wf_text", F.coalesce(kept, F.col(text_col)))
-    out = [F.col("_wf_text").alias(c) if c == text_col else F.col(c) for c in columns]
-    return lines.select(*out, F.greatest(F.coalesce(F.size("_wf_all"), F.lit(0)), F.lit(0)).cast("long").alias("_wf_lines"), F.greatest(F.coalesce(F.size("_wf_gone"), F.lit(0)), F.lit(0)).cast("long").alias("_wf_removed"))
+    lines = rows.withColumn(every, F.split(text, "\n")).withColumn(flags, F.when(F.col(gone).isNotNull(), mark))
+    stay = F.array_join(F.zip_with(every, flags, lambda line, off: F.when(~off, line)), "\n")  # nulls are left out
+    rebuilt = F.coalesce(F.when(F.col(gone).isNotNull(), stay), text)
+    sizes = [F.greatest(F.coalesce(F.size(c), F.lit(0)), F.lit(0)).cast("long").alias(name) for c, name in ((every, n_lines), (gone, n_removed))]
+    return lines.select(*(rebuilt.alias(c) if c == text_col else F.col(quoted(c)) for c in columns), *sizes)

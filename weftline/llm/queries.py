@@ -73,9 +73,9 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .line_dedup import dedup_lines
 
-    out = dedup_lines(_docs(spark, sf_dir), keep_columns=["doc_id", "text"])
+    out = dedup_lines(_docs(spark, sf_dir), keep_columns=["doc_id", "text"]).toDF("doc_id", "text", "n_lines", "n_removed")
     text = F.coalesce(F.col("text"), F.lit(""))
-    return out.select("doc_id", F.col("_wf_lines").alias("n_lines"), F.col("_wf_removed").alias("n_removed"), F.md5(F.encode(text, "UTF-8")).alias("text_md5"))
+    return out.select("doc_id", "n_lines", "n_removed", F.md5(F.encode(text, "UTF-8")).alias("text_md5"))
 
 
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

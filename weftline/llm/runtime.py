@@ -9,6 +9,22 @@ from pyspark.sql import DataFrame, SparkSession
 LOCAL_FALLBACK = "file:///tmp/checkpoints"
 
 
+def fresh(taken: list[str], *names: str) -> list[str]:
+    """names, each with underscores put behind it until none of taken has it, whatever the case."""
+    used, out = {t.lower() for t in taken}, []
+    for name in names:
+        while name.lower() in used:
+            name += "_"
+        used.add(name.lower())
+        out.append(name)
+    return out
+
+
+def quoted(name: str) -> str:
+    """name as a reference to a column, dots and backticks included."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def shared_dir(spark: SparkSession) -> str:
     """A fresh folder path below spark.checkpoint.dir.
 
