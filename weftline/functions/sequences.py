@@ -1,9 +1,15 @@
-"""Protein sequence encoders as native expressions."""
+"""Protein sequence encoders: native expressions, and triads by a kernel over bytes."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # The residue letters in the order of the composition vector.
 RESIDUES = "ACDEFGHIKLMNPQRSTVWY"
@@ -19,10 +25,12 @@ def ascii_upper(s: Column) -> Column:
 
 def composition(s: Column) -> Column:
     """The share of each of the 20 residues among recognised ones; null if there is none."""
-    up = ascii_upper(s)
-    counts = [(F.length(up) - F.length(F.replace(up, F.lit(a), F.lit("")))).cast("double") for a in RESIDUES]
-    total = F.length(up) - F.length(F.regexp_replace(up, f"[{RESIDUES}]", ""))
-    return F.when(total > 0, F.array(*(c / total for c in counts)))
+    # transform() over a list of one binds what is used more than once.
+    cut = lambda u, a: F.octet_length(u) - F.octet_length(F.replace(u, F.lit(a), F.lit("")))
+    counts = F.transform(F.array(ascii_upper(s)), lambda u: F.array(*(cut(u, a) for a in RESIDUES)))[0]
+    total = lambda c: F.aggregate(c, F.lit(0), lambda acc, x: acc + x)
+    paired = F.transform(F.array(counts), lambda c: F.struct(c.alias("c"), total(c).alias("n")))[0]
+    return F.transform(F.array(paired), lambda p: F.when(p["n"] > 0, F.transform(p["c"], lambda x: x.cast("double") / p["n"])))[0]
 
 
 def reduced_alphabet(s: Column) -> Column:
@@ -36,14 +44,44 @@ def reduced_alphabet(s: Column) -> Column:
     return F.translate(F.regexp_replace(ascii_upper(s), f"[^{letters}]", " "), letters, digits)
 
 
+def _byte_classes() -> np.ndarray:
+    """The class of each byte, -1 where it is no residue; a-z count as A-Z."""
+    out = np.full(256, -1, np.int16)
+    for k, group in enumerate(CLASSES):
+        for letter in group:
+            out[[ord(letter), ord(letter.lower())]] = k
+    return out
+
+
+_CLASS_OF = _byte_classes()
+
+
+def _triads(column: pa.Array, limit: int = 4 << 20) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(first row, rows, row, triad) of runs of rows of about limit bytes: every triad of residues, rows counted from the first."""
+    text = pc.fill_null(column.cast(pa.large_string()), "")
+    offsets = np.frombuffer(text.buffers()[1], np.int64)[text.offset : text.offset + len(text) + 1]
+    data = np.frombuffer(text.buffers()[2] or b"", np.uint8)
+    lo = 0
+    while lo < len(text):
+        hi = max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + limit, side="right")) - 1)
+        code = _CLASS_OF[data[offsets[lo] : offsets[hi]]]
+        row = np.repeat(np.arange(hi - lo), np.diff(offsets[lo : hi + 1]))
+        a, b, c = code[:-2], code[1:-1], code[2:]
+        ok = (a >= 0) & (b >= 0) & (c >= 0) & (row[:-2] == row[2:]) if len(code) > 2 else np.zeros(0, bool)
+        yield lo, hi - lo, row[:-2][ok], (a * 49 + b * 7 + c)[ok].astype(np.int64)
+        lo = hi
+
+
 def conjoint_triad(s: Column) -> Column:
-    """Counts of the 343 triads of classes, in order; triads with a space don't count."""
-    red = reduced_alphabet(s)
-    triads = F.when(F.length(red) >= 3, F.transform(F.sequence(F.lit(1), F.length(red) - 2), lambda i: F.substring(red, i, 3))).otherwise(F.array().cast("array<string>"))
-    valid = F.filter(triads, lambda t: ~t.contains(" "))
-    index = F.transform(valid, lambda t: F.conv(t, 7, 10).cast("int"))
-    # index is an argument, not part of the lambda, so it is made once.
-    return F.aggregate(index, F.array_repeat(F.lit(0.0), 343), lambda acc, x: F.transform(acc, lambda v, k: F.when(k == x, v + 1).otherwise(v)))
+    """Counts of the 343 triads of classes, in order; triads with another letter don't count. Null stays null."""
+
+    @F.arrow_udf("array<double>")
+    def run(column: pa.Array) -> pa.Array:
+        parts = [np.bincount(row * 343 + triad, minlength=n * 343).astype(np.float64) for _, n, row, triad in _triads(column)]
+        flat = np.concatenate(parts) if parts else np.zeros(0)
+        return pa.ListArray.from_arrays(pa.array(np.arange(len(column) + 1, dtype=np.int32) * 343), pa.array(flat))
+
+    return F.when(s.isNotNull(), run(s))
 
 
 def normalised(v: Column) -> Column:
@@ -53,12 +91,19 @@ def normalised(v: Column) -> Column:
 
 
 def triad_counts(df: DataFrame, keys: list[str], sequence: str) -> DataFrame:
-    """keys, triad (0 to 342) and n in long form, for long sequences: explode and count."""
-    rows = df.select(*keys, F.split(reduced_alphabet(F.col(sequence)), "").alias("_c"))
-    # Digits by their code; a space is no class. A sequence of under three letters has no triad.
-    codes = rows.select(*keys, F.transform("_c", lambda c: F.nullif(F.ascii(c) - 48, F.lit(-16))).alias("_d"))
-    triads = codes.select(*keys, F.explode(F.expr("CASE WHEN size(_d) >= 3 THEN transform(sequence(0, size(_d) - 3), i -> _d[i] * 49 + _d[i + 1] * 7 + _d[i + 2]) END")).alias("triad"))
-    return triads.filter("triad IS NOT NULL").groupBy(*keys, "triad").agg(F.count(F.lit(1)).alias("n"))
+    """keys, triad (0 to 342) and n in long form: each sequence is counted where it lies, then equal keys are added up."""
+    rows = df.select(*keys, F.col(sequence).cast("string").alias("_s"))
+    width = len(keys)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first, _, row, triad in _triads(batch.column(width)):
+                kinds, n = np.unique(row * 343 + triad, return_counts=True)
+                at = pa.array(first + kinds // 343)
+                yield pa.RecordBatch.from_arrays([*(batch.column(k).take(at) for k in range(width)), pa.array((kinds % 343).astype(np.int32)), pa.array(n.astype(np.int64))], names=[*keys, "triad", "n"])
+
+    schema = T.StructType([*rows.schema.fields[:width], T.StructField("triad", T.IntegerType()), T.StructField("n", T.LongType())])
+    return rows.mapInArrow(run, schema).groupBy(*keys, "triad").agg(F.sum("n").alias("n"))
 
 
 def triad_vectors(df: DataFrame, keys: list[str], sequence: str) -> DataFrame:

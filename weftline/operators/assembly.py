@@ -55,19 +55,23 @@ def _first_by(rows: DataFrame, u: str, keys: list[str], n: int) -> DataFrame:
 
 
 def oversample(rows: DataFrame, label: str, keys: list[str], seed: int) -> DataFrame:
-    """All rows, and rows of the smaller class again (with replacement, by hash) until classes are about equal.
+    """All rows, and rows of the smaller class again (by hash) until both classes have as many.
 
-    Each row of the smaller class comes floor(f) more times, and once more if
-    its hash is below the fraction of f = larger / smaller - 1.
+    With m rows missing of n, each row of the smaller class comes m // n more
+    times, and the m % n rows of the smallest hash once more.
     """
     sizes = {r[0]: r[1] for r in rows.groupBy(label).count().collect()}
     if len(sizes) < 2:
         return rows
     value = min(sizes, key=lambda k: sizes[k])
-    f = max(sizes.values()) / sizes[value] - 1
-    times = F.lit(int(f)) + (hash_uniform(seed, *[F.col(k) for k in keys]) < F.lit(f - int(f))).cast("int")
-    again = rows.filter(F.col(label) == F.lit(value)).withColumn("_t", times).filter("_t > 0").withColumn("_k", F.explode(F.sequence(F.lit(1), F.col("_t")))).drop("_t", "_k")
-    return rows.unionByName(again)
+    often, once = divmod(max(sizes.values()) - sizes[value], sizes[value])
+    own = rows.filter(F.col(label) == F.lit(value))
+    out = rows
+    if often:
+        out = out.unionByName(own.withColumn("_k", F.explode(F.sequence(F.lit(1), F.lit(often)))).drop("_k"))
+    if once:
+        out = out.unionByName(_first_by(own.withColumn("_u", hash_uniform(seed, *[F.col(k) for k in keys])), "_u", keys, once).drop("_u"))
+    return out
 
 
 def with_fold(train: DataFrame, validation: DataFrame) -> DataFrame:

@@ -7,6 +7,8 @@ any window, so a window holds a model's distinct scores.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -114,32 +116,58 @@ def decimated(points: DataFrame, by: list[str], most: int = 600) -> DataFrame:
     return rows.filter((F.col("_n") <= most) | (hit & (k < most))).withColumnRenamed("_i", "place").drop("_n")
 
 
-def bootstrap(df: DataFrame, by: list[str], label: str, score: str, metric: str = "roc_auc", resamples: int = 1000, seed: int = 42) -> DataFrame:
+def bootstrap(df: DataFrame, by: list[str], label: str, score: str, metric: str = "roc_auc", resamples: int = 1000, seed: int = 42, each: int = 50) -> DataFrame:
     """point, lo and hi (2.5 and 97.5 % quantiles), and samples of a metric for each group.
 
-    A group's labels and scores are one predictor's evaluation pairs, held by
-    one task. Resamples of a single class are NaN and are left out of the
-    quantiles.
+    Rows are first summed by score: to draw n rows with replacement is to draw
+    how often each (score, label) comes, by a multinomial of their numbers. A
+    task makes `each` resamples of a group from its distinct scores. Resamples
+    of a single class are NaN and are left out of the quantiles.
     """
-    function = {"roc_auc": auc_of, "pr_ap": ap_of}[metric]
-
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values([score, label], kind="stable")
-        y, s = rows[label].to_numpy(np.int64), rows[score].to_numpy(np.float64)
-        draw = np.random.default_rng(seed)
-        out = np.full(resamples, np.nan)
-        for k in range(resamples):
-            at = draw.integers(0, len(y), len(y))
-            if 0 < y[at].sum() < len(y):
-                out[k] = function(y[at], s[at])
-        good = out[~np.isnan(out)]
-        lo, hi = np.quantile(good, [0.025, 0.975]) if len(good) else (np.nan, np.nan)
-        point = function(y, s) if 0 < y.sum() < len(y) else np.nan
-        return pd.DataFrame([{**{c: rows[c].iloc[0] for c in by}, "point": point, "lo": lo, "hi": hi, "samples": out}])
-
-    kept = usable(df, label, score).select(*by, F.col(label).cast("int").alias(label), F.col(score).cast("double").alias(score))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema if f.name in by)
-    return kept.groupBy(*by).applyInPandas(run, f"{schema}, point double, lo double, hi double, samples array<double>")
+    function = {"roc_auc": _auc_of_steps, "pr_ap": _ap_of_steps}[metric]
+    steps = usable(df, label, score).groupBy(*by, F.col(score).cast("double").alias("_s")).agg(F.count_if(F.col(label) == 1).alias("_p"), F.count_if(F.col(label) != 1).alias("_n"))
+    keyed = steps.groupBy(*by).agg(F.sort_array(F.collect_list(F.struct("_s", "_p", "_n"))).alias("_all"))
+    blocks = keyed.withColumn("_k", F.explode(F.sequence(F.lit(0), F.lit(max(0, resamples - 1) // each))))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            out = []
+            for steps_of, k in zip(batch["_all"], batch["_k"]):
+                p, n = (np.array([s[c] for s in steps_of], np.int64) for c in ("_p", "_n"))
+                both = np.concatenate([p, n])
+                draw = np.random.default_rng([seed, int(k)])
+                new = draw.multinomial(both.sum(), both / both.sum(), min(each, resamples - int(k) * each))
+                out.append(function(new[:, : len(p)], new[:, len(p) :]).tolist())
+                if k == 0:  # the first value of the first block is the point itself
+                    out[-1] = function(p[None], n[None]).tolist() + out[-1]
+            yield batch.drop(columns="_all").assign(v=out)
+
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in keyed.schema if f.name in by)
+    spread = blocks.repartition(*(F.col(c) for c in (*by, "_k"))).mapInPandas(run, f"{schema}, _k int, v array<double>")
+    whole = spread.groupBy(*by).agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("_k", "v"))), lambda x: x.v)).alias("v"))
+    samples = whole.select(*by, F.col("v")[0].alias("point"), F.slice("v", 2, resamples).alias("samples")).withColumn("_good", F.array_sort(F.filter("samples", lambda x: ~F.isnan(x))))
+
+    def quantile(q: float) -> Column:
+        at = (F.size("_good") - 1) * F.lit(q)
+        lo = F.floor(at).cast("int")
+        a, b = F.try_element_at("_good", lo + 1), F.try_element_at("_good", F.ceil(at).cast("int") + 1)
+        return F.when(F.size("_good") > 0, a + (b - a) * (at - lo))
+
+    return samples.select(*by, F.when(~F.isnan("point"), F.col("point")).alias("point"), quantile(0.025).alias("lo"), quantile(0.975).alias("hi"), "samples")
+
+
+def _auc_of_steps(p: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Areas under the ROC curve of rows of counts by ascending score; NaN where a class is empty."""
+    below = np.cumsum(n, axis=1) - n
+    with np.errstate(invalid="ignore", divide="ignore"):
+        return (p * (below + n / 2)).sum(1) / (p.sum(1) * n.sum(1).astype(np.float64))
+
+
+def _ap_of_steps(p: np.ndarray, n: np.ndarray) -> np.ndarray:
+    tp, fp = np.cumsum(p[:, ::-1], axis=1), np.cumsum(n[:, ::-1], axis=1)
+    with np.errstate(invalid="ignore", divide="ignore"):
+        ap = (p[:, ::-1] * np.where(tp + fp > 0, tp / np.maximum(tp + fp, 1), 0)).sum(1) / p.sum(1).astype(np.float64)
+    return np.where((p.sum(1) > 0) & (n.sum(1) > 0), ap, np.nan)
 
 
 def auc_of(y: np.ndarray, s: np.ndarray) -> float:

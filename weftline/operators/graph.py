@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import chi_square, safe_ratio
 from ..functions.vectors import hash_uniform
-from .lineage import cut
+from .lineage import Tables, cut
 from .pairs import canonical, domain_pairs_of_ppi, members, symmetrised
 
 
@@ -70,21 +70,26 @@ def connected_components(edges: DataFrame, nodes: DataFrame | None = None) -> Da
     """node and component (the smallest node reachable); edges are two columns, nodes adds single ones.
 
     Labels take the least of their neighbours' and then of their label's label,
-    so rounds grow with the logarithm of a path, and each is checkpointed.
+    so rounds grow with the logarithm of a path. Each is written as a table: a
+    checkpoint would keep the size that its plan guessed, and guesses multiply.
     """
-    both = cut(symmetrised(edges.toDF("a", "b"), "a", "b"))
+    tables = Tables(edges.sparkSession)
+    both = tables.written(symmetrised(edges.toDF("a", "b"), "a", "b"), "both")
     own = members(both, "a", name="node")
     if nodes is not None:
         own = own.unionByName(nodes.toDF("node")).distinct()
-    labels = cut(own.withColumn("component", F.col("node")))
+    labels, k = tables.written(own.withColumn("component", F.col("node")), "labels-0"), 0
     while True:
         least = both.join(labels.toDF("b", "l"), "b").groupBy("a").agg(F.min("l").alias("l"))
         step = labels.join(least, F.col("node") == F.col("a"), "left").select("node", F.least("component", F.coalesce("l", "component")).alias("component"), F.col("component").alias("was"))
         jump = step.join(step.select(F.col("node").alias("component"), F.col("component").alias("far")), "component").select("node", F.least("component", "far").alias("component"), "was")
-        labels = cut(jump)
-        if not labels.filter("component != was").head(1):
-            return labels.select("node", "component")
-        labels = labels.select("node", "component")
+        k += 1
+        moved = tables.written(jump, f"labels-{k}")
+        tables.drop(f"labels-{k - 1}")
+        labels = moved.select("node", "component")
+        if not moved.filter("component != was").head(1):
+            tables.drop("both")
+            return labels
 
 
 def group_chi_square(groups: DataFrame, pd_map: DataFrame) -> DataFrame:
@@ -96,7 +101,7 @@ def group_chi_square(groups: DataFrame, pd_map: DataFrame) -> DataFrame:
     """
     own = canonical(groups, "protein_a", "protein_b").distinct()
     shown = canonical(domain_pairs_of_ppi(own, pd_map.distinct()).withColumnsRenamed({"d1": "x", "d2": "y"}), "x", "y").distinct()
-    placed = own.join(shown, ["protein_a", "protein_b"])
+    placed = cut(own.join(shown, ["protein_a", "protein_b"]))
     a = placed.groupBy("group_name", "x", "y").agg(F.count(F.lit(1)).alias("a"))
     t = placed.groupBy("x", "y").agg(F.countDistinct("protein_a", "protein_b").alias("t"))
     n = own.groupBy("group_name").agg(F.count(F.lit(1)).alias("n"))
@@ -142,51 +147,49 @@ def guarded(subgraphs: DataFrame, most_nodes: int = 800, dense_nodes: int = 100,
     return subgraphs.join(fit.select("go"), "go", "left_semi")
 
 
-def split_matrix(matrix: np.ndarray, rows: list[int], cols: list[int]) -> tuple[list[int], list[int], list[int], list[int], list[int]]:
-    """One division step: the first mixed row's columns part the others.
+def _bits(mask: int) -> list[int]:
+    """The places of a mask's set bits."""
+    out = []
+    while mask:
+        low = mask & -mask
+        out.append(low.bit_length() - 1)
+        mask ^= low
+    return out
 
-    Returns rows inside its ones, rows inside its zeros, rows in both, and the
-    two column sets; rows without a one are left out.
-    """
-    live = [r for r in rows if matrix[r, cols].any()]
-    if not live:
-        return [], [], [], cols, []
-    pivot = next((r for r in live if not matrix[r, cols].all()), None)
-    ones = set(cols) if pivot is None else {c for c in cols if matrix[pivot, c]}
-    inner, outer, both = [], [], []
-    for r in live:
-        own = {c for c in cols if matrix[r, c]}
-        (inner if own <= ones else outer if not own & ones else both).append(r)
-    return inner, outer, both, [c for c in cols if c in ones], [c for c in cols if c not in ones]
-
-
-def biclusters(matrix: np.ndarray, dense: float, least: int = 3, repeats: int = 50) -> list[tuple[list[int], list[int]]]:
-    """Row and column sets (3 by 3 at least) whose row and column means all exceed dense.
-
-    Divide and conquer with an explicit stack in row order; a state that comes
-    up more than repeats times is given up.
+
+def biclusters(matrix: np.ndarray, dense: float, least: int = 3) -> list[tuple[list[int], list[int]]]:
+    """Row and column sets (least by least at least) whose row and column means all exceed dense.
+
+    Rows are bit masks. A block that isn't dense is taken apart by its sparsest
+    row that has a gap: a block of ones lies within that row's columns, or it
+    has a column which the row lacks, and then only rows with such a column.
+    The first part has fewer columns, the second fewer rows, and a block that
+    comes up again isn't looked at again, so the work ends.
     """
-    found: dict[tuple, None] = {}
-    times: dict[tuple, int] = {}
-    stack = [(list(range(matrix.shape[0])), list(range(matrix.shape[1])))]
-    while stack:
-        rows, cols = stack.pop()
-        state = (tuple(rows), tuple(cols))
-        times[state] = times.get(state, 0) + 1
-        if times[state] > repeats or len(rows) < least or len(cols) < least:
+    masks = [sum(1 << j for j in np.flatnonzero(r).tolist()) for r in matrix]
+    whole = (sum(1 << i for i, m in enumerate(masks) if m), (1 << matrix.shape[1]) - 1)
+    seen, found, todo = {whole}, [], [whole]
+    while todo:
+        rows, cols = todo.pop()
+        names, width = _bits(rows), cols.bit_count()
+        if len(names) < least or width < least:
             continue
-        part = matrix[np.ix_(rows, cols)]
-        if (part.mean(1) > dense).all() and (part.mean(0) > dense).all():
-            found[state] = None
+        own = {i: masks[i] & cols for i in names}
+        if min(m.bit_count() for m in own.values()) > dense * width:
+            tall = {j: sum(m >> j & 1 for m in own.values()) for j in _bits(cols)}
+            if min(tall.values()) > dense * len(names):
+                found.append((names, list(tall)))
+                continue
+        gaps = [i for i in names if own[i] != cols]
+        if not gaps:
             continue
-        inner, outer, both, left, right = split_matrix(matrix, rows, cols)
-        if both:
-            stack.append((sorted(both + outer), sorted(left + right)))
-        elif outer:
-            stack.append((outer, right))
-        if inner:
-            stack.append((sorted(inner + both), left))
-    return [(list(r), list(c)) for r, c in found]
+        inside = own[min(gaps, key=lambda i: (own[i].bit_count(), i))]
+        for columns, needed in ((cols, cols & ~inside), (inside, inside)):
+            part = (sum(1 << i for i in names if own[i] & needed), columns)
+            if part not in seen:
+                seen.add(part)
+                todo.append(part)
+    return sorted(found)
 
 
 def bicluster_pairs(subgraphs: DataFrame, dense: float) -> DataFrame:
