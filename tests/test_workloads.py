@@ -8,6 +8,7 @@ import pandas as pd
 import pytest
 
 import __spark_entry__ as entry
+from weftline.plans import extended  # noqa: F401
 from weftline.plans.registry import ORACLES, QUERIES
 
 SF = "/root/testdata/sf0.001"

@@ -57,7 +57,7 @@ def residue_slice(matrix: Column, start: Column, end: Column) -> Column:
 
 
 def slice_mean(matrix: Column, start: Column, end: Column) -> Column:
-    """The mean vector of rows [start, end); null where there are none."""
+    """The mean vector of rows [start, end); null where there are none. A decoded matrix must be a column already."""
     part = residue_slice(matrix, start, end)
     n = F.size(part)
     width = F.size(F.element_at(part, 1))

@@ -60,6 +60,11 @@ def mixed(first: DataFrame, *others: DataFrame) -> DataFrame:
     return first
 
 
+def keyed(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Tasks with the results of their key (join of keyed channels); a task without one drops out."""
+    return left.join(right, keys)
+
+
 def sorted_text(df: DataFrame, column: str) -> DataFrame:
     """One row: all values, sorted, a line each (collectFile for version lines)."""
     return df.agg(F.array_join(F.array_sort(F.collect_list(column)), "\n").alias("text"))

@@ -145,7 +145,7 @@ def bootstrap(df: DataFrame, by: list[str], label: str, score: str, metric: str
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in keyed.schema if f.name in by)
     spread = blocks.repartition(*(F.col(c) for c in (*by, "_k"))).mapInPandas(run, f"{schema}, _k int, v array<double>")
     whole = spread.groupBy(*by).agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("_k", "v"))), lambda x: x.v)).alias("v"))
-    samples = whole.select(*by, F.col("v")[0].alias("point"), F.slice("v", 2, resamples).alias("samples")).withColumn("_good", F.array_sort(F.filter("samples", lambda x: ~F.isnan(x))))
+    samples = whole.select(*by, F.col("v")[0].alias("point"), F.slice("v", 2, resamples).alias("samples")).withColumn("_good", F.array_sort(F.filter("samples", lambda x: x.isNotNull() & ~F.isnan(x))))
 
     def quantile(q: float) -> Column:
         at = (F.size("_good") - 1) * F.lit(q)

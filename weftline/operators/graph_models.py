@@ -78,6 +78,14 @@ def expand(prepared: Prepared, chi_square_cutoff: float, bicluster_cutoff: float
     return best, cut(graph.bicluster_pairs(subgraphs, bicluster_cutoff).select("a", "b").distinct())
 
 
+def max_normalised(df: DataFrame, score: str, keys: list[str], seed: int) -> DataFrame:
+    """score over its largest value (0 where that is 0), moved by a hash-drawn jitter of 1,000 machine epsilons, held to 0 and 1."""
+    top = df.agg(F.max(score).alias("_top"))
+    jitter = (hash_uniform(seed, *map(F.col, keys)) * 2 - 1) * (2.0**-52 * 1000)
+    share = F.coalesce(F.col(score) / F.nullif("_top", F.lit(0.0)), F.lit(0.0))
+    return df.crossJoin(F.broadcast(top)).withColumn(score, clamp01(share + jitter)).drop("_top")  # one row
+
+
 def network_model(train: Split | None, test: Split, ontology: DataFrame, config: NetworkConfig) -> tuple[DataFrame, tuple[float, float]]:
     """Predictions for test's evaluation pairs, and the cutoffs used.
 
@@ -99,12 +107,10 @@ def network_model(train: Split | None, test: Split, ontology: DataFrame, config:
     ready = prepare(test, ontology, config)
     best, predicted = expand(ready, *chosen)
     scores = best.groupBy(F.least("d1", "d2").alias("domain_a"), F.greatest("d1", "d2").alias("domain_b")).agg(F.max("chi2").alias("chi2"))
-    top = scores.agg(F.max("chi2").alias("top"))
+    scores = max_normalised(scores, "chi2", ["domain_a", "domain_b"], config.seed)
     pairs = ready.ddi.filter("eval_relevant = 1").groupBy("domain_a", "domain_b").agg(F.max("interaction").alias("interaction"))
-    eps = 2.0**-52 * 1000
-    jitter = (hash_uniform(config.seed, F.col("domain_a"), F.col("domain_b")) * 2 - 1) * eps
-    flagged = edge_lookup(pairs, predicted, "hit").join(scores, ["domain_a", "domain_b"], "left").crossJoin(F.broadcast(top))  # one row
-    score = clamp01(F.coalesce(F.col("chi2") / F.nullif("top", F.lit(0.0)), F.lit(0.0)) + jitter)
+    flagged = edge_lookup(pairs, predicted, "hit").join(scores, ["domain_a", "domain_b"], "left")
+    score = F.coalesce("chi2", F.lit(0.0))
     out = flagged.select(
         "domain_a", "domain_b", F.col("interaction").cast("byte").alias("true_interaction"), F.col("hit").cast("byte").alias("predicted_interaction"), score.cast("float").alias("predicted_probability")
     )
@@ -128,7 +134,7 @@ def parsimony_scores(split: Split, reliabilities: list[float], config: Parsimony
     """reliability, domain_a, domain_b, interaction, eval_relevant, witnesses, p and pw of each known pair."""
     kept = reduce_for_graph(split.ddi, split.pd, split.ppi, None, None, config.least_score)
     pairs = kept["ddi"].groupBy("domain_a", "domain_b").agg(F.max("interaction").alias("interaction"), F.max("eval_relevant").alias("eval_relevant"))
-    number = cut(pairs.coalesce(1).sortWithinPartitions("domain_a", "domain_b").withColumn("pair_id", F.monotonically_increasing_id()))  # known pairs of one split
+    number = cut(nullmodels.numbered_pairs(pairs))
     ppi = cut(kept["ppi"].select("protein_a", "protein_b").distinct())
     pd_map = cut(kept["pd"].distinct())
     random_x = cut(nullmodels.random_covers(ppi, pd_map, number, config.iterations, config.seed))
@@ -152,12 +158,17 @@ def best_cutoff(scores: DataFrame, cutoffs: list[float], by: list[str]) -> DataF
     return found.groupBy(*by).agg(best).select(*by, (-F.col("b.c")).alias("cutoff"), F.col("b.accuracy").alias("accuracy"), (-F.col("b.f")).alias("fp_rate"))
 
 
+def grid_winner(found: DataFrame, by: str) -> DataFrame:
+    """The row of the best accuracy, then of the lowest fp_rate, then of the first `by`."""
+    return found.orderBy(F.desc("accuracy"), "fp_rate", by).limit(1)
+
+
 def parsimony_model(train: Split | None, test: Split, config: ParsimonyConfig) -> tuple[DataFrame, tuple[float, float]]:
     """Predictions for test's evaluation pairs, and (reliability, cutoff) used."""
     chosen = config.optimized
     if chosen is None:
         found = best_cutoff(parsimony_scores(train, config.reliabilities, config), config.cutoffs, ["reliability"])
-        row = found.orderBy(F.desc("accuracy"), "fp_rate", "reliability").first()
+        row = grid_winner(found, "reliability").first()
         chosen = (float(row.reliability), float(row.cutoff))
     scores = parsimony_scores(test, [chosen[0]], config).filter("eval_relevant = 1")
     out = scores.select(

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import re
-from collections import defaultdict, deque
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -59,46 +56,40 @@ def read_properties(spark: SparkSession, path: str, key: str = "aa") -> DataFram
     return rows.select(F.col(f"`{first}`").alias(key), *(F.col(f"`{c}`").cast("double").alias(c) for c in others))
 
 
-def parse_ontology(text: str, namespace: str = "molecular_function") -> list[tuple[str, str]]:
-    """(parent, child) of the is_a relations between live terms of a namespace, from OBO text."""
-    parents: dict[str, list[str]] = {}
-    for stanza in re.split(r"\n\s*\n", text):
-        if not stanza.lstrip().startswith("[Term]") or re.search(r"^is_obsolete:\s*true", stanza, re.M):
-            continue
-        own = re.search(r"^id:\s*(\S+)", stanza, re.M)
-        if own and re.search(rf"^namespace:\s*{re.escape(namespace)}\s*$", stanza, re.M):
-            parents[own[1]] = re.findall(r"^is_a:\s*(\S+)", stanza, re.M)
-    return [(p, c) for c, ps in parents.items() for p in ps if p in parents]
-
-
-def ontology_levels(edges: list[tuple[str, str]]) -> dict[str, tuple[int, int]]:
-    """term: (shortest, longest) path from a root."""
-    below, above = defaultdict(list), defaultdict(int)
-    for p, c in edges:
-        below[p].append(c)
-        above[c] += 1
-    terms = {t for e in edges for t in e}
-    level, depth, left = {}, {}, dict(above)
-    queue = deque(sorted(t for t in terms if not above.get(t)))
-    for t in queue:
-        level[t] = depth[t] = 0
-    while queue:  # a term is ready when all its parents are
-        t = queue.popleft()
-        for c in below[t]:
-            level[c] = min(level.get(c, level[t] + 1), level[t] + 1)
-            depth[c] = max(depth.get(c, 0), depth[t] + 1)
-            left[c] -= 1
-            if not left[c]:
-                queue.append(c)
-    return {t: (level[t], depth[t]) for t in terms if t in level}
+def ontology_edges(spark: SparkSession, path: str, namespace: str = "molecular_function") -> DataFrame:
+    """parent, child of the is_a relations between live terms of a namespace; Spark splits the OBO text into its stanzas."""
+    stanzas = spark.read.option("lineSep", "\n[Term]\n").text(path)
+    # A stanza goes up to the next one of another kind; the file's head has no id.
+    own = stanzas.select(F.split(F.regexp_replace("value", r"^\s*\[Term\]\s*\n", ""), r"\n\[")[0].alias("s"))
+    field = lambda key: F.regexp_extract("s", rf"(?m)^{key}:[ \t]*(\S+)", 1)
+    live = own.filter((field("id") != "") & (field("namespace") == namespace) & (field("is_obsolete") != "true"))
+    terms = live.select(field("id").alias("child"), F.regexp_extract_all("s", F.lit(r"(?m)^is_a:[ \t]*(\S+)"), 1).alias("p"))
+    edges = terms.select(F.explode("p").alias("parent"), "child").distinct()
+    return edges.join(terms.select(F.col("child").alias("parent")).distinct(), "parent", "left_semi")
 
 
-def read_ontology(spark: SparkSession, path: str, namespace: str = "molecular_function") -> DataFrame:
-    """parent, child, and the child's level (shortest path from the root) and depth (longest).
+def ontology_levels(edges: DataFrame, most: int = 100) -> DataFrame:
+    """term, level (shortest path from a root) and depth (longest), by one join for each step away from the roots.
 
-    An ontology is a file of some ten MB by nature; it is parsed on the driver.
+    A relation without end (a cycle, or paths of over `most` steps) is an error.
     """
-    text = "\n".join(r.value for r in spark.read.text(path, wholetext=True).collect())
-    edges = parse_ontology(text, namespace)
-    levels = ontology_levels(edges)
-    return spark.createDataFrame([(p, c, levels[c][1], levels[c][0]) for p, c in edges], "parent string, child string, depth int, level int")
+    from ..operators.lineage import Tables
+
+    tables = Tables(edges.sparkSession)
+    edges = tables.written(edges, "edges")
+    at = edges.select(F.col("parent").alias("term")).distinct().join(edges.select(F.col("child").alias("term")), "term", "left_anti").withColumn("step", F.lit(0))
+    steps = None
+    for k in range(1, most + 2):
+        at = tables.written(at, f"step-{k}")
+        steps = at if steps is None else steps.unionByName(at)
+        if at.isEmpty():
+            return steps.groupBy("term").agg(F.min("step").alias("level"), F.max("step").alias("depth"))
+        at = at.join(edges, F.col("term") == F.col("parent")).select(F.col("child").alias("term")).distinct().withColumn("step", F.lit(k))
+    raise ValueError(f"the ontology has a cycle, or paths of over {most} steps")
+
+
+def read_ontology(spark: SparkSession, path: str, namespace: str = "molecular_function") -> DataFrame:
+    """parent, child, and the child's depth (longest path from the root) and level (shortest)."""
+    edges = ontology_edges(spark, path, namespace)
+    levels = ontology_levels(edges).select(F.col("term").alias("child"), "depth", "level")
+    return edges.join(levels, "child").select("parent", "child", "depth", "level")

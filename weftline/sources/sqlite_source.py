@@ -7,8 +7,10 @@
 
 from __future__ import annotations
 
+import glob
 import os
 import sqlite3
+import uuid
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,9 +31,19 @@ def _open(path: str) -> sqlite3.Connection:
     return sqlite3.connect(f"file:{path}?mode=ro", uri=True)
 
 
+def _files(path: str) -> list[str]:
+    """The file at path, or the SQLite files of a folder that aren't empty."""
+    if not os.path.isdir(path):
+        return [path]
+    found = [p for p in sorted(glob.glob(f"{glob.escape(path)}/*.sqlite3")) if os.path.getsize(p)]
+    if not found:
+        raise FileNotFoundError(f"{path} holds no SQLite file")
+    return found
+
+
 class RowRange(InputPartition):
-    def __init__(self, lo: int, hi: int) -> None:
-        self.lo, self.hi = lo, hi
+    def __init__(self, path: str, lo: int, hi: int) -> None:
+        self.path, self.lo, self.hi = path, lo, hi
 
 
 class SqliteReader(DataSourceReader):
@@ -61,17 +73,19 @@ class SqliteReader(DataSourceReader):
                 yield f
 
     def partitions(self) -> list[RowRange]:
-        with _open(self.path) as db:
-            lo, hi = db.execute(f"SELECT min(rowid), max(rowid) FROM {_quoted(self.name)}").fetchone()
-        if lo is None:
-            return [RowRange(0, 0)]
-        return [RowRange(a, min(a + self.rows, hi + 1)) for a in range(lo, hi + 1, self.rows)]
+        out = []
+        for path in _files(self.path):
+            with _open(path) as db:
+                lo, hi = db.execute(f"SELECT min(rowid), max(rowid) FROM {_quoted(self.name)}").fetchone()
+            if lo is not None:
+                out += [RowRange(path, a, min(a + self.rows, hi + 1)) for a in range(lo, hi + 1, self.rows)]
+        return out or [RowRange(_files(self.path)[0], 0, 0)]
 
     def read(self, partition: RowRange) -> Iterator[tuple]:
         columns = ", ".join(_quoted(f.name) for f in self.schema)
         test = " AND ".join([f"rowid >= {partition.lo} AND rowid < {partition.hi}", *self.where])
         boolean = [k for k, f in enumerate(self.schema) if f.dataType.simpleString() == "boolean"]
-        with _open(self.path) as db:
+        with _open(partition.path) as db:
             cursor = db.execute(f"SELECT {columns} FROM {_quoted(self.name)} WHERE {test}", self.values)
             while rows := cursor.fetchmany(self.chunk):
                 for row in rows:
@@ -82,14 +96,14 @@ class SqliteReader(DataSourceReader):
 
 
 class SqliteSource(DataSource):
-    """Options: path, table, rows_per_partition (50000), chunk_rows (5000)."""
+    """Options: path (a file, or a folder of files with the same table), table, rows_per_partition (50000), chunk_rows (5000)."""
 
     @classmethod
     def name(cls) -> str:
         return "sqlite_table"
 
     def schema(self) -> str:
-        with _open(self.options["path"]) as db:
+        with _open(_files(self.options["path"])[0]) as db:
             found = db.execute(f"PRAGMA table_info({_quoted(self.options['table'])})").fetchall()
         if not found:
             raise ValueError(f"{self.options['path']} has no table {self.options['table']}")
@@ -108,6 +122,32 @@ def read_table(spark: SparkSession, path: str, table: str, schema: str | None =
     return (reader.schema(schema) if schema else reader).load()
 
 
+_SQL_KINDS = {"boolean": "BOOLEAN", "string": "TEXT", "binary": "BLOB", "float": "REAL", "double": "REAL"}
+
+
+def write_table(df: DataFrame, folder: str, table: str) -> None:
+    """df as SQLite files below folder (a path that all executors mount), one for each partition.
+
+    A file appears under its name only when it is whole, so a task that runs
+    again replaces it.
+    """
+    kinds = [(f.name, _SQL_KINDS.get(f.dataType.simpleString(), "INTEGER")) for f in df.schema]
+
+    def run(rows: Iterator) -> None:
+        from pyspark import TaskContext
+
+        os.makedirs(folder, exist_ok=True)
+        end = f"{folder}/part-{TaskContext.get().partitionId():05d}.sqlite3"
+        part = f"{end}.{uuid.uuid4().hex[:8]}"
+        with sqlite3.connect(part) as db:
+            db.execute(f"CREATE TABLE {_quoted(table)} ({', '.join(f'{_quoted(n)} {k}' for n, k in kinds)})")
+            db.executemany(f"INSERT INTO {_quoted(table)} VALUES ({', '.join('?' * len(kinds))})", (tuple(bytes(v) if isinstance(v, bytearray) else v for v in r) for r in rows))
+        db.close()
+        os.replace(part, end)
+
+    df.foreachPartition(run)
+
+
 SPLITS = ("train", "test", "optimization")
 
 
