@@ -40,6 +40,11 @@ def load(path: str):
     return Tokenizer.from_file(path)
 
 
+def id_width(lib, *ids: int) -> int:
+    """Bytes of an unsigned id (2 or 4) that hold every id of a vocabulary, and ids."""
+    return 2 if max([*lib.get_vocab(with_added_tokens=True).values(), *ids]) < 1 << 16 else 4
+
+
 class WordEncoder:
     """Token ids of texts, for vocabularies that drop white space (word ends are marked)."""
 
@@ -48,7 +53,7 @@ class WordEncoder:
     def __init__(self, path: str) -> None:
         self.lib = load(path)
         self.specials = [t.content for t in self.lib.get_added_tokens_decoder().values()]
-        self.dtype = np.uint16 if self.lib.get_vocab_size() <= 1 << 16 else np.uint32
+        self.dtype = np.uint16 if id_width(self.lib) == 2 else np.uint32
         self.clear()
 
     def clear(self) -> None:

@@ -7,12 +7,12 @@ patterns; their bucket is compared word by word with the text (first the
 prefix block, then all words, each by its 64-bit hash). Many lanes, stretches
 of documents, advance side by side in arrays.
 
-The patterns of a block of items go to every task; a block holds block_windows
-windows at most, and further blocks are searched one after another, so what is
-sent has a fixed bound however large the benchmark is.
+The patterns of a block of items go to every task; a block has a bound in bytes,
+and further blocks are searched one after another, so what is sent has a fixed
+bound however large the benchmark is.
 
 Nulls and empties: a null text has no words and no hits; an item of no words
-has no window, and one with a null id counts as the item `null`; repeated
+has no window; items with a null id are one item, shown as `null`; repeated
 items count once, repeated documents are searched each. With an empty
 benchmark nothing is hit; an empty table gives no rows.
 """
@@ -20,15 +20,18 @@ benchmark nothing is hit; an empty table gives no rows.
 from __future__ import annotations
 
 import hashlib
+import itertools
 from collections import defaultdict
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .runtime import Scratch
+from .runtime import Scratch, fresh, neutral, quoted
 from .textkern import ALNUM, Slice, slices, spread
 
 LANE = 512
@@ -111,12 +114,17 @@ def item_windows(s: Slice, window: int) -> list[tuple[int, np.ndarray]]:
     return out
 
 
+def _shown(name: str | None) -> tuple[str, bool]:
+    """Order of item ids as text; an item without id is shown as null, after one that is called so."""
+    return ("null", True) if name is None else (name, False)
+
+
 class Matcher:
     """All windows of a block of items: one search for each length of window."""
 
-    def __init__(self, items: list[tuple[str, str]], window: int) -> None:
+    def __init__(self, items: list[tuple[str | None, str]], window: int) -> None:
         by_length: dict[int, dict[bytes, set[int]]] = defaultdict(lambda: defaultdict(set))
-        self.names = sorted({name for name, _ in items})
+        self.names = sorted({name for name, _ in items}, key=_shown)
         number = {name: k for k, name in enumerate(self.names)}
         for s in slices(pa.array([text for _, text in items], pa.string())):
             for k, w in item_windows(s, window):
@@ -145,10 +153,10 @@ class Matcher:
         return doc, at, end, np.cumsum(cover[:-1]) > 0, np.unique(np.concatenate(pairs), axis=0)
 
 
-def _blocks(items: DataFrame, id_col: str, text_col: str, limit_bytes: int) -> Iterator[list[tuple[str, str]]]:
+def _blocks(items: DataFrame, id_col: str, text_col: str, limit_bytes: int) -> Iterator[list[tuple[str | None, str]]]:
     """The items in blocks of bounded size, streamed partition by partition."""
     block, size = [], 0
-    rows = items.select(F.coalesce(F.col(id_col).cast("string"), F.lit("null")), F.coalesce(F.col(text_col), F.lit("")))
+    rows = items.select(F.col(quoted(id_col)).cast("string"), F.coalesce(F.col(quoted(text_col)), F.lit("")))
     for name, text in rows.toLocalIterator():
         if block and size + len(text) > limit_bytes:
             yield block
@@ -159,68 +167,92 @@ def _blocks(items: DataFrame, id_col: str, text_col: str, limit_bytes: int) -> I
         yield block
 
 
+def _matched(matcher: Matcher, s: Slice) -> tuple[np.ndarray, list[bytes | None], list[list]]:
+    """For each row of s: words, a bit for each word (None where none is hit) and the items, sorted as text."""
+    doc, _, _, hit, pairs = matcher.match(s)
+    n = np.bincount(doc, minlength=len(s))
+    edge = np.concatenate([[0], np.cumsum(n)])
+    got = defaultdict(list)
+    for row, item in pairs.tolist():
+        got[row].append(matcher.names[item])
+    rows = set(doc[hit].tolist())
+    bits = [np.packbits(hit[edge[k] : edge[k + 1]]).tobytes() if k in rows else None for k in range(len(s))]
+    return n, bits, [got.get(k, []) for k in range(len(s))]
+
+
 def find(docs: DataFrame, items: DataFrame, window: int = 10, block_bytes: int = 4 << 20, text_col: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
-    """docs with _wf_n_words, _wf_hits (a bit for each word), _wf_items (sorted item ids as strings).
+    """docs with _wf_n_words, _wf_hits (a bit for each word), _wf_items (sorted item ids as strings, null for an item without id).
 
-    block_bytes: the text of the items that are searched, and sent, at once.
+    The three columns are the last, with underscores behind their names where
+    docs has one of that name. block_bytes: the text of the items that are
+    searched, and sent, at once. The documents are read once for each further
+    block, but carried along only once: what a block finds is kept by the
+    text's hash, and joined in the end.
     """
-    scratch = Scratch(docs.sparkSession)
-    own = docs.columns
-    state = docs.withColumns({"_wf_n_words": F.lit(0).cast("long"), "_wf_hits": F.lit(None).cast("binary"), "_wf_items": F.array().cast("array<string>")})
-    place = own.index(text_col)
-    schema = state.schema
-
-    def step(block: list[tuple[str, str]]):
+    rows, name = neutral(docs)
+    inner = rows.columns
+    place = inner.index(name[text_col])
+    out = [*docs.columns, *fresh(docs.columns, "_wf_n_words", "_wf_hits", "_wf_items")]
+    blocks = _blocks(items, item_id, item_text, block_bytes)
+    first, second = next(blocks, []), next(blocks, None)
+    added = "n_words long, hits binary, items array<string>"
+
+    def step(block: list[tuple[str | None, str]], carried: bool):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             matcher = Matcher(block, window)
             for batch in batches:
-                for s in slices(batch.column(place)):
+                for s in slices(batch.column(place if carried else 0)):
                     part = batch.slice(s.first, len(s))
-                    doc, _, _, hit, pairs = matcher.match(s)
-                    n = np.bincount(doc, minlength=len(s))
-                    edge = np.concatenate([[0], np.cumsum(n)])
-                    got = defaultdict(set)
-                    for row, item in pairs.tolist():
-                        got[row].add(matcher.names[item])
-                    bits, names = [], []
-                    rows = set(doc[hit].tolist())
-                    before = zip(part.column(len(own) + 1).to_pylist(), part.column(len(own) + 2).to_pylist())
-                    for k, (old, had) in enumerate(before):
-                        if k in rows:
-                            new = np.packbits(hit[edge[k] : edge[k + 1]])
-                            old = (new | np.frombuffer(old, np.uint8) if old else new).tobytes()
-                        bits.append(old)
-                        names.append(sorted({*had, *got[k]}) if k in got else had)
-                    columns = [*part.columns[: len(own)], pa.array(n.astype(np.int64)), pa.array(bits, pa.binary()), pa.array(names, pa.list_(pa.string()))]
-                    yield pa.RecordBatch.from_arrays(columns, names=schema.names)
+                    n, bits, names = _matched(matcher, s)
+                    kept = range(len(s)) if carried else [k for k, b in enumerate(bits) if b is not None]
+                    head = part.columns if carried else [part.column(1).take(pa.array(kept, pa.int64()))]
+                    columns = [*head, pa.array(n.astype(np.int64)[list(kept)]), pa.array([bits[k] for k in kept], pa.binary()), pa.array([names[k] for k in kept], pa.list_(pa.string()))]
+                    yield pa.RecordBatch.from_arrays(columns, names=[*(inner if carried else ["t"]), "n_words", "hits", "items"])
 
         return run
 
-    done = 0
-    for block in _blocks(items, item_id, item_text, block_bytes):
-        if done:
-            state = scratch.table(state, f"after{done}")
-            if done > 1:
-                scratch.drop(f"after{done - 1}")
-        state = state.mapInArrow(step(block), schema)
-        done += 1
-    return state if done else state.mapInArrow(step([]), schema)
+    schema = T.StructType([*rows.schema.fields, *T._parse_datatype_string(added).fields])
+    if second is None:
+        return rows.mapInArrow(step(first, True), schema).toDF(*out)
+    scratch = Scratch(docs.sparkSession)
+    texts = rows.select(F.col(name[text_col]).alias("text"), F.xxhash64(name[text_col]).alias("t"))
+    parts = []
+    for k, block in enumerate(itertools.chain((first, second), blocks)):
+        parts.append(scratch.table(texts.mapInArrow(step(block, False), f"t long, {added}"), f"hits{k}").dropDuplicates(["t"]))
+    every = reduce(lambda a, b: a.unionByName(b), parts)
+
+    def merged(keys, group):  # a row for each block at most
+        bits = np.bitwise_or.reduce([np.frombuffer(b, np.uint8) for b in group.column("hits").to_pylist()])
+        names = sorted({x for own in group.column("items").to_pylist() for x in own}, key=_shown)
+        return pa.table({"t": pa.array([keys[0].as_py()], pa.int64()), "hits": pa.array([bits.tobytes()], pa.binary()), "items": pa.array([names], pa.list_(pa.string()))})
+
+    found = scratch.table(every.select("t", "hits", "items").groupBy("t").applyInArrow(merged, "t long, hits binary, items array<string>"), "found")
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for s in slices(batch.column(place)):
+                n = np.bincount(s.words(ALNUM)[2], minlength=len(s))
+                yield pa.RecordBatch.from_arrays([*batch.slice(s.first, len(s)).columns, pa.array(n.astype(np.int64))], names=[*inner, "n_words"])
+
+    counted = rows.mapInArrow(count, T.StructType([*rows.schema.fields, T.StructField("n_words", T.LongType())]))
+    joined = counted.withColumn("t", F.xxhash64(name[text_col])).join(found, "t", "left")
+    return joined.select(*inner, "n_words", "hits", F.coalesce("items", F.array().cast("array<string>"))).toDF(*out)
 
 
 def digest(found: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """For each document: doc_id, n_words, n_hit, n_items, items_sha256, contaminated."""
+    """For each document of find(): doc_id, n_words, n_hit, n_items, items_sha256, contaminated."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             hits = [int(np.unpackbits(np.frombuffer(b, np.uint8)).sum()) if b else 0 for b in batch.column(2).to_pylist()]
             items = batch.column(3).to_pylist()
             yield pa.record_batch(
-                [batch.column(0), batch.column(1), pa.array(hits, pa.int64()), pa.array([len(x) for x in items], pa.int64()), pa.array([hashlib.sha256(",".join(x).encode()).hexdigest() for x in items]), pa.array([n > 0 for n in hits])],
+                [batch.column(0), batch.column(1), pa.array(hits, pa.int64()), pa.array([len(x) for x in items], pa.int64()), pa.array([hashlib.sha256(",".join("null" if y is None else y for y in x).encode()).hexdigest() for x in items]), pa.array([n > 0 for n in hits])],
                 names=["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"],
             )
 
     schema = "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean"
-    return found.select(F.col(id_col).cast("long").alias("doc_id"), "_wf_n_words", "_wf_hits", "_wf_items").mapInArrow(run, schema)
+    return found.select(F.col(quoted(id_col)).cast("long").alias("doc_id"), *map(quoted, found.columns[-3:])).mapInArrow(run, schema)
 
 
 def remove_hits(found: DataFrame, text_col: str = "text") -> DataFrame:
@@ -229,9 +261,11 @@ def remove_hits(found: DataFrame, text_col: str = "text") -> DataFrame:
     A stretch goes from its first word's first letter to its last word's last;
     what stands between words that are not hit is kept as it is.
     """
-    own = [c for c in found.columns if c not in ("_wf_n_words", "_wf_hits", "_wf_items")]
+    own, hits = found.columns[:-3], found.columns[-2]
     place = own.index(text_col)
-    out_schema = found.select(*own).schema
+    rows, _ = neutral(found.select(*map(quoted, own), quoted(hits)))
+    inner = rows.columns[:-1]
+    out_schema = rows.select(*inner).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -254,6 +288,6 @@ def remove_hits(found: DataFrame, text_col: str = "text") -> DataFrame:
                         texts[k] = b"".join(blob).decode("utf-8")
                 columns = list(part.columns[: len(own)])
                 columns[place] = pa.array(texts, columns[place].type)
-                yield pa.RecordBatch.from_arrays(columns, names=own)
+                yield pa.RecordBatch.from_arrays(columns, names=inner)
 
-    return found.select(*own, "_wf_hits").mapInArrow(run, out_schema)
+    return rows.mapInArrow(run, out_schema).toDF(*own)

@@ -1,7 +1,7 @@
 """Language identification with hyperdimensional profiles.
 
-Each letter has a random vector of +1 and -1, made by a rule from its number
-and a seed. A trigram of letters (word edges count as a letter) binds the
+Each letter of any script has a random vector of +1 and -1 of its own, made by
+a rule from its code point and a seed. A trigram of letters (word edges count as a letter) binds the
 first letter's vector, permuted twice, the second's, permuted once, and the
 third's by multiplication. A text bundles the vectors of its trigrams; a
 language bundles those of its training texts, in every task, and the tasks'
@@ -25,25 +25,24 @@ from pyspark.sql import functions as F
 
 from .textkern import Slice, mix, slices
 
-LETTERS = 64
 UNKNOWN = "und"
+#: Bits of a code point in a trigram's number.
+BITS = 21
 
 
-def letter_vectors(dims: int, seed: int = 7) -> list[np.ndarray]:
-    """The letters' vectors permuted twice, once and not at all, as int8."""
-    n = np.arange(LETTERS * dims, dtype=np.uint64) + np.uint64(seed << 32)
-    base = ((mix(n) >> np.uint64(63)).astype(np.int8) * 2 - 1).reshape(LETTERS, dims)
-    return [np.roll(base, k, axis=1) for k in (2, 1, 0)]
+def letter_vectors(letters: np.ndarray, dims: int, seed: int = 7) -> np.ndarray:
+    """The vector of each letter, made from its code point by a rule, as int8; 0 is the edge of a word."""
+    n = letters.astype(np.uint64)[:, None] * np.uint64(dims) + np.arange(dims, dtype=np.uint64) + np.uint64(seed << 40)
+    return (mix(n) >> np.uint64(63)).astype(np.int8) * 2 - 1
 
 
 def _letter_table() -> np.ndarray:
-    """The letter number of each code point below 65536, 0 for what is no letter."""
-    out = np.zeros(1 << 16, np.uint8)
+    """The lower-cased code point of each letter below 65536, 0 for what is no letter."""
+    out = np.zeros(1 << 16, np.int64)
     for cp in range(1 << 16):
         c = chr(cp)
         if c.isalpha():
-            low = ord(c.lower()[0])
-            out[cp] = low - 96 if 97 <= low <= 122 else 27 + low * 2654435761 % (1 << 32) * (LETTERS - 27) // (1 << 32)
+            out[cp] = ord(c.lower()[0])
     return out
 
 
@@ -52,16 +51,15 @@ class Profiler:
 
     def __init__(self, dims: int) -> None:
         self.dims = dims
-        self.vectors = letter_vectors(dims)
         self.table = _letter_table()
 
     def trigrams(self, s: Slice) -> tuple[np.ndarray, np.ndarray]:
         """Row and trigram number of every trigram; rows ascend."""
         text = s.blob.tobytes().decode("utf-8", "replace")
         cp = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
-        letter = self.table[np.minimum(cp, 65535)].astype(np.int64)
+        letter = self.table[np.minimum(cp, 65535)]
         for k in np.flatnonzero(cp > 65535).tolist():
-            letter[k] = 27 + int(cp[k]) % (LETTERS - 27) if chr(cp[k]).isalpha() else 0
+            letter[k] = ord(chr(cp[k]).lower()[0]) if chr(cp[k]).isalpha() else 0
         # code points to rows: a continuation byte starts none
         heads = (s.blob & 0xC0) != 0x80
         upto = np.cumsum(heads)
@@ -72,11 +70,14 @@ class Profiler:
         padded = np.concatenate([[0], letter, [0]])
         a, b, c = padded[:-2], padded[1:-1], padded[2:]
         ok = b > 0
-        return row[ok], ((a * LETTERS + b) * LETTERS + c)[ok]
+        return row[ok], (a << 2 * BITS | b << BITS | c)[ok]
 
     def bound(self, numbers: np.ndarray) -> np.ndarray:
-        first, second, third = self.vectors
-        return first[numbers // LETTERS**2] * second[numbers // LETTERS % LETTERS] * third[numbers % LETTERS]
+        """Each trigram's vector: its letters' ones, permuted twice, once and not at all, multiplied."""
+        parts = np.stack([numbers >> 2 * BITS, numbers >> BITS & (1 << BITS) - 1, numbers & (1 << BITS) - 1])
+        letters, at = np.unique(parts, return_inverse=True)
+        base, at = letter_vectors(letters, self.dims), at.reshape(parts.shape)
+        return np.roll(base, 2, axis=1)[at[0]] * np.roll(base, 1, axis=1)[at[1]] * base[at[2]]
 
     def bundles(self, row: np.ndarray, number: np.ndarray, rows: int) -> np.ndarray:
         """The sum of each row's trigram vectors, as float32 (exact below 2^24)."""

@@ -43,7 +43,7 @@ least_of AS (SELECT * FROM (VALUES ('symbol_share', 0.08::DOUBLE), ('mark_share'
 f1 AS (SELECT lang, source, k, count(*) AS n, quantile_disc(v, 0.5) + greatest(6.0::DOUBLE * (quantile_disc(v, 0.75) - quantile_disc(v, 0.25)), any_value(d)) AS lim FROM x JOIN least_of USING (k) GROUP BY 1, 2, 3),
 f2 AS (SELECT lang, k, count(*) AS n, quantile_disc(v, 0.5) + greatest(6.0::DOUBLE * (quantile_disc(v, 0.75) - quantile_disc(v, 0.25)), any_value(d)) AS lim FROM x JOIN least_of USING (k) GROUP BY 1, 2),
 f3 AS (SELECT k, quantile_disc(v, 0.5) + greatest(6.0::DOUBLE * (quantile_disc(v, 0.75) - quantile_disc(v, 0.25)), any_value(d)) AS lim FROM x JOIN least_of USING (k) GROUP BY 1),
-lim AS (SELECT f1.lang, f1.source, f1.k, CASE WHEN f1.n >= 30 THEN f1.lim WHEN f2.n >= 30 THEN f2.lim ELSE f3.lim END AS lim FROM f1 JOIN f2 ON f1.lang IS NOT DISTINCT FROM f2.lang AND f1.k = f2.k JOIN f3 ON f1.k = f3.k),
+lim AS (SELECT f1.lang, f1.source, f1.k, (f1.n * f1.lim + 30 * ((f2.n * f2.lim + 30 * f3.lim) / (f2.n + 30))) / (f1.n + 30) AS lim FROM f1 JOIN f2 ON f1.lang IS NOT DISTINCT FROM f2.lang AND f1.k = f2.k JOIN f3 ON f1.k = f3.k),
 o AS (SELECT id, k, v FROM m UNPIVOT (v FOR k IN (symbol_share, mark_share, upper_share, word_length, dup_line_share, repeat_share))),
 bad AS (SELECT DISTINCT id FROM o JOIN m USING (id) JOIN lim ON lim.k = o.k AND lim.lang IS NOT DISTINCT FROM m.lang AND lim.source IS NOT DISTINCT FROM m.source WHERE o.v > lim.lim)
 SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars, CAST(n_symbols AS BIGINT) AS n_symbols, CAST(n_dup_lines AS BIGINT) AS n_dup_lines, CAST(n_repeat_words AS BIGINT) AS n_repeat_words, base_failed,

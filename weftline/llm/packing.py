@@ -22,20 +22,25 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .bpe import WordEncoder
-from .runtime import Scratch, partition_bases
+from .bpe import WordEncoder, id_width, load
+from .runtime import Scratch, partition_bases, quoted
 from .textkern import slices, spread
 
 _ENCODED = "part int, pos long, local_start long, doc_id long, n_tokens long, ids binary"
 
 
-def encode_documents(docs: DataFrame, tokenizer: str, end_id: int, id_col: str = "doc_id", text_col: str = "text", id_bytes: int = 4) -> DataFrame:
+def encode_documents(docs: DataFrame, tokenizer: str, end_id: int, id_col: str = "doc_id", text_col: str = "text", id_bytes: int | None = None) -> DataFrame:
     """One row for each row of docs: its ids (little-endian, of id_bytes bytes each) with end_id last.
 
+    id_bytes: by default 2 where vocabulary and end_id allow it, else 4; a
+    width that doesn't hold them is an error.
     part and pos number partitions and rows in them, local_start counts the
     partition's ids before the row. Write the result before using them.
     """
-    ids_type = np.dtype({2: np.uint16, 4: np.uint32}[id_bytes])
+    least = id_width(load(tokenizer), end_id)
+    if id_bytes is not None and id_bytes < least:
+        raise ValueError(f"ids of this vocabulary need {least} bytes")
+    ids_type = np.dtype({2: np.uint16, 4: np.uint32}[id_bytes or least])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -65,7 +70,7 @@ def encode_documents(docs: DataFrame, tokenizer: str, end_id: int, id_col: str =
                 pos += len(s)
                 start += int(ends[-1])
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, _ENCODED)
+    return docs.select(F.col(quoted(id_col)).cast("long").alias("doc_id"), F.col(quoted(text_col)).alias("text")).mapInArrow(run, _ENCODED)
 
 
 def with_starts(encoded: DataFrame) -> DataFrame:
@@ -129,7 +134,7 @@ def pack(docs: DataFrame, tokenizer: str, window: int = 4096, end_id: int = 2, i
     for larger vocabularies).
     """
     scratch = Scratch(docs.sparkSession)
-    encoded = scratch.table(encode_documents(docs, tokenizer, end_id, id_col, text_col, 2), "encoded")
+    encoded = scratch.table(encode_documents(docs, tokenizer, end_id, id_col, text_col), "encoded")
     return cut(with_starts(encoded), window)
 
 
@@ -142,7 +147,8 @@ def windows(pieces: DataFrame, window: int = 4096, pad_id: int = 0, pad_last_to_
 
     def run(keys, group):
         group = group.sort_by("offset")
-        ids = np.frombuffer(b"".join(x.as_py() for x in group.column("ids")), np.uint16).astype(np.int32)
+        raw, n = b"".join(x.as_py() for x in group.column("ids")), sum(group.column("length").to_pylist())
+        ids = np.frombuffer(raw, {2: np.uint16, 4: np.uint32}[len(raw) // n]).astype(np.int32)
         goal = window
         if pad_last_to_power_of_two and len(ids) < window:
             goal = min(window, 1 << max(0, len(ids) - 1).bit_length())
@@ -150,4 +156,4 @@ def windows(pieces: DataFrame, window: int = 4096, pad_id: int = 0, pad_last_to_
         return pa.table({"sequence_id": pa.array([keys[0].as_py()], pa.int64()), "ids": pa.array([ids], pa.list_(pa.int32()))})
 
     schema = T.StructType([T.StructField("sequence_id", T.LongType()), T.StructField("ids", T.ArrayType(T.IntegerType()))])
-    return pieces.select("sequence_id", "offset", "ids").groupBy("sequence_id").applyInArrow(run, schema)
+    return pieces.select("sequence_id", "offset", "length", "ids").groupBy("sequence_id").applyInArrow(run, schema)

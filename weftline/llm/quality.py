@@ -3,8 +3,9 @@
 Native DataFrame functions only. One pass measures every document and writes
 the measures. Quantile summaries of them (mergeable: each task's partial
 summary is merged, so a source with a third of all rows is summed where it is
-read) give a median and an upper quartile for each (lang, source), and for the
-language and all documents, which stand in for groups of under min_group rows.
+read) give a median and an upper quartile for each (lang, source), language and
+all documents. The three limits are pooled by their numbers of rows, so a small
+group leans on its language, and a small language on all documents.
 A document is rejected if a measure lies further above its group's median than
 `spread` times the group's inter-quartile distance, or the measure's least
 distance if that is larger; the least distances keep uniform groups whole.
@@ -20,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .runtime import Scratch
+from .runtime import Scratch, fresh, neutral, quoted
 
 SPACE = r"[\x20\x09-\x0D]+"
 SYMBOLS = "[#*$%&|<>]"
@@ -94,23 +95,32 @@ def thresholds(table: DataFrame, spread: float, accuracy: int, min_group: int, p
     lang = rows.groupBy("lang").agg(*sketch, F.count(F.lit(1)).alias("n")).select(F.col("lang").alias("l_lang"), F.col("n").alias("l_n"), *(c.alias(f"l_{k}") for k, c in zip(LEAST, fences)))
     every = rows.agg(*sketch).select(*(c.alias(f"a_{k}") for k, c in zip(LEAST, fences)))
     joined = own.join(lang, F.col("lang").eqNullSafe(F.col("l_lang"))).join(F.broadcast(every))  # one row
-    pick = [F.when(F.col("n") >= min_group, F.col(k)).when(F.col("l_n") >= min_group, F.col(f"l_{k}")).otherwise(F.col(f"a_{k}")).alias(f"{p}max_{k}") for k in LEAST]
-    return joined.select(F.col("lang").alias(f"{p}t_lang"), F.col("source").alias(f"{p}t_source"), *pick)
+
+    def pooled(k: str) -> Column:
+        """A group of n rows counts n times, its language as min_group rows, and in that all documents as min_group."""
+        of_lang = (F.col("l_n") * F.col(f"l_{k}") + min_group * F.col(f"a_{k}")) / (F.col("l_n") + min_group)
+        return ((F.col("n") * F.col(k) + min_group * of_lang) / (F.col("n") + min_group)).alias(f"{p}max_{k}")
+
+    return joined.select(F.col("lang").alias(f"{p}t_lang"), F.col("source").alias(f"{p}t_source"), *map(pooled, LEAST))
 
 
 def judge(df: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source", spread: float = 6.0, accuracy: int = 10_000, min_group: int = 30, keep_columns: list[str] | None = None, p: str = "_wf_") -> DataFrame:
-    """keep_columns of df (all of them by default), and with prefix p the counts, base_failed and kept.
+    """keep_columns of df (all of them by default), and with prefix p the counts, base_failed and, last, kept.
+
+    An added name that a kept column has gets underscores behind it.
 
     base_failed: under 50 words, or over half of them in repeated windows.
     accuracy: the summaries' rank error is 1 / accuracy of a group, and they
     are exact for groups of up to accuracy rows.
     """
     scratch = Scratch(df.sparkSession)
+    given, name = neutral(df)
     columns = df.columns if keep_columns is None else keep_columns
-    plain = measured(df, text_col, p)
+    own = [name[c] for c in columns]
+    plain = measured(given, name[text_col], p)
     failed = (F.col(f"{p}n_words") < 50) | (100 * F.col(f"{p}n_repeat_words") > 50 * F.col(f"{p}n_words"))
     counts = [f"{p}{c}" for c in COUNTS]
-    plain = plain.select(*columns, *counts, F.col(lang_col).alias(f"{p}lang"), F.col(source_col).alias(f"{p}source"), failed.alias(f"{p}base_failed"))
+    plain = plain.select(*own, *counts, F.col(name[lang_col]).alias(f"{p}lang"), F.col(name[source_col]).alias(f"{p}source"), failed.alias(f"{p}base_failed"))
     table = scratch.table(plain, "measured")
     limits = scratch.table(thresholds(table, spread, accuracy, min_group, p), "thresholds")
     on = table[f"{p}lang"].eqNullSafe(limits[f"{p}t_lang"]) & table[f"{p}source"].eqNullSafe(limits[f"{p}t_source"])
@@ -119,9 +129,11 @@ def judge(df: DataFrame, text_col: str = "text", lang_col: str = "lang", source_
     for x in above[1:]:
         over = over | x
     joined = table.join(limits, on, "left").withColumn(f"{p}kept", ~F.col(f"{p}base_failed") & ~over)
-    return joined.select(*columns, *counts, f"{p}base_failed", f"{p}kept")
+    added = [*counts, f"{p}base_failed", f"{p}kept"]
+    return joined.select(*own, *added).toDF(*columns, *fresh(columns, *added))
 
 
 def filter_documents(df: DataFrame, **options) -> DataFrame:
     """The rows of df that the rules keep, with df's columns."""
-    return judge(df, **options).filter("_wf_kept").select(*df.columns)
+    judged = judge(df, **options)
+    return judged.filter(F.col(quoted(judged.columns[-1]))).select(*map(quoted, df.columns))

@@ -51,9 +51,9 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .sharding import shard_rows
 
     text = F.coalesce(F.col("text"), F.lit(""))
-    rows = _docs(spark, sf_dir).select("doc_id", (F.octet_length(text) + F.lit(16)).cast("long").alias("size"), F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"), F.xxhash64(text).alias("_text"))
-    out = shard_rows(rows, 40, F.col("size"), F.col("_text").cast("string"), F.col("doc_id"))
-    return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+    size = (F.octet_length(text) + F.lit(16)).cast("long")
+    out = shard_rows(_docs(spark, sf_dir).select("doc_id", "text"), 40, size, F.col("text"), F.col("doc_id"))
+    return out.select("doc_id", size.alias("size"), F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"), F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

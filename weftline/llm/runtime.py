@@ -25,6 +25,25 @@ def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+def neutral(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """df with its columns called u0, u1, ..., and each column's new name: no name of its own can meet an inner one."""
+    names = [f"u{k}" for k in range(len(df.columns))]
+    return df.toDF(*names), dict(zip(df.columns, names))
+
+
+def spread_join(left: DataFrame, right: DataFrame, keys: list[str], parts: int = 1000) -> DataFrame:
+    """left joined with right, which has one row for each key; left is a written table.
+
+    Keys with over a parts-th part of left's rows, fewer than parts, meet a
+    broadcast of their rows of right, so their rows of left stay where they are.
+    """
+    from pyspark.sql import functions as F
+
+    hot = F.broadcast(left.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > left.count() / parts).select(*keys))
+    few = F.broadcast(right.join(hot, keys, "left_semi"))
+    return left.join(few, keys).unionByName(left.join(hot, keys, "left_anti").join(right, keys))
+
+
 def shared_dir(spark: SparkSession) -> str:
     """A fresh folder path below spark.checkpoint.dir.
 

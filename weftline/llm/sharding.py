@@ -5,7 +5,7 @@ texts lie side by side. Rounds count the exact bytes below candidate boundaries
 in every partition and narrow each splitter's bracket until the bytes below it
 are within the tolerance. Splitters stay between groups of equal texts; only a
 group larger than the tolerance is cut, by its tie hash. Rows then move once,
-to cells that nest in shards, and are numbered inside their cell.
+to cells that nest in shards, whole, and are numbered inside their cell.
 
 Nulls and empties: a null size counts as 0 and a null text as an empty one.
 Repeated rows are kept, each with a slot of its own. An empty table gives an
@@ -20,10 +20,10 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .runtime import Scratch
+from .runtime import Scratch, quoted
 
 TIE_BITS = 23
 TOP = 1 << 63
@@ -96,31 +96,36 @@ def shard_rows(df: DataFrame, shards: int, size: Column, text: Column, row_id: C
 
     tolerance: a shard's bytes differ from the mean by that share of it at
     most, but for rows that are larger. cell_bytes: about the most that one
-    task sorts; cells number at least four for each shard, and their splitters
-    are the only thing held on the driver.
+    task sorts. A shard's cells, four at least, lie between quantiles of its
+    keys from a mergeable summary. The driver holds the shards' splitters, and
+    a key and a count for each cell.
     """
     spark = df.sparkSession
     scratch = Scratch(spark)
-    keyed = df.drop("shard", "slot").withColumns({"_wf_key": sort_key(text, row_id), "_wf_size": F.coalesce(size.cast("long"), F.lit(0))})
-    rows = scratch.table(keyed, "rows")
+    keep = [c for c in df.columns if c not in ("shard", "slot")]
+    given = df.select(F.struct(*(F.col(quoted(c)) for c in keep)).alias("row") if keep else F.struct(F.lit(1)).alias("row"), sort_key(text, row_id).alias("_wf_key"), F.coalesce(size.cast("long"), F.lit(0)).alias("_wf_size"))
+    rows = scratch.table(given, "rows")
     total = int(rows.agg(F.sum("_wf_size")).first()[0] or 0)
-    each = max(4, -(-total // (shards * cell_bytes)))
     mean = total / shards
-    targets = [(total * k / (shards * each), mean * (tolerance / 2 if k % each == 0 else 0.25 / each)) for k in range(1, shards * each)]
-    cuts = np.array([min(x, TOP - 1) for x in splitters(rows, targets, total)], np.int64)
-    below = bytes_below(rows, cuts)[1]
-    before = np.concatenate([[0], below])
-    base = [int(before[c] - before[c - c % each]) for c in range(shards * each)]
-    places = spark.createDataFrame([(c, c // each, b) for c, b in enumerate(base)], "_wf_cell int, shard int, _wf_base long")
+    ends = np.array([min(x, TOP - 1) for x in splitters(rows, [(mean * k, mean * tolerance / 2) for k in range(1, shards)], total)], np.int64)
 
-    @F.pandas_udf("int")
-    def cell(key: pd.Series) -> pd.Series:
-        return pd.Series(np.searchsorted(cuts, key.to_numpy(), side="right").astype(np.int32))
+    def placed(edges: np.ndarray) -> Column:
+        @F.pandas_udf("int")
+        def place(key: pd.Series) -> pd.Series:
+            return pd.Series(np.searchsorted(edges, key.to_numpy(), side="right").astype(np.int32))
 
-    from pyspark.sql import Window
+        return place("_wf_key")
 
-    moved = rows.withColumn("_wf_cell", cell("_wf_key")).repartition(shards * each, "_wf_cell")
+    each = max(4, -(-total // (shards * cell_bytes)))
+    inner = rows.select(placed(ends).alias("s"), "_wf_key").groupBy("s").agg(F.percentile_approx("_wf_key", [k / each for k in range(1, each)], 20 * each).alias("q")).collect()  # a list for each shard
+    cuts = np.unique(np.concatenate([ends, *(np.array(r.q, np.int64) for r in inner)]))
+    below = bytes_below(rows, cuts)[1] if len(cuts) else np.zeros(0, np.int64)
+    before = np.concatenate([[0], below]).astype(np.int64)
+    shard_of = np.concatenate([[0], np.searchsorted(ends, cuts, side="right")]).astype(np.int64)
+    base = before - before[np.searchsorted(shard_of, shard_of)]
+    places = spark.createDataFrame(list(zip(range(len(base)), shard_of.tolist(), base.tolist())), "_wf_cell int, shard int, _wf_base long")
+
+    moved = rows.withColumn("_wf_cell", placed(cuts)).repartition(len(base), "_wf_cell")
     order = Window.partitionBy("_wf_cell").orderBy("_wf_key")
     numbered = moved.withColumn("_wf_row", F.row_number().over(order)).join(F.broadcast(places), "_wf_cell")
-    keep = [c for c in df.columns if c not in ("shard", "slot")]
-    return numbered.select(*keep, "shard", (F.col("_wf_base") + F.col("_wf_row") - 1).cast("long").alias("slot"))
+    return numbered.select(*(F.col("row")[c].alias(c) for c in keep), "shard", (F.col("_wf_base") + F.col("_wf_row") - 1).cast("long").alias("slot"))
