@@ -80,6 +80,22 @@ def test_lm_scores(odd, some, none):
     assert score(none, F.lit(True))[0].count() == 0
 
 
+def test_common_contexts_are_split(spark, some):
+    """A context of a third of all pairs lies in several shards, and scores are those of the whole context."""
+    from weftline.llm import lm_scoring
+
+    rows = [(k, " ".join(f"the w{k * j % 97}" for j in range(1, 40)) + f" tail{k % 5}") for k in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = lm_scoring.common_contexts(docs.selectExpr("doc_id", "true AS learn", "text"), 1 << 20, 12)
+    assert len(found[0]) and found[1].max() > 8
+    for df, part in ((docs, 1 << 14), (some, 1 << 15)):
+        learn = F.crc32(F.col("doc_id").cast("string")) % 7 != 2
+        got = sorted(map(tuple, score(df, learn, shard_bytes=part)[0].collect()))
+        want = sorted(brute_lm([(r.doc_id, r.text) for r in df.collect()]))
+        for g, w in zip(got, want, strict=True):
+            assert g[:5] == w[:5] and math.isclose(g[5], w[5], rel_tol=1e-9) and math.isclose(g[6], w[6], rel_tol=2e-3)
+
+
 def test_language_id(spark, odd, none):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     out = F.crc32(F.col("doc_id").cast("string")) % 4 == 2

@@ -172,6 +172,12 @@ class NgramTrie:
         got = (self.counts[k + 1] - self.counts[k]).astype(np.int64) if self.words.n else np.zeros(len(k), np.int64)
         return np.where(number >= 0, got, 0)
 
+    def followers_of(self, number: np.ndarray) -> np.ndarray:
+        """How many kinds of word follow each word."""
+        k = np.maximum(number, 0)
+        got = (self.first[k + 1] - self.first[k]).astype(np.int64) if self.words.n else np.zeros(len(k), np.int64)
+        return np.where(number >= 0, got, 0)
+
     def left(self, number: np.ndarray) -> np.ndarray:
         """Codes of what each context leaves to the lower order: all of it where it is unknown."""
         return np.where(number >= 0, self.rest[np.maximum(number, 0)], np.uint16(0)) if self.words.n else np.zeros(len(number), np.uint16)

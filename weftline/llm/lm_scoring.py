@@ -11,8 +11,11 @@ starts after a start mark and ends with an end token.
    A word that a third of all rows hold is one entry for each block.
 3. A block's answers meet its token numbers again, and give its scores.
 
-So no task holds more than a block or a shard, whatever the corpus, and what
-moves is in proportion to the corpus. Words are known by 64-bit hashes.
+A context that many pairs share (found in a sample, which decides on nothing
+else) is split by its followers' hashes into several contexts of other shards;
+their sums, added up by the block, are the whole context's. So no task holds
+more than a block or a shard, and what moves is in proportion to the corpus;
+messages number blocks times shards. Words are known by 64-bit hashes.
 
 Nulls and empties: a null text is an empty one and scores its end token alone;
 a null doc_id is carried along and counts as the text '' in the split; repeated
@@ -29,28 +32,45 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .elias_fano import NgramTrie, dequantise
-from .runtime import Scratch
+from .runtime import Scratch, quoted
 from .textkern import NON_SPACE, Slice, mix, slices
 from .token_output import IdFile, _open
 
 START, END = np.uint64(1), np.uint64(2)
 BLOCK_BYTES = 4 << 20
+#: Bytes of the sample in which common contexts are looked for, and the least share of all pairs that makes one common.
+SAMPLE_BYTES, LEAST_SHARE = 64 << 20, 2.0**-16
+_PART, _FOLLOWER = np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F)
+
+#: Hashes of common contexts, ascending, and the number of parts of each.
+Common = tuple[np.ndarray, np.ndarray]
 
 
 class Block:
     """The words and pairs of a slice of documents, in an order of their own.
 
-    words: hashes by shard, then by value. token: each token's number in words.
-    pair: the distinct context * len(words) + word, ascending, so a shard's
-    contexts, and its pairs, lie side by side. back: each token's pair.
+    words: hashes by shard, then by value; split marks those that are parts of
+    common contexts. token: each token's number in words. pair: the distinct
+    context * len(words) + word, ascending, so a shard's contexts, and its
+    pairs, lie side by side. back: each token's pair. whole, parts: numbers of
+    the common contexts here, and of their parts, one context after another.
+    chosen: for each token after a common context, which part it belongs to.
     """
 
-    def __init__(self, s: Slice, shards: int) -> None:
+    def __init__(self, s: Slice, shards: int, common: Common) -> None:
         at, end, doc = s.words(NON_SPACE)
         edge = np.searchsorted(doc, np.arange(len(s) + 1))
         hashes = np.insert(s.hashes(at, end), edge[1:], END)
         self.sizes = np.diff(edge) + 1
-        distinct, back = np.unique(np.append(hashes, START), return_inverse=True)
+        before = np.concatenate([[START], hashes[:-1]])
+        before[np.cumsum(self.sizes)[:-1]] = START
+        plain = np.unique(np.append(hashes, START))
+        k = np.flatnonzero(np.isin(common[0], plain))
+        names, self.width = common[0][k], common[1][k]
+        first = np.cumsum(self.width) - self.width
+        owner = np.repeat(np.arange(len(k)), self.width)
+        parts = mix(names[owner] + (np.arange(len(owner)) - first[owner] + 1).astype(np.uint64) * _PART)
+        distinct, back = np.unique(np.concatenate([hashes, [START], names, parts]), return_inverse=True)
         shard = (mix(distinct) % np.uint64(shards)).astype(np.int64)
         order = np.lexsort((distinct, shard))
         rank = np.empty(len(order), np.int64)
@@ -58,11 +78,56 @@ class Block:
         self.words = distinct[order]
         self.bounds = np.searchsorted(shard[order], np.arange(shards + 1))
         numbers = rank[back]
-        self.token, start = numbers[:-1], numbers[-1]
-        self.context = np.concatenate([[start], self.token[:-1]])
-        self.context[np.cumsum(self.sizes)[:-1]] = start
+        n = len(hashes)
+        self.token, self.start, self.whole, self.parts = numbers[:n], numbers[n], numbers[n + 1 : n + 1 + len(k)], numbers[n + 1 + len(k) :]
+        self.split = np.zeros(len(self.words), np.uint8)
+        self.split[self.parts] = 1
+        self.chosen = np.zeros(0, np.uint16)
+        if len(k):
+            place = np.minimum(np.searchsorted(names, before), len(names) - 1)
+            hot = names[place] == before
+            self.chosen = (mix(hashes[hot] ^ _FOLLOWER) % self.width[place[hot]].astype(np.uint64)).astype(np.uint16)
+        self.context = contexts(self.token, self.sizes, self.start, self.whole, self.width, self.parts, self.chosen)
         self.pair, self.back = np.unique(self.context * len(self.words) + self.token, return_inverse=True)
         self.pair_bounds = np.searchsorted(self.pair, self.bounds * len(self.words))
+        self.check = int(np.bitwise_xor.reduce(mix(self.words + np.uint64(len(self.words)))) >> np.uint64(1))
+
+
+def contexts(token: np.ndarray, sizes: np.ndarray, start: int, whole: np.ndarray, width: np.ndarray, parts: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+    """The number of each token's context: the word before it, or its part of a common one."""
+    out = np.concatenate([[start], token[:-1]])
+    out[np.cumsum(sizes)[:-1]] = start
+    if len(whole):
+        first = np.cumsum(width) - width
+        order = np.argsort(whole)
+        place = order[np.minimum(np.searchsorted(whole[order], out), len(whole) - 1)]
+        hot = np.flatnonzero(whole[place] == out)
+        out[hot] = parts[first[place[hot]] + chosen]
+    return out
+
+
+def common_contexts(rows: DataFrame, size: int, shards: int) -> Common:
+    """Contexts with over half a shard's share of the pairs of a sample, and into how many parts each goes."""
+    least = max(0.5 / shards, LEAST_SHARE)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for s in slices(batch.column(2), BLOCK_BYTES):
+                b = Block(s, 1, (np.zeros(0, np.uint64), np.zeros(0, np.int64)))
+                n = np.bincount(b.pair // len(b.words), minlength=len(b.words))
+                top = np.flatnonzero(n > least / 8 * len(b.pair))
+                yield pa.record_batch([pa.array([0, *b.words[top].view(np.int64).tolist()], pa.int64()), pa.array([len(b.pair), *n[top].tolist()], pa.int64())], names=["word", "n"])
+
+    part = rows if size <= SAMPLE_BYTES else rows.sample(SAMPLE_BYTES / size, 42)
+    found = part.mapInArrow(run, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    total = found.filter("word = 0").first()
+    if total is None or not total.n:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    top = found.filter((F.col("word") != 0) & (F.col("n") > least * total.n)).collect()  # 1 / least rows at most
+    names = np.array([r.word for r in top], np.int64).view(np.uint64)
+    order = np.argsort(names)
+    share = np.array([r.n / total.n for r in top])
+    return names[order], np.minimum(np.ceil(share * shards * 2).astype(np.int64) + 1, 65_535)[order]
 
 
 def _squeeze(*arrays: np.ndarray) -> bytes:
@@ -90,12 +155,12 @@ def _numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, Slice, p
             block += 1
 
 
-def _questions(docs: DataFrame, shards: int) -> DataFrame:
+def _questions(docs: DataFrame, shards: int, common: Common) -> DataFrame:
     """A row for each block and shard: its words, their counts, its pairs and theirs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block, s, rows in _numbered(batches):
-            b = Block(s, shards)
+            b = Block(s, shards, common)
             learn = np.repeat(rows.column(1).to_numpy(zero_copy_only=False).astype(bool), b.sizes)
             count = np.bincount(b.token[learn], minlength=len(b.words)).astype(np.uint32)
             times = np.bincount(b.back[learn], minlength=len(b.pair)).astype(np.uint32)
@@ -104,101 +169,115 @@ def _questions(docs: DataFrame, shards: int) -> DataFrame:
             out = []
             for k in full:
                 w, p = slice(b.bounds[k], b.bounds[k + 1]), slice(b.pair_bounds[k], b.pair_bounds[k + 1])
-                out.append(_squeeze(b.words[w], count[w], np.bincount(context[p] - b.bounds[k], minlength=w.stop - w.start).astype(np.uint32), follower[p], times[p]))
-            yield pa.record_batch([pa.array(full, pa.int32()), pa.array([block] * len(full), pa.int64()), pa.array(out, pa.binary())], names=["shard", "block", "data"])
+                out.append(_squeeze(b.words[w], count[w], np.bincount(context[p] - b.bounds[k], minlength=w.stop - w.start).astype(np.uint32), follower[p], times[p], b.split[w]))
+            yield pa.record_batch([pa.array(full, pa.int32()), pa.array([block] * len(full), pa.int64()), pa.array([b.check] * len(full), pa.int64()), pa.array(out, pa.binary())], names=["shard", "block", "check", "data"])
 
-    return docs.mapInArrow(run, "shard int, block long, data binary")
+    return docs.mapInArrow(run, "shard int, block long, check long, data binary")
 
 
 def train_shard(parts: list[list[np.ndarray]]) -> NgramTrie:
-    """The trie of the training counts of a shard's blocks."""
+    """The trie of the training counts of a shard's blocks; the count of a part of a context is that of its pairs."""
     words = np.concatenate([p[0] for p in parts])
     counts = np.concatenate([p[1] for p in parts]).astype(np.int64)
     context = np.concatenate([np.repeat(p[0], p[2]) for p in parts])
     follower = np.concatenate([p[3] for p in parts])
     times = np.concatenate([p[4] for p in parts]).astype(np.int64)
+    divided = np.concatenate([np.repeat(p[5], p[2]) for p in parts]) > 0
     seen = times > 0
-    context, follower, times = context[seen], follower[seen], times[seen]
+    context, follower, times, divided = context[seen], follower[seen], times[seen], divided[seen]
     vocabulary = np.unique(np.concatenate([words[counts > 0], context, follower]))
     own = np.flatnonzero(counts > 0)
-    total = np.bincount(np.searchsorted(vocabulary, words[own]), weights=counts[own], minlength=len(vocabulary)).astype(np.int64)
-    pair = np.searchsorted(vocabulary, context) * max(1, len(vocabulary)) + np.searchsorted(vocabulary, follower)
-    pair, back = np.unique(pair, return_inverse=True)
+    total = np.bincount(np.searchsorted(vocabulary, words[own]), weights=counts[own], minlength=len(vocabulary))
+    total = (total + np.bincount(np.searchsorted(vocabulary, context[divided]), weights=times[divided], minlength=len(vocabulary))).astype(np.int64)
     n = max(1, len(vocabulary))
+    pair = np.searchsorted(vocabulary, context) * n + np.searchsorted(vocabulary, follower)
+    pair, back = np.unique(pair, return_inverse=True)
     return NgramTrie.build(vocabulary, total, pair // n, pair % n, np.bincount(back, weights=times, minlength=len(pair)).astype(np.int64))
 
 
 def _answers(questions: DataFrame, folder: str, shards: int) -> DataFrame:
     """Asked rows with the shard's answers; and a row for each shard: vocabulary and tokens of training."""
-    kinds = (np.uint64, np.uint32, np.uint32, np.uint64, np.uint32)
+    kinds = (np.uint64, np.uint32, np.uint32, np.uint64, np.uint32, np.uint8)
+    names = ["shard", "block", "check", "data", "kinds", "tokens"]
+    types = [pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64()]
+
+    def row(*values) -> pa.RecordBatch:
+        return pa.record_batch([pa.array([v], t) for v, t in zip(values, types)], names=names)
 
-    def shard_rows(shard: int, blocks: list[int], data: list[bytes]) -> Iterator[pa.RecordBatch]:
+    def shard_rows(shard: int, blocks: list[int], checks: list[int], data: list[bytes]) -> Iterator[pa.RecordBatch]:
         import uuid
 
-        trie = train_shard([_expand(d, *kinds) for d in data])
+        asked = [_expand(d, *kinds) for d in data]
+        trie = train_shard(asked)
         where, root = _open(folder)
         where.create_dir(root, recursive=True)
         path = f"{root}/shard-{shard:06d}-{uuid.uuid4().hex[:12]}.trie"
         with where.open_output_stream(path) as f:
             f.write(trie.dump())
         trie = NgramTrie.load(IdFile._map(where, path))
-        every = np.arange(trie.words.n)
-        known = trie.count(every)
-        names = ["shard", "block", "data", "kinds", "tokens"]
-        yield pa.record_batch([pa.array([shard], pa.int32()), pa.array([-1], pa.int64()), pa.array([None], pa.binary()), pa.array([int((known > 0).sum())], pa.int64()), pa.array([int(known.sum())], pa.int64())], names=names)
-        for block, d in zip(blocks, data):
-            words, _, width, follower, _ = _expand(d, *kinds)
+        known = trie.count(np.arange(trie.words.n))
+        divided = trie.number(np.unique(np.concatenate([p[0][p[5] > 0] for p in asked])))
+        known[divided[divided >= 0]] = 0
+        yield row(shard, -1, 0, None, int((known > 0).sum()), int(known.sum()))
+        del asked
+        for block, check, d in zip(blocks, checks, data):
+            words, _, width, follower, _, split = _expand(d, *kinds)
             number = trie.number(words)
             share = trie.shares(np.repeat(number, width), trie.number(follower))
-            out = _squeeze(trie.count(number), trie.left(number), share)
-            yield pa.record_batch([pa.array([shard], pa.int32()), pa.array([block], pa.int64()), pa.array([out], pa.binary()), pa.array([0], pa.int64()), pa.array([0], pa.int64())], names=names)
+            yield row(shard, block, check, _squeeze(trie.count(number), trie.left(number), share, trie.followers_of(number[split > 0])), 0, 0)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, blocks, data = None, [], []
+        now, own = None, ([], [], [])
         for batch in batches:
-            for shard, block, d in zip(*(c.to_pylist() for c in batch.columns)):
+            for shard, *values in zip(*(c.to_pylist() for c in batch.columns)):
                 if shard != now:
                     if now is not None:
-                        yield from shard_rows(now, blocks, data)
-                    now, blocks, data = shard, [], []
-                blocks.append(block)
-                data.append(d)
+                        yield from shard_rows(now, *own)
+                    now, own = shard, ([], [], [])
+                for column, v in zip(own, values):
+                    column.append(v)
         if now is not None:
-            yield from shard_rows(now, blocks, data)
+            yield from shard_rows(now, *own)
 
-    return questions.repartition(shards, "shard").sortWithinPartitions("shard", "block").mapInArrow(run, "shard int, block long, data binary, kinds long, tokens long")
+    return questions.repartition(shards, "shard").sortWithinPartitions("shard", "block").mapInArrow(run, "shard int, block long, check long, data binary, kinds long, tokens long")
 
 
-def _tokens(docs: DataFrame, shards: int) -> DataFrame:
+def _tokens(docs: DataFrame, shards: int, common: Common) -> DataFrame:
     """A row for each block: what it needs of itself when the answers come."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block, s, rows in _numbered(batches):
-            b = Block(s, shards)
+            b = Block(s, shards, common)
             ids = rows.column(0).to_pylist()
-            start = b.context[0] if len(b.context) else 0
-            data = _squeeze(b.token.astype(np.uint32), b.sizes.astype(np.uint32), b.bounds.astype(np.uint32), np.array([start], np.uint32))
+            data = _squeeze(*(x.astype(np.uint32) for x in (b.token, b.sizes, b.bounds, np.array([b.start]), b.whole, b.width, b.parts, b.chosen)))
             yield pa.record_batch(
-                [pa.array([block], pa.int64()), pa.array([-1], pa.int32()), pa.array([data], pa.binary()), pa.array([ids], pa.list_(pa.int64())), pa.array([rows.column(1).to_pylist()], pa.list_(pa.bool_()))],
-                names=["block", "shard", "data", "ids", "learn"],
+                [pa.array([block], pa.int64()), pa.array([-1], pa.int32()), pa.array([b.check], pa.int64()), pa.array([data], pa.binary()), pa.array([ids], pa.list_(pa.int64())), pa.array([rows.column(1).to_pylist()], pa.list_(pa.bool_()))],
+                names=["block", "shard", "check", "data", "ids", "learn"],
             )
 
-    return docs.mapInArrow(run, "block long, shard int, data binary, ids array<long>, learn array<boolean>")
+    return docs.mapInArrow(run, "block long, shard int, check long, data binary, ids array<long>, learn array<boolean>")
 
 
 def _scores(tokens: DataFrame, answers: DataFrame, shards: int, parts: int, vocabulary: int, total: int) -> DataFrame:
     def score(head: dict, got: dict[int, bytes]) -> pa.RecordBatch:
-        token, sizes, bounds, start = _expand(head["data"], np.uint32, np.uint32, np.uint32, np.uint32)
-        token, sizes = token.astype(np.int64), sizes.astype(np.int64)
+        token, sizes, bounds, start, whole, width, parts, chosen = (x.astype(np.int64) for x in _expand(head["data"], *[np.uint32] * 8))
         if set(got) != set(np.flatnonzero(np.diff(bounds)).tolist()):
             raise RuntimeError("a block met the answers of another one: the input changed while it was read")
-        answer = [_expand(got[k], np.int64, np.uint16, np.uint16) for k in sorted(got)]
-        count, left, share = (np.concatenate(x) for x in zip(*answer))
-        context = np.concatenate([start.astype(np.int64), token[:-1]])
-        context[np.cumsum(sizes)[:-1]] = start[0]
+        answer = [_expand(got[k], np.int64, np.uint16, np.uint16, np.int64) for k in sorted(got)]
+        count, left, share, kinds = (np.concatenate(x) for x in zip(*answer))
+        context = contexts(token, sizes, start[0], whole, width, parts, chosen)
         _, back = np.unique(context * len(count) + token, return_inverse=True)
         base = (count + 1.0) / (total + vocabulary + 1.0)
-        p = dequantise(share)[back] + dequantise(left)[context] * base[token]
+        scale, rest = np.ones(len(count)), dequantise(left)
+        if len(parts):
+            # The parts' sums are those of the whole context. kinds holds the parts in order of their numbers.
+            own = np.empty(len(parts), np.int64)
+            own[np.argsort(parts)] = kinds
+            group = np.repeat(np.arange(len(whole)), width)
+            mass, every = count[parts] + own, np.bincount(group, weights=count[parts] + own, minlength=len(whole))
+            scale[parts] = mass / np.maximum(every[group], 1)
+            rest[parts] = np.where(every > 0, np.bincount(group, weights=own, minlength=len(whole)) / np.maximum(every, 1), 1.0)[group]
+        p = dequantise(share)[back] * scale[context] + rest[context] * base[token]
         row = np.repeat(np.arange(len(sizes)), sizes)
         add = lambda w: np.bincount(row, weights=w, minlength=len(sizes))
         return pa.record_batch(
@@ -222,14 +301,14 @@ def _scores(tokens: DataFrame, answers: DataFrame, shards: int, parts: int, voca
                     if head is not None:
                         yield score(head, got)
                     head, got = r, {}
-                elif head is None or r["block"] != head["block"]:
-                    raise RuntimeError("answers came without their block")
+                elif head is None or (r["block"], r["check"]) != (head["block"], head["check"]):
+                    raise RuntimeError("a block met the answers of another one: the input changed while it was read")
                 else:
                     got[r["shard"]] = r["data"]
         if head is not None:
             yield score(head, got)
 
-    both = tokens.unionByName(answers.filter("block >= 0").select("block", "shard", "data"), allowMissingColumns=True)
+    both = tokens.unionByName(answers.filter("block >= 0").select("block", "shard", "check", "data"), allowMissingColumns=True)
     ordered = both.repartition(parts, "block").sortWithinPartitions("block", "shard")
     return ordered.mapInArrow(run, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 
@@ -240,11 +319,12 @@ def score(docs: DataFrame, learn: Column, shard_bytes: int = 16 << 20, id_col: s
     shard_bytes: text for each shard; a shard is what one task holds.
     """
     scratch = Scratch(docs.sparkSession)
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(learn, F.lit(True)).alias("learn"), F.col(text_col).alias("text"))
+    rows = docs.select(F.col(quoted(id_col)).cast("long").alias("doc_id"), F.coalesce(learn, F.lit(True)).alias("learn"), F.col(quoted(text_col)).alias("text"))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = max(12, -(-size // shard_bytes))
     folder = scratch.path("model")
-    answers = scratch.table(_answers(_questions(rows, shards), folder, shards), "answers")
+    common = common_contexts(rows, size, shards)
+    answers = scratch.table(_answers(_questions(rows, shards, common), folder, shards), "answers")
     sums = answers.filter("block < 0").agg(F.sum("kinds"), F.sum("tokens")).first()
     parts = max(12, -(-size // (4 * BLOCK_BYTES)))
-    return _scores(_tokens(rows, shards), answers, shards, parts, int(sums[0] or 0), int(sums[1] or 0)), folder
+    return _scores(_tokens(rows, shards, common), answers, shards, parts, int(sums[0] or 0), int(sums[1] or 0)), folder
