@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .elias_fano import NgramTrie, dequantise
-from .runtime import Scratch, quoted
+from .runtime import Scratch, exact_keys, quoted
 from .textkern import NON_SPACE, Slice, mix, slices
 from .token_output import IdFile, _open
 
@@ -64,13 +64,13 @@ class Block:
         self.sizes = np.diff(edge) + 1
         before = np.concatenate([[START], hashes[:-1]])
         before[np.cumsum(self.sizes)[:-1]] = START
-        plain = np.unique(np.append(hashes, START))
+        plain, back = np.unique(np.append(hashes, START), return_inverse=True)
         k = np.flatnonzero(np.isin(common[0], plain))
         names, self.width = common[0][k], common[1][k]
         first = np.cumsum(self.width) - self.width
         owner = np.repeat(np.arange(len(k)), self.width)
         parts = mix(names[owner] + (np.arange(len(owner)) - first[owner] + 1).astype(np.uint64) * _PART)
-        distinct, back = np.unique(np.concatenate([hashes, [START], names, parts]), return_inverse=True)
+        distinct = np.concatenate([plain, parts])
         shard = (mix(distinct) % np.uint64(shards)).astype(np.int64)
         order = np.lexsort((distinct, shard))
         rank = np.empty(len(order), np.int64)
@@ -78,8 +78,7 @@ class Block:
         self.words = distinct[order]
         self.bounds = np.searchsorted(shard[order], np.arange(shards + 1))
         numbers = rank[back]
-        n = len(hashes)
-        self.token, self.start, self.whole, self.parts = numbers[:n], numbers[n], numbers[n + 1 : n + 1 + len(k)], numbers[n + 1 + len(k) :]
+        self.token, self.start, self.whole, self.parts = numbers[:-1], numbers[-1], rank[np.searchsorted(plain, names)], rank[len(plain) :]
         self.split = np.zeros(len(self.words), np.uint8)
         self.split[self.parts] = 1
         self.chosen = np.zeros(0, np.uint16)
@@ -155,8 +154,8 @@ def _numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, Slice, p
             block += 1
 
 
-def _questions(docs: DataFrame, shards: int, common: Common) -> DataFrame:
-    """A row for each block and shard: its words, their counts, its pairs and theirs."""
+def _questions(docs: DataFrame, shards: int, common: Common, keys: np.ndarray) -> DataFrame:
+    """A row for each block and shard: its words, their counts, its pairs and theirs. key sends each shard to a task of its own."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block, s, rows in _numbered(batches):
@@ -170,9 +169,12 @@ def _questions(docs: DataFrame, shards: int, common: Common) -> DataFrame:
             for k in full:
                 w, p = slice(b.bounds[k], b.bounds[k + 1]), slice(b.pair_bounds[k], b.pair_bounds[k + 1])
                 out.append(_squeeze(b.words[w], count[w], np.bincount(context[p] - b.bounds[k], minlength=w.stop - w.start).astype(np.uint32), follower[p], times[p], b.split[w]))
-            yield pa.record_batch([pa.array(full, pa.int32()), pa.array([block] * len(full), pa.int64()), pa.array([b.check] * len(full), pa.int64()), pa.array(out, pa.binary())], names=["shard", "block", "check", "data"])
+            yield pa.record_batch(
+                [pa.array(full, pa.int32()), pa.array([block] * len(full), pa.int64()), pa.array([b.check] * len(full), pa.int64()), pa.array(out, pa.binary()), pa.array(keys[full], pa.int32())],
+                names=["shard", "block", "check", "data", "key"],
+            )
 
-    return docs.mapInArrow(run, "shard int, block long, check long, data binary")
+    return docs.mapInArrow(run, "shard int, block long, check long, data binary, key int")
 
 
 def train_shard(parts: list[list[np.ndarray]]) -> NgramTrie:
@@ -239,7 +241,8 @@ def _answers(questions: DataFrame, folder: str, shards: int) -> DataFrame:
         if now is not None:
             yield from shard_rows(now, *own)
 
-    return questions.repartition(shards, "shard").sortWithinPartitions("shard", "block").mapInArrow(run, "shard int, block long, check long, data binary, kinds long, tokens long")
+    placed = questions.repartition(shards, "key").sortWithinPartitions("shard", "block").drop("key")
+    return placed.mapInArrow(run, "shard int, block long, check long, data binary, kinds long, tokens long")
 
 
 def _tokens(docs: DataFrame, shards: int, common: Common) -> DataFrame:
@@ -324,7 +327,7 @@ def score(docs: DataFrame, learn: Column, shard_bytes: int = 16 << 20, id_col: s
     shards = max(12, -(-size // shard_bytes))
     folder = scratch.path("model")
     common = common_contexts(rows, size, shards)
-    answers = scratch.table(_answers(_questions(rows, shards, common), folder, shards), "answers")
+    answers = scratch.table(_answers(_questions(rows, shards, common, exact_keys(docs.sparkSession, shards)), folder, shards), "answers")
     sums = answers.filter("block < 0").agg(F.sum("kinds"), F.sum("tokens")).first()
     parts = max(12, -(-size // (4 * BLOCK_BYTES)))
     return _scores(_tokens(rows, shards, common), answers, shards, parts, int(sums[0] or 0), int(sums[1] or 0)), folder

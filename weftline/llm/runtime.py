@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 
 LOCAL_FALLBACK = "file:///tmp/checkpoints"
@@ -44,6 +45,24 @@ def spread_join(left: DataFrame, right: DataFrame, keys: list[str], parts: int =
     return left.join(few, keys).unionByName(left.join(hot, keys, "left_anti").join(right, keys))
 
 
+def exact_keys(spark: SparkSession, n: int) -> np.ndarray:
+    """For each of n partitions an integer that repartition(n, key) sends there.
+
+    Numbers from 0 to n - 1 themselves would meet by their hashes, several in
+    some tasks and none in others.
+    """
+    from pyspark.sql import functions as F
+
+    found, lo = {}, 0
+    while len(found) < n:
+        step = max(1000, 4 * n)
+        k = F.col("id").cast("int")
+        for r in spark.range(lo, lo + step).groupBy(F.pmod(F.hash(k), F.lit(n)).alias("p")).agg(F.min(k).alias("k")).collect():  # n rows at most
+            found.setdefault(r.p, r.k)
+        lo += step
+    return np.array([found[p] for p in range(n)], np.int32)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """A fresh folder path below spark.checkpoint.dir.
 

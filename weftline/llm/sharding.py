@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .runtime import Scratch, quoted
+from .runtime import Scratch, exact_keys, quoted
 
 TIE_BITS = 23
 TOP = 1 << 63
@@ -109,23 +109,24 @@ def shard_rows(df: DataFrame, shards: int, size: Column, text: Column, row_id: C
     mean = total / shards
     ends = np.array([min(x, TOP - 1) for x in splitters(rows, [(mean * k, mean * tolerance / 2) for k in range(1, shards)], total)], np.int64)
 
-    def placed(edges: np.ndarray) -> Column:
+    def placed(edges: np.ndarray, names: np.ndarray) -> Column:
         @F.pandas_udf("int")
         def place(key: pd.Series) -> pd.Series:
-            return pd.Series(np.searchsorted(edges, key.to_numpy(), side="right").astype(np.int32))
+            return pd.Series(names[np.searchsorted(edges, key.to_numpy(), side="right")])
 
         return place("_wf_key")
 
     each = max(4, -(-total // (shards * cell_bytes)))
-    inner = rows.select(placed(ends).alias("s"), "_wf_key").groupBy("s").agg(F.percentile_approx("_wf_key", [k / each for k in range(1, each)], 20 * each).alias("q")).collect()  # a list for each shard
+    inner = rows.select(placed(ends, np.arange(shards, dtype=np.int32)).alias("s"), "_wf_key").groupBy("s").agg(F.percentile_approx("_wf_key", [k / each for k in range(1, each)], 20 * each).alias("q")).collect()  # a list for each shard
     cuts = np.unique(np.concatenate([ends, *(np.array(r.q, np.int64) for r in inner)]))
     below = bytes_below(rows, cuts)[1] if len(cuts) else np.zeros(0, np.int64)
     before = np.concatenate([[0], below]).astype(np.int64)
     shard_of = np.concatenate([[0], np.searchsorted(ends, cuts, side="right")]).astype(np.int64)
     base = before - before[np.searchsorted(shard_of, shard_of)]
-    places = spark.createDataFrame(list(zip(range(len(base)), shard_of.tolist(), base.tolist())), "_wf_cell int, shard int, _wf_base long")
+    keys = exact_keys(spark, len(base))
+    places = spark.createDataFrame(list(zip(keys.tolist(), shard_of.tolist(), base.tolist())), "_wf_cell int, shard int, _wf_base long")
 
-    moved = rows.withColumn("_wf_cell", placed(cuts)).repartition(len(base), "_wf_cell")
+    moved = rows.withColumn("_wf_cell", placed(cuts, keys)).repartition(len(base), "_wf_cell")
     order = Window.partitionBy("_wf_cell").orderBy("_wf_key")
     numbered = moved.withColumn("_wf_row", F.row_number().over(order)).join(F.broadcast(places), "_wf_cell")
     return numbered.select(*(F.col("row")[c].alias(c) for c in keep), "shard", (F.col("_wf_base") + F.col("_wf_row") - 1).cast("long").alias("slot"))
