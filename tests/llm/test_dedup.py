@@ -1,5 +1,6 @@
 """Near dedup and line dedup against brute force."""
 
+import collections
 import itertools
 import random
 
@@ -73,6 +74,34 @@ def test_hub_whose_copies_are_not_alike(spark):
     assert order(got) == order(brute_components(rows, 2))
 
 
+def test_every_link_of_a_real_table(spark):
+    """Components of a whole table against an exact index of all shingles."""
+    df = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    rows = [(r.doc_id, r.text) for r in df.collect()]
+    sets = [shingles(t, 2) for _, t in rows]
+    index, up = collections.defaultdict(list), list(range(len(rows)))
+
+    def find(x):
+        while up[x] != x:
+            up[x] = up[up[x]]
+            x = up[x]
+        return x
+
+    for i, own in enumerate(sets):
+        both = collections.Counter(j for x in own for j in index[x])
+        for j, n in both.items():
+            if 100 * n >= 80 * (len(own) + len(sets[j]) - n):
+                up[find(i)] = find(j)
+        for x in own:
+            index[x].append(i)
+    least = {}
+    for i, (d, _) in enumerate(rows):
+        least[find(i)] = min(d, least.get(find(i), d))
+    want = {d: (len(sets[i]), least[find(i)]) for i, (d, _) in enumerate(rows)}
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in classes(df, 2).collect()}
+    assert got == want and len(set(least.values())) < len(rows)
+
+
 def test_odd_rows(odd, none):
     rows = [(r.doc_id, r.text) for r in odd.collect()]
     got = classes(odd, 2).collect()
