@@ -363,7 +363,7 @@ def sample_k(spark, d):
     return assembly.smallest_by_hash(vecs(spark, d), ["domain_id"], ["vec_id"], 3, 42).groupBy("domain_id").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query()
+@query(BASE + ", c AS (SELECT count(*) FILTER (WHERE interaction = 1) AS p, count(*) FILTER (WHERE interaction = 0) AS n FROM (SELECT DISTINCT domain_a, domain_b, interaction FROM ddi)) SELECT CAST(greatest(p, n) AS BIGINT) AS positives, CAST(greatest(p, n) AS BIGINT) AS negatives FROM c")
 def oversample(spark, d):
     rows = ddi(spark, d).select("domain_a", "domain_b", "interaction").distinct()
     return assembly.class_report(assembly.oversample(rows, "interaction", ["domain_a", "domain_b"], 42), "interaction")
@@ -706,7 +706,7 @@ def rf_predict(spark, d):
 
     rows = vecs(spark, d).select((F.col("label") % 2).cast("int").alias("label"), F.col("embedding").alias("features"))
     model = RandomForest()
-    return model.scored(model.fit(rows, {"n_estimators": 10, "max_depth": 5}, 42), rows).select("label", F.col("score"))
+    return model.scored(model.fit(rows, {"n_estimators": 50, "max_depth": 10}, 42), rows).select("label", F.col("score"))
 
 
 @query()
@@ -714,8 +714,8 @@ def mlp_predict(spark, d):
     from ..operators.models import NeuralNetwork
 
     rows = vecs(spark, d).select((F.col("label") % 2).cast("int").alias("label"), F.col("embedding").alias("features"))
-    model = NeuralNetwork(max_rows=5_000)
-    return model.scored(model.fit(rows, {"epochs": 5, "hidden": [16]}, 42), rows).select("label", "score")
+    model = NeuralNetwork()
+    return model.scored(model.fit(rows, {"epochs": 20, "hidden": [32]}, 42), rows).select("label", "score")
 
 
 FLAGSHIP = CURVE + """, r AS (SELECT model, sum((fp - fp0) * (tp + tp0)::DOUBLE / 2) / nullif(max(ap)::DOUBLE * max(an), 0) AS auc, sum((tp - tp0)::DOUBLE * tp / (tp + fp)) / nullif(max(ap), 0) AS ap FROM k GROUP BY 1),
