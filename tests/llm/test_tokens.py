@@ -8,7 +8,7 @@ from conftest_llm import crc, path
 from weftline.llm.bpe import WordEncoder, load
 from weftline.llm.packing import pack, windows
 from weftline.llm.textkern import NON_SPACE, HashTable, mix, slices, spread
-from weftline.llm.token_counts import PieceCounter, count_tokens
+from weftline.llm.token_counts import count_tokens, squeeze, unsqueeze
 from weftline.llm.token_output import export_ids, read_ids
 
 TEXTS = ["", None, "Hello World!! it's 1234 <|endoftext|>x foo<|startoftext|>", "ΑΣ ΣΑΣ ÉÈ é ́a İstanbul ﬁ \x1cb\x1d", "a b　c Ǆ ǅ ß ẞ", " ", "\n \n", "tail  ", "x   y\x1c z", "<|endoftext|>", "don't I'LL 12ab"] * 2
@@ -19,15 +19,14 @@ def key(r):
 
 
 @pytest.mark.parametrize("limit", [10, 60, 1 << 20])
-def test_words_and_pieces_equal_the_library(limit):
-    words, counter = WordEncoder(path("word_bpe_49k.json")), PieceCounter(path("byte_bpe_50k.json"))
+def test_words_equal_the_library(limit):
+    words = WordEncoder(path("word_bpe_49k.json"))
     for s in slices(pa.array(TEXTS), limit):
         ids, n = words.encode(s)
-        counted, at = counter.count(s), 0
+        at = 0
         for k in range(len(s)):
             text = TEXTS[s.first + k] or ""
             assert ids[at : at + n[k]].tolist() == words.lib.encode(text, add_special_tokens=False).ids
-            assert counted[k] == len(counter.lib.encode(text, add_special_tokens=False).ids)
             at += n[k]
 
 
@@ -50,6 +49,27 @@ def test_kernel_helpers():
     assert row.tolist() == [0, 0, 0, 3, 3] and len(set(s.hashes(at, end).tolist())) == 2
 
 
+@pytest.mark.parametrize("limit", [10, 60, 1 << 20])
+def test_pieces_equal_the_library_in_blocks_of_any_size(spark, limit):
+    lib = load(path("byte_bpe_50k.json"))
+    docs = spark.createDataFrame(list(enumerate(TEXTS)), "doc_id long, text string").repartition(2)
+    got = count_tokens(docs, path("byte_bpe_50k.json"), block_bytes=limit).collect()
+    assert {r.doc_id: r.n_tokens for r in got} == {k: len(lib.encode(t or "", add_special_tokens=False).ids) for k, t in enumerate(TEXTS)}
+    assert len(got) == len(TEXTS)
+
+
+def test_pieces_of_a_real_table_and_a_very_long_word(spark, some):
+    lib = load(path("byte_bpe_50k.json"))
+    docs = some.select("doc_id", "text").unionByName(spark.createDataFrame([(-1, "xY9" * 300_000), (-2, "\n" * 300_000)], "doc_id long, text string"))
+    want = {r.doc_id: len(lib.encode(r.text or "", add_special_tokens=False).ids) for r in docs.collect()}
+    assert {r.doc_id: r.n_tokens for r in count_tokens(docs, path("byte_bpe_50k.json")).collect()} == want
+
+
+def test_squeezed_integers_come_back():
+    for a in ([], [0], [255, 256], [1 << 40, 3]):
+        assert unsqueeze(squeeze(np.array(a, np.int64))).tolist() == a
+
+
 def test_counts(odd, none):
     lib = load(path("byte_bpe_50k.json"))
     got = sorted(map(tuple, count_tokens(odd, path("byte_bpe_50k.json")).collect()), key=key)

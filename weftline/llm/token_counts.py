@@ -1,10 +1,15 @@
 """Token counts without token ids.
 
-A text's pre-tokens are counted, not encoded: the distinct pre-tokens of a
-block of documents (one Arrow batch slice) get their number of pieces once
-each, from a table of bounded size that each worker keeps, and the numbers are
-joined to the documents' pre-token frequencies and summed. Because the join
-partner is the block's own distinct set, nothing is shuffled.
+1. Blocks of documents (Arrow slices of about block_bytes) are cut into
+   pre-tokens. A block is one row of a written table: its distinct pre-tokens,
+   and the frequencies of its documents, factored by words, as a word always
+   falls into the same pre-tokens.
+2. The library counts the pieces of each distinct pre-token of the corpus once.
+3. These counts are joined to the blocks' pre-tokens, and each block adds them
+   up by its documents' frequencies.
+
+A pre-token is one row for each block that holds it, so common ones aren't hot,
+and texts are never moved; a task holds one block at a time.
 
 Nulls and empties: a null text is an empty one, of no bytes and no tokens; a
 null doc_id is carried along; repeated rows are counted each. An empty table
@@ -19,100 +24,112 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import regex
+import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import as_letters, load
-from .textkern import NON_SPACE, HashTable, Slice, mix, slices
+from .runtime import Scratch, quoted
+from .textkern import NON_SPACE, Slice, mix, slices
 
 _SPLIT = regex.compile(r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 #: In texts with other characters the library itself finds the pre-tokens.
 _LATIN = re.compile(r" ?[\x21-\x7e¡-ɏ]*\Z")
 _SPACED = mix(np.array([0x20], np.uint64))[0]
+_BLOCK = "block long, pretokens array<string>, doc_ids array<long>, n_bytes array<long>, n_special binary, sizes binary, members binary, places binary, freqs binary"
+_PAYLOAD = ["block", "doc_ids", "n_bytes", "n_special", "sizes", "members", "places", "freqs"]
+
+
+def squeeze(a: np.ndarray) -> bytes:
+    """Non-negative integers, compressed, in the narrowest width that holds them."""
+    narrow = a.astype(np.min_scalar_type(int(a.max(initial=0))))
+    return bytes([narrow.itemsize]) + zstandard.compress(narrow.tobytes(), 1)
 
 
-class PieceCounter:
-    """Numbers of pieces of whole slices of text, for a byte-level vocabulary that keeps white space."""
+def unsqueeze(raw: bytes) -> np.ndarray:
+    return np.frombuffer(zstandard.decompress(raw[1:]), f"u{raw[0]}").astype(np.int64)
 
-    KEEP = 1 << 19
+
+class PreTokens:
+    """Pre-tokens of whole slices of text, for a byte-level vocabulary that keeps white space."""
 
     def __init__(self, path: str) -> None:
         self.lib = load(path)
         self.specials = [t.content for t in self.lib.get_added_tokens_decoder().values()]
         self.special = re.compile("|".join(map(re.escape, self.specials))) if self.specials else None
-        self.clear()
-
-    def clear(self) -> None:
-        self.table = HashTable(20)
-        self.pieces: dict[str, int] = {}
-
-    def of_pretoken(self, letters: str) -> int:
-        n = self.pieces.get(letters)
-        if n is None:
-            if len(self.pieces) >= self.KEEP:
-                self.pieces.clear()
-            n = self.pieces[letters] = len(self.lib.model.tokenize(letters))
-        return n
-
-    def of_run(self, run: str) -> int:
-        """Pieces of a word with the space before it, if any."""
-        if _LATIN.match(run):
-            return sum(self.of_pretoken(as_letters(x)) for x in _SPLIT.findall(run))
-        return sum(self.of_pretoken(x) for x, _ in self.lib.pre_tokenizer.pre_tokenize_str(run))
-
-    def of_text(self, text: str) -> int:
-        """Any text, special strings included (one token each, as the library has it)."""
-        parts = self.special.split(text) if self.special else [text]
-        return len(parts) - 1 + sum(self.of_pretoken(x) for p in parts if p for x, _ in self.lib.pre_tokenizer.pre_tokenize_str(p))
-
-    def count(self, s: Slice) -> np.ndarray:
+
+    def of_word(self, word: str) -> list[str]:
+        """Pre-tokens of a word with the space before it, if any."""
+        if _LATIN.match(word):
+            return [as_letters(x) for x in _SPLIT.findall(word)]
+        return [x for x, _ in self.lib.pre_tokenizer.pre_tokenize_str(word)]
+
+    def block(self, s: Slice) -> tuple[list[str], list[bytes]]:
+        """The slice's distinct pre-tokens, and n_special, sizes, members, places and freqs.
+
+        Entry k of sizes is the number of pre-tokens of word k, which members
+        list one after another; places are the steps between the ascending
+        document * words + word, and freqs how often that word is there.
+        """
         blob = s.blob
+        raw = blob.tobytes()
+        special = np.zeros(len(s), np.int64)
         at, end, doc = s.words(NON_SPACE)
-        out = np.zeros(len(s), np.int64)
-        if len(at):
-            spaced = (at > s.starts[doc]) & (blob[np.maximum(at - 1, 0)] == 0x20)
-            h = s.hashes(at, end, fold=False)
-            h = np.where(spaced, mix(h ^ _SPACED), h)
-            distinct, first, back = np.unique(h, return_index=True, return_inverse=True)
-            n = self.table.get(distinct)
-            missing = np.flatnonzero(n < 0)
-            if len(missing):
-                raw = blob.tobytes()
-                where = first[missing]
-                runs = zip((at[where] - spaced[where]).tolist(), end[where].tolist())
-                new = np.array([self.of_run(raw[a:e].decode("utf-8", "replace")) for a, e in runs], np.int64)
-                n[missing] = new
-                if self.table.size + len(new) > self.table.limit:
-                    self.table.clear()
-                if len(new) <= self.table.limit:
-                    self.table.put(distinct[missing], new)
-            out += np.bincount(doc, weights=n[back], minlength=len(s)).astype(np.int64)
-            self._gaps(s, at, end, doc, out)
+        spaced = (at > s.starts[doc]) & (blob[np.maximum(at - 1, 0)] == 0x20)
+        h = s.hashes(at, end, fold=False)
+        _, first, word = np.unique(np.where(spaced, mix(h ^ _SPACED), h), return_index=True, return_inverse=True)
+        runs = zip((at[first] - spaced[first]).tolist(), end[first].tolist())
+        words = [self.of_word(raw[a:e].decode("utf-8", "replace")) for a, e in runs]
+        # Pre-tokens found by other means count as words of their own.
+        extra_doc, extra = self._gaps(s, at, end, doc)
+        whole = self._odd(s, raw)
         empty = np.ones(len(s), bool)
         empty[doc] = False
-        odd = self._odd(s)
-        for k in np.flatnonzero(odd | (empty & (s.ends > s.starts))).tolist():
-            out[k] = self.of_text(blob[s.starts[k] : s.ends[k]].tobytes().decode("utf-8", "replace"))
-        return out
-
-    def _gaps(self, s: Slice, at: np.ndarray, end: np.ndarray, doc: np.ndarray, out: np.ndarray) -> None:
-        """Add white space that isn't the one space before a word."""
-        opens = np.concatenate([[True], doc[1:] != doc[:-1]])
-        lo = np.where(opens, s.starts[doc], np.concatenate([[0], end[:-1]]))
+        whole |= empty & (s.ends > s.starts)
+        plain, kept = ~whole[doc], ~whole[np.array(extra_doc, np.int64)]
+        extra_doc, extra = [d for d, k in zip(extra_doc, kept) if k], [x for x, k in zip(extra, kept) if k]
+        for k in np.flatnonzero(whole).tolist():
+            text = raw[s.starts[k] : s.ends[k]].decode("utf-8", "replace")
+            parts = self.special.split(text) if self.special else [text]
+            special[k] = len(parts) - 1
+            found = [x for p in parts if p for x, _ in self.lib.pre_tokenizer.pre_tokenize_str(p)]
+            extra_doc += [k] * len(found)
+            extra += found
+        own: dict[str, int] = {}
+        extra_word = [len(words) + own.setdefault(x, len(own)) for x in extra]
+        words += [[x] for x in own]
+        number: dict[str, int] = {}
+        members = np.fromiter((number.setdefault(x, len(number)) for w in words for x in w), np.int64)
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        places = np.concatenate([doc[plain] * len(words) + word[plain], np.array(extra_doc, np.int64) * len(words) + np.array(extra_word, np.int64)])
+        places, freqs = np.unique(places, return_counts=True)
+        return list(number), [squeeze(x) for x in (special, sizes, members, np.diff(places, prepend=0), freqs)]
+
+    def _gaps(self, s: Slice, at: np.ndarray, end: np.ndarray, doc: np.ndarray) -> tuple[list[int], list[str]]:
+        """White space that isn't the one space before a word: the documents and pre-tokens."""
+        docs, out = [], []
+
+        def add(d: int, gap: str) -> None:
+            if gap:
+                docs.append(d)
+                out.append(as_letters(gap))
+
+        opens = np.concatenate([[True], doc[1:] != doc[:-1]])[: len(doc)]
+        lo = np.where(opens, s.starts[doc], np.concatenate([[0], end[:-1]])[: len(doc)])
         k = at - lo
         for g in np.flatnonzero((k > 1) | ((k == 1) & (s.blob[np.maximum(at - 1, 0)] != 0x20))).tolist():
             gap = s.blob[lo[g] : at[g]].tobytes().decode("ascii")
-            out[doc[g]] += self._gap(gap[:-1]) + (self._gap(gap[-1]) if gap[-1] != " " else 0)
-        last = np.concatenate([doc[1:] != doc[:-1], [True]])
+            add(int(doc[g]), gap[:-1])
+            add(int(doc[g]), gap[-1] if gap[-1] != " " else "")
+        last = np.concatenate([doc[1:] != doc[:-1], [True]])[: len(doc)]
         tail = s.ends[doc[last]] - end[last]
         for g in np.flatnonzero(tail > 0).tolist():
             e = int(end[last][g])
-            out[doc[last][g]] += self._gap(s.blob[e : e + int(tail[g])].tobytes().decode("ascii"))
-
-    def _gap(self, gap: str) -> int:
-        return self.of_pretoken(as_letters(gap)) if gap else 0
+            add(int(doc[last][g]), s.blob[e : e + int(tail[g])].tobytes().decode("ascii"))
+        return docs, out
 
-    def _odd(self, s: Slice) -> np.ndarray:
+    def _odd(self, s: Slice, raw: bytes) -> np.ndarray:
         """Rows that hold a special string, or white space beyond ASCII, whose runs span words."""
         b = s.blob
         nxt = np.append(b[1:], 0)
@@ -121,19 +138,56 @@ class PieceCounter:
         hit |= ((b == 0xE1) & (nxt == 0x9A)) | ((b == 0xE2) & ((nxt == 0x80) | (nxt == 0x81))) | ((b == 0xE3) & (nxt == 0x80))
         odd = np.zeros(len(s), bool)
         odd[np.searchsorted(s.starts, np.flatnonzero(hit), side="right") - 1] = True
-        raw = b.tobytes()
         for special in self.specials:
             odd[np.searchsorted(s.starts, np.array([m.start() for m in re.finditer(re.escape(special.encode()), raw)], np.int64), side="right") - 1] = True
         return odd
 
 
-def count_tokens(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_bytes (UTF-8) and n_tokens of each row of docs."""
+def cut_blocks(docs: DataFrame, tokenizer: str, block_bytes: int, id_col: str, text_col: str) -> DataFrame:
+    """One row for each block of docs; write it before use, as it numbers the blocks."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        split = PreTokens(tokenizer)
+        block = TaskContext.get().partitionId() << 33
+        for batch in batches:
+            for s in slices(batch.column(1), block_bytes):
+                pretokens, columns = split.block(s)
+                ids = pa.ListArray.from_arrays(pa.array([0, len(s)], pa.int32()), batch.column(0).slice(s.first, len(s)))
+                lists = [pa.array([block], pa.int64()), pa.array([pretokens], pa.list_(pa.string())), ids, pa.array([s.ends - s.starts], pa.list_(pa.int64()))]
+                yield pa.record_batch([*lists, *(pa.array([c], pa.binary()) for c in columns)], names=["block", "pretokens", *_PAYLOAD[1:]])
+                block += 1
+
+    return docs.select(F.col(quoted(id_col)).cast("long").alias("doc_id"), F.col(quoted(text_col)).alias("text")).mapInArrow(run, _BLOCK)
+
+
+def count_pieces(pretokens: DataFrame, tokenizer: str) -> DataFrame:
+    """pretoken and n, its number of pieces, of a table of distinct pre-tokens."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = PieceCounter(tokenizer)
+        model = load(tokenizer).model
         for batch in batches:
-            for s in slices(batch.column(1)):
-                yield pa.record_batch([batch.column(0).slice(s.first, len(s)), pa.array(s.ends - s.starts), pa.array(counter.count(s))], names=["doc_id", "n_bytes", "n_tokens"])
+            n = [len(model.tokenize(x)) for x in batch.column(0).to_pylist()]
+            yield pa.record_batch([batch.column(0), pa.array(n, pa.int32())], names=["pretoken", "n"])
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, "doc_id long, n_bytes long, n_tokens long")
+    return pretokens.mapInArrow(run, "pretoken string, n int")
+
+
+def _add_up(block: pa.Table, counted: pa.Table) -> pa.Table:
+    """The counts of one block's documents, from its row and the pieces of its pre-tokens."""
+    row = {c: block.column(c)[0] for c in _PAYLOAD}
+    special, sizes, members, steps, freqs = (unsqueeze(row[c].as_py()) for c in _PAYLOAD[3:])
+    pieces = np.zeros(counted.num_rows, np.int64)
+    pieces[counted.column("i").to_numpy()] = counted.column("n").to_numpy()
+    words = np.bincount(np.repeat(np.arange(len(sizes)), sizes), weights=pieces[members], minlength=len(sizes)).astype(np.int64)
+    doc, word = np.divmod(np.cumsum(steps), max(len(sizes), 1))
+    n = np.bincount(doc, weights=freqs * words[word], minlength=len(special)).astype(np.int64) + special
+    return pa.table({"doc_id": row["doc_ids"].values, "n_bytes": row["n_bytes"].values, "n_tokens": pa.array(n)})
+
+
+def count_tokens(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = 4 << 20) -> DataFrame:
+    """doc_id, n_bytes (UTF-8) and n_tokens of each row of docs."""
+    blocks = Scratch(docs.sparkSession).table(cut_blocks(docs, tokenizer, block_bytes, id_col, text_col), "blocks")
+    held = blocks.select(F.col("block").alias("of_block"), F.posexplode("pretokens").alias("i", "pretoken"))
+    counts = count_pieces(held.select("pretoken").distinct(), tokenizer)
+    counted = held.join(counts, "pretoken").select("of_block", "i", "n")
+    return blocks.select(_PAYLOAD).groupBy("block").cogroup(counted.groupBy("of_block")).applyInArrow(_add_up, "doc_id long, n_bytes long, n_tokens long")
