@@ -4,9 +4,10 @@
    pre-tokens. A block is one row of a written table: its distinct pre-tokens,
    and the frequencies of its documents, factored by words, as a word always
    falls into the same pre-tokens.
-2. The library counts the pieces of each distinct pre-token of the corpus once.
-3. These counts are joined to the blocks' pre-tokens, and each block adds them
-   up by its documents' frequencies.
+2. The blocks' pre-tokens are exchanged and sorted, and the library counts the
+   pieces of each distinct one of the corpus once.
+3. These counts are joined to the blocks, each of which adds them up by its
+   documents' frequencies.
 
 A pre-token is one row for each block that holds it, so common ones aren't hot,
 and texts are never moved; a task holds one block at a time.
@@ -23,6 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 import zstandard
 from pyspark import TaskContext
@@ -51,6 +53,16 @@ def unsqueeze(raw: bytes) -> np.ndarray:
     return np.frombuffer(zstandard.decompress(raw[1:]), f"u{raw[0]}").astype(np.int64)
 
 
+def newcomers(members: np.ndarray) -> np.ndarray:
+    """0 for the first place of each number (numbers begin in order), else the number plus one."""
+    known = np.concatenate([[-1], np.maximum.accumulate(members)])[: len(members)]
+    return np.where(members > known, 0, members + 1)
+
+
+def members_of(coded: np.ndarray) -> np.ndarray:
+    return np.where(coded == 0, np.cumsum(coded == 0), coded) - 1
+
+
 class PreTokens:
     """Pre-tokens of whole slices of text, for a byte-level vocabulary that keeps white space."""
 
@@ -69,8 +81,9 @@ class PreTokens:
         """The slice's distinct pre-tokens, and n_special, sizes, members, places and freqs.
 
         Entry k of sizes is the number of pre-tokens of word k, which members
-        list one after another; places are the steps between the ascending
-        document * words + word, and freqs how often that word is there.
+        list one after another as newcomers(); places are the steps between
+        the ascending document * words + word, and freqs how often that word is
+        there.
         """
         blob = s.blob
         raw = blob.tobytes()
@@ -97,14 +110,28 @@ class PreTokens:
             extra_doc += [k] * len(found)
             extra += found
         own: dict[str, int] = {}
-        extra_word = [len(words) + own.setdefault(x, len(own)) for x in extra]
+        extra_word = np.array([len(words) + own.setdefault(x, len(own)) for x in extra], np.int64)
         words += [[x] for x in own]
+        in_doc, in_word = np.concatenate([doc[plain], np.array(extra_doc, np.int64)]), np.concatenate([word[plain], extra_word])
+        in_word, used = self._renumber(in_doc, in_word, len(words))
+        places, freqs = np.unique(in_doc * max(len(used), 1) + in_word, return_counts=True)
         number: dict[str, int] = {}
-        members = np.fromiter((number.setdefault(x, len(number)) for w in words for x in w), np.int64)
-        sizes = np.fromiter(map(len, words), np.int64, len(words))
-        places = np.concatenate([doc[plain] * len(words) + word[plain], np.array(extra_doc, np.int64) * len(words) + np.array(extra_word, np.int64)])
-        places, freqs = np.unique(places, return_counts=True)
-        return list(number), [squeeze(x) for x in (special, sizes, members, np.diff(places, prepend=0), freqs)]
+        members = np.fromiter((number.setdefault(x, len(number)) for k in used for x in words[k]), np.int64)
+        sizes = np.fromiter((len(words[k]) for k in used), np.int64, len(used))
+        return list(number), [squeeze(x) for x in (special, sizes, newcomers(members), np.diff(places, prepend=0), freqs)]
+
+    def _renumber(self, in_doc: np.ndarray, in_word: np.ndarray, n: int) -> tuple[np.ndarray, list[int]]:
+        """New numbers of the words, and the old number of each: common words come first, then in the documents' order.
+
+        Steps between a document's words are small then: a document's rare words follow each other.
+        """
+        freq = np.bincount(in_word, minlength=n)
+        first = np.full(n, len(in_doc))
+        np.minimum.at(first, in_word, in_doc)
+        used = np.lexsort((first, -freq))[: np.count_nonzero(freq)]
+        new = np.zeros(n, np.int64)
+        new[used] = np.arange(len(used))
+        return new[in_word], used.tolist()
 
     def _gaps(self, s: Slice, at: np.ndarray, end: np.ndarray, doc: np.ndarray) -> tuple[list[int], list[str]]:
         """White space that isn't the one space before a word: the documents and pre-tokens."""
@@ -160,22 +187,36 @@ def cut_blocks(docs: DataFrame, tokenizer: str, block_bytes: int, id_col: str, t
     return docs.select(F.col(quoted(id_col)).cast("long").alias("doc_id"), F.col(quoted(text_col)).alias("text")).mapInArrow(run, _BLOCK)
 
 
-def count_pieces(pretokens: DataFrame, tokenizer: str) -> DataFrame:
-    """pretoken and n, its number of pieces, of a table of distinct pre-tokens."""
+def count_pieces(held: DataFrame, tokenizer: str) -> DataFrame:
+    """held (of_block, i, pretoken) with n, the pieces of pretoken, in its place.
+
+    Equal pre-tokens follow each other in a sorted partition, so each distinct
+    one is counted once and its count joined to the rows as they pass by.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = load(tokenizer).model
+        last, last_n = None, 0
         for batch in batches:
-            n = [len(model.tokenize(x)) for x in batch.column(0).to_pylist()]
-            yield pa.record_batch([batch.column(0), pa.array(n, pa.int32())], names=["pretoken", "n"])
+            if not batch.num_rows:
+                continue
+            col = batch.column("pretoken")
+            new = np.ones(len(col), bool)
+            new[1:] = pc.not_equal(col.slice(1), col.slice(0, len(col) - 1)).to_numpy(zero_copy_only=False)
+            texts = col.filter(pa.array(new)).to_pylist()
+            counts = [last_n if k == 0 and x == last else len(model.tokenize(x)) for k, x in enumerate(texts)]
+            last, last_n = texts[-1], counts[-1]
+            n = np.array(counts, np.int32)[np.cumsum(new) - 1]
+            yield pa.record_batch([batch.column("of_block"), batch.column("i"), pa.array(n)], names=["of_block", "i", "n"])
 
-    return pretokens.mapInArrow(run, "pretoken string, n int")
+    return held.repartition("pretoken").sortWithinPartitions("pretoken").mapInArrow(run, "of_block long, i int, n int")
 
 
 def _add_up(block: pa.Table, counted: pa.Table) -> pa.Table:
     """The counts of one block's documents, from its row and the pieces of its pre-tokens."""
     row = {c: block.column(c)[0] for c in _PAYLOAD}
     special, sizes, members, steps, freqs = (unsqueeze(row[c].as_py()) for c in _PAYLOAD[3:])
+    members = members_of(members)
     pieces = np.zeros(counted.num_rows, np.int64)
     pieces[counted.column("i").to_numpy()] = counted.column("n").to_numpy()
     words = np.bincount(np.repeat(np.arange(len(sizes)), sizes), weights=pieces[members], minlength=len(sizes)).astype(np.int64)
@@ -184,10 +225,8 @@ def _add_up(block: pa.Table, counted: pa.Table) -> pa.Table:
     return pa.table({"doc_id": row["doc_ids"].values, "n_bytes": row["n_bytes"].values, "n_tokens": pa.array(n)})
 
 
-def count_tokens(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = 4 << 20) -> DataFrame:
+def count_tokens(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = 8 << 20) -> DataFrame:
     """doc_id, n_bytes (UTF-8) and n_tokens of each row of docs."""
     blocks = Scratch(docs.sparkSession).table(cut_blocks(docs, tokenizer, block_bytes, id_col, text_col), "blocks")
     held = blocks.select(F.col("block").alias("of_block"), F.posexplode("pretokens").alias("i", "pretoken"))
-    counts = count_pieces(held.select("pretoken").distinct(), tokenizer)
-    counted = held.join(counts, "pretoken").select("of_block", "i", "n")
-    return blocks.select(_PAYLOAD).groupBy("block").cogroup(counted.groupBy("of_block")).applyInArrow(_add_up, "doc_id long, n_bytes long, n_tokens long")
+    return blocks.select(_PAYLOAD).groupBy("block").cogroup(count_pieces(held, tokenizer).groupBy("of_block")).applyInArrow(_add_up, "doc_id long, n_bytes long, n_tokens long")
