@@ -4,13 +4,15 @@
    pre-tokens. A block is one row of a written table: its distinct pre-tokens,
    and the frequencies of its documents, factored by words, as a word always
    falls into the same pre-tokens.
-2. The blocks' pre-tokens are exchanged and sorted, and the library counts the
-   pieces of each distinct one of the corpus once.
+2. A block sends its pre-tokens of each hash bucket as one row. Buckets are
+   exchanged, and the library counts the pieces of each distinct pre-token of a
+   bucket, so of the corpus, once.
 3. These counts are joined to the blocks, each of which adds them up by its
    documents' frequencies.
 
-A pre-token is one row for each block that holds it, so common ones aren't hot,
-and texts are never moved; a task holds one block at a time.
+A pre-token goes once from each block that holds it, and each bucket gets one
+row a block at most, so common ones aren't hot, and texts are never moved. A
+task holds one block, or one bucket's distinct pre-tokens, at a time.
 
 Nulls and empties: a null text is an empty one, of no bytes and no tokens; a
 null doc_id is carried along; repeated rows are counted each. An empty table
@@ -20,11 +22,11 @@ gives no rows. Other columns are ignored.
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import regex
 import zstandard
 from pyspark import TaskContext
@@ -39,7 +41,7 @@ _SPLIT = regex.compile(r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}
 #: In texts with other characters the library itself finds the pre-tokens.
 _LATIN = re.compile(r" ?[\x21-\x7e¡-ɏ]*\Z")
 _SPACED = mix(np.array([0x20], np.uint64))[0]
-_BLOCK = "block long, pretokens array<string>, doc_ids array<long>, n_bytes array<long>, n_special binary, sizes binary, members binary, places binary, freqs binary"
+_BLOCK = "block long, sent array<struct<bucket:int,pretokens:string>>, doc_ids array<long>, n_bytes array<long>, n_special binary, sizes binary, members binary, places binary, freqs binary"
 _PAYLOAD = ["block", "doc_ids", "n_bytes", "n_special", "sizes", "members", "places", "freqs"]
 
 
@@ -53,21 +55,12 @@ def unsqueeze(raw: bytes) -> np.ndarray:
     return np.frombuffer(zstandard.decompress(raw[1:]), f"u{raw[0]}").astype(np.int64)
 
 
-def newcomers(members: np.ndarray) -> np.ndarray:
-    """0 for the first place of each number (numbers begin in order), else the number plus one."""
-    known = np.concatenate([[-1], np.maximum.accumulate(members)])[: len(members)]
-    return np.where(members > known, 0, members + 1)
-
-
-def members_of(coded: np.ndarray) -> np.ndarray:
-    return np.where(coded == 0, np.cumsum(coded == 0), coded) - 1
-
-
 class PreTokens:
     """Pre-tokens of whole slices of text, for a byte-level vocabulary that keeps white space."""
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, buckets: int) -> None:
         self.lib = load(path)
+        self.buckets = buckets
         self.specials = [t.content for t in self.lib.get_added_tokens_decoder().values()]
         self.special = re.compile("|".join(map(re.escape, self.specials))) if self.specials else None
 
@@ -77,13 +70,13 @@ class PreTokens:
             return [as_letters(x) for x in _SPLIT.findall(word)]
         return [x for x, _ in self.lib.pre_tokenizer.pre_tokenize_str(word)]
 
-    def block(self, s: Slice) -> tuple[list[str], list[bytes]]:
-        """The slice's distinct pre-tokens, and n_special, sizes, members, places and freqs.
+    def block(self, s: Slice) -> tuple[list[int], list[str], list[bytes]]:
+        """The slice's buckets, the distinct pre-tokens of each (between spaces), and n_special, sizes, members, places and freqs.
 
-        Entry k of sizes is the number of pre-tokens of word k, which members
-        list one after another as newcomers(); places are the steps between
-        the ascending document * words + word, and freqs how often that word is
-        there.
+        Pre-tokens are numbered in the order of the buckets. Entry k of sizes
+        is the number of pre-tokens of word k, which members list one after
+        another; places are the steps between the ascending document * words +
+        word, and freqs how often that word is there.
         """
         blob = s.blob
         raw = blob.tobytes()
@@ -118,7 +111,15 @@ class PreTokens:
         number: dict[str, int] = {}
         members = np.fromiter((number.setdefault(x, len(number)) for k in used for x in words[k]), np.int64)
         sizes = np.fromiter((len(words[k]) for k in used), np.int64, len(used))
-        return list(number), [squeeze(x) for x in (special, sizes, newcomers(members), np.diff(places, prepend=0), freqs)]
+        # Written by letters only, a pre-token holds no space.
+        bucket = np.fromiter((zlib.crc32(x.encode()) % self.buckets for x in number), np.int64, len(number))
+        order = np.argsort(bucket, kind="stable")
+        place = np.empty(len(order), np.int64)
+        place[order] = np.arange(len(order))
+        names = list(number)
+        found, first = np.unique(bucket[order], return_index=True)
+        sent = [" ".join([names[k] for k in part]) for part in np.split(order, first[1:])] if names else []
+        return found.tolist(), sent, [squeeze(x) for x in (special, sizes, place[members], np.diff(places, prepend=0), freqs)]
 
     def _renumber(self, in_doc: np.ndarray, in_word: np.ndarray, n: int) -> tuple[np.ndarray, list[int]]:
         """New numbers of the words, and the old number of each: common words come first, then in the documents' order.
@@ -170,63 +171,69 @@ class PreTokens:
         return odd
 
 
-def cut_blocks(docs: DataFrame, tokenizer: str, block_bytes: int, id_col: str, text_col: str) -> DataFrame:
+def cut_blocks(docs: DataFrame, tokenizer: str, block_bytes: int, buckets: int, id_col: str, text_col: str) -> DataFrame:
     """One row for each block of docs; write it before use, as it numbers the blocks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        split = PreTokens(tokenizer)
+        split = PreTokens(tokenizer, buckets)
         block = TaskContext.get().partitionId() << 33
         for batch in batches:
             for s in slices(batch.column(1), block_bytes):
-                pretokens, columns = split.block(s)
+                numbers, sent, columns = split.block(s)
+                rows = pa.StructArray.from_arrays([pa.array(numbers, pa.int32()), pa.array(sent, pa.string())], ["bucket", "pretokens"])
                 ids = pa.ListArray.from_arrays(pa.array([0, len(s)], pa.int32()), batch.column(0).slice(s.first, len(s)))
-                lists = [pa.array([block], pa.int64()), pa.array([pretokens], pa.list_(pa.string())), ids, pa.array([s.ends - s.starts], pa.list_(pa.int64()))]
-                yield pa.record_batch([*lists, *(pa.array([c], pa.binary()) for c in columns)], names=["block", "pretokens", *_PAYLOAD[1:]])
+                lists = [pa.array([block], pa.int64()), pa.ListArray.from_arrays(pa.array([0, len(sent)], pa.int32()), rows), ids, pa.array([s.ends - s.starts], pa.list_(pa.int64()))]
+                yield pa.record_batch([*lists, *(pa.array([c], pa.binary()) for c in columns)], names=["block", "sent", *_PAYLOAD[1:]])
                 block += 1
 
     return docs.select(F.col(quoted(id_col)).cast("long").alias("doc_id"), F.col(quoted(text_col)).alias("text")).mapInArrow(run, _BLOCK)
 
 
-def count_pieces(held: DataFrame, tokenizer: str) -> DataFrame:
-    """held (of_block, i, pretoken) with n, the pieces of pretoken, in its place.
+def count_pieces(sent: DataFrame, tokenizer: str) -> DataFrame:
+    """sent (of_block, bucket, pretokens) with n, the pieces of each of pretokens, in their place.
 
-    Equal pre-tokens follow each other in a sorted partition, so each distinct
-    one is counted once and its count joined to the rows as they pass by.
+    The rows of a bucket follow each other in a sorted partition.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = load(tokenizer).model
-        last, last_n = None, 0
+        now, known = None, {}
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            col = batch.column("pretoken")
-            new = np.ones(len(col), bool)
-            new[1:] = pc.not_equal(col.slice(1), col.slice(0, len(col) - 1)).to_numpy(zero_copy_only=False)
-            texts = col.filter(pa.array(new)).to_pylist()
-            counts = [last_n if k == 0 and x == last else len(model.tokenize(x)) for k, x in enumerate(texts)]
-            last, last_n = texts[-1], counts[-1]
-            n = np.array(counts, np.int32)[np.cumsum(new) - 1]
-            yield pa.record_batch([batch.column("of_block"), batch.column("i"), pa.array(n)], names=["of_block", "i", "n"])
-
-    return held.repartition("pretoken").sortWithinPartitions("pretoken").mapInArrow(run, "of_block long, i int, n int")
+            held, out = [], []
+            for bucket, pretokens in zip(batch.column("bucket").to_pylist(), batch.column("pretokens").to_pylist()):
+                if bucket != now:
+                    now, known = bucket, {}
+                names = pretokens.split(" ")
+                for x in names:
+                    if x not in known:
+                        known[x] = len(model.tokenize(x))
+                n = [known[x] for x in names]
+                held.append(len(n))
+                out.append(np.array(n, "u1" if max(n) < 255 else "u4").tobytes())
+            yield pa.record_batch([batch.column("of_block"), batch.column("bucket"), pa.array(held, pa.int32()), pa.array(out, pa.binary())], names=["of_block", "bucket", "held", "n"])
+
+    return sent.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(run, "of_block long, bucket int, held int, n binary")
 
 
 def _add_up(block: pa.Table, counted: pa.Table) -> pa.Table:
     """The counts of one block's documents, from its row and the pieces of its pre-tokens."""
     row = {c: block.column(c)[0] for c in _PAYLOAD}
     special, sizes, members, steps, freqs = (unsqueeze(row[c].as_py()) for c in _PAYLOAD[3:])
-    members = members_of(members)
-    pieces = np.zeros(counted.num_rows, np.int64)
-    pieces[counted.column("i").to_numpy()] = counted.column("n").to_numpy()
+    counted = counted.sort_by("bucket")
+    parts = zip(counted.column("n").to_pylist(), counted.column("held").to_pylist())
+    pieces = np.concatenate([np.zeros(0, np.int64), *(np.frombuffer(raw, f"u{len(raw) // held}").astype(np.int64) for raw, held in parts)])
     words = np.bincount(np.repeat(np.arange(len(sizes)), sizes), weights=pieces[members], minlength=len(sizes)).astype(np.int64)
     doc, word = np.divmod(np.cumsum(steps), max(len(sizes), 1))
     n = np.bincount(doc, weights=freqs * words[word], minlength=len(special)).astype(np.int64) + special
     return pa.table({"doc_id": row["doc_ids"].values, "n_bytes": row["n_bytes"].values, "n_tokens": pa.array(n)})
 
 
-def count_tokens(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = 8 << 20) -> DataFrame:
-    """doc_id, n_bytes (UTF-8) and n_tokens of each row of docs."""
-    blocks = Scratch(docs.sparkSession).table(cut_blocks(docs, tokenizer, block_bytes, id_col, text_col), "blocks")
-    held = blocks.select(F.col("block").alias("of_block"), F.posexplode("pretokens").alias("i", "pretoken"))
-    return blocks.select(_PAYLOAD).groupBy("block").cogroup(count_pieces(held, tokenizer).groupBy("of_block")).applyInArrow(_add_up, "doc_id long, n_bytes long, n_tokens long")
+def count_tokens(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = 8 << 20, buckets: int = 4096) -> DataFrame:
+    """doc_id, n_bytes (UTF-8) and n_tokens of each row of docs.
+
+    buckets bounds the tasks that count pieces, and a bucket's distinct
+    pre-tokens are held by one of them: raise it with the corpus.
+    """
+    blocks = Scratch(docs.sparkSession).table(cut_blocks(docs, tokenizer, block_bytes, buckets, id_col, text_col), "blocks")
+    sent = blocks.select(F.col("block").alias("of_block"), F.inline("sent"))
+    return blocks.select(_PAYLOAD).groupBy("block").cogroup(count_pieces(sent, tokenizer).groupBy("of_block")).applyInArrow(_add_up, "doc_id long, n_bytes long, n_tokens long")
