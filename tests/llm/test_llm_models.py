@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from weftline.llm.decontaminate import WuManber, digest, find, remove_hits
-from weftline.llm.elias_fano import EliasFano, NgramTrie, dequantise
+from weftline.llm.elias_fano import QUANT, EliasFano, NgramTrie, dequantise
 from weftline.llm.language_id import predict, prototypes
 from weftline.llm.lm_scoring import score
 from weftline.llm.quality import filter_documents, judge
@@ -38,45 +38,66 @@ def test_trie_from_a_mapped_file(tmp_path):
     import mmap
 
     words = np.array([5, 9, 1 << 60], np.uint64)
-    trie = NgramTrie.build(words, np.array([4, 0, 2]), np.array([0, 0, 2]), np.array([0, 2, 0]), np.array([3, 1, 2]))
+    pairs = (np.array([0, 0, 2]), np.array([0, 2, 0]), np.array([3, 1, 2]))
+    triples = (np.array([0, 2, 2]), np.array([1, 0, 2]), np.array([1, 2, 4]))
+    trie = NgramTrie.build(words, np.array([4, 0, 2]), [pairs, triples])
     (tmp_path / "t").write_bytes(trie.dump())
     with open(tmp_path / "t", "rb") as f:
         trie = NgramTrie.load(mmap.mmap(f.fileno(), 0, access=mmap.ACCESS_READ))
     assert trie.number(np.array([9, 7, 1 << 60], np.uint64)).tolist() == [1, -1, 2]
     assert trie.count(np.array([0, 1, 2, -1])).tolist() == [4, 0, 2, 0]
-    got = dequantise(trie.shares(np.array([0, 0, 2, 1, -1]), np.array([0, 2, 0, 0, 0])))
-    assert np.allclose(got, [3 / 6, 1 / 6, 2 / 3, 0, 0], rtol=1e-3)
-    assert np.allclose(dequantise(trie.left(np.array([0, 1, 2, -1]))), [2 / 6, 1, 1 / 3, 1], rtol=1e-3)
+    two, three = trie.levels
+    place = two.find(np.array([0, 2, 1, -1]), np.array([2, 1, 1, 1]), np.array([0, 2, 0, 0, 0]))
+    assert place.tolist() == [0, 1, 2, -1, -1] and two.kinds(np.array([0, 1, -1])).tolist() == [2, 0, 0]
+    assert np.allclose(dequantise(two.shares(place)), [3 / 6, 1 / 6, 2 / 3, 0, 0], rtol=1e-3)
+    assert np.allclose(dequantise(two.left(np.array([0, 1, 2, -1]))), [2 / 6, 1, 1 / 3, 1], rtol=1e-3)
+    place = three.find(np.array([0, 1, 2]), np.array([2, 1, 3]), np.array([0, 1, 1, 0, 1, 2]))
+    assert place.tolist() == [-1, 0, -1, 1, -1, 2]
+    assert np.allclose(dequantise(three.shares(place)), [0, 1 / 2, 0, 2 / 8, 0, 4 / 8], rtol=1e-3)
+    assert np.allclose(dequantise(three.left(np.array([0, 1, 2]))), [1 / 2, 1, 2 / 8], rtol=1e-3)
+
+
+def brute_lm(rows, order=3):
+    tokens = [["<s>", *space_words(lower(t)), None] for _, t in rows]
+    c, b = collections.Counter(), collections.defaultdict(collections.Counter)
 
+    def contexts(w, k):
+        return [tuple(w[k - n : k]) for n in range(1, min(order - 1, k) + 1)]
 
-def brute_lm(rows):
-    tokens = [[*space_words(lower(t)), None] for _, t in rows]
-    c, b = collections.Counter(), collections.defaultdict(collections.Counter)
     for (d, _), w in zip(rows, tokens):
         if not held(d, 7):
-            c.update(w)
-            for a, x in zip(["<s>", *w], w):
-                b[a][x] += 1
+            c.update(w[1:])
+            for k in range(1, len(w)):
+                for a in contexts(w, k):
+                    b[a][w[k]] += 1
+    sums = {a: sum(x.values()) for a, x in b.items()}
     n, v = sum(c.values()), len(c)
     out = []
     for (d, _), w in zip(rows, tokens):
         base = model = 0.0
-        for a, x in zip(["<s>", *w], w):
-            p = (c[x] + 1) / (n + v + 1)
+        for k in range(1, len(w)):
+            p = (c[w[k]] + 1) / (n + v + 1)
             base += math.log10(p)
-            total, kinds = sum(b[a].values()), len(b[a])
-            model += math.log10(b[a][x] / (total + kinds) + kinds / (total + kinds) * p if total else p)
-        out.append((d, held(d, 7), len(w), sum(c[x] > 0 for x in w), n, base, model))
+            for a in contexts(w, k):
+                if a in sums:
+                    p = (b[a][w[k]] + len(b[a]) * p) / (sums[a] + len(b[a]))
+            model += math.log10(p)
+        out.append((d, held(d, 7), len(w) - 1, sum(c[x] > 0 for x in w[1:]), n, base, model))
     return out
 
 
+def coded(tokens, order):
+    """The most that the codes can move a score: half a step for each token and order above the first."""
+    return tokens * (order - 1) * math.log10(2) / (2 * QUANT) + 1e-6
+
+
 def test_lm_scores(odd, some, none):
-    for df in (odd, some):
+    for df, order in ((odd, 3), (some, 3), (some, 2), (odd, 4)):
         learn = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 7 != 2
-        got = sorted(map(tuple, score(df, learn)[0].collect()), key=str)
-        want = sorted(brute_lm([(r.doc_id, r.text) for r in df.collect()]), key=str)
+        got = sorted(map(tuple, score(df, learn, order=order)[0].collect()), key=str)
+        want = sorted(brute_lm([(r.doc_id, r.text) for r in df.collect()], order), key=str)
         for g, w in zip(got, want, strict=True):
-            assert g[:5] == w[:5] and math.isclose(g[5], w[5], rel_tol=1e-9) and math.isclose(g[6], w[6], rel_tol=2e-3)
+            assert g[:5] == w[:5] and math.isclose(g[5], w[5], rel_tol=1e-9) and abs(g[6] - w[6]) <= coded(w[2], order)
     assert score(none, F.lit(True))[0].count() == 0
 
 
@@ -93,7 +114,7 @@ def test_common_contexts_are_split(spark, some):
         got = sorted(map(tuple, score(df, learn, shard_bytes=part)[0].collect()))
         want = sorted(brute_lm([(r.doc_id, r.text) for r in df.collect()]))
         for g, w in zip(got, want, strict=True):
-            assert g[:5] == w[:5] and math.isclose(g[5], w[5], rel_tol=1e-9) and math.isclose(g[6], w[6], rel_tol=2e-3)
+            assert g[:5] == w[:5] and math.isclose(g[5], w[5], rel_tol=1e-9) and abs(g[6] - w[6]) <= coded(w[2], 3)
 
 
 def test_language_id(spark, odd, none):

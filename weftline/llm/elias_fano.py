@@ -12,6 +12,9 @@ _SELECT8 = np.zeros((256, 8), np.int64)
 for _b in range(256):
     for _k, _p in enumerate([p for p in range(8) if _b >> p & 1]):
         _SELECT8[_b, _k] = _p
+#: Every second bit, every second pair of bits, every second four; the lowest and the highest bit of each byte.
+_EVEN, _PAIRS, _FOURS, _ONES, _TOPS = (np.uint64(b * 0x0101010101010101) for b in (0x55, 0x33, 0x0F, 0x01, 0x80))
+_ALL = np.uint64(2**64 - 1)
 
 
 class EliasFano:
@@ -19,7 +22,6 @@ class EliasFano:
 
     def __init__(self, n: int, low_bits: int, low: np.ndarray, high: np.ndarray, ones: np.ndarray) -> None:
         self.n, self.low_bits, self.low, self.high, self.ones = n, low_bits, low, high, ones
-        self.bytes = high.view(np.uint8)
         self.zeros = np.arange(len(ones), dtype=np.int64) * 64 - ones
 
     @classmethod
@@ -44,19 +46,17 @@ class EliasFano:
             np.bitwise_or.at(low, word[over] + 1, rest[over] >> (np.uint64(64) - off[over]))
         return cls(n, low_bits, low, high, ones)
 
-    def _select(self, k: np.ndarray, before: np.ndarray, flip: int) -> np.ndarray:
-        """Place of the k-th bit that is set (flip 0) or unset (flip 255)."""
+    def _select(self, k: np.ndarray, before: np.ndarray, flip: np.uint64) -> np.ndarray:
+        """Place of the k-th bit that is set (flip 0) or unset (flip all ones): within its word by sums over all its bytes at once."""
         word = np.searchsorted(before, k, side="right") - 1
-        rest = k - before[word]
-        byte = word * 8
-        done = np.zeros(len(k), bool)
-        for _ in range(8):
-            count = _COUNT8[self.bytes[np.minimum(byte, len(self.bytes) - 1)] ^ flip]
-            done |= rest < count
-            step = ~done
-            rest = rest - count * step
-            byte = byte + step
-        return byte * 8 + _SELECT8[self.bytes[byte] ^ flip, rest]
+        rest = (k - before[word]).astype(np.uint64)
+        bits = self.high[word] ^ flip
+        pairs = bits - ((bits >> np.uint64(1)) & _EVEN)
+        fours = (pairs & _PAIRS) + ((pairs >> np.uint64(2)) & _PAIRS)
+        upto = ((fours + (fours >> np.uint64(4))) & _FOURS) * _ONES
+        byte = np.bitwise_count(((rest * _ONES | _TOPS) - upto) & _TOPS).astype(np.uint64) << np.uint64(3)
+        rest -= ((upto << np.uint64(8)) >> byte) & np.uint64(255)
+        return word * 64 + byte.astype(np.int64) + _SELECT8[((bits >> byte) & np.uint64(255)).astype(np.int64), rest.astype(np.int64)]
 
     def _low(self, k: np.ndarray) -> np.ndarray:
         if not self.low_bits:
@@ -70,7 +70,7 @@ class EliasFano:
 
     def __getitem__(self, k: np.ndarray) -> np.ndarray:
         """Values at places k."""
-        top = (self._select(k, self.ones[:-1], 0) - k).astype(np.uint64)
+        top = (self._select(k, self.ones[:-1], np.uint64(0)) - k).astype(np.uint64)
         return top << np.uint64(self.low_bits) | self._low(k)
 
     def _before(self, top: np.ndarray) -> np.ndarray:
@@ -78,7 +78,7 @@ class EliasFano:
         out = np.zeros(len(top), np.int64)
         some = np.flatnonzero(top > 0)
         k = np.minimum(top[some], int(self.zeros[-1])) - 1
-        out[some] = self._select(k, self.zeros[:-1], 255) - k
+        out[some] = self._select(k, self.zeros[:-1], _ALL) - k
         return np.minimum(out, self.n)
 
     def successor(self, x: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
@@ -118,45 +118,89 @@ def dequantise(code: np.ndarray) -> np.ndarray:
     return np.where(code == 65535, 0.0, np.exp2(-code.astype(np.float64) / QUANT))
 
 
-class NgramTrie:
-    """Words, and below each word the words that follow it.
+class Level:
+    """What follows each node of the level above it.
 
-    words: hashes of the vocabulary, ascending. counts: the running sum of the
-    words' counts. first: where a word's followers begin. followers: for each
-    context its followers' numbers, ascending, on top of the last value of the
-    context before, so that the whole level ascends. Two levels of codes: share
-    of each follower, and what each context leaves to the lower order.
+    first: where a node's followers begin. followers: for each node its
+    followers' numbers as words, ascending, on top of the last value of the
+    node before, so that the whole level ascends. Two rows of codes: share of
+    each follower, and what each node above leaves to the lower order.
     """
 
-    EF = ("words", "counts", "first", "followers")
-
-    def __init__(self, levels: dict[str, EliasFano], share: np.ndarray, rest: np.ndarray) -> None:
-        self.__dict__.update(levels)
-        self.levels, self.share, self.rest = levels, share, rest
+    def __init__(self, first: EliasFano, followers: EliasFano, share: np.ndarray, rest: np.ndarray) -> None:
+        self.first, self.followers, self.share, self.rest = first, followers, share, rest
 
     @classmethod
-    def build(cls, words: np.ndarray, counts: np.ndarray, context: np.ndarray, follower: np.ndarray, times: np.ndarray) -> NgramTrie:
-        """words (ascending hashes) with counts (0 allowed); context and follower number words and ascend as pairs.
+    def build(cls, nodes: int, node: np.ndarray, follower: np.ndarray, times: np.ndarray) -> Level:
+        """node (of the level above, which has nodes of them) and follower ascend as pairs.
 
-        Witten-Bell smoothing: of what follows a context c times, as d kinds of
+        Witten-Bell smoothing: of what follows a node c times, as d kinds of
         word, a kind seen t times gets t / (c + d), and d / (c + d) is left.
         """
-        kinds = np.bincount(context, minlength=len(words))
-        seen = np.bincount(context, weights=times, minlength=len(words))
-        total = np.maximum(seen + kinds, 1)
+        kinds = np.bincount(node, minlength=nodes)
+        total = np.maximum(np.bincount(node, weights=times, minlength=nodes) + kinds, 1)
         first = np.concatenate([[0], np.cumsum(kinds)])
-        ends = first[1:][kinds > 0] - 1
-        steps = np.zeros(len(words), np.int64)
-        steps[kinds > 0] = follower[ends]
-        base = np.concatenate([[0], np.cumsum(steps)[:-1]]) if len(words) else np.zeros(0, np.int64)
-        level = follower + base[context]
-        levels = {
-            "words": EliasFano.encode(words, 1 << 64),
-            "counts": EliasFano.encode(np.concatenate([[0], np.cumsum(counts)]), int(counts.sum()) + 1),
-            "first": EliasFano.encode(first, len(context) + 1),
-            "followers": EliasFano.encode(level, int(steps.sum()) + 1),
-        }
-        return cls(levels, quantise(times / total[context]), quantise(np.where(kinds > 0, kinds / total, 1.0)))
+        steps = np.zeros(nodes, np.int64)
+        steps[kinds > 0] = follower[first[1:][kinds > 0] - 1]
+        base = np.cumsum(steps) - steps
+        values = EliasFano.encode(follower + base[node], int(steps.sum()) + 1)
+        return cls(EliasFano.encode(first, len(node) + 1), values, quantise(times / total[node]), quantise(np.where(kinds > 0, kinds / total, 1.0)))
+
+    def kinds(self, node: np.ndarray) -> np.ndarray:
+        """How many kinds of word follow each node, none where it is -1."""
+        out = np.zeros(len(node), np.int64)
+        ok = np.flatnonzero(node >= 0)
+        out[ok] = (self.first[node[ok] + 1] - self.first[node[ok]]).astype(np.int64)
+        return out
+
+    def find(self, node: np.ndarray, width: np.ndarray, follower: np.ndarray) -> np.ndarray:
+        """Places of followers, width[i] of them asked of node[i]; -1 where node or follower are, and where it doesn't follow."""
+        lo, hi, base = np.zeros(len(node), np.int64), np.zeros(len(node), np.int64), np.zeros(len(node), np.uint64)
+        ok = np.flatnonzero(node >= 0)
+        lo[ok], hi[ok] = self.first[node[ok]], self.first[node[ok] + 1]
+        some = np.flatnonzero((hi > lo) & (lo > 0))
+        base[some] = self.followers[lo[some] - 1]
+        out = np.full(len(follower), -1)
+        row = np.flatnonzero(np.repeat(hi > lo, width) & (follower >= 0))
+        own = np.repeat(np.arange(len(node)), width)[row]
+        if len(row):
+            target = base[own] + follower[row].astype(np.uint64)
+            at = self.followers.successor(target, lo[own], hi[own])
+            hit = (at < hi[own]) & (self.followers[np.minimum(at, self.followers.n - 1)] == target)
+            out[row[hit]] = at[hit]
+        return out
+
+    def shares(self, place: np.ndarray) -> np.ndarray:
+        """Codes of the followers' shares at their nodes, 65535 where unseen."""
+        out = np.full(len(place), 65535, np.uint16)
+        out[place >= 0] = self.share[place[place >= 0]]
+        return out
+
+    def left(self, node: np.ndarray) -> np.ndarray:
+        """Codes of what each node leaves to the lower order: all of it where it is unknown."""
+        out = np.zeros(len(node), np.uint16)
+        out[node >= 0] = self.rest[node[node >= 0]]
+        return out
+
+
+class NgramTrie:
+    """Words, below each word the words that follow it, below each of these pairs what follows it, and so on.
+
+    words: hashes of the vocabulary, ascending. counts: the running sum of the
+    words' counts. levels: one for each order from 2.
+    """
+
+    def __init__(self, words: EliasFano, counts: EliasFano, levels: list[Level]) -> None:
+        self.words, self.counts, self.levels = words, counts, levels
+
+    @classmethod
+    def build(cls, words: np.ndarray, counts: np.ndarray, levels: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> NgramTrie:
+        """words (ascending hashes) with counts (0 allowed); for each level its nodes as (node above, word's number, times), ascending."""
+        made, nodes = [], len(words)
+        for node, follower, times in levels:
+            made.append(Level.build(nodes, node, follower, times))
+            nodes = len(node)
+        return cls(EliasFano.encode(words, 1 << 64), EliasFano.encode(np.concatenate([[0], np.cumsum(counts)]), int(counts.sum()) + 1), made)
 
     def number(self, hashes: np.ndarray) -> np.ndarray:
         """Numbers of words by their hashes, -1 for unknown ones."""
@@ -172,42 +216,23 @@ class NgramTrie:
         got = (self.counts[k + 1] - self.counts[k]).astype(np.int64) if self.words.n else np.zeros(len(k), np.int64)
         return np.where(number >= 0, got, 0)
 
-    def followers_of(self, number: np.ndarray) -> np.ndarray:
-        """How many kinds of word follow each word."""
-        k = np.maximum(number, 0)
-        got = (self.first[k + 1] - self.first[k]).astype(np.int64) if self.words.n else np.zeros(len(k), np.int64)
-        return np.where(number >= 0, got, 0)
-
-    def left(self, number: np.ndarray) -> np.ndarray:
-        """Codes of what each context leaves to the lower order: all of it where it is unknown."""
-        return np.where(number >= 0, self.rest[np.maximum(number, 0)], np.uint16(0)) if self.words.n else np.zeros(len(number), np.uint16)
-
-    def shares(self, context: np.ndarray, follower: np.ndarray) -> np.ndarray:
-        """Codes of the followers' shares in their contexts, 65535 where unseen."""
-        out = np.full(len(context), 65535, np.uint16)
-        ok = np.flatnonzero((context >= 0) & (follower >= 0))
-        c = context[ok]
-        lo, hi = self.first[c].astype(np.int64), self.first[c + 1].astype(np.int64)
-        some = hi > lo
-        ok, lo, hi = ok[some], lo[some], hi[some]
-        if len(ok):
-            base = np.where(lo > 0, self.followers[np.maximum(lo - 1, 0)], np.uint64(0))
-            target = base + follower[ok].astype(np.uint64)
-            at = self.followers.successor(target, lo, hi)
-            hit = (at < hi) & (self.followers[np.minimum(at, self.followers.n - 1)] == target)
-            out[ok[hit]] = self.share[at[hit]]
-        return out
+    def _arrays(self) -> dict[str, np.ndarray]:
+        sequences = {"words": self.words, "counts": self.counts}
+        out = {}
+        for k, v in enumerate(self.levels):
+            sequences |= {f"{k}.first": v.first, f"{k}.followers": v.followers}
+            out |= {f"{k}.share": v.share, f"{k}.rest": v.rest}
+        return out | {f"{k}.{p}": a for k, v in sequences.items() for p, a in v.parts().items()}
 
     def dump(self) -> bytes:
-        arrays = {f"{k}.{p}": v for k in self.EF for p, v in self.levels[k].parts().items()} | {"share": self.share, "rest": self.rest}
         head, at, body = {}, 0, []
-        for k, v in arrays.items():
+        for k, v in self._arrays().items():
             raw = np.ascontiguousarray(v).tobytes()
             head[k] = [v.dtype.str, len(v), at]
             raw += bytes(-len(raw) % 8)
             body.append(raw)
             at += len(raw)
-        text = json.dumps(head).encode()
+        text = json.dumps({"levels": len(self.levels), "arrays": head}).encode()
         text += b" " * (-(len(text) + 8) % 8)
         return len(text).to_bytes(8, "little") + text + b"".join(body)
 
@@ -216,6 +241,10 @@ class NgramTrie:
         """A trie over a buffer, such as a mapped file; nothing is copied."""
         size = int.from_bytes(bytes(buffer[:8]), "little")
         head = json.loads(bytes(buffer[8 : 8 + size]))
-        arrays = {k: np.frombuffer(buffer, np.dtype(t), n, 8 + size + at) for k, (t, n, at) in head.items()}
-        levels = {k: EliasFano.of({p: arrays[f"{k}.{p}"] for p in ("head", "low", "high", "ones")}) for k in cls.EF}
-        return cls(levels, arrays["share"], arrays["rest"])
+        arrays = {k: np.frombuffer(buffer, np.dtype(t), n, 8 + size + at) for k, (t, n, at) in head["arrays"].items()}
+
+        def sequence(name: str) -> EliasFano:
+            return EliasFano.of({p: arrays[f"{name}.{p}"] for p in ("head", "low", "high", "ones")})
+
+        levels = [Level(sequence(f"{k}.first"), sequence(f"{k}.followers"), arrays[f"{k}.share"], arrays[f"{k}.rest"]) for k in range(head["levels"])]
+        return cls(sequence("words"), sequence("counts"), levels)
