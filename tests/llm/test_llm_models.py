@@ -40,11 +40,12 @@ def test_trie_from_a_mapped_file(tmp_path):
     words = np.array([5, 9, 1 << 60], np.uint64)
     pairs = (np.array([0, 0, 2]), np.array([0, 2, 0]), np.array([3, 1, 2]))
     triples = (np.array([0, 2, 2]), np.array([1, 0, 2]), np.array([1, 2, 4]))
-    trie = NgramTrie.build(words, np.array([4, 0, 2]), [pairs, triples])
+    trie = NgramTrie.build(words, np.array([4, 0, 2]), np.array([3, 8, (1 << 40) - 1], np.uint64), [pairs, triples])
     (tmp_path / "t").write_bytes(trie.dump())
     with open(tmp_path / "t", "rb") as f:
         trie = NgramTrie.load(mmap.mmap(f.fileno(), 0, access=mmap.ACCESS_READ))
     assert trie.number(np.array([9, 7, 1 << 60], np.uint64)).tolist() == [1, -1, 2]
+    assert trie.name(np.array([8, 7, (1 << 40) - 1], np.uint64)).tolist() == [1, -1, 2]
     assert trie.count(np.array([0, 1, 2, -1])).tolist() == [4, 0, 2, 0]
     two, three = trie.levels
     place = two.find(np.array([0, 2, 1, -1]), np.array([2, 1, 1, 1]), np.array([0, 2, 0, 0, 0]))

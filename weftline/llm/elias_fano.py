@@ -122,7 +122,7 @@ class Level:
     """What follows each node of the level above it.
 
     first: where a node's followers begin. followers: for each node its
-    followers' numbers as words, ascending, on top of the last value of the
+    followers' numbers as names, ascending, on top of the last value of the
     node before, so that the whole level ascends. Two rows of codes: share of
     each follower, and what each node above leaves to the lower order.
     """
@@ -183,33 +183,44 @@ class Level:
         return out
 
 
+NAME_BITS = 40
+
+
 class NgramTrie:
     """Words, below each word the words that follow it, below each of these pairs what follows it, and so on.
 
-    words: hashes of the vocabulary, ascending. counts: the running sum of the
-    words' counts. levels: one for each order from 2.
+    words: hashes of the first words, ascending. counts: the running sum of
+    their counts. names: the first NAME_BITS bits of the hashes of words that
+    follow, ascending: two followers of one context are told apart by these.
+    levels: one for each order from 2.
     """
 
-    def __init__(self, words: EliasFano, counts: EliasFano, levels: list[Level]) -> None:
-        self.words, self.counts, self.levels = words, counts, levels
+    def __init__(self, words: EliasFano, counts: EliasFano, names: EliasFano, levels: list[Level]) -> None:
+        self.words, self.counts, self.names, self.levels = words, counts, names, levels
 
     @classmethod
-    def build(cls, words: np.ndarray, counts: np.ndarray, levels: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> NgramTrie:
-        """words (ascending hashes) with counts (0 allowed); for each level its nodes as (node above, word's number, times), ascending."""
+    def build(cls, words: np.ndarray, counts: np.ndarray, names: np.ndarray, levels: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> NgramTrie:
+        """words (ascending hashes) with counts (0 allowed), and names, ascending; for each level its nodes as (node above, name's number, times), ascending."""
         made, nodes = [], len(words)
         for node, follower, times in levels:
             made.append(Level.build(nodes, node, follower, times))
             nodes = len(node)
-        return cls(EliasFano.encode(words, 1 << 64), EliasFano.encode(np.concatenate([[0], np.cumsum(counts)]), int(counts.sum()) + 1), made)
+        return cls(EliasFano.encode(words, 1 << 64), EliasFano.encode(np.concatenate([[0], np.cumsum(counts)]), int(counts.sum()) + 1), EliasFano.encode(names, 1 << NAME_BITS), made)
+
+    @staticmethod
+    def _places(of: EliasFano, values: np.ndarray) -> np.ndarray:
+        if not of.n or not len(values):
+            return np.full(len(values), -1)
+        at = of.successor(values, np.zeros(len(values), np.int64), np.full(len(values), of.n))
+        return np.where((at < of.n) & (of[np.minimum(at, of.n - 1)] == values), at, -1)
 
     def number(self, hashes: np.ndarray) -> np.ndarray:
         """Numbers of words by their hashes, -1 for unknown ones."""
-        n = self.words.n
-        if not n or not len(hashes):
-            return np.full(len(hashes), -1)
-        at = self.words.successor(hashes, np.zeros(len(hashes), np.int64), np.full(len(hashes), n))
-        same = self.words[np.minimum(at, n - 1)] == hashes
-        return np.where((at < n) & same, at, -1)
+        return self._places(self.words, hashes)
+
+    def name(self, names: np.ndarray) -> np.ndarray:
+        """Numbers of names, -1 for unknown ones."""
+        return self._places(self.names, names)
 
     def count(self, number: np.ndarray) -> np.ndarray:
         k = np.maximum(number, 0)
@@ -217,7 +228,7 @@ class NgramTrie:
         return np.where(number >= 0, got, 0)
 
     def _arrays(self) -> dict[str, np.ndarray]:
-        sequences = {"words": self.words, "counts": self.counts}
+        sequences = {"words": self.words, "counts": self.counts, "names": self.names}
         out = {}
         for k, v in enumerate(self.levels):
             sequences |= {f"{k}.first": v.first, f"{k}.followers": v.followers}
@@ -247,4 +258,4 @@ class NgramTrie:
             return EliasFano.of({p: arrays[f"{name}.{p}"] for p in ("head", "low", "high", "ones")})
 
         levels = [Level(sequence(f"{k}.first"), sequence(f"{k}.followers"), arrays[f"{k}.share"], arrays[f"{k}.rest"]) for k in range(head["levels"])]
-        return cls(sequence("words"), sequence("counts"), levels)
+        return cls(sequence("words"), sequence("counts"), sequence("names"), levels)

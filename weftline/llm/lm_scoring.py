@@ -21,7 +21,7 @@ a block or a shard, and what moves is in proportion to the corpus. A block
 sends at most one row for each shard, and for each of its distinct words. A
 longer context isn't split: if one pair of words had most of all followers, its
 shard would hold one entry for each kind of follower and block. Words are known
-by 64-bit hashes.
+by 64-bit hashes, and among the followers of one context by 40 bits of these.
 
 Nulls and empties: a null text is an empty one and scores its end token alone;
 a null doc_id is carried along and counts as the text '' in the split; repeated
@@ -37,15 +37,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .elias_fano import NgramTrie, dequantise
+from .elias_fano import NAME_BITS, NgramTrie, dequantise
 from .runtime import Scratch, exact_keys, quoted
 from .textkern import NON_SPACE, Slice, mix, slices
 from .token_output import IdFile, _open
 
 START, END = np.uint64(1), np.uint64(2)
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 6 << 20
 #: Bytes of the sample in which common contexts are looked for, and the least share of all pairs that makes one common.
 SAMPLE_BYTES, LEAST_SHARE = 64 << 20, 2.0**-16
+_CUT = np.uint64(64 - NAME_BITS)
 _PART, _FOLLOWER = np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F)
 
 #: Hashes of common contexts, ascending, and the number of parts of each.
@@ -180,6 +181,17 @@ def _joined(low: np.ndarray, high: np.ndarray) -> np.ndarray:
     return low.astype(np.int64) | high.astype(np.int64) << 16
 
 
+def _steps(ascending: np.ndarray, width: int) -> np.ndarray:
+    """Ascending integers of width bytes as steps from one to the next, all first bytes before all second ones: the high bytes are mostly 0."""
+    return np.ascontiguousarray(np.diff(ascending, prepend=np.uint64(0)).view(np.uint8).reshape(-1, 8)[:, :width].T).ravel()
+
+
+def _summed(steps: np.ndarray, width: int) -> np.ndarray:
+    out = np.zeros((len(steps) // width, 8), np.uint8)
+    out[:, :width] = steps.reshape(width, -1).T
+    return np.cumsum(out.view(np.uint64).ravel(), dtype=np.uint64)
+
+
 def _numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, Slice, pa.RecordBatch]]:
     """Blocks of about BLOCK_BYTES of text: small batches together, large ones cut."""
     from pyspark import TaskContext
@@ -216,8 +228,8 @@ def _message(b: Block, k: int, count: np.ndarray, times: list[np.ndarray]) -> by
     for x in last:
         place[x] = 1
     names = np.flatnonzero(place)
-    place[names] = np.arange(len(names))
-    out = [b.words[own[0]], count[own[0]], b.split[own[0]], b.words[names]]
+    values, place[names] = np.unique(b.words[names] >> _CUT, return_inverse=True)
+    out = [_steps(b.words[own[0]], 8), count[own[0]], b.split[own[0]], _steps(values, NAME_BITS // 8)]
     for (keys, _, _), x, n, above, s in zip(b.levels, last, times, own, own[1:]):
         width = np.bincount(keys[s] // len(b.words) - above.start, minlength=above.stop - above.start)
         out += [width.astype(np.uint32), *_halves(place[x]), n[s]]
@@ -225,15 +237,16 @@ def _message(b: Block, k: int, count: np.ndarray, times: list[np.ndarray]) -> by
 
 
 #: Types of a message's arrays, and of those that it has for each order.
-_HEAD, _EACH = (np.uint64, np.uint32, np.uint8, np.uint64), (np.uint32, np.uint16, np.uint16, np.uint32)
+_HEAD, _EACH = (np.uint8, np.uint32, np.uint8, np.uint8), (np.uint32, np.uint16, np.uint16, np.uint32)
 
 
 class Asked:
     """A message, read: words, count, split, names, and for each order (width, last, times)."""
 
     def __init__(self, data: bytes, order: int) -> None:
-        self.words, self.count, self.split, self.names, *rest = _expand(data, *_HEAD, *_EACH * (order - 1))
-        self.levels = [(rest[k].astype(np.int64), _joined(rest[k + 1], rest[k + 2]), rest[k + 3]) for k in range(0, len(rest), 4)]
+        words, self.count, self.split, names, *rest = _expand(data, *_HEAD, *_EACH * (order - 1))
+        self.words, self.names = _summed(words, 8), _summed(names, NAME_BITS // 8)
+        self.levels = [(rest[k], _joined(rest[k + 1], rest[k + 2]).astype(np.uint32), rest[k + 3]) for k in range(0, len(rest), 4)]
 
 
 def _questions(docs: DataFrame, shards: int, common: Common, keys: np.ndarray, order: int) -> DataFrame:
@@ -257,32 +270,32 @@ def _questions(docs: DataFrame, shards: int, common: Common, keys: np.ndarray, o
 
 def train_shard(asked: list[Asked], order: int) -> NgramTrie:
     """The trie of the training counts of a shard's blocks; the count of a part of a context is that of its pairs."""
-    found = []
+    known, follow = [], []
     for a in asked:
-        width, last, times = a.levels[0]
-        seen = np.zeros(len(a.words), bool)
+        width, _, times = a.levels[0]
+        seen = a.count > 0
         seen[np.repeat(np.arange(len(a.words)), width)[times > 0]] = True
-        found.append(a.words[seen | (a.count > 0)])
-        follows = np.zeros(len(a.names), bool)
+        known.append(a.words[seen])
+        seen = np.zeros(len(a.names), bool)
         for _, last, times in a.levels:
-            follows[last[times > 0]] = True
-        found.append(a.names[follows])
-    vocabulary = np.unique(np.concatenate(found))
-    n = max(1, len(vocabulary))
-    total = np.zeros(len(vocabulary), np.int64)
-    own = [np.searchsorted(vocabulary, a.words) for a in asked]
-    names = [np.searchsorted(vocabulary, a.names) for a in asked]
+            seen[last[times > 0]] = True
+        follow.append(a.names[seen])
+    words, names = np.unique(np.concatenate(known)), np.unique(np.concatenate(follow))
+    n = max(1, len(names))
+    total = np.zeros(len(words), np.int64)
+    own = [np.searchsorted(words, a.words) for a in asked]
+    lasts = [np.searchsorted(names, a.names) for a in asked]
     for a, w in zip(asked, own):
         some = a.count > 0
         total[w[some]] += a.count[some]
     levels, above = [], own
     for k in range(order - 1):
         keys, times, split, seen = [], [], [], []
-        for a, nodes, words in zip(asked, above, names):
+        for a, nodes, place in zip(asked, above, lasts):
             width, last, t = a.levels[k]
             live = np.flatnonzero(t)
             context = np.repeat(np.arange(len(nodes)), width)[live]
-            keys.append(nodes[context] * n + words[last[live]])
+            keys.append(nodes[context] * n + place[last[live]])
             times.append(t[live].astype(np.int64))
             seen.append(live)
             split.append(a.split[context] > 0 if k == 0 else np.zeros(0, bool))
@@ -300,7 +313,7 @@ def train_shard(asked: list[Asked], order: int) -> NgramTrie:
             nodes.append(place)
             at += len(live)
         above = nodes
-    return NgramTrie.build(vocabulary, total, levels)
+    return NgramTrie.build(words, total, names, levels)
 
 
 def _answers(questions: DataFrame, folder: str, shards: int, order: int) -> DataFrame:
@@ -329,7 +342,7 @@ def _answers(questions: DataFrame, folder: str, shards: int, order: int) -> Data
         del asked
         for block, check, d in zip(blocks, checks, data):
             a = Asked(d, order)
-            number, last = trie.number(a.words), trie.number(a.names)
+            number, last = trie.number(a.words), trie.name(a.names)
             out, node = [trie.count(number), trie.levels[0].kinds(number[a.split > 0])], number
             for level, (width, follower, _) in zip(trie.levels, a.levels):
                 place = level.find(node, width, last[follower])
@@ -434,7 +447,7 @@ def _scores(tokens: DataFrame, answers: DataFrame, parts: int, vocabulary: int,
     return ordered.mapInArrow(run, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 
 
-def score(docs: DataFrame, learn: Column, shard_bytes: int = 16 << 20, order: int = 3, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, str]:
+def score(docs: DataFrame, learn: Column, shard_bytes: int = 12 << 20, order: int = 3, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, str]:
     """Scores of each row of docs under the model of the rows where learn holds, and the folder of the model's tries.
 
     shard_bytes: text for each shard; a shard is what one task holds. order:

@@ -62,7 +62,7 @@ def _pow(base: int, n: int) -> np.ndarray:
         have = np.full(size, np.uint64(base))
         have[0] = 1
         np.multiply.accumulate(have, out=have)
-        if size > 4 * SLICE_BYTES:
+        if size > 2 * SLICE_BYTES:
             return have
         _powers[base] = have
     return have[:n]
@@ -89,7 +89,9 @@ class Slice:
         """A 64-bit hash of the bytes of each word; fold: A-Z count as a-z."""
         n = len(self.blob)
         sums = np.zeros(n + 1, np.uint64)
-        np.cumsum((_FOLDED if fold else _BYTES)[self.blob] * _pow(_P, n), out=sums[1:])
+        np.take(_FOLDED if fold else _BYTES, self.blob, out=sums[1:], mode="clip")
+        sums[1:] *= _pow(_P, n)
+        np.cumsum(sums[1:], out=sums[1:])
         h = (sums[end] - sums[at]) * _pow(_P_INV, n + 1)[at]
         return mix(h + (end - at).astype(np.uint64) * _GOLD)
 
