@@ -316,7 +316,7 @@ def train_shard(asked: list[Asked], order: int) -> NgramTrie:
     return NgramTrie.build(words, total, names, levels)
 
 
-def _answers(questions: DataFrame, folder: str, shards: int, order: int) -> DataFrame:
+def _answers(questions: DataFrame, folder: str, shards: int, order: int, keep_model: bool) -> DataFrame:
     """Asked rows with the shard's answers; and a row for each shard: vocabulary and tokens of training."""
     names = ["shard", "block", "check", "data", "kinds", "tokens"]
     types = [pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64()]
@@ -349,6 +349,8 @@ def _answers(questions: DataFrame, folder: str, shards: int, order: int) -> Data
                 out += [level.left(node), level.shares(place)]
                 node = place
             yield row(shard, block, check, _squeeze(*out), 0, 0)
+        if not keep_model:
+            where.delete_file(path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, own = None, ([], [], [])
@@ -447,11 +449,12 @@ def _scores(tokens: DataFrame, answers: DataFrame, parts: int, vocabulary: int,
     return ordered.mapInArrow(run, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 
 
-def score(docs: DataFrame, learn: Column, shard_bytes: int = 12 << 20, order: int = 3, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, str]:
+def score(docs: DataFrame, learn: Column, shard_bytes: int = 12 << 20, order: int = 3, keep_model: bool = True, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, str]:
     """Scores of each row of docs under the model of the rows where learn holds, and the folder of the model's tries.
 
     shard_bytes: text for each shard; a shard is what one task holds. order:
-    words in the longest n-grams, 2 or more.
+    words in the longest n-grams, 2 or more. keep_model: whether the tries stay
+    in the folder; else each goes when its shard has answered every block.
     """
     if order < 2:
         raise ValueError("order must be 2 or more")
@@ -461,7 +464,7 @@ def score(docs: DataFrame, learn: Column, shard_bytes: int = 12 << 20, order: in
     shards = max(12, -(-size // shard_bytes))
     folder = scratch.path("model")
     common = common_contexts(rows, size, shards)
-    answers = scratch.table(_answers(_questions(rows, shards, common, exact_keys(docs.sparkSession, shards), order), folder, shards, order), "answers")
+    answers = scratch.table(_answers(_questions(rows, shards, common, exact_keys(docs.sparkSession, shards), order), folder, shards, order, keep_model), "answers")
     sums = answers.filter("block < 0").agg(F.sum("kinds"), F.sum("tokens")).first()
     parts = max(12, -(-size // (2 * BLOCK_BYTES)))
     return _scores(_tokens(rows, shards, common), answers, parts, int(sums[0] or 0), int(sums[1] or 0), order), folder

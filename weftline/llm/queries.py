@@ -24,7 +24,7 @@ def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .lm_scoring import score
 
     learn = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 7 != 2
-    return score(_docs(spark, sf_dir), learn)[0]
+    return score(_docs(spark, sf_dir), learn, keep_model=False)[0]
 
 
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
