@@ -49,4 +49,21 @@ bad AS (SELECT DISTINCT id FROM o JOIN m USING (id) JOIN lim ON lim.k = o.k AND
 SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars, CAST(n_symbols AS BIGINT) AS n_symbols, CAST(n_dup_lines AS BIGINT) AS n_dup_lines, CAST(n_repeat_words AS BIGINT) AS n_repeat_words, base_failed,
 NOT base_failed AND id NOT IN (SELECT id FROM bad) AS kept FROM m"""
 
-ORACLES: dict[str, str] = {"op7_decontamination": DECONTAMINATION, "op8_line_dedup": LINE_DEDUP, "op10_quality": QUALITY}
+#: Shares in hugeint arithmetic; every group meets every kept term of its language.
+DIVERGENCE = r"""WITH d AS (SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+  regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS ws FROM documents),
+t AS (SELECT id, lang, source, unnest(ws) AS term FROM d),
+k AS (SELECT lang, term, count(*) AS ln FROM t GROUP BY 1, 2 HAVING count(DISTINCT id) >= 30),
+v AS (SELECT lang, count(*) AS v, sum(ln) AS lt FROM k GROUP BY 1),
+g AS (SELECT DISTINCT lang, source FROM d),
+c AS (SELECT lang, source, term, count(*) AS n FROM t JOIN k USING (lang, term) GROUP BY 1, 2, 3),
+f AS (SELECT g.lang, g.source, k.term, k.ln, coalesce(c.n, 0) AS n, sum(coalesce(c.n, 0)) OVER (PARTITION BY g.lang, g.source) AS total, v.v, v.lt
+  FROM g JOIN k USING (lang) JOIN v USING (lang) LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+p AS (SELECT lang, source, term, n, 1 + (1000000000::HUGEINT * (n + 5)) // (total + 5 * v)::HUGEINT AS p, 1 + (1000000000::HUGEINT * (ln + 5)) // (lt + 5 * v)::HUGEINT AS q FROM f),
+a AS (SELECT x.lang, x.source, y.source AS item, sum(abs(x.p - y.p)) AS value FROM p x JOIN p y ON x.lang = y.lang AND x.term = y.term AND x.source <> y.source GROUP BY 1, 2, 3),
+pair AS (SELECT x.lang, x.source, 'pair' AS part, y.source AS item, coalesce(a.value, 0) AS value FROM g x JOIN g y ON x.lang = y.lang AND x.source <> y.source LEFT JOIN a ON a.lang = x.lang AND a.source = x.source AND a.item = y.source),
+term AS (SELECT lang, source, 'term' AS part, term AS item, p - q AS value FROM p WHERE n > 0 AND p > q),
+r AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM (SELECT * FROM pair UNION ALL SELECT * FROM term))
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INT) AS rank FROM r WHERE part = 'pair' OR rank <= 50"""
+
+ORACLES: dict[str, str] = {"op7_decontamination": DECONTAMINATION, "op8_line_dedup": LINE_DEDUP, "op10_quality": QUALITY, "op11_source_divergence": DIVERGENCE}

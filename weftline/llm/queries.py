@@ -95,8 +95,28 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *(F.col(f"_wf_{c}").alias(c) for c in (*counts, "base_failed", "kept")))
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .divergence import divergence
+
+    return divergence(_docs(spark, sf_dir), least_docs=30, prior=5, top=50)
+
+
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .whitening import whiten
+
+    return whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), components=4, scale=256)
+
+
+def op13_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .quality_classifier import classify
+
+    held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 4 == 2
+    scored = classify(_docs(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"), learn=~held_out)[0]
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_lm_scoring, op2_token_counts, op3_packing, op4_token_output, op5_near_dedup, op6_sharding, op7_decontamination, op8_line_dedup, op9_language_id, op10_quality)
+    f.__name__: f for f in (op1_lm_scoring, op2_token_counts, op3_packing, op4_token_output, op5_near_dedup, op6_sharding, op7_decontamination, op8_line_dedup, op9_language_id, op10_quality, op11_source_divergence, op12_embedding_whitening, op13_quality_classifier)
 }
 
 __all__ = ["ORACLES", "QUERIES"]
