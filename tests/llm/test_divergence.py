@@ -52,6 +52,7 @@ def test_odd_rows(spark, odd, none, least):
 
 def test_blocks_and_strips(spark, some, monkeypatch):
     monkeypatch.setattr(dv, "CELLS", 500)
+    monkeypatch.setattr(dv, "LEAST_TERMS", 10)
     monkeypatch.setattr(dv, "STRIP", 3)
     check(spark, some, 3)
 

@@ -36,8 +36,8 @@ from .textkern import LOWER, slices, table
 SCALE = 1_000_000_000
 #: Bytes of text that are sorted at once.
 SLICE = 8 << 20
-#: Cells of a dense table of sources by terms, and sources of a strip.
-CELLS, STRIP = 4 << 20, 256
+#: Cells of a dense table of sources by terms, its least number of terms, and sources of a strip.
+CELLS, LEAST_TERMS, STRIP = 1 << 16, 1024, 256
 #: Terms are matches of [^\x00-\x40\x5B-\x60\x7B-\x7F]+.
 TERM = table(word_bytes={*range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)})
 _HEADS = np.array([0] + [(1 << 64) - (1 << 8 * (8 - k)) for k in range(1, 9)], np.uint64)
@@ -162,7 +162,7 @@ def divergence(docs: DataFrame, least_docs: int = 30, prior: int = 5, top: int =
     totals = kept.groupBy("lang", "source").agg(F.sum("n").alias("total"))
     vocabulary = kept.filter("term != ''").groupBy("lang", "term").agg(F.count(F.lit(1)).alias("k")).groupBy("lang").agg(F.count(F.lit(1)).alias("v"))
     langs = totals.groupBy("lang").agg(F.sum("total").alias("lang_total"), F.count(F.lit(1)).alias("sources")).join(vocabulary, "lang", "left").fillna(0, ["v"])
-    blocks = F.greatest(F.lit(1), F.ceil(F.col("v") * F.col("sources") / CELLS)).cast("int")
+    blocks = F.greatest(F.lit(1), F.ceil(F.col("v") / F.greatest(F.lit(LEAST_TERMS), F.floor(CELLS / F.col("sources"))))).cast("int")
     strips = F.ceil(F.col("sources") / STRIP).cast("int")
     langs = scratch.table(langs.withColumns({"blocks": blocks, "strips": strips}), "langs")
     groups = scratch.table(totals.join(langs, "lang"), "groups")
