@@ -66,30 +66,64 @@ def similar_ppi(ppi: DataFrame, close: DataFrame) -> DataFrame:
     return hit.filter("struct(protein_a, protein_b) < struct(c, d)").select("protein_a", "protein_b", "c", "d").distinct()
 
 
+def _contracted(edges: DataFrame, tables: Tables) -> list[DataFrame]:
+    """The maps node -> to of rounds of contraction, until no edge is left; a node absent from a map stays what it is.
+
+    Each round draws an order of the nodes by hash. A node points to its first
+    neighbour in it, and then to where that one points; what is on both ends of
+    an edge is replaced by what it points to. Falling runs in a drawn order are short
+    whatever the graph, and each round leaves about a third of the edges of a
+    path, so rounds grow with the logarithm of the nodes and their total work
+    with the edges.
+    """
+    maps: list[DataFrame] = []
+    while edges.head(1):
+        k = len(maps)
+
+        def drawn(c: str) -> Column:
+            return F.struct(F.xxhash64(F.lit(k), F.col(c)).alias("h"), F.col(c).alias("v"))  # noqa: B023
+
+        ends = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        first = ends.groupBy("a").agg(F.min(drawn("b")).alias("m"))
+        point = tables.written(first.select(F.col("a").alias("node"), F.least(F.col("m"), drawn("a"))["v"].alias("to")), f"point-{k}")
+        ahead = point.toDF("to", "far")
+        jump = tables.written(point.join(ahead, "to").select("node", F.col("far").alias("to")), f"map-{k}")
+        maps.append(jump)
+        moved = edges.join(jump.toDF("a", "p"), "a").join(jump.toDF("b", "q"), "b").select("p", "q")
+        # where a node points to one that points on, both stay linked
+        onward = jump.select(F.col("to").alias("p")).distinct().join(jump.toDF("p", "q"), "p")
+        left = moved.unionByName(onward).filter("p != q").select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b")).distinct()
+        edges = tables.written(left, f"edges-{k + 1}")
+        tables.drop(f"point-{k}")
+        tables.drop(f"edges-{k}")
+    return maps
+
+
 def connected_components(edges: DataFrame, nodes: DataFrame | None = None) -> DataFrame:
-    """node and component (the smallest node reachable); edges are two columns, nodes adds single ones.
+    """node and component (the smallest node reachable); edges are two columns, nodes adds single ones. Null ends are left out.
 
-    Labels take the least of their neighbours' and then of their label's label,
-    so rounds grow with the logarithm of a path. Each is written as a table: a
-    checkpoint would keep the size that its plan guessed, and guesses multiply.
+    Rounds are written tables: a checkpoint would keep the size that its plan
+    guessed, and guesses multiply. Only joins and sums by key: no task or
+    driver holds a component.
     """
     tables = Tables(edges.sparkSession)
-    both = tables.written(symmetrised(edges.toDF("a", "b"), "a", "b"), "both")
-    own = members(both, "a", name="node")
-    if nodes is not None:
-        own = own.unionByName(nodes.toDF("node")).distinct()
-    labels, k = tables.written(own.withColumn("component", F.col("node")), "labels-0"), 0
-    while True:
-        least = both.join(labels.toDF("b", "l"), "b").groupBy("a").agg(F.min("l").alias("l"))
-        step = labels.join(least, F.col("node") == F.col("a"), "left").select("node", F.least("component", F.coalesce("l", "component")).alias("component"), F.col("component").alias("was"))
-        jump = step.join(step.select(F.col("node").alias("component"), F.col("component").alias("far")), "component").select("node", F.least("component", "far").alias("component"), "was")
-        k += 1
-        moved = tables.written(jump, f"labels-{k}")
-        tables.drop(f"labels-{k - 1}")
-        labels = moved.select("node", "component")
-        if not moved.filter("component != was").head(1):
-            tables.drop("both")
-            return labels
+    given = edges.toDF("a", "b").filter("a IS NOT NULL AND b IS NOT NULL")
+    links = tables.written(given.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "edges-0")
+    own = tables.written(members(links, "a", "b", name="node") if nodes is None else members(links, "a", "b", name="node").unionByName(nodes.toDF("node").filter("node IS NOT NULL")).distinct(), "nodes")
+    maps = _contracted(links.filter("a != b"), tables)
+    root = maps[-1] if maps else None
+    for k in range(len(maps) - 2, -1, -1):
+        root = tables.written(maps[k].join(root.toDF("to", "far"), "to", "left").select("node", F.coalesce("far", "to").alias("to")), f"root-{k}")
+        tables.drop(f"map-{k + 1}")
+        tables.drop(f"root-{k + 1}")
+    if root is None:
+        return own.select("node", F.col("node").alias("component"))
+    least = root.groupBy("to").agg(F.min("node").alias("component"))  # a root is a member too, which points to itself
+    named = tables.written(root.join(least, "to").select("node", "component"), "components")
+    out = tables.written(own.join(named, "node", "left").select("node", F.coalesce("component", "node").alias("component")), "labels")
+    for name in ("nodes", "map-0", "root-0", "components"):
+        tables.drop(name)
+    return out
 
 
 def group_chi_square(groups: DataFrame, pd_map: DataFrame) -> DataFrame:
