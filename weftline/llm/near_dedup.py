@@ -9,7 +9,8 @@
    centre, and candidates are the edges from it: a star, so edges grow with the
    bucket and not with its square.
 4. Candidates are confirmed on the full sets, and components of the confirmed
-   links are found by label propagation with pointer jumping.
+   links are found by randomised contraction, in rounds that grow with the
+   logarithm of a chain.
 5. Where a bucket still holds several components, what its star doesn't see is
    looked up too. Small buckets compare classes of different components. In a
    large one, each class outside its largest component is a probe against that
@@ -37,6 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.graph import connected_components
 from .runtime import Scratch, fresh, quoted, spread_join
 from .textkern import NON_SPACE, Slice, combine, mix, slices, spread
 
@@ -207,20 +209,9 @@ def probed(probes: DataFrame, targets: DataFrame, sets: DataFrame, percent: int)
     return rows.repartition("unit", "chunk").sortWithinPartitions("unit", "chunk", "role").mapInArrow(run, "a long, b long")
 
 
-def components(edges: DataFrame, scratch: Scratch, name: str) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """node and comp (the smallest node reachable) of each end of edges (a, b)."""
-    both = scratch.table(edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), f"{name}-both")
-    labels = scratch.table(both.groupBy("a").agg(F.min("b").alias("b")).select(F.col("a").alias("node"), F.least("a", "b").alias("comp"), F.lit(True).alias("moved")), f"{name}-0")
-    k = 0
-    while labels.filter("moved").head(1):
-        least = both.join(labels.select(F.col("node").alias("b"), "comp"), "b").groupBy("a").agg(F.min("comp").alias("best"))
-        step = labels.join(least, F.col("node") == F.col("a")).select("node", F.least("comp", "best").alias("comp"), F.col("comp").alias("was"))
-        jump = step.join(step.select(F.col("node").alias("comp"), F.col("comp").alias("far")), "comp")
-        k += 1
-        labels = scratch.table(jump.select("node", F.least("comp", "far").alias("comp"), (F.least("comp", "far") != F.col("was")).alias("moved")), f"{name}-{k}")
-        scratch.drop(f"{name}-{k - 1}")
-    scratch.drop(f"{name}-both")
-    return labels.select("node", "comp")
+    return connected_components(edges).withColumnRenamed("component", "comp")
 
 
 def classes(docs: DataFrame, size: int = 5, percent: int = 80, bands: int = 32, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -251,7 +242,7 @@ def classes(docs: DataFrame, size: int = 5, percent: int = 80, bands: int = 32,
     heads = scratch.table(buckets.groupBy("key").agg(F.max(F.struct("score", "node", "n")).alias("c")).select("key", F.col("c.node").alias("a"), F.col("c.n").alias("an")), "heads")
     pairs = scratch.table(buckets.join(heads, "key").filter(fits).select("a", F.col("node").alias("b")).distinct(), "pairs")
     stars = scratch.table(confirm(pairs, sets, percent), "stars")
-    comps = components(stars, scratch, "comps")
+    comps = components(stars)
 
     placed = buckets.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     mixed = placed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo != hi").select("key")
@@ -273,7 +264,7 @@ def classes(docs: DataFrame, size: int = 5, percent: int = 80, bands: int = 32,
     rest = probed(probes, targets, sets, percent)
     found = scratch.table(confirm(more, sets, percent).unionByName(rest), "found")
     links = stars.unionByName(found)
-    comps = components(links, scratch, "comps2")
+    comps = components(links)
 
     placed = groups.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     named = placed.groupBy("comp").agg(F.min("least").alias("component_id"), F.sum("rows").alias("rows")).filter("rows > 1")
