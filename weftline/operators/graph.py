@@ -4,13 +4,13 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import chi_square, safe_ratio
-from ..functions.vectors import hash_uniform
 from .lineage import Tables, cut
 from .pairs import canonical, domain_pairs_of_ppi, members, symmetrised
+from .ranges import numbered, quantiles
 
 
 def term_levels(edges: DataFrame) -> DataFrame:
@@ -150,8 +150,7 @@ def select_by_quantile(scores: DataFrame, cut_at: float, by: str = "group_name",
     """Rows at or above their group's quantile: all for a cut of 0 or less, the maximum alone for 1 or more."""
     if cut_at <= 0:
         return scores
-    limit = F.max(value) if cut_at >= 1 else F.percentile(value, cut_at)
-    limits = scores.groupBy(by).agg(limit.alias("_limit"))
+    limits = scores.groupBy(by).agg(F.max(value).alias("_limit")) if cut_at >= 1 else quantiles(scores, [by], value, [cut_at]).select(by, F.col("quantile").alias("_limit"))
     return scores.join(limits, by).filter(F.col(value) >= F.col("_limit")).drop("_limit")
 
 
@@ -310,17 +309,17 @@ def interaction_counts(df: DataFrame, by: list[str], label: str | None = "intera
 def permuted(df: DataFrame, key: str, value: str, seed: int) -> DataFrame:
     """df with value dealt anew over its rows: the same values, in an order drawn by hash.
 
-    Both orders are numbered by rank within ranges plus the ranges' sums, so no
-    task sees all rows.
+    Rows are in the order of key and their other columns. Values are in the
+    order of an MD5 of seed, value and the occurrence among equal values, so
+    neither depends on partitions. Both are numbered by ranges and bases, so no
+    task sees all rows; a value with many rows is laid out in steps.
     """
-
-    def numbered(rows: DataFrame, order: Column, out: str) -> DataFrame:
-        placed = rows.withColumn("_o", order)
-        parts = cut(placed.repartitionByRange("_o", *rows.columns).sortWithinPartitions("_o", *rows.columns).withColumns({"_p": F.spark_partition_id(), "_m": F.monotonically_increasing_id()}))
-        low = parts.groupBy("_p").agg(F.min("_m").alias("_m0"), F.count(F.lit(1)).alias("_n"))
-        base = low.withColumn("_b", F.coalesce(F.sum("_n").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))  # one row for each partition
-        return parts.join(F.broadcast(base.select("_p", "_m0", "_b")), "_p").withColumn(out, F.col("_b") + F.col("_m") - F.col("_m0")).select(*rows.columns, out)
-
-    one = numbered(df.drop(value), F.col(key).cast("string"), "_k")
-    two = numbered(df.select(value), hash_uniform(seed, F.col(value).cast("string"), F.monotonically_increasing_id()), "_k")
+    step = 100_000
+    rest = [c for c in df.columns if c not in (key, value)]
+    counts = df.groupBy(value).agg(F.count(F.lit(1)).alias("_n"))
+    starts = counts.select(value, "_n", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_n") - 1, F.lit(step).cast("long"))).alias("_s")).repartition(value, "_s")
+    each = starts.select(value, F.explode(F.sequence("_s", F.least(F.col("_s") + step, "_n") - 1)).alias("_s"))
+    drawn = each.select(value, F.md5(F.concat_ws("|", F.lit(str(seed)), F.coalesce(F.col(value).cast("string"), F.lit("")), "_s")).alias("_d"))
+    one = numbered(df.select(key, *rest), [key, *rest], "_k")
+    two = numbered(drawn, ["_d", value], "_k").drop("_d")
     return one.join(two, "_k").select(*df.columns)

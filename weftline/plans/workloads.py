@@ -695,7 +695,13 @@ def set_cover_lp(spark, d):
     return observed_cover(ppi(spark, d).filter("score > 7"), pd_map(spark, d), known, [0.5, 1.0])
 
 
-@query()
+@query(
+    BASE
+    + """, v AS (SELECT go, row_number() OVER (PARTITION BY go) - 1 AS k FROM go),
+w AS (SELECT go, row_number() OVER (ORDER BY md5('42|' || go || '|' || k), go) AS r FROM v),
+u AS (SELECT uniprot_id, row_number() OVER (ORDER BY uniprot_id) AS r FROM go)
+SELECT uniprot_id, w.go FROM u JOIN w USING (r)"""
+)
 def permute_terms(spark, d):
     return graph.permuted(go(spark, d), "uniprot_id", "go", 42)
 
