@@ -63,7 +63,8 @@ def test_network_model(spark, split):
     assert used == chosen and sorted(map(tuple, fixed.collect())) == sorted(map(tuple, got))
 
 
-def test_parsimony_model(split):
+def test_parsimony_model(split, monkeypatch):
+    monkeypatch.setattr(G.nullmodels, "ROUNDS", 4)
     config = G.ParsimonyConfig(reliabilities=[0.5, 1.0], iterations=6, runs=3)
     out, chosen = G.parsimony_model(split, split, config)
     assert chosen[0] in (0.5, 1.0) and out.count() == 15

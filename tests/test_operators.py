@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from weftline.functions import scalars as X
 from weftline.functions import sequences as S
-from weftline.operators import assembly, catalog, evaluation, graph, nullmodels, pairs, report
+from weftline.operators import assembly, catalog, evaluation, graph, pairs, report
 
 
 def test_composition_and_triads(spark):
@@ -141,35 +141,6 @@ def test_chi_square_equals_brute_force(spark):
     assert all(r.lo == pytest.approx(max(v for k, v in want.items() if k[0] == r.group_name)) for r in top)
 
 
-def test_rewiring_keeps_degrees():
-    draw = np.random.default_rng(0)
-    edges = np.array(sorted({tuple(sorted(e)) for e in draw.integers(0, 30, (90, 2)).tolist() if e[0] != e[1]}))
-    new = nullmodels.rewire(edges, 3)
-    degree = lambda e: np.bincount(e.ravel(), minlength=30).tolist()
-    assert degree(new) == degree(edges) and len({tuple(e) for e in new.tolist()}) == len(edges) and (new != edges).any()
-    assert (new[:, 0] != new[:, 1]).all()
-    star = np.array([(0, k) for k in range(1, 8)])
-    assert (nullmodels.rewire(star, 1) == star).all()
-
-
-def test_cover_is_optimal():
-    draw = random.Random(8)
-    for _ in range(20):
-        width = draw.randint(3, 8)
-        rows = [draw.sample(range(width), draw.randint(1, min(4, width))) for _ in range(draw.randint(1, 8))]
-        value, x = nullmodels.cover(rows, width)
-        assert all(sum(x[c] for c in r) > 1 - 1e-9 for r in rows) and (x > -1e-12).all() and (x < 1 + 1e-9).all()
-        whole = min(sum(bits) for bits in itertools.product((0, 1), repeat=width) if all(any(bits[c] for c in r) for r in rows))
-        assert value <= whole + 1e-9
-        # weak duality: any packing of rows is a lower bound
-        lower, used = 0, set()
-        for r in sorted(rows, key=len):
-            if not used & set(r):
-                lower, used = lower + 1, used | set(r)
-        assert value >= lower - 1e-9
-    assert nullmodels.cover([[0, 1], [1, 2], [0, 2]], 3)[0] == pytest.approx(1.5)
-
-
 def test_balance_and_sampling(spark):
     df = spark.range(1000).selectExpr("id AS k", "CAST(id % 10 = 0 AS int) AS y")
     down = assembly.downsample(df, "y", ["k"], 1)

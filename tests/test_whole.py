@@ -23,57 +23,6 @@ def test_set_cover_lp_takes_every_pair_and_run(spark, monkeypatch):
     assert got.groupby("reliability").pair_id.nunique().to_dict() == {0.5: known, 1.0: known} and not got.x.isna().any()
 
 
-def test_observed_cover_equals_brute_force(spark):
-    links, domains = [("p", "q"), ("p", "r"), ("q", "r")], {"p": "AB", "q": "BC", "r": "AC"}
-    pairs = sorted({(x, y) for a, b in links for x in domains[a] for y in domains[b]})
-    ppi = spark.createDataFrame(links, "protein_a string, protein_b string")
-    mapping = spark.createDataFrame([(p, d) for p, ds in domains.items() for d in ds], "uniprot_id string, pfam_id string")
-    number = spark.createDataFrame([(10 * k, *p) for k, p in enumerate(pairs)], "pair_id long, domain_a string, domain_b string")
-    got = nullmodels.observed_cover(ppi, mapping, number, [0.5, 1.0], runs=9, seed=3).toPandas()
-    at = {p: k for k, p in enumerate(pairs)}
-    rows = [[at[x, y] for x in domains[a] for y in domains[b]] for a, b in links]
-    least = lambda kept: min(sum(bits) for bits in itertools.product((0, 1), repeat=len(pairs)) if all(any(bits[c] for c in r) for r in kept))
-    draw = np.random.default_rng(3)
-    kept = [k for _ in range(9) if (k := [r for r, u in zip(rows, draw.random(3)) if u < 0.5])]
-    total = got.groupby("reliability").x.sum()
-    assert total[1.0] == pytest.approx(least(rows)) and total[0.5] == pytest.approx(sum(map(least, kept)) / len(kept))
-    assert sorted(got.pair_id.unique()) == [10 * k for k in range(len(pairs))]
-
-
-def test_interior_cover_equals_the_tableau(monkeypatch):
-    draw = random.Random(6)
-    for n, m in ((60, 25), (25, 60), (40, 40)):
-        rows = [draw.sample(range(m), draw.randint(2, 5)) for _ in range(n)]
-        exact = nullmodels.cover(rows, m)[0]
-        with monkeypatch.context() as c:
-            c.setattr(nullmodels, "TABLEAU", 0)
-            value, x = nullmodels.cover(rows, m)
-        assert value == pytest.approx(exact, rel=1e-6) and (x >= 0).all() and all(sum(x[k] for k in r) > 1 - 1e-8 for r in rows)
-
-
-def test_rewire_null_keeps_every_edge_and_degree(spark, monkeypatch):
-    links = sorted({tuple(sorted(e)) for e in np.random.default_rng(1).integers(1, 300, (40_000, 2)).tolist() if e[0] != e[1]})
-    assert len(links) > 20_000
-    ppi = spark.createDataFrame([(f"P{a}", f"P{b}", 7) for a, b in links], "protein_a string, protein_b string, score long")
-    whole = nullmodels.rewirings
-    monkeypatch.setattr(workloads, "ppi", lambda *_: ppi)
-    monkeypatch.setattr(nullmodels, "rewirings", lambda p: whole(p, iterations=2))
-    got = QUERIES["rewire_null"](spark, SF).toPandas()
-    degree = lambda e: np.bincount(np.ravel(e), minlength=300).tolist()
-    for _, own in got.groupby("iter"):
-        edges = own[["a", "b"]].to_numpy()
-        assert degree(edges) == degree(links) and len({tuple(sorted(e)) for e in edges.tolist()}) == len(links) and {tuple(sorted(e)) for e in edges.tolist()} != set(links)
-    monkeypatch.setattr(nullmodels, "MOST_EDGES", 20_000)
-    with pytest.raises(ValueError, match="20000 edges"):
-        QUERIES["rewire_null"](spark, SF)
-
-
-def test_rewire_null_runs_all_iterations(spark):
-    edges = workloads.ppi(spark, SF).filter("score > 6").count()
-    per = QUERIES["rewire_null"](spark, SF).groupBy("iter").count().toPandas()
-    assert len(per) == 1000 and set(per["count"]) == {edges}
-
-
 def test_assemble_matrix_whole_equals_brute_force(spark):
     got = {tuple(r)[:5]: r.x for r in QUERIES["assemble_matrix_whole"](spark, SF).collect()}
     pairs = {tuple(r) for r in workloads.ddi(spark, SF).select("domain_a", "domain_b", "interaction").collect()}

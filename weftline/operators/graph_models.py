@@ -139,7 +139,7 @@ def parsimony_scores(split: Split, reliabilities: list[float], config: Parsimony
     pd_map = cut(kept["pd"].distinct())
     random_x = cut(nullmodels.random_covers(ppi, pd_map, number, config.iterations, config.seed))
     observed = nullmodels.observed_cover(ppi, pd_map, number, reliabilities, config.runs, config.seed)
-    p = nullmodels.empirical_p(random_x, observed)
+    p = nullmodels.empirical_p(random_x, observed, config.iterations)
     shown = witnesses(number, domain_pairs_of_ppi(ppi, pd_map))
     rows = p.join(shown, "pair_id")
     score = F.least(F.col("p"), F.pow(1 - F.col("reliability"), F.col("witnesses")))

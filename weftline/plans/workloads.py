@@ -689,9 +689,9 @@ def rewire_null(spark, d):
 
 @query()
 def set_cover_lp(spark, d):
-    from ..operators.nullmodels import observed_cover
+    from ..operators.nullmodels import numbered_pairs, observed_cover
 
-    known = ddi(spark, d).select("domain_a", "domain_b").distinct().coalesce(1).sortWithinPartitions("domain_a", "domain_b").withColumn("pair_id", F.monotonically_increasing_id())
+    known = numbered_pairs(ddi(spark, d).select("domain_a", "domain_b").distinct())
     return observed_cover(ppi(spark, d).filter("score > 7"), pd_map(spark, d), known, [0.5, 1.0])
 
 
