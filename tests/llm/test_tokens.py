@@ -5,7 +5,7 @@ import pyarrow as pa
 import pytest
 from conftest_llm import crc, path
 
-from weftline.llm.bpe import WordEncoder, load
+from weftline.llm.bpe import Library, WordEncoder, load
 from weftline.llm.packing import pack, windows
 from weftline.llm.textkern import NON_SPACE, HashTable, mix, slices, spread
 from weftline.llm.token_counts import count_tokens, squeeze, unsqueeze
@@ -120,3 +120,37 @@ def test_id_files_round_trip(odd, none):
     want = sorted(((r.doc_id, crc([*lib.encode(r.text or "", add_special_tokens=False).ids, 1])) for r in odd.collect()), key=key)
     assert sorted(((r.doc_id, r.ids_crc32) for r in rows), key=key) == want
     assert read_ids(*export_ids(none, path("word_bpe_49k.json"))).count() == 0
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "byte_bpe_50k.tiktoken", "byte_bpe_multi_50k.tiktoken", "piece_bpe_32k.model", "word_bpe_49k.json"])
+def test_every_vocabulary_equals_its_library(spark, some, odd, name):
+    """Counts, packed and written ids of any file are its library's: rules in the code are used only for files that state them."""
+    lib = Library(path(name))
+    docs = odd.select("doc_id", "text").unionByName(some.select("doc_id", "text").limit(40)).unionByName(spark.createDataFrame([(1000, "Hello world, this is Big News")], "doc_id long, text string"))
+    texts = [(r.doc_id, r.text or "") for r in docs.collect()]
+    want = sorted((str(d), crc([*ids, 3]), len(ids) + 1) for (d, _), ids in zip(texts, lib.encode([t for _, t in texts])))
+    counts = sorted((str(r.doc_id), r.n_tokens + 1) for r in count_tokens(docs, path(name), buckets=5).collect())
+    assert counts == sorted((d, n) for d, _, n in want)
+    written = read_ids(*export_ids(docs, path(name), end_id=3))
+    assert sorted((str(r.doc_id), r.ids_crc32, r.n_tokens) for r in written.collect()) == want
+    pieces = {}
+    for r in pack(docs, path(name), window=1 << 20, end_id=3).collect():
+        pieces.setdefault((str(r.doc_id), r.doc_tokens), []).append(r)
+    assert sorted(k for k, rows in pieces.items() for r in rows if r.start == 0) == sorted((d, n) for d, _, n in want)
+
+
+def test_changed_rules_go_to_the_library(tmp_path, spark):
+    import json
+
+    for name, key in (("word_bpe_49k.json", "normalizer"), ("byte_bpe_50k.json", "pre_tokenizer")):
+        own = json.load(open(path(name)))
+        if key == "normalizer":
+            own[key]["normalizers"] = own[key]["normalizers"][:2]  # no lower-casing
+        else:
+            own[key]["add_prefix_space"] = True
+        changed = str(tmp_path / name)
+        json.dump(own, open(changed, "w"))
+        docs = spark.createDataFrame([(1, "Hello World again"), (2, "x")], "doc_id long, text string")
+        want = {d: len(ids) for d, ids in zip((1, 2), Library(changed).encode(["Hello World again", "x"]))}
+        assert {r.doc_id: r.n_tokens for r in count_tokens(docs, changed).collect()} == want
+        assert {r.doc_id: r.n_tokens - 1 for r in read_ids(*export_ids(docs, changed, end_id=1)).collect()} == want

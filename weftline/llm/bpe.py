@@ -1,13 +1,18 @@
 """Public tokenizers over whole slices of text: the library sees each distinct word once.
 
-A word (a run without ASCII white space) is encoded independently of its
-neighbours by both vocabularies used here, so results of the library are kept
-by the word's 64-bit hash in a table of bounded size and looked up by arrays.
+Where a vocabulary's own rules make a word (a run without ASCII white space)
+independent of its neighbours, results are kept by the word's 64-bit hash in a
+table of bounded size and looked up by arrays. Whether they do is read from the
+vocabulary's file: one with other rules, or of another library, encodes whole
+texts by its library.
 """
 
 from __future__ import annotations
 
+import base64
+import json
 import re
+from collections.abc import Iterator
 import unicodedata
 
 import numpy as np
@@ -40,21 +45,81 @@ def load(path: str):
     return Tokenizer.from_file(path)
 
 
-def id_width(lib, *ids: int) -> int:
+#: The rules, as a tokenizers file states them, that the code in this subpackage follows.
+_WORDS_PATTERN = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
+WORD_RULES = {
+    "normalizer": {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    "pre_tokenizer": {
+        "type": "Sequence",
+        "pretokenizers": [{"type": "Split", "pattern": {"Regex": _WORDS_PATTERN}, "behavior": "Removed", "invert": True}, {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}],
+    },
+}
+BYTE_RULES = {"normalizer": None, "pre_tokenizer": {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}}
+
+
+def follows(path: str, rules: dict) -> bool:
+    """Whether the vocabulary of a tokenizers file is a plain BPE model with these rules, and its added tokens are plain strings."""
+    if not path.endswith(".json"):
+        return False
+    with open(path, encoding="utf-8") as f:
+        own = json.load(f)
+    model = own["model"]
+    plain = model.get("type", "BPE") == "BPE" and not any(model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "fuse_unk", "byte_fallback", "ignore_merges"))
+    strings = not any(t[k] for t in own.get("added_tokens") or [] for k in ("single_word", "lstrip", "rstrip", "normalized"))
+    return plain and strings and not own.get("truncation") and not own.get("padding") and all(own.get(k) == v for k, v in rules.items())
+
+
+class Library:
+    """Whole texts by the library of a vocabulary's file: tokenizers (.json), sentencepiece (.model) or tiktoken (.tiktoken).
+
+    top: the largest id. A tiktoken file holds ranks alone; its pattern comes with the public_tokenizers package.
+    """
+
+    def __init__(self, path: str) -> None:
+        if path.endswith(".model"):
+            import sentencepiece
+
+            lib = sentencepiece.SentencePieceProcessor(model_file=path)
+            self.top, self.encode = lib.get_piece_size() - 1, lambda texts: lib.encode(texts, num_threads=1)
+        elif path.endswith(".tiktoken"):
+            import public_tokenizers
+            import tiktoken
+
+            with open(path, "rb") as f:
+                ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+            own = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+            self.top, self.encode = max(ranks.values()), lambda texts: [own.encode_ordinary(t) for t in texts]
+        else:
+            json_lib = load(path)
+            json_lib.no_truncation()
+            json_lib.no_padding()
+            self.top = max(json_lib.get_vocab(with_added_tokens=True).values())
+            self.encode = lambda texts: [e.ids for e in json_lib.encode_batch(texts, add_special_tokens=False)]
+
+    def of_slice(self, s: Slice) -> Iterator[list[int]]:
+        """The ids of each row."""
+        raw = s.blob.tobytes()
+        for lo in range(0, len(s), 256):
+            yield from self.encode([raw[a:e].decode("utf-8", "replace") for a, e in zip(s.starts[lo : lo + 256].tolist(), s.ends[lo : lo + 256].tolist())])
+
+
+def id_width(path: str, *ids: int) -> int:
     """Bytes of an unsigned id (2 or 4) that hold every id of a vocabulary, and ids."""
-    return 2 if max([*lib.get_vocab(with_added_tokens=True).values(), *ids]) < 1 << 16 else 4
+    return 2 if max(Library(path).top, *ids, 0) < 1 << 16 else 4
 
 
 class WordEncoder:
-    """Token ids of texts, for vocabularies that drop white space (word ends are marked)."""
+    """Token ids of texts: word by word for vocabularies that follow WORD_RULES, else text by text."""
 
     KEEP = 1 << 19
 
     def __init__(self, path: str) -> None:
-        self.lib = load(path)
-        self.specials = [t.content for t in self.lib.get_added_tokens_decoder().values()]
-        self.dtype = np.uint16 if id_width(self.lib) == 2 else np.uint32
-        self.clear()
+        self.dtype = np.uint16 if id_width(path) == 2 else np.uint32
+        self.whole = None if follows(path, WORD_RULES) else Library(path)
+        if self.whole is None:
+            self.lib = load(path)
+            self.specials = [t.content for t in self.lib.get_added_tokens_decoder().values()]
+            self.clear()
 
     def clear(self) -> None:
         self.table = HashTable(20)
@@ -107,6 +172,10 @@ class WordEncoder:
 
     def encode(self, s: Slice) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the slice's rows, one after another, and the number of ids of each row."""
+        if self.whole is not None:
+            lists = list(self.whole.of_slice(s))
+            sizes = np.fromiter(map(len, lists), np.int64, len(lists))
+            return np.fromiter((i for x in lists for i in x), self.dtype, int(sizes.sum())), sizes
         at, end, doc = s.words(NON_SPACE)
         h = s.hashes(at, end, fold=False)
         got = self.table.get(h)

@@ -37,14 +37,13 @@ r AS (SELECT id, count(DISTINCT p) AS n FROM g, unnest(range(i, i + 3)) q(p) WHE
 b AS (SELECT w.id, doc_id, lang, source, len(ws) AS n_words, length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g')) AS word_chars, length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols,
   length(t) - length(regexp_replace(t, '[!?#*$%&|<>{}\[\]\\^~=_+@/]', '', 'g')) AS n_marks, length(t) - length(regexp_replace(t, '[A-Z]', '', 'g')) AS n_upper, len(ls) AS n_lines, len(ls) - len(list_distinct(ls)) AS n_dup_lines, coalesce(r.n, 0) AS n_repeat_words FROM w LEFT JOIN r USING (id)),
 m AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed, n_symbols::DOUBLE / greatest(word_chars, 1) AS symbol_share, n_marks::DOUBLE / greatest(word_chars, 1) AS mark_share, n_upper::DOUBLE / greatest(word_chars, 1) AS upper_share,
-  word_chars::DOUBLE / greatest(n_words, 1) AS word_length, n_dup_lines::DOUBLE / greatest(n_lines, 1) AS dup_line_share, n_repeat_words::DOUBLE / greatest(n_words, 1) AS repeat_share FROM b),
-x AS (SELECT lang, source, k, v FROM (SELECT lang, source, symbol_share, mark_share, upper_share, word_length, dup_line_share, repeat_share FROM m WHERE NOT base_failed) UNPIVOT (v FOR k IN (symbol_share, mark_share, upper_share, word_length, dup_line_share, repeat_share))),
-least_of AS (SELECT * FROM (VALUES ('symbol_share', 0.08::DOUBLE), ('mark_share', 0.1), ('upper_share', 0.35), ('word_length', 6.0), ('dup_line_share', 0.5), ('repeat_share', 0.4)) t(k, d)),
-f1 AS (SELECT lang, source, k, count(*) AS n, quantile_disc(v, 0.5) + greatest(6.0::DOUBLE * (quantile_disc(v, 0.75) - quantile_disc(v, 0.25)), any_value(d)) AS lim FROM x JOIN least_of USING (k) GROUP BY 1, 2, 3),
-f2 AS (SELECT lang, k, count(*) AS n, quantile_disc(v, 0.5) + greatest(6.0::DOUBLE * (quantile_disc(v, 0.75) - quantile_disc(v, 0.25)), any_value(d)) AS lim FROM x JOIN least_of USING (k) GROUP BY 1, 2),
-f3 AS (SELECT k, quantile_disc(v, 0.5) + greatest(6.0::DOUBLE * (quantile_disc(v, 0.75) - quantile_disc(v, 0.25)), any_value(d)) AS lim FROM x JOIN least_of USING (k) GROUP BY 1),
+  word_chars::DOUBLE / greatest(n_words, 1) AS word_length FROM b),
+x AS (SELECT lang, source, letters, k, v FROM (SELECT lang, source, greatest(word_chars, 1) AS letters, symbol_share, mark_share, upper_share, word_length FROM m WHERE NOT base_failed) UNPIVOT (v FOR k IN (symbol_share, mark_share, upper_share, word_length))),
+f1 AS (SELECT lang, source, k, count(*) AS n, quantile_disc(v, 0.5) + 12.0::DOUBLE * greatest(quantile_disc(v, 0.75) - quantile_disc(v, 0.25), CASE WHEN k = 'word_length' THEN 0.0::DOUBLE ELSE 1.0::DOUBLE / quantile_disc(letters, 0.25) END) AS lim FROM x GROUP BY 1, 2, 3),
+f2 AS (SELECT lang, k, count(*) AS n, quantile_disc(v, 0.5) + 12.0::DOUBLE * greatest(quantile_disc(v, 0.75) - quantile_disc(v, 0.25), CASE WHEN k = 'word_length' THEN 0.0::DOUBLE ELSE 1.0::DOUBLE / quantile_disc(letters, 0.25) END) AS lim FROM x GROUP BY 1, 2),
+f3 AS (SELECT k, quantile_disc(v, 0.5) + 12.0::DOUBLE * greatest(quantile_disc(v, 0.75) - quantile_disc(v, 0.25), CASE WHEN k = 'word_length' THEN 0.0::DOUBLE ELSE 1.0::DOUBLE / quantile_disc(letters, 0.25) END) AS lim FROM x GROUP BY 1),
 lim AS (SELECT f1.lang, f1.source, f1.k, (f1.n * f1.lim + 30 * ((f2.n * f2.lim + 30 * f3.lim) / (f2.n + 30))) / (f1.n + 30) AS lim FROM f1 JOIN f2 ON f1.lang IS NOT DISTINCT FROM f2.lang AND f1.k = f2.k JOIN f3 ON f1.k = f3.k),
-o AS (SELECT id, k, v FROM m UNPIVOT (v FOR k IN (symbol_share, mark_share, upper_share, word_length, dup_line_share, repeat_share))),
+o AS (SELECT id, k, v FROM m UNPIVOT (v FOR k IN (symbol_share, mark_share, upper_share, word_length))),
 bad AS (SELECT DISTINCT id FROM o JOIN m USING (id) JOIN lim ON lim.k = o.k AND lim.lang IS NOT DISTINCT FROM m.lang AND lim.source IS NOT DISTINCT FROM m.source WHERE o.v > lim.lim)
 SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars, CAST(n_symbols AS BIGINT) AS n_symbols, CAST(n_dup_lines AS BIGINT) AS n_dup_lines, CAST(n_repeat_words AS BIGINT) AS n_repeat_words, base_failed,
 NOT base_failed AND id NOT IN (SELECT id FROM bad) AS kept FROM m"""

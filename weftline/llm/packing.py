@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .bpe import WordEncoder, id_width, load
+from .bpe import WordEncoder, id_width
 from .runtime import Scratch, partition_bases, quoted
 from .textkern import slices, spread
 
@@ -37,7 +37,7 @@ def encode_documents(docs: DataFrame, tokenizer: str, end_id: int, id_col: str =
     part and pos number partitions and rows in them, local_start counts the
     partition's ids before the row. Write the result before using them.
     """
-    least = id_width(load(tokenizer), end_id)
+    least = id_width(tokenizer, end_id)
     if id_bytes is not None and id_bytes < least:
         raise ValueError(f"ids of this vocabulary need {least} bytes")
     ids_type = np.dtype({2: np.uint16, 4: np.uint32}[id_bytes or least])

@@ -7,8 +7,11 @@ read) give a median and an upper quartile for each (lang, source), language and
 all documents. The three limits are pooled by their numbers of rows, so a small
 group leans on its language, and a small language on all documents.
 A document is rejected if a measure lies further above its group's median than
-`spread` times the group's inter-quartile distance, or the measure's least
-distance if that is larger; the least distances keep uniform groups whole.
+`spread` times the group's spread. For a share that is the inter-quartile
+distance or, where most documents have none of the letters counted and it is
+smaller, the grain: one letter of the lower quartile of the documents' sizes. No cutoff is fixed.
+Repeated words and lines are judged by the base rule alone: among good documents they have no
+upper end that quantiles show.
 
 Nulls and empties: a null text has no words; null lang and source form groups
 of their own; nulls in id_col are carried along; repeated rows are judged each.
@@ -27,8 +30,8 @@ SPACE = r"[\x20\x09-\x0D]+"
 SYMBOLS = "[#*$%&|<>]"
 MARKS = r"[!?#*$%&|<>{}\[\]\\^~=_+@/]"
 UPPER = "[A-Z]"
-#: measure: the least distance above the median at which a document can be rejected
-LEAST = {"symbol_share": 0.08, "mark_share": 0.10, "upper_share": 0.35, "word_length": 6.0, "dup_line_share": 0.5, "repeat_share": 0.4}
+#: The measures, and whether each is a share of letters.
+MEASURES = {"symbol_share": True, "mark_share": True, "upper_share": True, "word_length": False}
 
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_marks", "n_upper", "n_lines"]
 
@@ -76,24 +79,24 @@ def _measures(p: str) -> dict[str, Column]:
         "mark_share": F.col(f"{p}n_marks") / chars,
         "upper_share": F.col(f"{p}n_upper") / chars,
         "word_length": F.col(f"{p}word_chars") / words,
-        "dup_line_share": F.col(f"{p}n_dup_lines") / F.greatest(F.col(f"{p}n_lines"), F.lit(1)),
-        "repeat_share": F.col(f"{p}n_repeat_words") / words,
     }
 
 
 def thresholds(table: DataFrame, spread: float, accuracy: int, min_group: int, p: str = "_wf_") -> DataFrame:
     """One row for each (lang, source) of a measured table: the upper threshold of each measure."""
-    rows = table.filter(f"NOT {p}base_failed").select(F.col(f"{p}lang").alias("lang"), F.col(f"{p}source").alias("source"), *(m.alias(k) for k, m in _measures(p).items()))
-    sketch = [F.percentile_approx(k, [0.25, 0.5, 0.75], accuracy).alias(k) for k in LEAST]
+    letters = F.greatest(F.col(f"{p}word_chars"), F.lit(1)).alias("letters")
+    rows = table.filter(f"NOT {p}base_failed").select(F.col(f"{p}lang").alias("lang"), F.col(f"{p}source").alias("source"), letters, *(m.alias(k) for k, m in _measures(p).items()))
+    sketch = [F.percentile_approx(k, [0.25, 0.5, 0.75], accuracy).alias(k) for k in MEASURES] + [F.percentile_approx("letters", 0.25, accuracy).alias("letters")]
 
     def fence(k: str) -> Column:
         q = F.col(k)
-        return (q[1] + F.greatest(spread * (q[2] - q[0]), F.lit(LEAST[k]))).alias(k)
+        grain = F.lit(1.0) / F.col("letters") if MEASURES[k] else F.lit(0.0)
+        return (q[1] + spread * F.greatest(q[2] - q[0], grain)).alias(k)
 
-    fences = [fence(k) for k in LEAST]
+    fences = [fence(k) for k in MEASURES]
     own = rows.groupBy("lang", "source").agg(*sketch, F.count(F.lit(1)).alias("n")).select("lang", "source", "n", *fences)
-    lang = rows.groupBy("lang").agg(*sketch, F.count(F.lit(1)).alias("n")).select(F.col("lang").alias("l_lang"), F.col("n").alias("l_n"), *(c.alias(f"l_{k}") for k, c in zip(LEAST, fences)))
-    every = rows.agg(*sketch).select(*(c.alias(f"a_{k}") for k, c in zip(LEAST, fences)))
+    lang = rows.groupBy("lang").agg(*sketch, F.count(F.lit(1)).alias("n")).select(F.col("lang").alias("l_lang"), F.col("n").alias("l_n"), *(c.alias(f"l_{k}") for k, c in zip(MEASURES, fences)))
+    every = rows.agg(*sketch).select(*(c.alias(f"a_{k}") for k, c in zip(MEASURES, fences)))
     joined = own.join(lang, F.col("lang").eqNullSafe(F.col("l_lang"))).join(F.broadcast(every))  # one row
 
     def pooled(k: str) -> Column:
@@ -101,10 +104,10 @@ def thresholds(table: DataFrame, spread: float, accuracy: int, min_group: int, p
         of_lang = (F.col("l_n") * F.col(f"l_{k}") + min_group * F.col(f"a_{k}")) / (F.col("l_n") + min_group)
         return ((F.col("n") * F.col(k) + min_group * of_lang) / (F.col("n") + min_group)).alias(f"{p}max_{k}")
 
-    return joined.select(F.col("lang").alias(f"{p}t_lang"), F.col("source").alias(f"{p}t_source"), *map(pooled, LEAST))
+    return joined.select(F.col("lang").alias(f"{p}t_lang"), F.col("source").alias(f"{p}t_source"), *map(pooled, MEASURES))
 
 
-def judge(df: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source", spread: float = 6.0, accuracy: int = 10_000, min_group: int = 30, keep_columns: list[str] | None = None, p: str = "_wf_") -> DataFrame:
+def judge(df: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source", spread: float = 12.0, accuracy: int = 10_000, min_group: int = 30, keep_columns: list[str] | None = None, p: str = "_wf_") -> DataFrame:
     """keep_columns of df (all of them by default), and with prefix p the counts, base_failed and, last, kept.
 
     An added name that a kept column has gets underscores behind it.

@@ -33,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .bpe import as_letters, load
+from .bpe import BYTE_RULES, Library, as_letters, follows, load
 from .runtime import Scratch, quoted
 from .textkern import NON_SPACE, Slice, mix, slices
 
@@ -228,12 +228,29 @@ def _add_up(block: pa.Table, counted: pa.Table) -> pa.Table:
     return pa.table({"doc_id": row["doc_ids"].values, "n_bytes": row["n_bytes"].values, "n_tokens": pa.array(n)})
 
 
+def _whole_texts(docs: DataFrame, tokenizer: str, id_col: str, text_col: str) -> DataFrame:
+    """doc_id, n_bytes and n_tokens by the vocabulary's library, text by text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lib = Library(tokenizer)
+        for batch in batches:
+            for s in slices(batch.column(1)):
+                n = [len(ids) for ids in lib.of_slice(s)]
+                yield pa.record_batch([batch.column(0).slice(s.first, len(s)), pa.array(s.ends - s.starts), pa.array(n, pa.int64())], names=["doc_id", "n_bytes", "n_tokens"])
+
+    rows = docs.select(F.col(quoted(id_col)).cast("long").alias("doc_id"), F.col(quoted(text_col)).alias("text"))
+    return rows.mapInArrow(run, "doc_id long, n_bytes long, n_tokens long")
+
+
 def count_tokens(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = 8 << 20, buckets: int = 4096) -> DataFrame:
     """doc_id, n_bytes (UTF-8) and n_tokens of each row of docs.
 
     buckets bounds the tasks that count pieces, and a bucket's distinct
-    pre-tokens are held by one of them: raise it with the corpus.
+    pre-tokens are held by one of them: raise it with the corpus. A vocabulary
+    that doesn't follow BYTE_RULES has other pre-tokens: its library counts whole texts.
     """
+    if not follows(tokenizer, BYTE_RULES):
+        return _whole_texts(docs, tokenizer, id_col, text_col)
     blocks = Scratch(docs.sparkSession).table(cut_blocks(docs, tokenizer, block_bytes, buckets, id_col, text_col), "blocks")
     sent = blocks.select(F.col("block").alias("of_block"), F.inline("sent"))
     return blocks.select(_PAYLOAD).groupBy("block").cogroup(count_pieces(sent, tokenizer).groupBy("of_block")).applyInArrow(_add_up, "doc_id long, n_bytes long, n_tokens long")

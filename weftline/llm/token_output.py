@@ -27,7 +27,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .bpe import id_width, load
+from .bpe import id_width
 from .packing import encode_documents
 from .runtime import Scratch, partition_bases
 
@@ -149,7 +149,7 @@ def export_ids(docs: DataFrame, tokenizer: str, end_id: int = 1, part_tokens: in
     """Encode docs and write them below folder (by default in the shared folder): the parts' table, and the folder."""
     scratch = Scratch(docs.sparkSession)
     folder = folder or scratch.path("ids")
-    width = id_width(load(tokenizer), end_id)
+    width = id_width(tokenizer, end_id)
     encoded = scratch.table(encode_documents(docs, tokenizer, end_id, id_col, text_col, width), "encoded")
     total = encoded.agg(F.sum("n_tokens")).first()[0] or 0
     least = min(48, 2 * docs.sparkSession.sparkContext.defaultParallelism)
