@@ -98,6 +98,21 @@ def wide_features(features: DataFrame, names: list[str]) -> DataFrame:
     return full.select("domain_id", "protein_id", F.concat(*(f"_{k}" for k in range(len(names)))).alias("vec"))
 
 
+#: Proteins of a block of one domain.
+BLOCK = 64
+
+
+def blocks(wide: DataFrame) -> DataFrame:
+    """domain_id and members, lists of about BLOCK (protein_id, vec).
+
+    A domain of n proteins has n / BLOCK rows, so a pair of hot domains is many rows of a join:
+    each carries two blocks of vectors and makes BLOCK squared pairs where it lies.
+    """
+    size = wide.groupBy("domain_id").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("_k"))
+    placed = wide.join(size, "domain_id").withColumn("_b", F.pmod(F.xxhash64("protein_id"), F.col("_k")))
+    return placed.groupBy("domain_id", "_b").agg(F.collect_list(F.struct("protein_id", "vec")).alias("members"))
+
+
 def assemble(
     ddi: DataFrame, features: DataFrame, names: list[str], pair_features: DataFrame | None = None, most_per_pair: int | None = None, balance: str | None = None, both_orientations: bool = True, seed: int = 42
 ) -> DataFrame:
@@ -106,8 +121,9 @@ def assemble(
     ddi: domain_1, domain_2, interaction. In order: orientations, balancing (on
     pairs, before features are looked at), domains present in every feature,
     proteins of both sides, at most most_per_pair of them by hash, vectors
-    a | b | pair, and rows without NaN. Vectors join last, so samples that are
-    cut never carry any.
+    a | b | pair, and rows without NaN. Samples and listed pairs join their
+    vectors last, so rows that are cut never carry any. The whole product of
+    both sides is made block by block: see blocks().
     """
     pairs = ddi.select(F.col("domain_1").alias("domain_a"), F.col("domain_2").alias("domain_b"), F.col("interaction").alias("label")).distinct()
     if both_orientations:
@@ -118,6 +134,11 @@ def assemble(
     for c in ("domain_a", "domain_b"):
         pairs = pairs.join(present.toDF(c), c, "left_semi")
     wide = wide_features(features, names)
+    if pair_features is None and most_per_pair is None:
+        a, b = (blocks(wide).select(F.col("domain_id").alias(f"domain_{k}"), F.col("members").alias(f"_{k}")) for k in "ab")
+        met = pairs.join(a, "domain_a").join(b, "domain_b").select("domain_a", "domain_b", "label", F.explode("_a").alias("x"), "_b").select("*", F.explode("_b").alias("y"))
+        out = met.select("domain_a", "domain_b", F.col("x.protein_id").alias("protein_a"), F.col("y.protein_id").alias("protein_b"), "label", F.concat("x.vec", "y.vec").alias("features")).filter(all_finite(F.col("features")))
+        return oversample(out, "label", ["domain_a", "domain_b", "protein_a", "protein_b"], seed) if balance == "oversample" else out
     keys = wide.select("domain_id", "protein_id")
     chosen = pairs.join(keys.toDF("domain_a", "protein_a"), "domain_a").join(keys.toDF("domain_b", "protein_b"), "domain_b")
     if pair_features is not None:

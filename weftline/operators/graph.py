@@ -273,11 +273,17 @@ def degrees(edges: DataFrame, by: list[str] | None = None) -> DataFrame:
     return own.select(*by, F.explode(F.array(a, b)).alias("node")).groupBy(*by, "node").agg(F.count(F.lit(1)).alias("degree"))
 
 
+def degree_histogram(nodes: DataFrame, by: list[str]) -> DataFrame:
+    """by, num_nodes and degree_distribution: how many nodes have each degree, in order of degree."""
+    counts = nodes.groupBy(*by, "degree").agg(F.count(F.lit(1)).alias("nodes"))
+    return counts.groupBy(*by).agg(F.sum("nodes").alias("num_nodes"), F.array_sort(F.collect_list(F.struct("degree", "nodes"))).alias("degree_distribution"))
+
+
 def network_counts(edges: DataFrame, by: list[str] | None = None) -> DataFrame:
     by = by or []
     a, b = [c for c in edges.columns if c not in by][:2]
     own = canonical(edges.select(*by, a, b), a, b).distinct().groupBy(*by).agg(F.count(F.lit(1)).alias("num_edges"))
-    nodes = degrees(edges, by).groupBy(*by).agg(F.count(F.lit(1)).alias("num_nodes"), F.array_sort(F.collect_list("degree")).alias("degree_distribution"))
+    nodes = degree_histogram(degrees(edges, by), by)
     return own.join(nodes, by) if by else own.crossJoin(nodes)  # one row each
 
 

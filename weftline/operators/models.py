@@ -6,9 +6,11 @@ import itertools
 import json
 from abc import ABC, abstractmethod
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
 import pandas as pd
+from pyspark import inheritable_thread_target
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession
@@ -16,7 +18,8 @@ from pyspark.sql import functions as F
 
 from ..sources.sinks import save_params
 from .assembly import with_fold
-from .evaluation import aggregate_pairs, ap_of, threshold_by_mcc
+from .evaluation import aggregate_pairs, threshold_by_mcc
+from .lineage import Tables
 
 PAIR = ["domain_a", "domain_b"]
 
@@ -137,8 +140,9 @@ class Perceptron:
         v = [[np.zeros_like(p) for p in layer] for layer in w]
         best, kept, wait, t = np.inf, w, 0, 0
         for _ in range(epochs):
+            order = draw.permutation(own)  # every epoch has an order of its own
             for lo in range(0, len(own), batch):
-                rows = draw.permutation(own)[:batch] if lo == 0 else own[lo : lo + batch]
+                rows = order[lo : lo + batch]
                 acts, masks = [z[rows]], []
                 for k, (a, b) in enumerate(w):
                     h = acts[-1] @ a + b
@@ -182,8 +186,12 @@ class Perceptron:
         return cls([(np.array(a), np.array(b)) for a, b in d["w"]], np.array(d["mean"]), np.array(d["scale"]))
 
 
+#: Fits of a search that run at the same time.
+SIDE_BY_SIDE = 8
+
+
 class NeuralNetwork(PairModel):
-    """A perceptron; a whole grid is fitted side by side, a task for each setting.
+    """A perceptron; SIDE_BY_SIDE settings of a grid are fitted at a time, each in a task.
 
     The rows of a fit are held by one task (max_rows at most, by hash order):
     a documented bound on the training sample; scoring covers all rows.
@@ -215,22 +223,19 @@ class NeuralNetwork(PairModel):
         return Perceptron.from_json(self._sample(rows).withColumn("_g", F.lit(0)).groupBy("_g").applyInPandas(run, "model string").first().model)
 
     def search(self, rows: DataFrame, grid: list[dict], seed: int) -> list[tuple[float, dict]]:
-        spark = rows.sparkSession
-        settings = spark.createDataFrame([(k, json.dumps(p)) for k, p in enumerate(grid)], "k int, params string")
-        train, held = self._sample(rows.filter("fold = -1")), self._sample(rows.filter("fold = 0"))
-        every = train.withColumn("fold", F.lit(-1)).unionByName(held.withColumn("fold", F.lit(0)))
-
-        def run(own: pd.DataFrame) -> pd.DataFrame:
-            p = json.loads(own.params.iloc[0])
-            fitted = NeuralNetwork._train(own[own.fold == -1], p, seed)
-            test = own[own.fold == 0]
-            y = test.label.to_numpy(np.int64)
-            ap = ap_of(y, fitted.forward(np.array(test.features.tolist()))) if y.sum() else float("nan")
-            return pd.DataFrame({"k": [own.k.iloc[0]], "ap": [ap]})
-
-        joined = every.crossJoin(F.broadcast(settings))  # each setting's task gets the bounded sample
-        found = {r.k: r.ap for r in joined.groupBy("k").applyInPandas(run, "k int, ap double").collect()}
-        order = sorted(found, key=lambda k: (-found[k] if found[k] == found[k] else np.inf, k))
+        """As in PairModel, with a few fits at a time: the bounded sample is written once, and all rows of fold 0 are scored."""
+        tables = Tables(rows.sparkSession)
+        train = tables.written(self._sample(rows.filter("fold = -1")), "train")
+        held = tables.written(rows.filter("fold = 0").select("label", "features"), "held")
+
+        def one(params: dict) -> float:
+            return average_precision(self.scored(self.fit(train, params, seed), held))
+
+        with ThreadPoolExecutor(SIDE_BY_SIDE) as pool:
+            found = list(pool.map(inheritable_thread_target(rows.sparkSession)(one), grid))
+        tables.drop("train")
+        tables.drop("held")
+        order = sorted(range(len(grid)), key=lambda k: (-found[k] if found[k] == found[k] else np.inf, k))
         return [(found[k], grid[k]) for k in order]
 
     def scored(self, fitted: Perceptron, rows: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import ci_text, lenient_double, p_text
+from .graph import degree_histogram
 
 
 def merged(old: DataFrame, new: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
@@ -54,9 +55,9 @@ def db_analysis(networks: DataFrame, interactions: DataFrame) -> DataFrame:
 
 
 def distributions(degrees: DataFrame) -> DataFrame:
-    """kind and a map from split to the sorted degrees."""
-    lists = degrees.groupBy("kind", "split").agg(F.array_sort(F.collect_list("degree")).alias("v"))
-    return lists.groupBy("kind").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("split", "v")))).alias("data"))
+    """kind and a map from split to the degrees' histogram, (degree, nodes) in order of degree."""
+    lists = degree_histogram(degrees, ["kind", "split"])
+    return lists.groupBy("kind").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("split", F.col("degree_distribution").alias("v"))))).alias("data"))
 
 
 def heatmap(values: DataFrame, dbs: list[str] | None = None) -> DataFrame:

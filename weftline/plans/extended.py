@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from .. import __version__
 from ..functions import scalars as X
 from ..functions import vectors as V
-from ..operators import assembly, catalog, evaluation, graph, graph_models, models, nullmodels, pairs, report
+from ..operators import assembly, catalog, evaluation, graph, graph_models, models, nullmodels, pairs, ranges, report
 from ..operators.features import FEATURES
 from ..operators.lineage import cut, local_path, shared_folder
 from ..sources import cache, files, sinks, sqlite_source
@@ -456,8 +456,8 @@ STRONG = BASE + ", strong AS (SELECT * FROM ppi WHERE score > (SELECT quantile_c
 def _strong(spark: SparkSession, d: str) -> tuple[DataFrame, float]:
     """The interactions above the 98 % quantile of the scores, and that quantile: the predictors' cut for confidence."""
     rows = cut(ppi(spark, d))
-    at = rows.agg(F.percentile("score", 0.98)).first()[0]
-    return rows, -1.0 if at is None else float(at)
+    at = ranges.quantiles(rows, [], "score", [0.98]).first()
+    return rows, -1.0 if at is None else float(at["quantile"])
 
 
 @query(STRONG + ", e AS (SELECT protein_a AS node FROM strong UNION ALL SELECT protein_b FROM strong) SELECT node, CAST(1000 AS BIGINT) AS iterations, CAST(count(*) AS BIGINT) AS least, CAST(count(*) AS BIGINT) AS most FROM e GROUP BY 1")
@@ -644,14 +644,14 @@ def _degrees(spark: SparkSession, d: str) -> DataFrame:
 def report_distributions(spark, d):
     """RP5: sorted degrees by split."""
     out = report.distributions(_degrees(spark, d))
-    return out.select("kind", F.explode("data").alias("split", "v")).select("kind", "split", F.array_join("v", ",").alias("degrees"))
+    return out.select("kind", F.explode("data").alias("split", "v")).select("kind", "split", F.array_join(F.flatten(F.transform("v", lambda x: F.array_repeat(x["degree"], x["nodes"].cast("int")))), ",").alias("degrees"))
 
 
 @query(DEGREES + "SELECT split AS db, CAST(count(*) AS BIGINT) AS nodes, CAST(max(degree) AS BIGINT) AS top FROM k GROUP BY 1")
 def report_cross_db_networks(spark, d):
     """RP8: degrees of several databases side by side."""
     out = report.distributions(_degrees(spark, d).select("kind", "split", "degree"))
-    return out.select(F.explode("data").alias("db", "v")).select("db", F.size("v").cast("long").alias("nodes"), F.array_max("v").alias("top"))
+    return out.select(F.explode("data").alias("db", "v")).select("db", F.aggregate("v", F.lit(0).cast("long"), lambda a, x: a + x["nodes"]).alias("nodes"), F.array_max("v")["degree"].alias("top"))
 
 
 @query(CURVE.replace("model, score, count", "model || '|' || db AS model, score, count").replace("FROM preds GROUP BY 1, 2)", "FROM preds WHERE model IS NOT NULL AND db IS NOT NULL GROUP BY 1, 2)") + "SELECT split_part(model, '|', 1) AS model, split_part(model, '|', 2) AS db, CAST(count(*) AS BIGINT) AS points FROM k WHERE ap > 0 AND an > 0 GROUP BY 1, 2")
