@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import itertools
-import json
 from abc import ABC, abstractmethod
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
@@ -20,6 +19,8 @@ from ..sources.sinks import save_params
 from .assembly import with_fold
 from .evaluation import aggregate_pairs, threshold_by_mcc
 from .lineage import Tables
+from .perceptron import BLOCK_NUMBERS, Blocks, Perceptron
+from .perceptron import train as train_perceptron
 
 PAIR = ["domain_a", "domain_b"]
 
@@ -112,95 +113,17 @@ class RandomForest(PairModel):
         return RandomForestClassificationModel.load(path)
 
 
-class Perceptron:
-    """Hidden ReLU layers with dropout, one logit, weighted cross-entropy, Adam, early stopping."""
-
-    def __init__(self, weights: list[tuple[np.ndarray, np.ndarray]], mean: np.ndarray, scale: np.ndarray) -> None:
-        self.weights, self.mean, self.scale = weights, mean, scale
-
-    def forward(self, x: np.ndarray) -> np.ndarray:
-        a = (x - self.mean) / self.scale
-        for k, (w, b) in enumerate(self.weights):
-            a = a @ w + b
-            if k + 1 < len(self.weights):
-                a = np.maximum(a, 0)
-        return 1 / (1 + np.exp(-np.clip(a[:, 0], -60, 60)))
-
-    @classmethod
-    def train(cls, x: np.ndarray, y: np.ndarray, hidden: list[int], rate: float, epochs: int, dropout: float, batch: int, seed: int, patience: int = 5, held: float = 0.2) -> Perceptron:
-        draw = np.random.default_rng(seed)
-        test = np.concatenate([draw.permutation(np.flatnonzero(y == c))[: int((y == c).sum() * held)] for c in (0, 1)]).astype(int)
-        own = np.setdiff1d(np.arange(len(y)), test)
-        mean, scale = x.mean(0), x.std(0) + 1e-6
-        z = ((x - mean) / scale).astype(np.float64)
-        sizes = [x.shape[1], *hidden, 1]
-        w = [(draw.normal(0, np.sqrt(2 / a), (a, b)), np.zeros(b)) for a, b in zip(sizes, sizes[1:])]
-        weight = max(1e-6, (y[own] == 0).sum() / max(1, (y[own] == 1).sum()))
-        m = [[np.zeros_like(p) for p in layer] for layer in w]
-        v = [[np.zeros_like(p) for p in layer] for layer in w]
-        best, kept, wait, t = np.inf, w, 0, 0
-        for _ in range(epochs):
-            order = draw.permutation(own)  # every epoch has an order of its own
-            for lo in range(0, len(own), batch):
-                rows = order[lo : lo + batch]
-                acts, masks = [z[rows]], []
-                for k, (a, b) in enumerate(w):
-                    h = acts[-1] @ a + b
-                    if k + 1 < len(w):
-                        keep = (draw.random(h.shape) >= dropout) / (1 - dropout) * (h > 0)
-                        masks.append(keep)
-                        h = h * keep
-                    acts.append(h)
-                p = 1 / (1 + np.exp(-np.clip(acts[-1][:, 0], -60, 60)))
-                grad = ((p - y[rows]) * np.where(y[rows] == 1, weight, 1) / len(rows))[:, None]
-                t += 1
-                new = []
-                for k in range(len(w) - 1, -1, -1):
-                    g = (acts[k].T @ grad, grad.sum(0))
-                    back = grad @ w[k][0].T * masks[k - 1] if k else None
-                    layer = []
-                    for q in range(2):
-                        m[k][q] = 0.9 * m[k][q] + 0.1 * g[q]
-                        v[k][q] = 0.999 * v[k][q] + 0.001 * g[q] ** 2
-                        layer.append(w[k][q] - rate * (m[k][q] / (1 - 0.9**t)) / (np.sqrt(v[k][q] / (1 - 0.999**t)) + 1e-8))
-                    new.append(tuple(layer))
-                    grad = back
-                w = new[::-1]
-            p = np.clip(cls(w, np.zeros_like(mean), np.ones_like(scale)).forward(z[test] if len(test) else z), 1e-9, 1 - 1e-9)
-            truth = y[test] if len(test) else y
-            loss = float(-(weight * truth * np.log(p) + (1 - truth) * np.log(1 - p)).mean())
-            if loss < best - 1e-6:
-                best, kept, wait = loss, w, 0
-            else:
-                wait += 1
-                if wait >= patience:
-                    break
-        return cls(kept, mean, scale)
-
-    def to_json(self) -> str:
-        return json.dumps({"w": [(a.tolist(), b.tolist()) for a, b in self.weights], "mean": self.mean.tolist(), "scale": self.scale.tolist()})
-
-    @classmethod
-    def from_json(cls, text: str) -> Perceptron:
-        d = json.loads(text)
-        return cls([(np.array(a), np.array(b)) for a, b in d["w"]], np.array(d["mean"]), np.array(d["scale"]))
-
-
 #: Fits of a search that run at the same time.
 SIDE_BY_SIDE = 8
 
 
 class NeuralNetwork(PairModel):
-    """A perceptron; SIDE_BY_SIDE settings of a grid are fitted at a time, each in a task.
-
-    The rows of a fit are held by one task (max_rows at most, by hash order):
-    a documented bound on the training sample; scoring covers all rows.
-    """
+    """A perceptron, trained on all rows in blocks (see perceptron); SIDE_BY_SIDE settings of a grid are fitted at a time."""
 
     name = "neural_network"
 
-    def __init__(self, max_rows: int = 500_000) -> None:
-        self.max_rows = max_rows
+    def __init__(self, block_numbers: int = BLOCK_NUMBERS) -> None:
+        self.block_numbers = block_numbers
 
     def balance_methods(self, config: dict) -> list[str | None]:
         return config.get("balance_method", [None])
@@ -208,32 +131,28 @@ class NeuralNetwork(PairModel):
     def grid(self, config: dict) -> list[dict]:
         return all_settings(config.get("space", {"hidden": [[32]], "rate": [1e-3], "dropout": [0.1], "batch": [64], "epochs": [20]}))
 
-    def _sample(self, rows: DataFrame) -> DataFrame:
-        return rows.select("label", "features").orderBy(F.xxhash64("label", "features")).limit(self.max_rows)
-
     @staticmethod
-    def _train(rows: pd.DataFrame, p: dict, seed: int) -> Perceptron:
-        x, y = np.array(rows.features.tolist(), np.float64), rows.label.to_numpy(np.float64)
-        return Perceptron.train(x, y, list(p.get("hidden", [32])), float(p.get("rate", 1e-3)), int(p.get("epochs", 20)), float(p.get("dropout", 0.0)), int(p.get("batch", 64)), seed)
+    def _trained(blocks: Blocks, p: dict, seed: int) -> Perceptron:
+        return train_perceptron(blocks, list(p.get("hidden", [32])), float(p.get("rate", 1e-3)), int(p.get("epochs", 20)), float(p.get("dropout", 0.0)), int(p.get("batch", 64)), seed)
 
     def fit(self, rows: DataFrame, params: dict, seed: int) -> Perceptron:
-        def run(own: pd.DataFrame) -> pd.DataFrame:
-            return pd.DataFrame({"model": [NeuralNetwork._train(own, params, seed).to_json()]})
-
-        return Perceptron.from_json(self._sample(rows).withColumn("_g", F.lit(0)).groupBy("_g").applyInPandas(run, "model string").first().model)
+        blocks = Blocks(rows.select("label", "features"), self.block_numbers)
+        fitted = self._trained(blocks, params, seed)
+        blocks.drop()
+        return fitted
 
     def search(self, rows: DataFrame, grid: list[dict], seed: int) -> list[tuple[float, dict]]:
-        """As in PairModel, with a few fits at a time: the bounded sample is written once, and all rows of fold 0 are scored."""
+        """As in PairModel, with a few fits at a time: both folds are written once, and used whole."""
         tables = Tables(rows.sparkSession)
-        train = tables.written(self._sample(rows.filter("fold = -1")), "train")
+        blocks = Blocks(rows.filter("fold = -1").select("label", "features"), self.block_numbers)
         held = tables.written(rows.filter("fold = 0").select("label", "features"), "held")
 
         def one(params: dict) -> float:
-            return average_precision(self.scored(self.fit(train, params, seed), held))
+            return average_precision(self.scored(self._trained(blocks, params, seed), held))
 
         with ThreadPoolExecutor(SIDE_BY_SIDE) as pool:
             found = list(pool.map(inheritable_thread_target(rows.sparkSession)(one), grid))
-        tables.drop("train")
+        blocks.drop()
         tables.drop("held")
         order = sorted(range(len(grid)), key=lambda k: (-found[k] if found[k] == found[k] else np.inf, k))
         return [(found[k], grid[k]) for k in order]
