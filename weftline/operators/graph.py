@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-import numpy as np
+from collections import deque
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -190,60 +191,118 @@ def _bits(mask: int) -> list[int]:
     return out
 
 
-def biclusters(matrix: np.ndarray, dense: float, least: int = 3) -> list[tuple[list[int], list[int]]]:
-    """Row and column sets (least by least at least) whose row and column means all exceed dense.
+def _parted(masks: dict[int, int], rows: int, cols: int, dense: float, least: int) -> tuple[bool, list[tuple[int, int]]]:
+    """Whether a block is a bicluster, and the smaller blocks that replace it if not.
 
     Rows are bit masks. A block that isn't dense is taken apart by its sparsest
     row that has a gap: a block of ones lies within that row's columns, or it
     has a column which the row lacks, and then only rows with such a column.
-    The first part has fewer columns, the second fewer rows, and a block that
-    comes up again isn't looked at again, so the work ends.
+    The first part has fewer rows, the second fewer columns, so the work ends.
     """
-    masks = [sum(1 << j for j in np.flatnonzero(r).tolist()) for r in matrix]
-    whole = (sum(1 << i for i, m in enumerate(masks) if m), (1 << matrix.shape[1]) - 1)
-    seen, found, todo = {whole}, [], [whole]
-    while todo:
-        rows, cols = todo.pop()
-        names, width = _bits(rows), cols.bit_count()
-        if len(names) < least or width < least:
-            continue
-        own = {i: masks[i] & cols for i in names}
-        if min(m.bit_count() for m in own.values()) > dense * width:
-            tall = {j: sum(m >> j & 1 for m in own.values()) for j in _bits(cols)}
-            if min(tall.values()) > dense * len(names):
-                found.append((names, list(tall)))
-                continue
-        gaps = [i for i in names if own[i] != cols]
-        if not gaps:
-            continue
-        inside = own[min(gaps, key=lambda i: (own[i].bit_count(), i))]
-        for columns, needed in ((cols, cols & ~inside), (inside, inside)):
-            part = (sum(1 << i for i in names if own[i] & needed), columns)
-            if part not in seen:
-                seen.add(part)
-                todo.append(part)
-    return sorted(found)
+    names, width = _bits(rows), cols.bit_count()
+    if len(names) < least or width < least:
+        return False, []
+    own = {i: masks.get(i, 0) & cols for i in names}
+    if min(m.bit_count() for m in own.values()) > dense * width and min(sum(m >> j & 1 for m in own.values()) for j in _bits(cols)) > dense * len(names):
+        return True, []
+    gaps = [i for i in names if own[i] != cols]
+    if not gaps:
+        return False, []
+    inside = own[min(gaps, key=lambda i: (own[i].bit_count(), i))]
+    parts = [(sum(1 << i for i in names if own[i] & needed), columns) for columns, needed in ((cols, cols & ~inside), (inside, inside))]
+    return False, [(r, c) for r, c in parts if r.bit_count() >= least and c.bit_count() >= least]
 
 
-def bicluster_pairs(subgraphs: DataFrame, dense: float) -> DataFrame:
-    """go, a, b: every row-column pair of the biclusters of each term's adjacency matrix.
+#: Blocks that a task looks at before it hands the rest on, and blocks of a term that share a task.
+LOOKS, SHARED = 200_000, 20_000
+
+
+def _packed(mask: int) -> bytes:
+    return mask.to_bytes((mask.bit_length() + 7) // 8, "little")
 
-    A term's subgraph is bounded by guarded(); its nodes are taken in order of name.
-    """
 
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        nodes = sorted({*rows.a, *rows.b})
+def biclusters(subgraphs: DataFrame, dense: float, least: int = 3) -> DataFrame:
+    """go, rows, cols (arrays of nodes): the blocks of each term's adjacency matrix, least by least at least, whose row and column means all exceed dense.
+
+    The search is a table of open blocks. In a round each task looks at up to
+    LOOKS blocks, breadth first, from the SHARED that it was given, and hands on
+    those that are left; the next round drops repeats, and blocks handed on in
+    an earlier round, and deals the rest anew. So a term's search spreads over
+    tasks as it grows, and no task holds it whole. Nodes are taken in order of
+    name; a term's matrix has at most the nodes that guarded() lets through.
+    """
+    tables = Tables(subgraphs.sparkSession)
+    links = tables.written(symmetrised(subgraphs.select("go", "a", "b"), "a", "b").filter("go IS NOT NULL AND a IS NOT NULL AND b IS NOT NULL").distinct(), "links")
+    partners = links.groupBy("go", "a").agg(F.array_sort(F.collect_list("b")).alias("bs"))
+    terms = tables.written(partners.groupBy("go").agg(F.array_sort(F.collect_list(F.struct("a", "bs"))).alias("adjacency")), "terms")
+    kind = {c: links.schema[c].dataType.simpleString() for c in ("go", "a")}
+
+    def look(rows: pd.DataFrame) -> pd.DataFrame:
+        adjacency = rows.adjacency.iloc[0]
+        nodes = [r["a"] for r in adjacency]
         at = {v: k for k, v in enumerate(nodes)}
-        m = np.zeros((len(nodes), len(nodes)), bool)
-        i, j = rows.a.map(at).to_numpy(), rows.b.map(at).to_numpy()
-        m[i, j] = m[j, i] = True
-        pairs = {(nodes[x], nodes[x]) for x in range(len(nodes)) if m[x, x]} if len(nodes) == 1 else set()
-        for r, c in biclusters(m, dense):
-            pairs |= {(nodes[x], nodes[y]) for x in r for y in c}
-        return pd.DataFrame([(rows.go.iloc[0], a, b) for a, b in sorted(pairs)], columns=["go", "a", "b"])
-
-    kind = subgraphs.schema["a"].dataType.simpleString()
-    return subgraphs.groupBy("go").applyInPandas(run, f"go {subgraphs.schema['go'].dataType.simpleString()}, a {kind}, b {kind}")
+        masks = {k: sum(1 << at[b] for b in r["bs"]) for k, r in enumerate(adjacency)}
+        todo = deque((int.from_bytes(r, "little"), int.from_bytes(c, "little")) for r, c in sorted(zip(rows.r, rows.c)))
+        if not rows.open.iloc[0]:  # the first round: all rows and columns
+            todo = deque([((1 << len(nodes)) - 1, (1 << len(nodes)) - 1)])
+        seen, found = set(todo), []
+        for _ in range(max(LOOKS, len(todo))):  # all given blocks: one that is handed on again counts as a repeat
+            if not todo:
+                break
+            block = todo.popleft()
+            dense_enough, parts = _parted(masks, *block, dense, least)
+            if dense_enough:
+                found.append(block)
+            for part in parts:
+                if part not in seen:
+                    seen.add(part)
+                    todo.append(part)
+        out = [(False, *block) for block in found] + [(True, *block) for block in todo]
+        columns = {"go": [rows.go.iloc[0]] * len(out), "open": [o for o, _, _ in out], "r": [_packed(r) for _, r, _ in out], "c": [_packed(c) for _, _, c in out]}
+        return pd.DataFrame({name: pd.Series(values, dtype=object) for name, values in columns.items()})
+
+    def round_of(blocks: DataFrame) -> DataFrame:
+        sizes = blocks.groupBy("go").agg(F.ceil(F.count(F.lit(1)) / SHARED).cast("int").alias("n"))
+        dealt = blocks.join(sizes, "go").withColumn("task", F.pmod(F.xxhash64("r", "c"), "n").cast("int")).drop("n")
+        matrices = terms.join(sizes, "go").select("go", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("task"), "adjacency")
+        shape = f"go {kind['go']}, open boolean, r binary, c binary"
+        # the matrix comes with one block of each task, not with every one
+        head = dealt.groupBy("go", "task").agg(F.min(F.struct("r", "c")).alias("h")).join(matrices, ["go", "task"]).select("go", "task", "h.r", "h.c", "adjacency")
+        return dealt.join(head, ["go", "task", "r", "c"], "left").groupBy("go", "task").applyInPandas(lambda rows: look(rows.sort_values("adjacency", key=lambda x: x.isna(), kind="stable")), shape)
+
+    blocks = terms.select("go", F.lit(False).alias("open"), F.lit(b"").alias("r"), F.lit(b"").alias("c"))
+    found, handed = [], []
+    while blocks.head(1):
+        k = len(found)
+        done = tables.written(round_of(blocks), f"round-{k}")
+        found.append(done.filter("NOT open").select("go", "r", "c"))
+        blocks = done.filter("open").distinct()
+        for old in handed:
+            blocks = blocks.join(old.select("go", "r", "c"), ["go", "r", "c"], "left_anti")
+        blocks = tables.written(blocks.select("go", "open", "r", "c"), f"open-{k}")
+        handed.append(blocks)
+    every = terms.select("go", "adjacency").limit(0).select("go", F.lit(b"").alias("r"), F.lit(b"").alias("c"))
+    for part in found:
+        every = every.unionByName(part)
+    names = F.transform("adjacency", lambda x: x["a"])
+
+    @F.pandas_udf("array<int>")
+    def places(masks: pd.Series) -> pd.Series:
+        return pd.Series([_bits(int.from_bytes(m, "little")) for m in masks], dtype=object)
+
+    def named(c: str) -> Column:
+        return F.transform(places(c), lambda j: F.element_at("names", j + 1))
+
+    return every.distinct().join(terms.select("go", names.alias("names")), "go").select("go", named("r").alias("rows"), named("c").alias("cols"))
+
+
+def bicluster_pairs(subgraphs: DataFrame, dense: float) -> DataFrame:
+    """go, a, b: every row-column pair of the biclusters of each term's adjacency matrix, and a single node that is its own partner."""
+    blocks = biclusters(subgraphs, dense)
+    pairs = blocks.select("go", F.explode("rows").alias("a"), "cols").distinct().select("go", "a", F.explode("cols").alias("b"))
+    ends = subgraphs.select("go", "a", "b").filter("a IS NOT NULL AND b IS NOT NULL")
+    lone = ends.groupBy("go").agg(F.min(F.least("a", "b")).alias("a"), F.max(F.greatest("a", "b")).alias("b")).filter("a = b")
+    return pairs.unionByName(lone).distinct()
 
 
 def fold_enrichment(predicted: DataFrame, known: DataFrame, n_domains: int | Column) -> DataFrame:
