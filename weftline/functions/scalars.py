@@ -72,5 +72,8 @@ def with_db_suffix(block_id: Column, title: Column, db: Column) -> tuple[Column,
     return F.concat(block_id, F.lit("_"), db), F.concat(title, F.lit(" ("), db, F.lit(")"))
 
 
-def models_per_balance(models: int, balance_methods: int) -> int:
+def models_per_balance(models: int, balance_methods: int | Column) -> int | Column:
+    """Settings for each balance method, rounded up."""
+    if isinstance(balance_methods, Column):
+        return F.ceil(F.lit(models) / F.greatest(F.lit(1), balance_methods)).cast("int")
     return -(-models // max(1, balance_methods))

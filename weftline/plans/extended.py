@@ -25,7 +25,7 @@ from ..operators.lineage import cut, local_path, shared_folder
 from ..sources import cache, files, sinks, sqlite_source
 from ..streaming import predictions
 from .registry import query, read
-from .workloads import AA, BASE, CASCADE, CURVE, PROPS, TERM, _properties, _terms, ddi, go, ontology, pd_map, ppi, preds, raw_ddi, vecs
+from .workloads import AA, BASE, CASCADE, CURVE, TERM, _properties, _terms, ddi, go, ontology, pd_map, ppi, preds, raw_ddi, vecs
 
 # Sources and sinks.
 
@@ -162,14 +162,15 @@ def ontology_scan(spark, d):
     return files.read_ontology(spark, folder)
 
 
-@query(f"WITH {PROPS} SELECT aa, CAST(j AS INT) AS j, round(v, 6) AS v FROM props")
+@query("SELECT chr(CAST(65 + c_nationkey AS INT)) AS aa, round(avg(c_acctbal), 3)::DOUBLE AS mean, count(*)::DOUBLE AS n, round(max(c_acctbal), 3)::DOUBLE AS most FROM customer GROUP BY c_nationkey")
 def property_scan(spark, d):
-    """SC9: a residue property table as CSV."""
+    """SC9: a property table as CSV; a letter for each nation, with figures of its customers."""
     folder = shared_folder(spark)
-    _properties(spark).write.option("header", True).csv(folder)
+    balance = F.col("c_acctbal")
+    made = read(spark, d, "customer").groupBy("c_nationkey").agg(F.avg(balance).alias("mean"), F.count(F.lit(1)).alias("n"), F.max(balance).alias("most"))
+    made.select(F.char((F.col("c_nationkey") + 65).cast("long")).alias("residue"), "mean", "n", "most").write.option("header", True).csv(folder)
     rows = files.read_properties(spark, folder)
-    names = [c for c in rows.columns if c != "aa"]
-    return rows.select("aa", F.posexplode(F.array(*names)).alias("j", "v")).select("aa", "j", F.round("v", 6).alias("v"))
+    return rows.select("aa", F.round("mean", 3).alias("mean"), "n", F.round("most", 3).alias("most"))
 
 
 @query(BASE + "SELECT label, CAST(count(*) AS BIGINT) AS n, CAST(1 AS INT) AS made FROM vecs GROUP BY 1")
@@ -270,10 +271,11 @@ def provenance(spark, d):
     return sinks.provenance(spark)
 
 
-@query(f"SELECT 'spark {pyspark.__version__}' || chr(10) || 'weftline {__version__}' AS text")
+@query("SELECT string_agg(line, chr(10) ORDER BY line) AS text FROM (SELECT DISTINCT lang || ' ' || source AS line FROM documents WHERE lang IS NOT NULL AND source IS NOT NULL) q")
 def version_lines(spark, d):
-    """AG28: sorted lines as one text."""
-    return catalog.sorted_text(sinks.provenance(spark).select(F.concat_ws(" ", "component", "version").alias("line")), "line")
+    """AG28: sorted lines as one text; the languages of each source."""
+    rows = read(spark, d, "documents").filter("lang IS NOT NULL AND source IS NOT NULL")
+    return catalog.sorted_text(rows.select(F.concat_ws(" ", "lang", "source").alias("line")).distinct(), "line")
 
 
 # Blobs and loading.
@@ -411,10 +413,11 @@ def colour_stops(spark, d):
     return spark.createDataFrame([(k, round(at, 6), c) for k, (at, c) in enumerate(X.colour_scale())], "k int, at double, colour string")
 
 
-@query("SELECT CAST(n AS INT) AS n, CAST(ceil(200.0 / n) AS INT) AS each FROM range(1, 8) q(n)")
+@query("SELECT label, CAST(count(DISTINCT vec_id % 7) AS INT) AS n, CAST(ceil(200.0 / count(DISTINCT vec_id % 7)) AS INT) AS each FROM embeddings WHERE label IS NOT NULL GROUP BY label")
 def models_each(spark, d):
-    """FN24: settings for each balance method."""
-    return spark.createDataFrame([(n, X.models_per_balance(200, n)) for n in range(1, 8)], "n int, each int")
+    """FN24: settings for each of a label's balance methods."""
+    own = read(spark, d, "embeddings").filter("label IS NOT NULL").groupBy("label").agg(F.countDistinct(F.expr("vec_id % 7")).cast("int").alias("n"))
+    return own.select("label", "n", X.models_per_balance(200, F.col("n")).alias("each"))
 
 
 @query(BASE + "SELECT vec_id, 512 AS width, true AS finite, true AS centred FROM vecs")
