@@ -10,13 +10,13 @@ from weftline.operators import graph
 DENSE = 0.6
 
 
-def recursion(m, rows, cols, out, seen):
+def recursion(m, rows, cols, out, seen, dense=DENSE):
     """The search over index sets, without rounds or masks."""
     if len(rows) < 3 or len(cols) < 3 or (rows, cols) in seen:
         return
     seen.add((rows, cols))
     part = m[np.ix_(rows, cols)]
-    if (part.mean(0) > DENSE).all() and (part.mean(1) > DENSE).all():
+    if (part.mean(0) > dense).all() and (part.mean(1) > dense).all():
         out.add((rows, cols))
         return
     gaps = [k for k in range(len(rows)) if not part[k].all()]
@@ -25,8 +25,8 @@ def recursion(m, rows, cols, out, seen):
     k = min(gaps, key=lambda k: (part[k].sum(), k))
     inside = tuple(c for c, x in zip(cols, part[k]) if x)
     lacks = [c for c in cols if c not in inside]
-    recursion(m, tuple(r for r in rows if m[r, lacks].any()), cols, out, seen)
-    recursion(m, tuple(r for r in rows if m[r, inside].any()) if inside else (), inside, out, seen)
+    recursion(m, tuple(r for r in rows if m[r, lacks].any()), cols, out, seen, dense)
+    recursion(m, tuple(r for r in rows if m[r, inside].any()) if inside else (), inside, out, seen, dense)
 
 
 @pytest.fixture(scope="module")
