@@ -62,6 +62,14 @@ def test_operators_that_leave_columns_out(clash):
     assert predict(clash, *prototypes(clash)).count() == 4
 
 
+def test_language_columns_with_dots_and_backticks(spark):
+    rows = [(1, "the cat and the dog", "en"), (2, "der hund und die katze", "de"), (3, None, "en"), (4, "the house", None)]
+    plain = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    odd = plain.toDF("a.id", "the`text", "lang.x")
+    got = predict(odd, *prototypes(odd, text_col="the`text", lang_col="lang.x"), id_col="a.id", text_col="the`text")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, predict(plain, *prototypes(plain)).collect()))
+
+
 def test_items_without_id_are_not_those_called_null(spark):
     docs = spark.createDataFrame([(1, "a b c")], "doc_id long, text string")
     items = spark.createDataFrame([(None, "a b"), ("null", "b c")], "item_id string, text string")

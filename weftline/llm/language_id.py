@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .runtime import quoted
 from .textkern import Slice, mix, slices
 
 UNKNOWN = "und"
@@ -115,7 +116,7 @@ def prototypes(train: DataFrame, dims: int = 512, text_col: str = "text", lang_c
         for name, v in sums.items():
             yield pa.record_batch([pa.array([name] * dims), pa.array(np.arange(dims)), pa.array(np.rint(v).astype(np.int64))], names=["lang", "d", "v"])
 
-    rows = train.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
+    rows = train.select(F.col(quoted(text_col)).alias("text"), F.col(quoted(lang_col)).alias("lang")).filter("text IS NOT NULL AND lang IS NOT NULL")
     found = rows.mapInArrow(run, "lang string, d long, v long").groupBy("lang", "d").agg(F.sum("v").alias("v")).collect()
     names = sorted({r.lang for r in found})
     out = np.zeros((len(names), dims))
@@ -146,4 +147,4 @@ def predict(docs: DataFrame, names: list[str], profiles: np.ndarray, id_col: str
                     score[has] = np.clip(cos.max(1), 0, 1)
                 yield pa.record_batch([batch.column(0).slice(s.first, len(s)), pa.array(known[best].tolist(), pa.string()), pa.array(score.astype(np.float64))], names=["doc_id", "lang_pred", "score"])
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, "doc_id long, lang_pred string, score double")
+    return docs.select(F.col(quoted(id_col)).cast("long").alias("doc_id"), F.col(quoted(text_col)).alias("text")).mapInArrow(run, "doc_id long, lang_pred string, score double")
