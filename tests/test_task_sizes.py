@@ -3,8 +3,10 @@
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
-from weftline.operators import graph, pairs
+from weftline.operators import assembly, graph, pairs
+from weftline.operators.features import FEATURES
 
 
 def plan(df):
@@ -50,5 +52,36 @@ def test_network_counts_in_one_pass(spark):
 def test_degree_keys_sorted_by_tasks(spark, monkeypatch):
     monkeypatch.setattr(pairs, "TASK_ROWS", 10)
     ppi = spark.createDataFrame([(f"p{a}", f"p{b}", a) for a in range(12) for b in range(a + 1, 12) if (a * b) % 3], "protein_a string, protein_b string, score long")
-    rows = [tuple(r) for r in graph.ppi_degree_keys(ppi, ppi.count() * 2, once=True).collect()]
-    assert rows == [tuple(r) for r in graph.ppi_degree_keys(ppi).collect()] and rows == sorted(rows, key=lambda r: (-r[3], r[0], r[1]))
+    dealt = graph.ppi_degree_keys(ppi, ppi.count() * 2, once=True)
+    rows = dealt.collect()
+    assert rows == graph.ppi_degree_keys(ppi).collect() and rows == sorted(rows, key=lambda r: (-r.degree, r.protein_a, r.protein_b))
+    assert "REPARTITION_BY_NUM" in plan(dealt)
+
+
+def test_protein_distances_sum_sets_of_terms(spark):
+    terms = [(f"p{k}", f"t{(k * k) % 5}") for k in range(30)] + [(f"p{k}", f"t{k % 4}") for k in range(0, 30, 3)] + [(None, "t1"), ("p1", None)]
+    dist = {(a, b): abs(a - b) for a in range(5) for b in range(5) if abs(a - b) < 3}
+    near = spark.createDataFrame([(f"t{a}", f"t{b}", n) for (a, b), n in dist.items()], "source string, node string, dist int")
+    want = {}
+    for p, t in terms:
+        for q, u in terms:
+            if p and q and t and u and p < q and (n := dist.get((int(t[1]), int(u[1])))) is not None:
+                want[p, q] = min(n, want.get((p, q), 9))
+    out = graph.protein_distances(spark.createDataFrame(terms, "uniprot_id string, go string"), near)
+    assert sorted((r.p_i, r.p_j, r.dist) for r in out.collect()) == sorted((*k, n) for k, n in want.items())
+    assert "keys=[p_i" not in plan(out)
+
+
+def test_pairs_of_blocks_spread_over_tasks(spark):
+    wide = spark.createDataFrame([("A", f"p{k}", [1.0, float(k)]) for k in range(200)] + [("B", "q", [2.0, 3.0])], "domain_id string, protein_id string, vec array<float>")
+    out = assembly.block_pairs(spark.createDataFrame([("A", "A"), ("A", "B"), ("C", "A")], "domain_a string, domain_b string"), wide)
+    assert out.count() == 200 * 200 + 200 and "REPARTITION_BY_NUM" in plan(out)
+    rows = wide.withColumn("vec", F.when(F.col("protein_id") == "p3", F.array(F.lit(1.0), F.lit(float("nan"))).cast("array<float>")).otherwise(F.col("vec")))
+    made = assembly.assemble(spark.createDataFrame([("A", "B", 1)], "domain_1 string, domain_2 string, interaction int"), rows.withColumn("feature", F.lit("f")), ["f"])
+    assert made.count() == 2 * 199 and "isnan" not in plan(made).lower()  # looked at before pairs are made
+
+
+def test_features_are_dealt_to_tasks(spark):
+    table = spark.createDataFrame([(k % 5, k, "MKVA" * k) for k in range(9)], "domain_id int, protein_id int, domain_sequence string").coalesce(1)
+    for name in ("aacomp", "aaencode", "dummy"):
+        assert "REPARTITION_BY_NUM" in plan(FEATURES[name]({"domain_protein_map": table}))
