@@ -86,8 +86,9 @@ def conjoint_triad(s: Column) -> Column:
 
 def normalised(v: Column) -> Column:
     """(v - min) / max, all zeros where the maximum is 0."""
-    low, high = F.array_min(v), F.array_max(v)
-    return F.transform(v, lambda x: F.when(high == 0, F.lit(0.0)).otherwise((x - low) / high))
+    # bound in a list of one: within a lambda of x they would be found anew for each x
+    bound = F.array(F.struct(v.alias("v"), F.array_min(v).alias("low"), F.array_max(v).alias("high")))
+    return F.transform(bound, lambda p: F.transform(p["v"], lambda x: F.when(p["high"] == 0, F.lit(0.0)).otherwise((x - p["low"]) / p["high"])))[0]
 
 
 def triad_counts(df: DataFrame, keys: list[str], sequence: str) -> DataFrame:
@@ -107,10 +108,8 @@ def triad_counts(df: DataFrame, keys: list[str], sequence: str) -> DataFrame:
 
 
 def triad_vectors(df: DataFrame, keys: list[str], sequence: str) -> DataFrame:
-    """keys and v, the 343 counts of conjoint_triad() by one pass over the letters; keys must be unique."""
-    counts = triad_counts(df.filter(F.col(sequence).isNotNull()), keys, sequence).groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("triad", "n"))).alias("_m"))
-    v = F.transform(F.sequence(F.lit(0), F.lit(342)), lambda k: F.coalesce(F.try_element_at("_m", k), F.lit(0)).cast("double"))
-    return df.filter(F.col(sequence).isNotNull()).select(*keys).join(counts, keys, "left").select(*keys, F.when(F.col("_m").isNull(), F.array_repeat(F.lit(0.0), 343)).otherwise(v).alias("v"))
+    """keys and v, the 343 counts of conjoint_triad() where the row lies: no shuffle of triads, no lookup in a map."""
+    return df.filter(F.col(sequence).isNotNull()).select(*keys, conjoint_triad(F.col(sequence).cast("string")).alias("v"))
 
 
 def estate_rows(properties: DataFrame, key: str) -> DataFrame:
@@ -147,6 +146,10 @@ def residue_means(df: DataFrame, keys: list[str], sequence: str, table: DataFram
     return out.select(*keys, F.when(~F.col("miss"), F.expr("transform(s, x -> x / n)")).alias("mean"), F.col("n").alias("length"), (~F.col("miss")).alias("known"))
 
 
-def pair_descriptor(m1: Column, n1: Column, m2: Column, n2: Column) -> Column:
-    """m12 + m21 - 2 m1 - 2 m2, where m12 = m21 is the mean over both sequences' residues."""
-    return F.zip_with(m1, m2, lambda a, b: 2 * (a * n1 + b * n2) / (n1 + n2) - 2 * a - 2 * b)
+def pair_descriptor(m1: Column, n1: Column, m2: Column, n2: Column, width: int | None = None) -> Column:
+    """m12 + m21 - 2 m1 - 2 m2, where m12 = m21 is the mean over both sequences' residues. A known width gives compiled code."""
+
+    def one(a: Column, b: Column) -> Column:
+        return 2 * (a * n1 + b * n2) / (n1 + n2) - 2 * a - 2 * b
+
+    return F.zip_with(m1, m2, one) if width is None else F.array(*(one(F.get(m1, F.lit(k)), F.get(m2, F.lit(k))) for k in range(width)))
