@@ -9,6 +9,7 @@ import pyarrow as pa
 import pytest
 from conftest_llm import lower, space_words
 
+from weftline.llm import line_dedup
 from weftline.llm.line_dedup import dedup_lines
 from weftline.llm.near_dedup import BINS, classes, keep_one, shingle_sets, signature
 from weftline.llm.textkern import slices
@@ -176,6 +177,34 @@ def test_lines_equal_brute_force(spark):
     assert got == brute_lines(rows)
 
 
+def test_texts_that_lose_no_line_stay(spark, monkeypatch):
+    """Only what may be met is moved; maps that tell nothing change no result."""
+    rows = [(d, "\n".join(f"{'same' if d % 50 == 0 else d} line {k} of the text with {w} words" for k, w in enumerate("abc"))) for d in range(400)]
+    own = spark.createDataFrame(rows, "doc_id long, text string")
+    size = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = dedup_lines(own)
+        plan = out._jdf.queryExecution().optimizedPlan().toString()
+        left = plan[: plan.rindex("Join")]
+        assert "Union" in left and plan.count("getbit") == 2  # texts without a hit pass beside the join
+        assert {r.doc_id: r.text for r in out.collect()} == brute_lines(rows)
+        monkeypatch.setattr(line_dedup, "MAP_MOST", 1)
+        monkeypatch.setattr(line_dedup, "MAP_WORDS", 1)
+        assert {r.doc_id: r.text for r in dedup_lines(own).collect()} == brute_lines(rows)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", size)
+
+
+def test_a_map_grows_with_its_keys(spark, monkeypatch):
+    from weftline.llm.runtime import Scratch
+
+    scratch, every = Scratch(spark), spark.range(20_000).select("id")
+    few, many = line_dedup._Map(every.limit(100), scratch, "few"), line_dedup._Map(every, scratch, "many")
+    assert (few.rows, many.rows) == (1, 20)
+    assert many.met(every, ["id"]).count() == 20_000 and many.met(spark.range(20_000, 60_000), ["id"]).count() < 4_000
+
+
 def test_lines_of_odd_rows(odd, none):
     out = dedup_lines(odd)
     assert out.columns == [*odd.columns, "_wf_lines", "_wf_removed"]

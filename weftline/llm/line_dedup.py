@@ -22,6 +22,9 @@ Native DataFrame functions only.
    thousandth of all places, a thousand at most, are sent to every task, so the
    places of a common line stay where they are.
 
+Before each of these joins, and before texts meet the numbers of the lines that
+they lose, a map of the few keys' hashes tells most rows that have none.
+
 Nulls and empties: null and empty texts pass unchanged, lines without a word
 are always kept; rows with a null doc_id come first, and rows with
 one doc_id are told apart by their text's hash, and exact repeats of a row
@@ -38,8 +41,8 @@ from pyspark.sql import functions as F
 
 from .runtime import Scratch, fresh, quoted
 
-#: The map of places to read again: MAP_BUCKETS rows of MAP_WORDS longs, 512 KB in all.
-MAP_BUCKETS, MAP_WORDS = 128, 512
+#: A map of keys has MAP_BITS bits for each, in rows of MAP_WORDS longs (4 KB), of which there are MAP_MOST (16 MB) at most.
+MAP_BITS, MAP_WORDS, MAP_MOST = 32, 512, 4096
 #: A line with over a HOT-th part of all places is common.
 HOT = 1000
 
@@ -66,17 +69,32 @@ def _halves(min_words: int) -> Column:
     return F.expr(f"CASE WHEN n >= {min_words - 1} THEN array_distinct(array({', '.join(keys)})) END")
 
 
-def _place_bit() -> Column:
-    return F.pmod(F.xxhash64("doc", "t", "no"), F.lit(MAP_BUCKETS * MAP_WORDS * 64))
+class _Map:
+    """Bits set by the hashes of keys, sent to every task: most rows without a key of theirs are known before a join moves them.
+
+    It grows with the keys up to MAP_MOST rows; beyond that more rows pass, and the join after it decides.
+    """
+
+    def __init__(self, keys: DataFrame, scratch: Scratch, name: str) -> None:
+        self.rows = min(MAP_MOST, max(1, -(-keys.count() * MAP_BITS // (64 * MAP_WORDS))))
+        some = keys.select(self._bit(keys.columns).alias("bit")).select(F.shiftright("bit", 6).alias("w"), F.expr("shiftleft(1L, CAST(bit % 64 AS INT))").alias("v"))
+        words = some.groupBy("w").agg(F.bit_or("v").alias("v"))
+        every = keys.sparkSession.range(self.rows * MAP_WORDS).select(F.col("id").alias("w")).join(words, "w", "left").fillna(0, ["v"])
+        lists = every.groupBy(F.expr(f"w div {MAP_WORDS}").alias("m")).agg(F.array_sort(F.collect_list(F.struct("w", "v"))).alias("l"))
+        self.table = scratch.table(lists.select("m", F.transform("l", lambda x: x.v).alias("bits")), name)
+
+    def _bit(self, columns: list[str]) -> Column:
+        return F.pmod(F.xxhash64(*(F.col(quoted(c)) for c in columns)), F.lit(self.rows * MAP_WORDS * 64))
 
+    def marked(self, rows: DataFrame, columns: list[str], name: str) -> DataFrame:
+        """rows with a column of that name: false where their columns are surely no key."""
+        bit, m, bits = fresh([*rows.columns, name], "_wf_bit", "_wf_m", "_wf_bits")
+        met = rows.withColumn(bit, self._bit(columns)).join(F.broadcast(self.table.toDF(m, bits)), F.expr(f"{bit} div {64 * MAP_WORDS} = {m}"))
+        return met.withColumn(name, F.expr(f"getbit({bits}[CAST({bit} div 64 % {MAP_WORDS} AS INT)], CAST({bit} % 64 AS INT)) = 1")).drop(bit, m, bits)
 
-def _maps(places: DataFrame) -> DataFrame:
-    """m and bits (MAP_WORDS longs): a bit is set for each place's hash; of fixed size, however many places there are."""
-    some = places.select(_place_bit().alias("bit")).select(F.shiftright("bit", 6).alias("w"), F.expr("shiftleft(1L, CAST(bit % 64 AS INT))").alias("v"))
-    words = some.groupBy("w").agg(F.bit_or("v").alias("v"))
-    every = places.sparkSession.range(MAP_BUCKETS * MAP_WORDS).select(F.col("id").alias("w")).join(words, "w", "left").fillna(0, ["v"])
-    lists = every.groupBy(F.expr(f"w div {MAP_WORDS}").alias("m")).agg(F.array_sort(F.collect_list(F.struct("w", "v"))).alias("l"))
-    return lists.select("m", F.transform("l", lambda x: x.v).alias("bits"))
+    def met(self, rows: DataFrame, columns: list[str]) -> DataFrame:
+        """The rows whose columns may be a key."""
+        return self.marked(rows, columns, "maybe").filter("maybe").drop("maybe")
 
 
 def removed_lines(docs: DataFrame, scratch: Scratch, min_words: int = 6, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -92,22 +110,24 @@ def removed_lines(docs: DataFrame, scratch: Scratch, min_words: int = 6, id_col:
     # Lines that share a half with another distinct line.
     halves = distinct.filter("first.keys IS NOT NULL").select("h", "g", "first.doc", "first.t", "first.no", F.explode("first.keys").alias("key"))
     shared = halves.groupBy("key").agg(*(f(c).alias(f"{k}{c}") for c in "hg" for k, f in (("a", F.min), ("z", F.max)))).filter("ah != zh OR ag != zg").select("key")
-    near = halves.join(shared, "key", "left_semi").select("h", "g", "doc", "t", "no").distinct()
+    shared = scratch.table(shared, "shared")
+    # An inner join, as a semi join would be moved before the map.
+    near = _Map(shared, scratch, "shared-map").met(halves, ["key"]).join(shared, "key").select("h", "g", "doc", "t", "no").distinct()
     # Numbers that ascend with the place: ranges in order, and rows in order inside them.
     near = near.repartitionByRange("doc", "t", "no").sortWithinPartitions("doc", "t", "no").withColumn("id", F.monotonically_increasing_id())
     near = scratch.table(near, "near")
 
-    # Their words are read again; a map of fixed size, sent to every task, spares most other places the join.
-    maps = scratch.table(_maps(near.select("doc", "t", "no")), "maps")
-    placed = raw.withColumn("bit", _place_bit()).join(F.broadcast(maps), F.expr(f"bit div {64 * MAP_WORDS} = m"))
-    maybe = placed.filter(F.expr(f"getbit(bits[CAST(bit div 64 % {MAP_WORDS} AS INT)], CAST(bit % 64 AS INT)) = 1")).select("doc", "t", "no", "line")
+    # Their words are read again.
+    at = ["doc", "t", "no"]
+    maybe = _Map(near.select(*at), scratch, "near-map").met(raw, at)
     found = maybe.join(near.select("doc", "t", "no", "id"), ["doc", "t", "no"]).dropDuplicates(["id"])
-    words = found.select("id", F.split(_canonical(F.col("line")), " ").alias("words"))
-    worded = scratch.table(words.select("id", F.size("words").alias("n"), "words"), "worded")
+    words = F.split("line", " ")
+    worded = scratch.table(found.select("id", _canonical(F.col("line")).alias("line")).select("id", F.size(words).alias("n"), "line"), "worded")
 
     # A line's hash is the exclusive or of its words' hashes by position, so that without word i, and
     # with the words behind it moved up, takes running ors before and after i: one pass over the words.
-    spots = worded.select("id", "n", F.posexplode("words").alias("i", "w")).select("id", "n", "i", F.xxhash64("w", "i").alias("z"), F.xxhash64("w", F.col("i") - 1).alias("y"))
+    laid = worded.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "id")  # lines move before they become a row for each word
+    spots = laid.select("id", "n", F.posexplode(words).alias("i", "w")).select("id", "n", "i", F.xxhash64("w", "i").alias("z"), F.xxhash64("w", F.col("i") - 1).alias("y"))
     line, upto = Window.partitionBy("id"), Window.partitionBy("id").orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
     runs = spots.select("id", "n", "i", "z", F.bit_xor("z").over(line).alias("x"), F.bit_xor("y").over(line).alias("ys"), F.bit_xor("z").over(upto).alias("zi"), F.bit_xor("y").over(upto).alias("yi"))
     keys = runs.selectExpr(
@@ -123,27 +143,31 @@ def removed_lines(docs: DataFrame, scratch: Scratch, min_words: int = 6, id_col:
     centres = variants.groupBy("key").agg(
         F.min(F.when(F.col("kind") == 0, F.col("id"))).alias("whole"), F.min(F.when(F.col("kind") != 0, F.col("id"))).alias("other"), F.max("id").alias("last"), F.min("id").alias("first")
     ).filter("first != last").select("key", "whole", "other")
+    centres = scratch.table(centres, "centres")
     centre = F.when(F.col("kind") == 2, F.col("whole")).otherwise(F.col("other"))
-    links = scratch.table(variants.join(centres, "key").select("id", centre.alias("to")).filter("to IS NOT NULL AND to < id").distinct(), "links")
+    links = scratch.table(_Map(centres.select("key"), scratch, "centres-map").met(variants, ["key"]).join(centres, "key").select("id", centre.alias("to")).filter("to IS NOT NULL AND to < id").distinct(), "links")
 
-    pairs = links.join(worded.select("id", F.col("words").alias("a")), "id").join(worded.select(F.col("id").alias("to"), F.col("words").alias("b")), "to")
+    pairs = links.join(worded.select("id", F.col("line").alias("a")), "id").join(worded.select(F.col("id").alias("to"), F.col("line").alias("b")), "to")
+    pairs = pairs.withColumns({c: F.split(c, " ") for c in "ab"})
     # Within one edit: what the two share at their start and end covers all but one word of the longer.
     front = "coalesce(array_position(zip_with(a, b, (x, y) -> coalesce(x = y, false)), false) - 1, -1)"
     back = "coalesce(array_position(zip_with(reverse(a), reverse(b), (x, y) -> coalesce(x = y, false)), false) - 1, -1)"
     most = "greatest(size(a), size(b))"
     pairs = pairs.withColumn("f", F.expr(f"CASE WHEN {front} < 0 THEN size(a) ELSE {front} END")).withColumn("e", F.expr(f"CASE WHEN {back} < 0 THEN size(a) ELSE {back} END"))
     close = pairs.filter(f"abs(size(a) - size(b)) <= 1 AND f + e >= {most} - 1").select("id").distinct()
-    dropped = near.join(close, "id", "left_semi").select("h", "g", F.lit(True).alias("near"))
+    dropped = scratch.table(near.join(close, "id", "left_semi").select("h", "g", F.lit(True).alias("near")), "dropped")
 
     # Lines with an earlier equal line, and all places of lines with an earlier near one.
-    judged = scratch.table(distinct.join(dropped, ["h", "g"], "left").filter("times > 1 OR near").select("h", "g", "times", F.col("first.doc").alias("d1"), F.col("first.t").alias("t1"), F.col("first.no").alias("n1"), "near"), "judged")
+    held = _Map(dropped.select("h", "g"), scratch, "dropped-map").marked(distinct, ["h", "g"], "maybe").filter("times > 1 OR maybe")
+    judged = scratch.table(held.join(dropped, ["h", "g"], "left").filter("times > 1 OR near").select("h", "g", "times", F.col("first.doc").alias("d1"), F.col("first.t").alias("t1"), F.col("first.no").alias("n1"), "near"), "judged")
     places = occurrences.select("doc", "t", "no", "h", "g")
     common = F.col("times") > places.count() / HOT
     few, many = F.broadcast(judged.filter(common)), judged.filter(~common)
-    met = places.join(few, ["h", "g"]).unionByName(places.join(few.select("h", "g"), ["h", "g"], "left_anti").join(many, ["h", "g"]))
+    rest = _Map(judged.select("h", "g"), scratch, "judged-map").met(places, ["h", "g"]).join(few.select("h", "g"), ["h", "g"], "left_anti")
+    met = places.join(few, ["h", "g"]).unionByName(rest.join(many, ["h", "g"]))
     gone = met.filter(F.col("near").isNotNull() | (place != F.struct("d1", "t1", "n1"))).select("doc", "t", "no").distinct()
     result = scratch.table(gone.groupBy("doc", "t").agg(F.array_sort(F.collect_list("no")).alias("gone")), "gone")
-    scratch.drop("lines", "distinct", "near", "maps", "worded", "variants", "links", "judged")
+    scratch.drop("lines", "distinct", "near", "worded", "variants", "links", "judged", "shared", "centres", "dropped", *(f"{k}-map" for k in ("shared", "near", "centres", "dropped", "judged")))
     return result
 
 
@@ -155,11 +179,15 @@ def dedup_lines(docs: DataFrame, min_words: int = 6, id_col: str = "doc_id", tex
     """
     scratch = Scratch(docs.sparkSession)
     columns = docs.columns if keep_columns is None else keep_columns
-    row_id, text_hash, doc, t, gone, every, flags, n_lines, n_removed = fresh(docs.columns, *(f"_wf_{c}" for c in ("id", "h", "doc", "t", "gone", "all", "flags", "lines", "removed")))
+    row_id, text_hash, doc, t, gone, every, flags, n_lines, n_removed, hit = fresh(docs.columns, *(f"_wf_{c}" for c in ("id", "h", "doc", "t", "gone", "all", "flags", "lines", "removed", "hit")))
     text = F.col(quoted(text_col))
     found = removed_lines(docs, scratch, min_words, id_col, text_col).toDF(doc, t, gone)
     rows = docs.withColumns({row_id: F.coalesce(F.col(quoted(id_col)).cast("long"), F.lit(-(1 << 63))), text_hash: F.xxhash64(text)})
-    rows = rows.join(found, (F.col(row_id) == F.col(doc)) & (F.col(text_hash) == F.col(t)), "left")
+    # Texts that surely lose no line stay where they are.
+    rows = _Map(found.select(doc, t), scratch, "gone-map").marked(rows, [row_id, text_hash], hit)
+    moved = rows.filter(F.col(hit)).join(found, (F.col(row_id) == F.col(doc)) & (F.col(text_hash) == F.col(t)), "left")
+    same = [F.col(quoted(c)) for c in docs.columns]
+    rows = moved.select(*same, gone).union(rows.filter(~F.col(hit)).select(*same, F.lit(None).cast(found.schema[gone].dataType).alias(gone)))
     # The removed numbers, sorted, become a flag for each line in one pass.
     mark = F.expr(
         f"flatten(zip_with(concat(array(-1), {gone}), concat({gone}, array(size({every}))), "
