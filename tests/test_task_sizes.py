@@ -85,3 +85,22 @@ def test_features_are_dealt_to_tasks(spark):
     table = spark.createDataFrame([(k % 5, k, "MKVA" * k) for k in range(9)], "domain_id int, protein_id int, domain_sequence string").coalesce(1)
     for name in ("aacomp", "aaencode", "dummy"):
         assert "REPARTITION_BY_NUM" in plan(FEATURES[name]({"domain_protein_map": table}))
+
+
+def test_clustering_deals_open_paths(spark, monkeypatch):
+    links = [(f"n{(k * k) % 23}", f"n{(k * 7) % 19}") for k in range(150)]
+    edges = spark.createDataFrame([*links, *((b, a) for a, b in links[:40]), ("n1", "n1"), (None, "n2"), ("u", "v")], "a string, b string")
+    near = {}
+    for a, b in [*links, ("u", "v")]:
+        if a != b:
+            near.setdefault(a, set()).add(b)
+            near.setdefault(b, set()).add(a)
+    want = {v: sum(b in near[a] for a in own for b in own) / (len(own) * (len(own) - 1)) if len(own) > 1 else 0.0 for v, own in near.items()}
+    assert 0 < sum(want.values())
+    assert {r.node: r.clustering for r in graph.clustering(edges).collect()} == pytest.approx(want)
+    monkeypatch.setattr(pairs, "TASK_ROWS", 10)
+    out = graph.clustering(edges)
+    assert {r.node: r.clustering for r in out.collect()} == pytest.approx(want)
+    assert plan(out).count("REPARTITION_BY_NUM") >= 4
+    none = spark.createDataFrame([("x", "x")], "a string, b string")
+    assert graph.clustering(none).count() == 0
