@@ -104,3 +104,16 @@ def test_clustering_deals_open_paths(spark, monkeypatch):
     assert plan(out).count("REPARTITION_BY_NUM") >= 4
     none = spark.createDataFrame([("x", "x")], "a string, b string")
     assert graph.clustering(none).count() == 0
+
+
+def test_members_are_sent_for_tiles_not_for_pairs_of_domains(spark, monkeypatch):
+    monkeypatch.setattr(assembly, "BUCKET", 5)
+    monkeypatch.setattr(assembly, "PARTNERS", 2)
+    rows = [("A" if k % 3 else f"D{k}", f"p{k}", float(k)) for k in range(40)]
+    wide = spark.createDataFrame([*rows, (None, "q", 0.0)], "domain_id string, protein_id string, v double")
+    given = sorted({("A", "A", 1), *(("A", f"D{k}", 0) for k in range(0, 40, 3)), ("D3", "A", 1), ("D3", "D6", 0), ("X", "A", 1), ("A", "Y", 1)})
+    out = assembly.block_pairs(spark.createDataFrame(given, "domain_a string, domain_b string, label int"), wide)
+    got = sorted((r.domain_a, r.domain_b, r.label, r.x.protein_id, r.x.v, r.y.protein_id, r.y.v) for r in out.collect())
+    assert got == sorted((a, b, l, p, v, q, w) for a, b, l in given for d, p, v in rows if d == a for e, q, w in rows if e == b)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()  # both sides of the last join are dealt by tile
+    assert plan.count("RepartitionByExpression [tile#") == 2, plan
