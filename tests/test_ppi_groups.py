@@ -88,3 +88,20 @@ def test_chi_square_of_overlapping_groups(spark):
         d = len(every) - len(own[g]) - b
         den = (a + c) * (b + d) * (a + b) * (c + d)
         assert got[g, *pair] == (a, pytest.approx((a + b + c + d) * (a * d - b * c) ** 2 / den if den else 0.0))
+
+
+def test_similar_by_terms_equals_all_pairs_and_makes_nothing_distinct(spark, monkeypatch):
+    draw = random.Random(9)
+    ppi = [(f"p{draw.randrange(14)}", f"p{draw.randrange(14)}") for _ in range(60)]
+    terms = [(f"p{k}", f"t{draw.randrange(4)}") for k in range(12) for _ in range(2)]  # two proteins without terms
+    near = [(f"t{a}", f"t{b}", abs(a - b)) for a in range(4) for b in range(4)]
+    given, own = spark.createDataFrame(ppi, "protein_a string, protein_b string"), spark.createDataFrame(terms, "uniprot_id string, go string")
+    distances = spark.createDataFrame(near, "source string, node string, dist int")
+    monkeypatch.setattr(graph, "CELL", 2)
+    for most in (0, 1):
+        close = {(a, b) for a, s in terms for b, t in terms if a != b and abs(int(s[1]) - int(t[1])) <= most}
+        edges = sorted({(min(e), max(e)) for e in ppi})
+        want = sorted((*e, *f) for e in edges for f in edges if e < f and any((x, f[0]) in close and (y, f[1]) in close for x, y in (e, e[::-1])))
+        out = graph.similar_by_terms(given, own, distances, most)
+        assert sorted(map(tuple, out.collect())) == want and want
+        assert not {"Distinct", "Aggregate"} & set(out._jdf.queryExecution().optimizedPlan().toString().replace("(", " ").split())
